@@ -2,18 +2,19 @@
 
 Each suite returns ``(check_name, status, detail, measure)`` with status in
 PASS / WARN / FAIL / SKIP.  A suite reads each table once: all its counts
-are conditional aggregates of a single ``agg``; the SCD2 suite shares one
-shuffle on the business key between the duplicate and the gap checks.
+are conditional aggregates of a single ``agg``; the SCD2 suite finds next
+versions on (key, day) buckets and counts per key with partial aggregation.
 """
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from loadworks.operators.sequence import time_bucket, with_neighbours
 from loadworks.operators.shaping import qcol
 from loadworks.operators.verdict import check, combine_metrics, percent, rows
 
@@ -106,7 +107,7 @@ def _date(c: Column) -> Column:
 def check_scd2(dim: DataFrame, keys: list[str], flag: str = "is_current",
                valid_from: str = "valid_from", valid_to: str = "valid_to",
                strict: bool = False) -> DataFrame:
-    """SCD2 invariants in one shuffle on the business key.
+    """SCD2 invariants: one scan of the dimension, one aggregate of verdicts.
 
     1. no key has more than one current row (strict: nor zero);
     2. current rows end at 9999-12-31 (strict: NULL ends count as bad);
@@ -114,21 +115,22 @@ def check_scd2(dim: DataFrame, keys: list[str], flag: str = "is_current",
     4. each version ends on the day the next one starts (strict: NULL end
        before a next version counts as a gap).
     """
-    w = Window.partitionBy(*[qcol(k) for k in keys]).orderBy(qcol(valid_from))
     vt = _date(qcol(valid_to))
-    nxt = F.lead(qcol(valid_from)).over(w)
+    with_next = with_neighbours(dim, keys, [valid_from], qcol(valid_from), next_name="__next",
+                                bucket=time_bucket(valid_from))
+    nxt_v = F.col("__next").getField("v")
     is_cur = qcol(flag) == F.lit(True)
     is_old = qcol(flag) == F.lit(False)
     open_end = F.lit(OPEN_END).cast("date")
-    per_row = dim.select(
+    per_row = with_next.select(
         *[qcol(k) for k in keys],
         is_cur.alias("__cur"),
         (is_cur & ((vt != open_end) | (vt.isNull() if strict else F.lit(False)))).alias("__bad_cur"),
         (is_old & (vt == open_end)).alias("__open_old"),
-        (nxt.isNotNull() & ((vt != _date(nxt)) | (vt.isNull() if strict else F.lit(False))))
+        (nxt_v.isNotNull() & ((vt != _date(nxt_v)) | (vt.isNull() if strict else F.lit(False))))
         .alias("__gap"),
     )
-    # Rows are already partitioned by key after the window: no new shuffle.
+    # Per-key counts use partial aggregation, so hot keys are pre-combined.
     per_key = per_row.groupBy(*[qcol(k) for k in keys]).agg(
         F.count_if(F.coalesce(F.col("__cur"), F.lit(False))).alias("cur"),
         F.count_if(F.coalesce(F.col("__bad_cur"), F.lit(False))).alias("bad_cur"),

@@ -1,4 +1,4 @@
 """Import every recipe module so that the registry is complete."""
 
-from loadworks.plans import apply_queries, shaping_queries  # noqa: F401
+from loadworks.plans import apply_queries, scd_queries, shaping_queries  # noqa: F401
 from loadworks.plans.registry import ORACLE, QUERIES  # noqa: F401
