@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from loadworks.operators.sequence import time_bucket, with_neighbours
+from loadworks.operators.sequence import add_bucket, time_bucket, with_neighbour
 from loadworks.operators.shaping import qcol
 from loadworks.operators.verdict import check, combine_metrics, percent, rows
 
@@ -116,8 +116,9 @@ def check_scd2(dim: DataFrame, keys: list[str], flag: str = "is_current",
        before a next version counts as a gap).
     """
     vt = _date(qcol(valid_to))
-    with_next = with_neighbours(dim, keys, [valid_from], qcol(valid_from), next_name="__next",
-                                bucket=time_bucket(valid_from))
+    staged, bcol = add_bucket(dim, time_bucket(valid_from))
+    with_next = with_neighbour(staged, keys, [valid_from], qcol(valid_from), "__next", "next",
+                               bcol)
     nxt_v = F.col("__next").getField("v")
     is_cur = qcol(flag) == F.lit(True)
     is_old = qcol(flag) == F.lit(False)

@@ -13,7 +13,7 @@ Dimension layout: business keys, attributes, ``valid_from``, ``valid_to``
   versions of batch keys are rebuilt together with the batch.  Batch rows not
   later than the key's current ``valid_from`` are returned as *late* rows.
 
-Neighbour rows are found with ``sequence.with_neighbours`` on (key, day)
+Neighbour rows are found with ``sequence.with_neighbour`` on (key, day)
 buckets, so a key holding a large share of the history is spread over many
 tasks.
 """
@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadworks.operators.apply import any_null
-from loadworks.operators.sequence import time_bucket, with_neighbours
+from loadworks.operators.sequence import add_bucket, time_bucket, with_neighbour
 from loadworks.operators.shaping import project_common, qcol
 
 OPEN_END = "9999-12-31 00:00:00"
@@ -52,18 +52,17 @@ def scd2_build(history: DataFrame, keys: list[str], attrs: list[str], effective:
     rows = history.filter(~any_null(keys)).select(
         *[qcol(c) for c in keys + attrs + order])
     attr_struct = F.struct(*[qcol(a) for a in attrs])
-    b = time_bucket(effective) if bucket else None
+    # One bucket column for both passes: the data is shuffled once.
+    rows, bcol = add_bucket(rows, time_bucket(effective) if bucket else None)
 
     # 1. previous row of the key (to detect changes)
-    with_prev = with_neighbours(rows, keys, order, attr_struct, prev_name="__prev",
-                                bucket=b)
+    with_prev = with_neighbour(rows, keys, order, attr_struct, "__prev", "prev", bcol)
     prev_attrs = F.col("__prev").getField("v")
     changed = F.col("__prev").isNull() | ~attr_struct.eqNullSafe(prev_attrs)
     versions = with_prev.filter(changed).drop("__prev")
 
     # 2. next version of the key (its valid_from closes this one)
-    with_next = with_neighbours(versions, keys, order, qcol(effective), next_name="__next",
-                                bucket=b)
+    with_next = with_neighbour(versions, keys, order, qcol(effective), "__next", "next", bcol)
     nxt = F.col("__next").getField("v")
     out = with_next.select(
         *[qcol(c) for c in keys + attrs],
@@ -138,9 +137,8 @@ def current(dim: DataFrame, target_cols: list[str] | None = None) -> DataFrame:
 
 def version_gaps(dim: DataFrame, keys: list[str], bucket: str | None = "day") -> DataFrame:
     """Versions whose end date differs from the next version's start date."""
-    b = time_bucket(VALID_FROM) if bucket else None
-    nxt = with_neighbours(dim, keys, [VALID_FROM], F.col(VALID_FROM), next_name="__next",
-                          bucket=b)
+    staged, bcol = add_bucket(dim, time_bucket(VALID_FROM) if bucket else None)
+    nxt = with_neighbour(staged, keys, [VALID_FROM], F.col(VALID_FROM), "__next", "next", bcol)
     nv = F.col("__next").getField("v")
     return nxt.filter(nv.isNotNull() & (F.col(VALID_TO).cast("date") != nv.cast("date"))) \
         .select(*[qcol(k) for k in keys], VALID_FROM, VALID_TO, nv.alias("next_valid_from"))

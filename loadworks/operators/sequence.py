@@ -2,15 +2,19 @@
 
 A plain ``lag``/``lead`` window partitioned by the key puts every row of a key
 into one task; a key that holds a third of the data then becomes a single
-straggler task.  Here the window is partitioned by ``(key, bucket)`` where the
+straggler task.  Here the window is partitioned by ``(key, bucket)``, where the
 bucket is a coarse slice of the ordering column (a day, a month, ...), so a
-hot key is spread over many tasks.  The neighbour of the first/last row of a
-bucket comes from a per-``(key, bucket)`` summary (one row per bucket, tiny
-next to the data) ordered by bucket within the key, joined back on
-``(key, bucket)`` — the big side keeps its partitioning, no second shuffle.
+hot key is spread over many tasks.
 
-With ``bucket=None`` the plain window is used (ordering without a natural
-coarse slice).
+The neighbour of the first (or last) row of a bucket lies in an earlier (or
+later) bucket of the same key.  The window marks each bucket's last (or
+first) row; those edge rows — one per ``(key, bucket)``, tiny next to the
+data — are ordered by bucket within the key to find the neighbouring bucket's
+edge value, which is joined back on ``(key, bucket)``.  The big side keeps its
+``(key, bucket)`` partitioning: callers that add the bucket column once and
+chain several neighbour passes shuffle the data a single time.
+
+With ``bucket_col=None`` the plain per-key window is used.
 """
 
 from __future__ import annotations
@@ -28,56 +32,40 @@ def time_bucket(col: str, unit: str = "day") -> Column:
     return F.date_trunc(unit, qcol(col))
 
 
-def with_neighbours(df: DataFrame, keys: list[str], order: list[str], value: Column,
-                    prev_name: str | None = None, next_name: str | None = None,
-                    bucket: Column | None = None) -> DataFrame:
-    """Add the ``value`` of the previous and/or next row within each key.
+def add_bucket(df: DataFrame, bucket: Column | None) -> tuple[DataFrame, str | None]:
+    """Add the bucket column once; pass its name to ``with_neighbour``."""
+    if bucket is None:
+        return df, None
+    return df.withColumn(BUCKET, bucket), BUCKET
+
 
-    ``value`` is wrapped as ``struct(v)``, so "no neighbour" (NULL) differs from
-    a neighbour whose value is NULL; read it back with ``.getField('v')``.
+def with_neighbour(df: DataFrame, keys: list[str], order: list[str], value: Column,
+                   name: str, direction: str = "prev",
+                   bucket_col: str | None = None) -> DataFrame:
+    """Add ``name`` = ``struct(v)`` of the previous/next row's ``value`` within the key.
+
+    NULL means there is no such row (a neighbour whose value is NULL still
+    gives a non-NULL struct); read the value with ``.getField('v')``.
     ``order`` must be unique within a key.
     """
     v = F.struct(value.alias("v"))
-    order_cols = [qcol(c) for c in order]
     key_cols = [qcol(k) for k in keys]
-    if bucket is None:
+    order_cols = [qcol(c) for c in order]
+    step = F.lag if direction == "prev" else F.lead
+    if bucket_col is None:
         w = Window.partitionBy(*key_cols).orderBy(*order_cols)
-        out = df
-        if prev_name:
-            out = out.withColumn(prev_name, F.lag(v).over(w))
-        if next_name:
-            out = out.withColumn(next_name, F.lead(v).over(w))
-        return out
-
-    staged = df.withColumn(BUCKET, bucket)
-    w_b = Window.partitionBy(*key_cols, F.col(BUCKET)).orderBy(*order_cols)
-    inner = staged
-    if prev_name:
-        inner = inner.withColumn("__in_prev", F.lag(v).over(w_b))
-    if next_name:
-        inner = inner.withColumn("__in_next", F.lead(v).over(w_b))
-
-    rank = F.struct(*order_cols)
-    summary_aggs = []
-    if prev_name:
-        summary_aggs.append(F.max_by(v, rank).alias("__last"))
-    if next_name:
-        summary_aggs.append(F.min_by(v, rank).alias("__first"))
-    # Grouping ``inner`` (not ``staged``) keeps one scan and one full shuffle:
-    # the aggregate reuses the window's partitioning on (key, bucket).
-    summary = inner.groupBy(*key_cols, F.col(BUCKET)).agg(*summary_aggs)
-    w_k = Window.partitionBy(*key_cols).orderBy(F.col(BUCKET))
-    carry_cols = []
-    if prev_name:
-        carry_cols.append(F.lag("__last").over(w_k).alias("__carry_prev"))
-    if next_name:
-        carry_cols.append(F.lead("__first").over(w_k).alias("__carry_next"))
-    carry = summary.select(*key_cols, F.col(BUCKET), *carry_cols)
+        return df.withColumn(name, step(v).over(w))
 
-    joined = inner.join(carry, keys + [BUCKET], "left")
-    out_cols = [qcol(c) for c in df.columns]
-    if prev_name:
-        out_cols.append(F.coalesce(F.col("__in_prev"), F.col("__carry_prev")).alias(prev_name))
-    if next_name:
-        out_cols.append(F.coalesce(F.col("__in_next"), F.col("__carry_next")).alias(next_name))
-    return joined.select(*out_cols)
+    w_b = Window.partitionBy(*key_cols, F.col(bucket_col)).orderBy(*order_cols)
+    inner = df.select("*", step(v).over(w_b).alias("__in"),
+                      # the edge row whose value the neighbouring bucket needs
+                      (F.lead if direction == "prev" else F.lag)(F.lit(1)).over(w_b)
+                      .isNull().alias("__edge"),
+                      v.alias("__v"))
+    edges = inner.filter(F.col("__edge")).select(*key_cols, F.col(bucket_col), F.col("__v"))
+    w_k = Window.partitionBy(*key_cols).orderBy(F.col(bucket_col))
+    carry = edges.select(*key_cols, F.col(bucket_col),
+                         step(F.col("__v")).over(w_k).alias("__carry"))
+    joined = inner.join(carry, keys + [bucket_col], "left")
+    return joined.select(*[qcol(c) for c in df.columns],
+                         F.coalesce(F.col("__in"), F.col("__carry")).alias(name))

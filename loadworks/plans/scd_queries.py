@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from loadworks.operators import checks as C
 from loadworks.operators import scd as D
 from loadworks.plans.registry import recipe, table
+from loadworks.session import scratch_database
+from loadworks.sources.sinks import publish
 
 KEYS, ATTRS, EFF, TIE = ["user_id"], ["event_type"], "ts", ["event_id"]
 SPLIT_AT = "2024-01-16 00:00:00"
@@ -23,6 +25,13 @@ def build_events(events):
     return D.scd2_build(events, KEYS, ATTRS, EFF, TIE)
 
 
+def stored_dimension(spark, events, name="events_dim"):
+    """Build the dimension and store it, as a load would before applying
+    batches; the written table also cuts the lineage of later steps."""
+    db = scratch_database(spark)
+    return publish(build_events(events), f"{db}.{name}")
+
+
 BUILD_SQL = """
 WITH s AS (SELECT user_id, event_type, ts, event_id,
                   lag(event_type) OVER w AS prev, row_number() OVER w AS rn
@@ -44,7 +53,7 @@ def q_scd2_build(spark, sf):
 @recipe("scd2_apply", BUILD_SQL)
 def q_scd2_apply(spark, sf):
     ev = table(spark, sf, "events")
-    dim = build_events(ev.filter(F.col(EFF) < _ts(SPLIT_AT)))
+    dim = stored_dimension(spark, ev.filter(F.col(EFF) < _ts(SPLIT_AT)))
     image, _late = D.scd2_apply(dim, ev.filter(F.col(EFF) >= _ts(SPLIT_AT)), KEYS, ATTRS, EFF, TIE)
     return image
 
@@ -58,7 +67,7 @@ WHERE e.ts >= TIMESTAMP '{LATE_DAY[0]}' AND e.ts < TIMESTAMP '{LATE_DAY[1]}'
 """)
 def q_scd2_late_rows(spark, sf):
     ev = table(spark, sf, "events")
-    dim = build_events(ev)
+    dim = stored_dimension(spark, ev)
     batch = ev.filter((F.col(EFF) >= _ts(LATE_DAY[0])) & (F.col(EFF) < _ts(LATE_DAY[1])))
     _image, late = D.scd2_apply(dim, batch, KEYS, ATTRS, EFF, TIE)
     return late
@@ -152,7 +161,7 @@ SELECT '{variant}', 'No date gaps', CASE WHEN gaps = 0 THEN 'PASS' ELSE 'FAIL' E
 @recipe("check_scd2", _check_sql("clean", BUILD_SQL, True) + "\nUNION ALL\n"
         + _check_sql("corrupted", CORRUPT_SQL, False))
 def q_check_scd2(spark, sf):
-    dim = build_events(table(spark, sf, "events"))
+    dim = stored_dimension(spark, table(spark, sf, "events"))
     clean = C.check_scd2(dim, KEYS, strict=True).select(F.lit("clean").alias("variant"), "*")
     bad = C.check_scd2(corrupt(dim), KEYS, strict=False) \
         .select(F.lit("corrupted").alias("variant"), "*")
