@@ -170,9 +170,13 @@ def first_string_column(df: DataFrame) -> str | None:
     return None
 
 
-def check_file_ingestion(staging: DataFrame, target: DataFrame, expected: int,
+def check_file_ingestion(staging: DataFrame, target: DataFrame, expected: int | DataFrame,
                          partition_cols: list[str] | None = None) -> DataFrame:
-    """Expected count reached, partitions present, no header/trailer leakage."""
+    """Expected count reached, partitions present, no header/trailer leakage.
+
+    ``expected`` is a number or a one-row frame with an ``expected`` column
+    (for instance a control-file record count), kept lazy.
+    """
     partition_cols = partition_cols or []
     text_col = first_string_column(target)
     s = staging.agg(F.count(F.lit(1)).alias("staging_rows"))
@@ -181,8 +185,13 @@ def check_file_ingestion(staging: DataFrame, target: DataFrame, expected: int,
     if text_col is not None:
         t_aggs.append(F.count_if(F.coalesce(
             F.lower(qcol(text_col)).rlike(HEADER_PATTERN), F.lit(False))).alias("leaks"))
-    one = combine_metrics(s, target.agg(*t_aggs))
-    exp = F.lit(expected).cast("long")
+    if isinstance(expected, DataFrame):
+        one = combine_metrics(s, target.agg(*t_aggs),
+                              expected.select(F.col("expected").cast("long").alias("expected")))
+        exp = F.col("expected")
+    else:
+        one = combine_metrics(s, target.agg(*t_aggs))
+        exp = F.lit(expected).cast("long")
     tr, sr = F.col("target_rows"), F.col("staging_rows")
     checks = [check("Target count matches expected",
                     F.when(tr == exp, "PASS").when(sr == exp, "WARN").otherwise("FAIL"),

@@ -1,4 +1,5 @@
 """Import every recipe module so that the registry is complete."""
 
-from loadworks.plans import apply_queries, file_queries, scd_queries, shaping_queries  # noqa: F401
+from loadworks.plans import (apply_queries, audit_queries, file_queries,  # noqa: F401
+                             scd_queries, shaping_queries)
 from loadworks.plans.registry import ORACLE, QUERIES  # noqa: F401

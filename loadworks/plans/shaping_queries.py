@@ -61,7 +61,7 @@ def _documents_enriched(spark, sf):
     return docs, target
 
 
-@recipe("check_multi_join", """
+CHECK_MULTI_JOIN_SQL = """
 WITH t AS (
   SELECT d.doc_id, l.quality, x.never_name, g.lang_code
   FROM documents d
@@ -96,7 +96,10 @@ UNION ALL
 SELECT 'Audit col lang', 'PASS', NULL, NULL
 UNION ALL
 SELECT 'Audit col load_ts', 'FAIL', 'missing from target', NULL
-""")
+"""
+
+
+@recipe("check_multi_join", CHECK_MULTI_JOIN_SQL)
 def q_check_multi_join(spark, sf):
     docs, target = _documents_enriched(spark, sf)
     return C.check_multi_join(docs, target, ["quality", "never_name", "lang_code"],
