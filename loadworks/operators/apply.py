@@ -72,7 +72,8 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str],
     good = batch.filter(~any_null(keys))
     latest = latest_per_key(good, keys, order_by) if order_by else unique_per_key(good, keys)
     latest = project_to(latest, target.columns)
-    kept = target.join(latest.select(*[qcol(k) for k in keys]), keys, "left_anti")
+    kept = target.join(latest.select(*[qcol(k) for k in keys]), keys, "left_anti") \
+        .select(*[qcol(c) for c in target.columns])
     return kept.unionByName(latest)
 
 
@@ -101,7 +102,8 @@ def update_from(target: DataFrame, source: DataFrame, keys: list[str],
 
 def delete_matching(target: DataFrame, keys_df: DataFrame, keys: list[str]) -> DataFrame:
     """``DELETE FROM target WHERE key IN (keys_df)`` as an anti join."""
-    return target.join(keys_df.select(*[qcol(k) for k in keys]), keys, "left_anti")
+    kept = target.join(keys_df.select(*[qcol(k) for k in keys]), keys, "left_anti")
+    return kept.select(*[qcol(c) for c in target.columns])
 
 
 def replace_where(existing: DataFrame, new: DataFrame, predicate: Column) -> DataFrame:
@@ -120,5 +122,5 @@ def overwrite_partitions(new: DataFrame, existing: DataFrame, keys: list[str]) -
     them and the anti join keeps all other partitions of ``existing``.
     """
     parts = new.select(*[qcol(k) for k in keys]).distinct()
-    kept = existing.join(parts, keys, "left_anti")
+    kept = existing.join(parts, keys, "left_anti").select(*[qcol(c) for c in existing.columns])
     return kept.unionByName(new.select(*[qcol(c) for c in existing.columns]))
