@@ -17,7 +17,7 @@ from loadworks.plans.registry import recipe, table
 # The rule catalogue used on the documents corpus.
 DOC_RULES = [
     CO.Rule("mail_address", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "high",
-            "personal data: e-mail address"),
+            "personal data: e-mail address", hints=("@",)),
     CO.Rule("licence_line", r"(?i)licen[cs]e", "high", "licence text"),
     CO.Rule("secret_word", r"(?i)(password|secret|api[_-]?key|token)", "critical",
             "possible secret"),

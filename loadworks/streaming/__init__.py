@@ -1,0 +1,9 @@
+"""Streaming.
+
+The loads this library re-expresses are batch jobs: there are no streams,
+watermarks or windowed aggregations to rebuild, so this package defines no
+operators.  The apply operators (``operators.apply``, ``operators.scd``)
+take a batch DataFrame and an existing image; a Structured Streaming job can
+call them from ``foreachBatch`` and publish each image with
+``sources.sinks.publish``.
+"""
