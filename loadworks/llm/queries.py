@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadworks.llm import decontaminate, lang_id, packing, token_count
+from loadworks.llm import (ann, decontaminate, lang_id, license_scan, near_dup, packing,
+                           token_count, warc)
+from loadworks.session import scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +37,13 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         (n_hit > 0).alias("contaminated"))
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of near copies of every document."""
+    found = near_dup.near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id",
+                        F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 def op4_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count of every document."""
     counted = token_count.count_tokens(_table(spark, sf_dir, "documents"),
@@ -43,11 +52,40 @@ def op4_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
                           (F.col("n_tokens") > 2048).alias("over_limit"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence families named in each document."""
+    docs = _table(spark, sf_dir, "documents")
+    named = (license_scan.scan(docs, license_scan.fit(docs)).groupBy("id")
+             .agg(F.count("*").alias("n_paragraphs"), F.array_sort(F.collect_set("family")).alias("families"),
+                  F.min("probability").alias("probability"))
+             .withColumnRenamed("id", "named_id"))
+    return (docs.select("doc_id").join(named, F.col("doc_id").eqNullSafe(F.col("named_id")), "left")
+            .select("doc_id", F.coalesce("n_paragraphs", F.lit(0)).alias("n_paragraphs"),
+                    F.coalesce(F.array_join("families", ","), F.lit("")).alias("families"),
+                    F.round("probability", 6).alias("probability")))
+
+
+def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten nearest vectors of every hundredth vector."""
+    return ann.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of the archives that hold the pages."""
+    path = scratch_path(spark, "warc")
+    warc.write(_table(spark, sf_dir, "pages"), path)
+    return warc.read(spark, path).where("checked").select(
+        F.col("page").alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"),
+        F.col("type").alias("record_type"), F.col("refers").alias("refers_to"))
+
+
 def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of the packed corpus."""
     return (packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
             .withColumnRenamed("id", "doc_id"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontaminate, op4_token_count, op10_pack)}
+QUERIES = {f.__name__: f for f in (
+    op1_language_id, op2_decontaminate, op3_near_duplicates, op4_token_count, op6_license_scan,
+    op7_nearest, op9_warc, op10_pack)}
 ORACLE: dict[str, str] = {}
