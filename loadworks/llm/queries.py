@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadworks.llm import (ann, decontaminate, lang_id, license_scan, near_dup, packing,
-                           token_count, warc)
+from loadworks.llm import (ann, byte_dedup, decontaminate, lang_id, license_scan, near_dup,
+                           packing, token_count, warc, word_dedup)
 from loadworks.session import scratch_path
 
 
@@ -52,6 +52,14 @@ def op4_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
                           (F.col("n_tokens") > 2048).alias("over_limit"))
 
 
+def op5_byte_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that repeat a smaller document."""
+    found = byte_dedup.dedup_bytes(_table(spark, sf_dir, "documents"))
+    n_removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(F.col("id").alias("doc_id"), "n_bytes", n_removed.alias("n_removed"),
+                        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence families named in each document."""
     docs = _table(spark, sf_dir, "documents")
@@ -70,6 +78,13 @@ def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op8_word_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that repeat an earlier window."""
+    found = word_dedup.dedup_words(_table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed",
+                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records of the archives that hold the pages."""
     path = scratch_path(spark, "warc")
@@ -86,6 +101,6 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_language_id, op2_decontaminate, op3_near_duplicates, op4_token_count, op6_license_scan,
-    op7_nearest, op9_warc, op10_pack)}
+    op1_language_id, op2_decontaminate, op3_near_duplicates, op4_token_count, op5_byte_dedup,
+    op6_license_scan, op7_nearest, op8_word_dedup, op9_warc, op10_pack)}
 ORACLE: dict[str, str] = {}
