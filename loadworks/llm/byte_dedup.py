@@ -18,9 +18,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from loadworks.llm.columns import range_hash, utf8
-from loadworks.llm.repeats import covered, runs
+from loadworks.llm.columns import range_hash, utf8, with_columns
+from loadworks.llm.repeats import covered, runs, with_ranges
 
 WINDOW = 50
 GRAM = 16
@@ -122,29 +123,30 @@ def merged(blobs) -> np.ndarray:
 
 def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 window: int = WINDOW) -> DataFrame:
-    """(id, n_bytes, spans, kept) of every row: the removed ranges and the remaining bytes."""
-    marked = covered(docs, id_col, text_col, byte_elements, window, min(GRAM, window), _shard(window),
+    """``docs`` without its text, with n_bytes, spans (the removed ranges) and kept (the bytes left)."""
+    ranges = covered(docs, id_col, text_col, byte_elements, window, min(GRAM, window), _shard(window),
                      False, "byte-dedup")
-
-    def task(batches):
-        for batch in batches:
-            spans, kept, sizes = [], [], []
-            data, offsets = utf8(batch.column(1))
-            for r in range(len(batch)):
-                body = data[offsets[r]:offsets[r + 1]]
-                ranges = merged(batch.column(2)[r].as_py())
-                if len(ranges):
-                    gone = np.zeros(len(body) + 1, np.int64)
-                    np.add.at(gone, ranges[:, 0], 1)
-                    np.add.at(gone, ranges[:, 1], -1)
-                    body = body[np.cumsum(gone[:-1]) == 0]
-                sizes.append(int(offsets[r + 1] - offsets[r]))
-                spans.append([{"start": a, "end": b} for a, b in ranges.tolist()])
-                kept.append(body.tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()),
-                 pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                 pa.array(kept, pa.binary())], names=["id", "n_bytes", "spans", "kept"])
-
-    return marked.select("id", "text", "ranges").mapInArrow(
-        task, "id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary")
+    marked = with_ranges(docs, ranges, id_col, text_col)
+    span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+
+    def make(texts: pa.Array, blobs: pa.Array):
+        spans, kept = [], []
+        data, offsets = utf8(texts)
+        for r in range(len(texts)):
+            body = data[offsets[r]:offsets[r + 1]]
+            ranges = merged(blobs[r].as_py())
+            if len(ranges):
+                gone = np.zeros(len(body) + 1, np.int64)
+                np.add.at(gone, ranges[:, 0], 1)
+                np.add.at(gone, ranges[:, 1], -1)
+                body = body[np.cumsum(gone[:-1]) == 0]
+            spans.append([{"start": a, "end": b} for a, b in ranges.tolist()])
+            kept.append(body.tobytes())
+        return pa.array(np.diff(offsets)), pa.array(spans, span), pa.array(kept, pa.binary())
+
+    text = f"c{docs.columns.index(text_col)}"
+    fields = "n_bytes long, spans array<struct<start: long, end: long>>, kept binary"
+    made = with_columns(marked, [text, "ranges"], fields, make)
+    new = ["n_bytes", "spans", "kept"]
+    return made.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)
+                         if c != text_col and c not in new], *new)

@@ -7,8 +7,12 @@ small whatever the size of an Arrow batch.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 SLICE_BYTES = 1 << 21
 
@@ -110,3 +114,28 @@ def sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     total = np.zeros(len(values) + 1, np.int64)
     np.cumsum(values, out=total[1:])
     return np.diff(total[bounds])
+
+
+def with_columns(docs: DataFrame, inputs: list[str], fields: str, make: Callable) -> DataFrame:
+    """``docs`` with new columns, computed in place from Arrow arrays of the ``inputs``.
+
+    ``make(*arrays)`` returns the arrays of ``fields``.  As with ``withColumn``, a
+    new column takes the place of an input column of the same name.
+    """
+    names = docs.columns
+    new = StructType.fromDDL(fields)
+    flat = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    at = [names.index(c) for c in inputs]
+    out = [f"n{i}" for i in range(len(new))]
+    schema = StructType(list(flat.schema))
+    for name, field in zip(out, new):
+        schema = schema.add(name, field.dataType)
+
+    def task(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns, *make(*[batch.column(i) for i in at])],
+                                             names=schema.names)
+
+    made = flat.mapInArrow(task, schema)
+    kept = [made[f"c{i}"].alias(c) for i, c in enumerate(names) if c not in new.names]
+    return made.select(*kept, *[made[n].alias(f.name) for n, f in zip(out, new)])

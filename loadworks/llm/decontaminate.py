@@ -19,7 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadworks.llm.columns import ALNUM, LOWER, range_hash, slices, utf8, word_ranges
+from loadworks.llm.columns import (ALNUM, LOWER, range_hash, slices, utf8, with_columns,
+                                   word_ranges)
 
 WINDOW = 10
 BLOCK_WORDS = 4_000_000
@@ -77,66 +78,59 @@ class WindowSet:
         return np.cumsum(hit[:-1]) > 0, pairs
 
 
-_SCHEMA = "n_words long, hits array<int>, items array<string>"
+FIELDS = "n_words long, hits array<int>, items array<string>"
 
 
-def _scan_block(docs: DataFrame, items: list[tuple[str, str]], n: int) -> DataFrame:
-    """(id, text, n_words, hits: indexes of hit words, items) of every row."""
+def _scan_block(docs: DataFrame, text_col: str, items: list[tuple[str, str]], n: int) -> DataFrame:
+    """``docs`` with n_words, hits (indexes of hit words) and items."""
     shared = docs.sparkSession.sparkContext.broadcast(WindowSet(items, n))
-    kind = docs.schema["id"].dataType.simpleString()
-
-    def task(batches):
-        for batch in batches:
-            data, offsets = utf8(batch.column(1))
-            counts, hits, found = [], [], []
-            for i, j in slices(offsets):
-                low, starts, ends, first = _words(data[offsets[i]:offsets[j]],
-                                                  offsets[i:j + 1] - offsets[i])
-                flags, pairs = shared.value.scan(low, starts, ends, first)
-                names: dict[int, list[str]] = {}
-                for k, item in pairs:
-                    names.setdefault(k, []).append(shared.value.names[item])
-                for k in range(j - i):
-                    counts.append(int(first[k + 1] - first[k]))
-                    hits.append(np.flatnonzero(flags[first[k]:first[k + 1]]).astype(np.int32))
-                    found.append(sorted(names.get(k, [])))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(counts, pa.int64()),
-                 pa.array(hits, pa.list_(pa.int32())), pa.array(found, pa.list_(pa.string()))],
-                names=["id", "text", "n_words", "hits", "items"])
-
-    return docs.mapInArrow(task, f"id {kind}, text string, {_SCHEMA}")
-
-
-def scan(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-         item_col: str = "item_id", item_text_col: str = "text", n: int = WINDOW,
-         block_words: int = BLOCK_WORDS) -> DataFrame:
-    """(id, text, n_words, hits, items) of every document.
+
+    def make(texts: pa.Array):
+        data, offsets = utf8(texts)
+        counts, hits, found = [], [], []
+        for i, j in slices(offsets):
+            low, starts, ends, first = _words(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+            flags, pairs = shared.value.scan(low, starts, ends, first)
+            names: dict[int, set[str]] = {}
+            for k, item in pairs:
+                names.setdefault(k, set()).add(shared.value.names[item])
+            for k in range(j - i):
+                counts.append(int(first[k + 1] - first[k]))
+                hits.append(np.flatnonzero(flags[first[k]:first[k + 1]]).astype(np.int32))
+                found.append(sorted(names.get(k, ())))
+        return (pa.array(counts, pa.int64()), pa.array(hits, pa.list_(pa.int32())),
+                pa.array(found, pa.list_(pa.string())))
+
+    return with_columns(docs, [text_col], FIELDS, make)
+
+
+def scan(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
+         item_text_col: str = "text", n: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """``docs`` with n_words, hits and items.
 
     ``hits`` are the indexes of the words inside an occurrence of a window,
-    ``items`` the distinct items found, sorted as strings.  One pass over the
-    documents, no shuffle, while the benchmark has at most ``block_words``
-    words; beyond that one pass a block and one shuffle that merges them.
+    ``items`` the distinct items found, sorted as strings.  No shuffle: a
+    benchmark of more than ``block_words`` words is scanned block after block,
+    in the same pass over the documents.
     """
-    own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     tests = benchmark.select(F.col(item_col).cast("string").alias("item"),
                              F.col(item_text_col).alias("text")).where("item is not null and text is not null")
-    size = tests.agg(F.sum(F.length("text")), F.count("*")).first()
-    blocks = max(1, -(-int(size[0] or 0) // (2 * block_words)))
-    scanned = None
+    size = tests.agg(F.sum(F.length("text"))).first()[0] or 0
+    blocks = max(1, -(-int(size) // (2 * block_words)))
+    old = [f"c{i}" for i in range(len(docs.columns))]
+    out, text = docs.toDF(*old), f"c{docs.columns.index(text_col)}"
     for k in range(blocks):
         part = tests if blocks == 1 else tests.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == k)
-        one = _scan_block(own, [(r["item"], r["text"]) for r in part.toLocalIterator()], n)
-        scanned = one if scanned is None else scanned.unionByName(one)
-    if blocks > 1:  # a row for each block and document: equal rows have equal results
-        scanned = (scanned.withColumn("dup", F.lit(1)).groupBy("id", "text")
-                   .agg(F.max("n_words").alias("n_words"),
-                        F.array_sort(F.array_distinct(F.flatten(F.collect_list("hits")))).alias("hits"),
-                        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-                        (F.sum("dup") / blocks).cast("int").alias("copies"))
-                   .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-                   .drop("copies", "copy"))
-    return scanned.withColumn("items", F.array_distinct("items"))
+        one = _scan_block(out.select(*old, *([] if k == 0 else ["all_hits", "all_items"])), text,
+                          [(r["item"], r["text"]) for r in part.toLocalIterator()], n)
+        hits, items = F.col("hits"), F.col("items")
+        if k:
+            hits = F.array_sort(F.array_union("all_hits", "hits"))
+            items = F.array_sort(F.array_union("all_items", "items"))
+        out = one.select(*old, "n_words", hits.alias("all_hits"), items.alias("all_items"))
+    new = ["n_words", "hits", "items"]
+    return out.select(*[F.col(o).alias(c) for o, c in zip(old, docs.columns) if c not in new],
+                      "n_words", F.col("all_hits").alias("hits"), F.col("all_items").alias("items"))
 
 
 def remove_spans(texts: pa.Array, hits: pa.Array) -> list[str | None]:
@@ -158,18 +152,12 @@ def remove_spans(texts: pa.Array, hits: pa.Array) -> list[str | None]:
     return out
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          n: int = WINDOW) -> DataFrame:
-    """(id, text, before, hits): the text without the hit spans, the text before, the hits."""
-    found = scan(docs, benchmark, id_col, text_col, n=n)
-    kind = docs.schema[id_col].dataType.simpleString()
-
-    def task(batches):
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(remove_spans(batch.column(1), batch.column(2)), pa.string()),
-                 batch.column(1), pa.array([len(x) for x in batch.column(2).to_pylist()], pa.int64())],
-                names=["id", "text", "before", "n_hit"])
-
-    return found.select("id", "text", "hits").mapInArrow(
-        task, f"id {kind}, text string, before string, n_hit long")
+def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", n: int = WINDOW) -> DataFrame:
+    """``docs`` with the hit spans removed from the text, and n_words and n_hit of the text before."""
+    old = [f"c{i}" for i in range(len(docs.columns))]
+    text = f"c{docs.columns.index(text_col)}"
+    found = scan(docs.toDF(*old), benchmark, text, n=n)
+    found = with_columns(found, [text, "hits"], f"{text} string",
+                         lambda texts, hits: [pa.array(remove_spans(texts, hits), pa.string())])
+    return found.select(*[F.col(o).alias(c) for o, c in zip(old, docs.columns) if c not in ("n_words", "n_hit")],
+                        "n_words", F.size("hits").cast("long").alias("n_hit"))

@@ -23,9 +23,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from loadworks.llm.columns import mix, slices, sums, utf8
+from loadworks.llm.columns import mix, slices, sums, utf8, with_columns
+from loadworks.llm.components import stored
 
-SAMPLE_DOCS = 4000        # training texts of a language, at most
+SAMPLE_DOCS = 4000        # training texts of a language, about
 GRAMS = 20000             # n-grams of a language, at most
 RATIO = 0.25              # kept where its rate is this share of its highest rate, at least
 HASHES = 4
@@ -102,21 +103,21 @@ def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_c
         sample_docs: int = SAMPLE_DOCS, grams: int = GRAMS, ratio: float = RATIO) -> Filters:
     """Learn the filters from labelled texts.
 
-    At most ``sample_docs`` texts of a language are used (those whose hash is
-    smallest, whole) and at most ``grams`` n-grams of each language kept, so
-    what the driver receives is bounded by languages x grams.
+    About ``sample_docs`` texts of a language are used (whole, chosen by a hash
+    of their id) and at most ``grams`` n-grams of each language kept, so what
+    the driver receives is bounded by languages x grams.
     """
     rows = (train.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-            .select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"),
-                    F.xxhash64(F.col(id_col), F.col(text_col)).alias("key")))
-    order = Window.partitionBy("lang").orderBy("key")
-    chosen = (rows.select("lang", "key").withColumn("rank", F.row_number().over(order))
-              .where(F.col("rank") <= sample_docs).select("lang", "key").distinct())
-    sample = rows.join(chosen, ["lang", "key"], "left_semi").select("lang", "text")
+            .select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.col(id_col).alias("id")))
+    cut = rows.groupBy("lang").agg((F.lit(float(sample_docs)) / F.count("*") * (1 << 30)).alias("cut"))
+    sample = (rows.join(F.broadcast(cut), "lang")  # a row a language
+              .where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < F.col("cut")).select("lang", "text"))
     counted = (sample.mapInArrow(_count_task, "lang string, gram long, n long")
                .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
+    counted = stored(counted, "grams")
     by_lang = Window.partitionBy("lang")
-    rated = counted.withColumn("rate", F.col("n") / F.sum("n").over(by_lang))
+    totals = counted.groupBy("lang").agg(F.sum("n").alias("total"))
+    rated = counted.join(F.broadcast(totals), "lang").withColumn("rate", F.col("n") / F.col("total"))
     best = rated.withColumn("top", F.max("rate").over(Window.partitionBy("gram")))
     kept = (best.where(F.col("rate") >= ratio * F.col("top"))
             .withColumn("rank", F.row_number().over(by_lang.orderBy(F.desc("n"), "gram")))
@@ -160,22 +161,16 @@ def score_batch(texts: pa.Array, model: Filters) -> tuple[list[str], np.ndarray]
     return names, scores
 
 
-def predict(docs: DataFrame, model: Filters, id_col: str = "doc_id",
-            text_col: str = "text") -> DataFrame:
-    """(id, text, lang_pred, score) of every row, in place: no shuffle.
+def predict(docs: DataFrame, model: Filters, text_col: str = "text") -> DataFrame:
+    """``docs`` with lang_pred and score, in place: no shuffle.
 
     The model is a few megabytes whatever the size of the corpus (see ``fit``)
     and reaches the executors as a broadcast variable.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kind = docs.schema[id_col].dataType.simpleString()
 
-    def task(batches):
-        for batch in batches:
-            names, scores = score_batch(batch.column(1), shared.value)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(names), pa.array(scores)],
-                names=["id", "text", "lang_pred", "score"])
+    def make(texts: pa.Array):
+        names, scores = score_batch(texts, shared.value)
+        return pa.array(names, pa.string()), pa.array(scores)
 
-    return (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-            .mapInArrow(task, f"id {kind}, text string, lang_pred string, score double"))
+    return with_columns(docs, [text_col], "lang_pred string, score double", make)

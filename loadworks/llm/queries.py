@@ -20,18 +20,17 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
     model = lang_id.fit(docs.where(~held_out))
-    return lang_id.predict(docs, model).select(
-        F.col("id").alias("doc_id"),
-        F.coalesce(F.crc32(F.col("id").cast("string")) % 4 == 2, F.lit(False)).alias("held_out"),
-        "lang_pred", "score")
+    return lang_id.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hit words and items of every document."""
-    found = decontaminate.scan(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    found = decontaminate.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"),
+                               _table(spark, sf_dir, "benchmark"))
     n_hit = F.size("hits").cast("long")
     return found.select(
-        F.col("id").alias("doc_id"), "n_words", n_hit.alias("n_hit"),
+        "doc_id", "n_words", n_hit.alias("n_hit"),
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"))
@@ -54,9 +53,9 @@ def op4_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_byte_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document that repeat a smaller document."""
-    found = byte_dedup.dedup_bytes(_table(spark, sf_dir, "documents"))
+    found = byte_dedup.dedup_bytes(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     n_removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
-    return found.select(F.col("id").alias("doc_id"), "n_bytes", n_removed.alias("n_removed"),
+    return found.select("doc_id", "n_bytes", n_removed.alias("n_removed"),
                         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
@@ -80,8 +79,8 @@ def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_word_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that repeat an earlier window."""
-    found = word_dedup.dedup_words(_table(spark, sf_dir, "documents"))
-    return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed",
+    found = word_dedup.dedup_words(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed",
                         F.sha2("kept", 256).alias("kept_sha256"))
 
 

@@ -233,8 +233,8 @@ def _spread_task(elements, window, k, frequent, shards, in_text):
 
 def covered(docs: DataFrame, id_col: str, text_col: str, elements: Callable, window: int, k: int,
             shard_task: Callable, in_text: bool, name: str) -> DataFrame:
-    """(id, key, text, ranges) of every row: ranges are binary blobs of (start, end) pairs of
-    elements that repeats cover.  Rows with a null id or text have none.
+    """(id, key, ranges) of the rows with repeats: ranges are binary blobs of (start, end) pairs
+    of elements that repeats cover.  Rows with a null id or text have none.
 
     ``elements(data, offsets)`` turns texts into element arrays; ``shard_task``
     maps an Arrow table (id, key, at, body) of a shard to (id, key, body) with
@@ -258,6 +258,14 @@ def covered(docs: DataFrame, id_col: str, text_col: str, elements: Callable, win
                     f"{name}-spread")
     found = (spread.where("shard is not null").groupBy("shard")
              .applyInArrow(shard_task, "id long, key long, body binary"))
-    ranges = (found.unionByName(spread.where("shard is null").select("id", "key", "body"))
-              .groupBy("id", "key").agg(F.collect_list("body").alias("ranges")))
-    return rows.join(ranges, ["id", "key"], "left")
+    return (found.unionByName(spread.where("shard is null").select("id", "key", "body"))
+            .groupBy("id", "key").agg(F.collect_list("body").alias("ranges")))
+
+
+def with_ranges(docs: DataFrame, ranges: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``docs``, its columns renamed c0, c1, ..., with each row's ranges (null: none)."""
+    old = [f"c{i}" for i in range(len(docs.columns))]
+    flat = docs.toDF(*old)
+    row = flat.withColumn("id", F.col(f"c{docs.columns.index(id_col)}").cast("long")).withColumn(
+        "key", F.xxhash64(f"c{docs.columns.index(text_col)}"))
+    return row.join(ranges, ["id", "key"], "left").select(*old, "ranges")

@@ -19,10 +19,11 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from loadworks.llm.byte_dedup import merged, ranges_by_row
-from loadworks.llm.columns import NOT_BLANK, range_hash, utf8, word_ranges
-from loadworks.llm.repeats import covered
+from loadworks.llm.columns import NOT_BLANK, range_hash, utf8, with_columns, word_ranges
+from loadworks.llm.repeats import covered, with_ranges
 
 WINDOW = 20
 GRAM = 8
@@ -144,30 +145,31 @@ def _shard(window: int):
 
 def dedup_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 window: int = WINDOW) -> DataFrame:
-    """(id, text, n_words, n_removed, kept) of every row: the words that stay, joined by blanks."""
-    marked = covered(docs, id_col, text_col, word_elements, window, min(GRAM, window), _shard(window),
+    """``docs`` with n_words, n_removed and kept: the words that stay, joined by blanks."""
+    ranges = covered(docs, id_col, text_col, word_elements, window, min(GRAM, window), _shard(window),
                      True, "word-dedup")
-
-    def task(batches):
-        for batch in batches:
-            counts, removed, kept = [], [], []
-            data, offsets = utf8(batch.column(1))
-            for r in range(len(batch)):
-                body = data[offsets[r]:offsets[r + 1]]
-                starts, ends, _ = word_ranges(body, np.array([0, len(body)]), NOT_BLANK)
-                gone = np.zeros(len(starts) + 1, np.int64)
-                ranges = merged(batch.column(2)[r].as_py())
-                np.add.at(gone, ranges[:, 0], 1)
-                np.add.at(gone, ranges[:, 1], -1)
-                stays = np.cumsum(gone[:-1]) == 0
-                raw = body.tobytes()
-                kept.append(b" ".join(raw.split()) if stays.all() else
-                            b" ".join(raw[a:b] for a, b in zip(starts[stays].tolist(), ends[stays].tolist())))
-                counts.append(len(starts))
-                removed.append(len(starts) - int(stays.sum()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()),
-                 pa.array(kept, pa.binary()).cast(pa.string())], names=["id", "text", "n_words", "n_removed", "kept"])
-
-    return marked.select("id", "text", "ranges").mapInArrow(
-        task, "id long, text string, n_words long, n_removed long, kept string")
+    marked = with_ranges(docs, ranges, id_col, text_col)
+
+    def make(texts: pa.Array, blobs: pa.Array):
+        counts, removed, kept = [], [], []
+        data, offsets = utf8(texts)
+        for r in range(len(texts)):
+            body = data[offsets[r]:offsets[r + 1]]
+            starts, ends, _ = word_ranges(body, np.array([0, len(body)]), NOT_BLANK)
+            ranges = merged(blobs[r].as_py())
+            gone = np.zeros(len(starts) + 1, np.int64)
+            np.add.at(gone, ranges[:, 0], 1)
+            np.add.at(gone, ranges[:, 1], -1)
+            stays = np.cumsum(gone[:-1]) == 0
+            raw = body.tobytes()
+            kept.append(b" ".join(raw.split()) if stays.all() else
+                        b" ".join(raw[a:b] for a, b in zip(starts[stays].tolist(), ends[stays].tolist())))
+            counts.append(len(starts))
+            removed.append(len(starts) - int(stays.sum()))
+        return (pa.array(counts, pa.int64()), pa.array(removed, pa.int64()),
+                pa.array(kept, pa.binary()).cast(pa.string()))
+
+    text = f"c{docs.columns.index(text_col)}"
+    made = with_columns(marked, [text, "ranges"], "n_words long, n_removed long, kept string", make)
+    new = ["n_words", "n_removed", "kept"]
+    return made.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns) if c not in new], *new)
