@@ -2,16 +2,18 @@
 
 Every document's set of word shingles gets a signature of ``VALUES`` minima.
 The forest has ``TREES`` orders: order t is the signature rotated by t times
-``LEAST_DEPTH`` values.  All documents are sorted in each order, and a document's
-candidates are its next ``NEIGHBOURS`` in the order whose common prefix is at
-least ``LEAST_DEPTH`` values long; where documents are dense, the neighbours
-are those with the longest common prefixes, so the depth adapts by itself.
-Candidates are confirmed on the full sets.
-
-Documents with equal sets are one class from the start.  Confirming goes in
-two rounds: each document's most agreed partner first, then the pairs that
-still join different components, so a large group of copies costs about one
-comparison a document.
+``LEAST_DEPTH`` values.  All documents are sorted in each order.  Candidates
+are the next ``NEIGHBOURS`` in an order whose common prefix is at least
+``LEAST_DEPTH`` values long.  Where more documents than that share a prefix,
+the region is looked at on deeper levels too, and on each level everyone is
+also a candidate with the ``HUBS`` documents closest to the region's most
+common values: copies of one text meet their original however many they are.
+
+Candidates whose signatures differ too much (by four standard deviations) are
+left out; the others are confirmed on the full sets.  Documents with equal
+sets are one class from the start.  Confirming goes in two rounds: each
+document's likeliest partner first, then the pairs that still join different
+components, so a large group of copies costs about one comparison a document.
 
 Defined results: a document without words (or text, or id) is linked with
 nothing; fewer words than a shingle make one shingle of all; rows with equal
@@ -25,7 +27,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from loadworks.llm.columns import LOWER, NOT_BLANK, mix, range_hash, slices, utf8, word_ranges
 from loadworks.llm.components import components, small, stored
@@ -35,8 +36,9 @@ SHARE = (85, 100)
 TREES = 16
 LEAST_DEPTH = 4
 VALUES = TREES * LEAST_DEPTH
-DEEPER = 8            # values behind the first ones that order a region
-NEIGHBOURS = 3
+NEIGHBOURS = 6
+HUBS = 4
+LEVELS = (4, 6, 8)    # depths at which a region gets hubs
 GROUP = 256           # documents compared with one other in a group
 SLICE = 1 << 20
 
@@ -98,8 +100,12 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
             .mapInArrow(task, "id long, n_shingles long, f1 long, f2 long, sig binary"))
 
 
+_HEAD = 4 * LEAST_DEPTH                  # bytes of the first values in a key
+_WIDTH = _HEAD + VALUES - LEAST_DEPTH    # then a byte of each further value
+
+
 def _orders(batches):
-    """(tree, key, id, n) of each document: the first values and the order of the deeper ones."""
+    """(tree, key, id, n): a document's signature from each tree's first value on."""
     for batch in batches:
         n = len(batch)
         data, _ = utf8(batch.column(2))
@@ -107,33 +113,54 @@ def _orders(batches):
         for t in range(TREES):
             turned = np.roll(sig, -t * LEAST_DEPTH, axis=1)
             head = turned[:, :LEAST_DEPTH].astype(">u4").view(np.uint8).reshape(n, -1)
-            deep = (turned[:, LEAST_DEPTH:LEAST_DEPTH + DEEPER] & np.uint32(0xFFFF)).astype(">u2")
-            key = np.concatenate([head, deep.view(np.uint8).reshape(n, -1)], axis=1)
+            key = np.concatenate([head, (turned[:, LEAST_DEPTH:] & np.uint32(0xFF)).astype(np.uint8)], axis=1)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(n, t, np.int32)), pa.array([k.tobytes() for k in key], pa.binary()),
                  batch.column(0), batch.column(1)], names=["tree", "key", "id", "n"])
 
 
-_HEAD = 4 * LEAST_DEPTH
-
-
-def _close(n1: np.ndarray, n2: np.ndarray, share: tuple[int, int]) -> np.ndarray:
-    """Could sets of these sizes have the similarity?"""
-    return share[1] * np.minimum(n1, n2) >= share[0] * np.maximum(n1, n2)
+def _least_equal(share: tuple[int, int]) -> int:
+    """Equal values below which a pair of that similarity is four standard deviations off."""
+    p = share[0] / share[1]
+    return int(np.floor(VALUES * p - 4 * np.sqrt(VALUES * p * (1 - p))))
+
+
+def _meet(a, b, key, ids, sizes, share):
+    """(larger id, smaller id, equal values) of the row pairs that may be similar enough."""
+    ok = (ids[a] != ids[b]) & (share[1] * np.minimum(sizes[a], sizes[b]) >= share[0] * np.maximum(sizes[a], sizes[b]))
+    a, b = a[ok], b[ok]
+    equal = LEAST_DEPTH + (key[a, 4 + _HEAD:] == key[b, 4 + _HEAD:]).sum(1)
+    ok = equal >= _least_equal(share)
+    a, b = a[ok], b[ok]
+    return np.maximum(ids[a], ids[b]), np.minimum(ids[a], ids[b]), equal[ok]
+
+
+def _pairs_of_rows(key, ids, sizes, share):
+    """Candidates among rows in the order of a tree (key: tree, first values, further bytes)."""
+    n = len(ids)
+    out = []
+    for d in range(1, min(NEIGHBOURS, n - 1) + 1):
+        at = np.flatnonzero((key[d:, :4 + _HEAD] == key[:-d, :4 + _HEAD]).all(1))
+        out.append(_meet(at, at + d, key, ids, sizes, share))
+    for level in LEVELS:
+        prefix = 4 + _HEAD + level - LEAST_DEPTH
+        new = np.ones(n + 1, bool)
+        new[1:-1] = (key[1:, :prefix] != key[:-1, :prefix]).any(1)
+        border = np.flatnonzero(new)
+        for begin, end in zip(border[:-1], border[1:]):
+            if end - begin <= NEIGHBOURS + 1:
+                continue
+            region = key[begin:end, 4 + _HEAD:]
+            common = np.array([np.bincount(region[:, c]).argmax() for c in range(region.shape[1])])
+            central = (region == common).sum(1)
+            rows = np.arange(begin, end)
+            for hub in begin + np.lexsort((ids[begin:end], -central))[:HUBS]:
+                out.append(_meet(rows, np.full(len(rows), hub), key, ids, sizes, share))
+    return [np.concatenate([o[i] for o in out]) if out else np.zeros(0, np.int64) for i in range(3)]
 
 
 def _neighbours(share: tuple[int, int]):
-    """Pairs of sorted rows with a common prefix; the first and last rows of a task are passed on."""
-    width = _HEAD + 2 * DEEPER
-
-    def pairs_of(key, ids, sizes):
-        for d in range(1, NEIGHBOURS + 1):
-            if len(ids) <= d:
-                break
-            ok = (key[d:, :_HEAD + 4] == key[:-d, :_HEAD + 4]).all(1) & _close(sizes[d:], sizes[:-d], share)
-            ok &= ids[d:] != ids[:-d]
-            yield ids[d:][ok], ids[:-d][ok]
-
+    """Candidates of the sorted rows; the first and last rows of a task are passed on."""
     def task(batches):
         tail, head = None, 0
         for batch in batches:
@@ -142,19 +169,15 @@ def _neighbours(share: tuple[int, int]):
                 continue
             data, _ = utf8(batch.column(1))
             tree = batch.column(0).to_numpy().astype(">u4").view(np.uint8).reshape(n, 4)
-            rows = (np.concatenate([tree, data.reshape(n, width)], axis=1),
+            rows = (np.concatenate([tree, data.reshape(n, _WIDTH)], axis=1),
                     batch.column(2).to_numpy(), batch.column(3).to_numpy())
-            fresh = n
-            if tail is not None:
-                rows = tuple(np.concatenate([a, b]) for a, b in zip(tail, rows))
-            found = list(pairs_of(*rows))
-            a = np.concatenate([np.maximum(x, y) for x, y in found] or [np.zeros(0, np.int64)])
-            b = np.concatenate([np.minimum(x, y) for x, y in found] or [np.zeros(0, np.int64)])
-            yield _pair_batch(a, b)
             if head < NEIGHBOURS:
-                first = [x[len(rows[0]) - fresh:][:NEIGHBOURS - head] for x in rows]
+                first = [x[:NEIGHBOURS - head] for x in rows]
                 head += len(first[0])
                 yield _edge_batch(*first)
+            if tail is not None:
+                rows = tuple(np.concatenate([a, b]) for a, b in zip(tail, rows))
+            yield _pair_batch(*_pairs_of_rows(*rows, share))
             tail = tuple(x[-NEIGHBOURS:] for x in rows)
         if tail is not None:
             yield _edge_batch(*tail)
@@ -162,40 +185,41 @@ def _neighbours(share: tuple[int, int]):
     return task
 
 
-def _pair_batch(a, b):
-    n = len(a)
+def _pair_batch(a, b, equal):
     return pa.RecordBatch.from_arrays(
-        [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64())],
-        names=["a", "b", "key", "n"])
+        [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(equal, pa.int64()), pa.nulls(len(a), pa.binary())],
+        names=["a", "b", "n", "key"])
 
 
 def _edge_batch(key, ids, sizes):
     return pa.RecordBatch.from_arrays(
-        [pa.array(ids, pa.int64()), pa.nulls(len(ids), pa.int64()), pa.array([k.tobytes() for k in key], pa.binary()),
-         pa.array(sizes, pa.int64())], names=["a", "b", "key", "n"])
+        [pa.array(ids, pa.int64()), pa.nulls(len(ids), pa.int64()), pa.array(sizes, pa.int64()),
+         pa.array([k.tobytes() for k in key], pa.binary())], names=["a", "b", "n", "key"])
+
+
+def _border_task(share: tuple[int, int]):
+    """Candidates among the rows at the borders of tasks, of one tree."""
+    def task(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("key", "ascending"), ("a", "ascending")])
+        data, _ = utf8(rows["key"].combine_chunks())
+        found = _pairs_of_rows(data.reshape(len(rows), 4 + _WIDTH), rows["a"].to_numpy(), rows["n"].to_numpy(), share)
+        return pa.table(dict(zip(("a", "b", "n"), (pa.array(x, pa.int64()) for x in found))))
+
+    return task
 
 
 def candidates(sets: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """(a, b, votes) with b < a: forest neighbours, and in how many places of the orders they meet."""
-    spark = sets.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """(a, b, equal) with b < a: pairs that meet in the forest, and their equal signature values."""
+    parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = sets.select("id", "n_shingles", "sig").mapInArrow(
         _orders, "tree int, key binary, id long, n long")
     met = stored(rows.repartitionByRange(parts, "tree", "key", "id").sortWithinPartitions("tree", "key", "id")
-                 .mapInArrow(_neighbours(share), "a long, b long, key binary, n long"), "forest")
-    # neighbours on two sides of a border of tasks: a few rows a task
-    line = Window.partitionBy(F.substring("key", 1, 4)).orderBy("key", "a")
-    edges = met.where("b is null")
-    for d in range(1, NEIGHBOURS + 1):
-        after = edges.select("a", "key", "n", F.lead("a", d).over(line).alias("o"),
-                             F.lead("key", d).over(line).alias("okey"), F.lead("n", d).over(line).alias("on"))
-        crossed = after.where((F.substring("key", 1, 4 + _HEAD) == F.substring("okey", 1, 4 + _HEAD))
-                              & (F.col("a") != F.col("o"))
-                              & (share[1] * F.least("n", "on") >= share[0] * F.greatest("n", "on")))
-        crossed = crossed.select(F.greatest("a", "o").alias("a"), F.least("a", "o").alias("b"))
-        pairs = crossed if d == 1 else pairs.unionByName(crossed)
-    pairs = pairs.unionByName(met.where("b is not null").select("a", "b"))
-    return pairs.groupBy("a", "b").agg(F.count("*").alias("votes"))
+                 .mapInArrow(_neighbours(share), "a long, b long, n long, key binary"), "forest")
+    # neighbours on two sides of a border of tasks: a dozen rows a task
+    crossed = (met.where("b is null").groupBy(F.substring("key", 1, 4).alias("tree"))
+               .applyInArrow(_border_task(share), "a long, b long, n long"))
+    return (met.where("b is not null").select("a", "b", "n").unionByName(crossed)
+            .groupBy("a", "b").agg(F.max("n").alias("equal")))
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
@@ -269,8 +293,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = _sets(docs, wanted, id_col, text_col, shingle)
     # rows that share an id: only the sets of their classes count
     sets = stored(sets.dropDuplicates(["id", "set"]), "sets")
-    best = (pairs.groupBy("a").agg(F.max(F.struct("votes", F.negate("b").alias("b"))).alias("m"))
-            .select("a", F.negate("m.b").alias("b")))
+    ends = pairs.select(F.col("a").alias("v"), F.struct("equal", "a", "b").alias("p")).unionByName(
+        pairs.select(F.col("b").alias("v"), F.struct("equal", "a", "b").alias("p")))
+    best = stored(ends.groupBy("v").agg(F.max("p").alias("p")).select("p.a", "p.b").distinct(), "best")
     links = stored(confirm(best, sets, share), "confirmed")
     label = components(links)
     side = lambda c: label.select(F.col("v").alias(c), F.col("label").alias(f"l{c}"))
