@@ -32,7 +32,7 @@ SAMPLE = 20_000      # vectors that the centroids are fitted on
 CELL_ROWS = 4        # mean vectors of a cell that K aims at
 MAX_K = 512
 ROUNDS = 8           # of the centroid fit
-CANDIDATES = 0.45    # share of the vectors that a query ranks ...
+CANDIDATES = 0.5    # share of the vectors that a query ranks ...
 LEAST = 4000         # ... and their least number
 BLOCK = 4096         # vectors of a block
 

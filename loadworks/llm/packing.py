@@ -91,7 +91,7 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def candidate_cuts(sentence_end: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def candidate_cuts(sentence_end: np.ndarray, ends: np.ndarray, grid: int = GRID) -> tuple[np.ndarray, np.ndarray]:
     """Possible cuts of a stretch of tokens and their penalties.
 
     ``sentence_end`` flags tokens after which a sentence ends; ``ends`` are the
@@ -99,7 +99,7 @@ def candidate_cuts(sentence_end: np.ndarray, ends: np.ndarray) -> tuple[np.ndarr
     """
     n = len(sentence_end)
     cost = np.full(n + 1, -1, np.int64)
-    cost[GRID::GRID] = INSIDE_COST
+    cost[grid::grid] = INSIDE_COST
     cost[np.flatnonzero(sentence_end) + 1] = SENTENCE_COST
     cost[ends] = 0
     cost[0] = 0
@@ -172,7 +172,8 @@ class Packer:
             return []
         ids = np.concatenate([h[1] for h in self.held])
         ends = np.cumsum([len(h[1]) for h in self.held])
-        cuts = choose_cuts(*candidate_cuts(self.sentence_ends[ids], ends), self.length)
+        cuts = choose_cuts(*candidate_cuts(self.sentence_ends[ids], ends, max(1, min(GRID, self.length // 16))),
+                           self.length)
         cuts = cuts[:-1] + _tail(cuts[-2], cuts[-1], self.length) if last else cuts[:-2]
         out, k = [], 0
         for a, b in zip(cuts[:-1], cuts[1:]):

@@ -5,7 +5,6 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
-import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -181,9 +180,7 @@ def test_cuts_are_the_cheapest():
         n, length = int(rng.integers(1, 60)), 16
         ends = np.unique(np.append(rng.integers(1, n + 1, 3), n))
         sentence = rng.random(n) < 0.3
-        old, packing.GRID = packing.GRID, 4
-        at, cost = packing.candidate_cuts(sentence, ends)
-        packing.GRID = old
+        at, cost = packing.candidate_cuts(sentence, ends, 4)
         best = {0: 0}
         for j, c in zip(at[1:].tolist(), cost[1:].tolist()):
             best[j] = c + min(best[i] + (0 if (j - i) & (j - i - 1) == 0 else length - j + i)
