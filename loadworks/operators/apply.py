@@ -5,8 +5,8 @@ of the target as a DataFrame; ``loadworks.sources.sinks.publish`` swaps it in.
 
 Scale notes
 -----------
-* Per-key reductions (``latest_per_key``) are aggregates with ``max_by``, not
-  a ``row_number`` window: partial aggregation collapses each key inside each
+* Per-key reductions (``latest_per_key``) are ``max`` aggregates, not a
+   ``row_number`` window: partial aggregation collapses each key inside each
   map task before the shuffle, so a key holding a third of all rows never
   lands whole in one task.
 * Anti and semi joins against batch keys let the planner broadcast the key
@@ -16,6 +16,8 @@ Scale notes
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,15 +40,13 @@ def latest_per_key(df: DataFrame, keys: list[str], order_by: list[str]) -> DataF
     """Keep the row with the greatest ``order_by`` tuple for each key.
 
     Remaining ties are broken by the rest of the row, so the result does not
-    depend on input order.
+    depend on input order.  The row is held once, as the ranked struct itself.
     """
     others = [c for c in df.columns if c not in keys and c not in order_by]
     rank = F.struct(*[qcol(c) for c in order_by + others])
-    payload = F.struct(*[qcol(c) for c in df.columns if c not in keys])
-    agg = df.groupBy(*[qcol(k) for k in keys]).agg(F.max_by(payload, rank).alias("__row"))
-    return agg.select(*[qcol(k) for k in keys],
-                      *[F.col("__row").getField(c).alias(c) for c in df.columns if c not in keys]) \
-        .select(*[qcol(c) for c in df.columns])
+    agg = df.groupBy(*[qcol(k) for k in keys]).agg(F.max(rank).alias("__row"))
+    return agg.select(*[qcol(c) if c in keys else F.col("__row").getField(c).alias(c)
+                        for c in df.columns])
 
 
 def unique_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -60,21 +60,36 @@ def unique_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
         .select(*[qcol(c) for c in df.columns])
 
 
+class Upserted(NamedTuple):
+    """The new image of a target, and the batch rows that were not applied."""
+
+    image: DataFrame
+    rejects: DataFrame
+
+
 def upsert(target: DataFrame, batch: DataFrame, keys: list[str],
-           order_by: list[str] | None = None) -> DataFrame:
+           order_by: list[str] | None = None) -> Upserted:
     """MERGE semantics as an image: matched keys take the batch row, new keys
     are inserted, other target rows stay.
 
     Several batch rows for one key: the latest by ``order_by`` wins; without
     ``order_by`` the job fails, as a MERGE would.  Batch rows with a NULL key
-    are left out (see ``null_key_rows``).
+    come back as rejects.  One full outer join of the target with the reduced
+    batch; a matched key takes the batch row for every target row of the key,
+    so the target must be unique by key (as MERGE keys are).
     """
     good = batch.filter(~any_null(keys))
     latest = latest_per_key(good, keys, order_by) if order_by else unique_per_key(good, keys)
-    latest = project_to(latest, target.columns)
-    kept = target.join(latest.select(*[qcol(k) for k in keys]), keys, "left_anti") \
-        .select(*[qcol(c) for c in target.columns])
-    return kept.unionByName(latest)
+    latest = project_to(latest, target.columns).select(
+        *[qcol(k).alias(f"__k{i}") for i, k in enumerate(keys)],
+        F.struct(*[qcol(c) for c in target.columns]).alias("__new"))
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & (qcol(k) == F.col(f"__k{i}"))
+    joined = target.join(latest, same, "full_outer")
+    image = joined.select(*[F.when(F.col("__new").isNotNull(), F.col("__new").getField(c))
+                            .otherwise(qcol(c)).alias(c) for c in target.columns])
+    return Upserted(image, null_key_rows(batch, keys))
 
 
 def update_from(target: DataFrame, source: DataFrame, keys: list[str],

@@ -106,8 +106,9 @@ def _date(c: Column) -> Column:
 
 def check_scd2(dim: DataFrame, keys: list[str], flag: str = "is_current",
                valid_from: str = "valid_from", valid_to: str = "valid_to",
-               strict: bool = False) -> DataFrame:
-    """SCD2 invariants: one scan of the dimension, one aggregate of verdicts.
+               strict: bool = False, bucket: str | None = "day") -> DataFrame:
+    """SCD2 invariants; all verdicts come from one aggregate.  ``bucket`` is the time
+    slice that splits hot keys (see ``sequence``).
 
     1. no key has more than one current row (strict: nor zero);
     2. current rows end at 9999-12-31 (strict: NULL ends count as bad);
@@ -116,7 +117,7 @@ def check_scd2(dim: DataFrame, keys: list[str], flag: str = "is_current",
        before a next version counts as a gap).
     """
     vt = _date(qcol(valid_to))
-    staged, bcol = add_bucket(dim, time_bucket(valid_from))
+    staged, bcol = add_bucket(dim, time_bucket(valid_from, bucket) if bucket else None)
     with_next = with_neighbour(staged, keys, [valid_from], qcol(valid_from), "__next", "next",
                                bcol)
     nxt_v = F.col("__next").getField("v")

@@ -9,9 +9,13 @@ Dimension layout: business keys, attributes, ``valid_from``, ``valid_to``
   null-safely, not by a hash that could collide or equate NULL layouts),
   ``valid_to`` is the next version's ``valid_from``.
 * ``scd2_apply`` applies a batch to an existing dimension and touches only the
-  keys in the batch: closed versions pass through unchanged, the current
-  versions of batch keys are rebuilt together with the batch.  Batch rows not
-  later than the key's current ``valid_from`` are returned as *late* rows.
+  keys in the batch: closed versions (and rows whose flag or key is NULL) pass
+  through unchanged, the current versions of batch keys are rebuilt together
+  with the batch.  Batch rows not later than the key's current ``valid_from``
+  are returned as *late* rows, rows with a NULL key as *rejects*.
+* ``load_batch`` does the same on a stored dimension partitioned by
+  ``is_current``: it appends the newly closed versions and replaces the
+  current partition; files of closed versions are never rewritten.
 
 Neighbour rows are found with ``sequence.with_neighbour`` on (key, day)
 buckets, so a key holding a large share of the history is spread over many
@@ -20,12 +24,16 @@ tasks.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadworks.operators.apply import any_null
+from loadworks.operators.apply import any_null, null_key_rows
 from loadworks.operators.sequence import add_bucket, time_bucket, with_neighbour
 from loadworks.operators.shaping import project_common, qcol
+from loadworks.session import scratch
+from loadworks.sources.sinks import insert_partitions
 
 OPEN_END = "9999-12-31 00:00:00"
 CURRENT = "is_current"
@@ -37,90 +45,159 @@ def _open_end(dtype: str) -> Column:
     return F.lit(OPEN_END).cast(dtype)
 
 
+class Versions(NamedTuple):
+    """Versions of a history, and its rows with a NULL key."""
+
+    dim: DataFrame
+    rejects: DataFrame
+
+
+class Changes(NamedTuple):
+    """What a batch does to a dimension.
+
+    ``current``: all current versions afterwards; ``closed``: versions that the
+    batch closed (or that open and close within it); ``passive``: rows the batch
+    cannot touch (closed before, NULL flag or NULL key); ``late`` and
+    ``rejects``: batch rows not applied.
+    """
+
+    current: DataFrame
+    closed: DataFrame
+    passive: DataFrame
+    late: DataFrame
+    rejects: DataFrame
+
+
+class Applied(NamedTuple):
+    """The new image of a dimension, and the batch rows that were not applied."""
+
+    image: DataFrame
+    late: DataFrame
+    rejects: DataFrame
+
+
 def scd2_build(history: DataFrame, keys: list[str], attrs: list[str], effective: str,
-               tie_break: list[str] | None = None, bucket: str | None = "day") -> DataFrame:
+               tie_break: list[str] | None = None, bucket: str | None = "day") -> Versions:
     """Versions from a full history (one row per key and effective instant).
 
     ``tie_break`` columns order rows that share an effective instant; without
-    them such rows fail the job.  ``bucket`` is the time slice used to split
-    hot keys (``None``: plain per-key window).  Rows with a NULL key are left
-    out (``apply.null_key_rows`` returns them).
+    them two rows of one key and instant fail the job, whatever their
+    attributes.  ``bucket`` is the time slice used to split hot keys (``None``:
+    plain per-key window).  Rows with a NULL key come back as rejects.
     """
+    rejects = null_key_rows(history, keys)
+    return Versions(_versions(history.filter(~any_null(keys)), keys, attrs, effective, tie_break,
+                              bucket), rejects)
+
+
+def _versions(history: DataFrame, keys: list[str], attrs: list[str], effective: str,
+              tie_break: list[str] | None, bucket: str | None) -> DataFrame:
     tie = list(tie_break or [])
     order = [effective] + tie
     eff_type = dict(history.dtypes)[effective]
-    rows = history.filter(~any_null(keys)).select(
-        *[qcol(c) for c in keys + attrs + order])
+    rows = history.select(*[qcol(c) for c in dict.fromkeys(keys + attrs + order)])
     attr_struct = F.struct(*[qcol(a) for a in attrs])
     # One bucket column for both passes: the data is shuffled once.
-    rows, bcol = add_bucket(rows, time_bucket(effective) if bucket else None)
+    rows, bcol = add_bucket(rows, time_bucket(effective, bucket) if bucket else None)
 
     # 1. previous row of the key (to detect changes)
-    with_prev = with_neighbour(rows, keys, order, attr_struct, "__prev", "prev", bcol)
-    prev_attrs = F.col("__prev").getField("v")
-    changed = F.col("__prev").isNull() | ~attr_struct.eqNullSafe(prev_attrs)
+    seen = F.struct(attr_struct.alias("a"), qcol(effective).alias("e"))
+    with_prev = with_neighbour(rows, keys, order, seen, "__prev", "prev", bcol)
+    prev = F.col("__prev").getField("v")
+    changed = F.col("__prev").isNull() | ~attr_struct.eqNullSafe(prev.getField("a"))
+    if not tie:
+        # Two rows of one key at one instant have no defined order: fail.
+        same = F.col("__prev").isNotNull() & qcol(effective).eqNullSafe(prev.getField("e"))
+        changed = F.when(same, F.raise_error(F.lit("two history rows share key and instant; "
+                                                   "pass tie_break")).cast("boolean")).otherwise(changed)
     versions = with_prev.filter(changed).drop("__prev")
 
     # 2. next version of the key (its valid_from closes this one)
     with_next = with_neighbour(versions, keys, order, qcol(effective), "__next", "next", bcol)
     nxt = F.col("__next").getField("v")
-    out = with_next.select(
-        *[qcol(c) for c in keys + attrs],
+    return with_next.select(
+        *[qcol(c) for c in dict.fromkeys(keys + attrs)],
         qcol(effective).alias(VALID_FROM),
         F.coalesce(nxt, _open_end(eff_type)).alias(VALID_TO),
         F.col("__next").isNull().alias(CURRENT),
         *[qcol(c) for c in tie],
     )
-    if not tie:
-        # Two rows of one key at one instant have no defined order: fail.
-        out = out.withColumn(
-            "__guard", F.when(F.col(VALID_TO) == F.col(VALID_FROM),
-                              F.raise_error(F.lit("two history rows share key and instant; "
-                                                  "pass tie_break"))))
-        out = out.filter(F.col("__guard").isNull()).drop("__guard")
-    return out
-
 
-def scd2_apply(dim: DataFrame, batch: DataFrame, keys: list[str], attrs: list[str],
-               effective: str, tie_break: list[str] | None = None,
-               bucket: str | None = "day") -> tuple[DataFrame, DataFrame]:
-    """Apply a batch to a dimension; returns ``(new_image, late_rows)``.
 
-    * unchanged attributes -> the current version stays;
-    * changed -> the current version closes at the batch instant, a new one opens;
-    * new key -> inserted; key absent from the batch -> untouched;
-    * batch row at or before the key's current ``valid_from`` -> late, not applied;
-    * several batch rows for one key -> versioned among themselves first.
-    """
+def scd2_changes(dim: DataFrame, batch: DataFrame, keys: list[str], attrs: list[str],
+                 effective: str, tie_break: list[str] | None = None,
+                 bucket: str | None = "day") -> Changes:
+    """The parts of a dimension after a batch; see ``scd2_apply`` for the rules."""
     tie = list(tie_break or [])
     eff_type = dict(dim.dtypes)[VALID_FROM]
+    rejects = null_key_rows(batch, keys)
     batch = batch.filter(~any_null(keys))
-    current = dim.filter(F.col(CURRENT))
-    closed = dim.filter(~F.col(CURRENT))
+    # A NULL flag is not current; a current row with a NULL key matches no batch row.
+    is_current = F.coalesce(F.col(CURRENT), F.lit(False)) & ~any_null(keys)
+    current = dim.filter(is_current)
+    passive = dim.filter(~is_current)
 
-    cur_start = current.select(*[qcol(k) for k in keys],
-                               F.col(VALID_FROM).alias("__cur_from"))
-    tagged = batch.join(cur_start, keys, "left")
+    starts = current.groupBy(*[qcol(k) for k in keys]).agg(F.max(VALID_FROM).alias("__cur_from"))
+    tagged = batch.join(starts, keys, "left")
     is_late = F.coalesce(qcol(effective) <= F.col("__cur_from"), F.lit(False))
     late = tagged.filter(is_late).select(*[qcol(c) for c in batch.columns])
     on_time = tagged.filter(~is_late).select(*[qcol(c) for c in batch.columns])
 
-    batch_keys = on_time.select(*[qcol(k) for k in keys]).distinct()
-    touched = current.join(batch_keys, keys, "left_semi")
-    untouched = current.join(batch_keys, keys, "left_anti")
+    hits = on_time.groupBy(*[qcol(k) for k in keys]).agg(F.lit(True).alias("__hit"))
+    marked = current.join(hits, keys, "left")
+    touched = marked.filter(F.col("__hit"))
+    untouched = marked.filter(F.col("__hit").isNull())
 
     batch_types = dict(batch.dtypes)
-    seed = touched.select(*[qcol(c) for c in keys + attrs],
+    seed = touched.select(*[qcol(c) for c in dict.fromkeys(keys + attrs)],
                           F.col(VALID_FROM).cast(eff_type).alias(effective),
                           *[(qcol(c) if c in dim.columns else F.lit(None)).cast(batch_types[c])
                             .alias(c) for c in tie])
-    history = seed.unionByName(on_time.select(*[qcol(c) for c in keys + attrs + [effective] + tie]))
-    rebuilt = scd2_build(history, keys, attrs, effective, tie, bucket)
-    cols = dim.columns
-    rebuilt = rebuilt.select(*[qcol(c) for c in cols])
-    image = closed.select(*[qcol(c) for c in cols]) \
-        .unionByName(untouched.select(*[qcol(c) for c in cols])).unionByName(rebuilt)
-    return image, late
+    history = seed.unionByName(on_time.select(
+        *[qcol(c) for c in dict.fromkeys(keys + attrs + [effective] + tie)]))
+    rebuilt = _versions(history, keys, attrs, effective, tie, bucket)
+    cols = [qcol(c) for c in dim.columns]
+    return Changes(untouched.select(*cols).unionByName(rebuilt.filter(F.col(CURRENT)).select(*cols)),
+                   rebuilt.filter(~F.col(CURRENT)).select(*cols), passive, late, rejects)
+
+
+def scd2_apply(dim: DataFrame, batch: DataFrame, keys: list[str], attrs: list[str],
+               effective: str, tie_break: list[str] | None = None,
+               bucket: str | None = "day") -> Applied:
+    """Apply a batch to a dimension; returns ``(image, late, rejects)``.
+
+    * unchanged attributes -> the current version stays;
+    * changed -> the current version closes at the batch instant, a new one opens;
+    * new key -> inserted; key absent from the batch -> untouched;
+    * batch row at or before the key's current ``valid_from`` -> late, not applied;
+    * batch row with a NULL key -> rejected; dimension rows with a NULL flag or
+      key stay as they are;
+    * several batch rows for one key -> versioned among themselves first.
+    """
+    c = scd2_changes(dim, batch, keys, attrs, effective, tie_break, bucket)
+    return Applied(c.passive.unionByName(c.current).unionByName(c.closed), c.late, c.rejects)
+
+
+def load_batch(table: str, batch: DataFrame, keys: list[str], attrs: list[str], effective: str,
+               tie_break: list[str] | None = None, bucket: str | None = "day") -> Changes:
+    """Apply a batch to a stored dimension partitioned by ``is_current``.
+
+    Reads the current partition only.  The changes are stored first, then the
+    closed versions are appended and the current partition is replaced, so a
+    batch writes in proportion to the current versions, never to the history.
+    A run that dies between the two writes leaves the appended versions: remove
+    those that end after the last complete load before running it again.
+    """
+    spark = batch.sparkSession
+    dim = spark.table(table)
+    c = scd2_changes(dim.filter(F.col(CURRENT)), batch, keys, attrs, effective, tie_break, bucket)
+    with scratch(spark, "scd2-load") as path:
+        c.closed.write.parquet(f"{path}/closed")
+        c.current.unionByName(c.passive).write.parquet(f"{path}/current")
+        cols = [qcol(x) for x in dim.columns]
+        spark.read.parquet(f"{path}/closed").select(*cols).write.insertInto(table)
+        insert_partitions(spark.read.parquet(f"{path}/current").select(*cols), table)
+    return c
 
 
 def as_of(dim: DataFrame, instant) -> DataFrame:
@@ -136,8 +213,8 @@ def current(dim: DataFrame, target_cols: list[str] | None = None) -> DataFrame:
 
 
 def version_gaps(dim: DataFrame, keys: list[str], bucket: str | None = "day") -> DataFrame:
-    """Versions whose end date differs from the next version's start date."""
-    staged, bcol = add_bucket(dim, time_bucket(VALID_FROM) if bucket else None)
+    """Versions whose end date differs from the next version's start date (NULL keys included)."""
+    staged, bcol = add_bucket(dim, time_bucket(VALID_FROM, bucket) if bucket else None)
     nxt = with_neighbour(staged, keys, [VALID_FROM], F.col(VALID_FROM), "__next", "next", bcol)
     nv = F.col("__next").getField("v")
     return nxt.filter(nv.isNotNull() & (F.col(VALID_TO).cast("date") != nv.cast("date"))) \

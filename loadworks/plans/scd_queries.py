@@ -22,14 +22,15 @@ def _ts(text):
 
 
 def build_events(events):
-    return D.scd2_build(events, KEYS, ATTRS, EFF, TIE)
+    return D.scd2_build(events, KEYS, ATTRS, EFF, TIE).dim
 
 
 def stored_dimension(spark, events, name="events_dim"):
-    """Build the dimension and store it, as a load would before applying
-    batches; the written table also cuts the lineage of later steps."""
+    """Build the dimension and store it partitioned by ``is_current``, as a load would
+    before applying batches; the written table also cuts the lineage of later steps."""
     db = scratch_database(spark)
-    return publish(build_events(events), f"{db}.{name}")
+    dim = build_events(events)
+    return publish(dim, f"{db}.{name}", ["is_current"]).select(*dim.columns)
 
 
 BUILD_SQL = """
@@ -54,8 +55,50 @@ def q_scd2_build(spark, sf):
 def q_scd2_apply(spark, sf):
     ev = table(spark, sf, "events")
     dim = stored_dimension(spark, ev.filter(F.col(EFF) < _ts(SPLIT_AT)))
-    image, _late = D.scd2_apply(dim, ev.filter(F.col(EFF) >= _ts(SPLIT_AT)), KEYS, ATTRS, EFF, TIE)
-    return image
+    return D.scd2_apply(dim, ev.filter(F.col(EFF) >= _ts(SPLIT_AT)), KEYS, ATTRS, EFF, TIE).image
+
+
+@recipe("scd2_load", BUILD_SQL)
+def q_scd2_load(spark, sf):
+    """The stored dimension after a batch: closed files stay, the current partition is replaced."""
+    ev = table(spark, sf, "events")
+    name = f"{scratch_database(spark)}.events_dim"
+    dim = build_events(ev.filter(F.col(EFF) < _ts(SPLIT_AT)))
+    publish(dim, name, ["is_current"])
+    D.load_batch(name, ev.filter(F.col(EFF) >= _ts(SPLIT_AT)), KEYS, ATTRS, EFF, TIE)
+    return spark.table(name).select(*dim.columns)
+
+
+NULL_KEY_SQL = """
+SELECT CASE WHEN u.c_custkey IS NULL THEN NULL ELSE e.user_id END AS user_id,
+       e.event_type, e.ts, e.event_id
+FROM events e LEFT JOIN (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'BUILDING') u
+  ON e.user_id = u.c_custkey
+"""
+
+
+def events_with_null_keys(spark, sf):
+    """Events whose user is not found among the customers of most segments get a NULL key."""
+    ev = table(spark, sf, "events")
+    users = table(spark, sf, "customer").filter("c_mktsegment <> 'BUILDING'").select("c_custkey")
+    return ev.join(users, ev.user_id == users.c_custkey, "left").select(
+        F.col("c_custkey").alias("user_id"), "event_type", "ts", "event_id")
+
+
+@recipe("scd2_rejects", f"""
+WITH e AS ({NULL_KEY_SQL})
+SELECT 'build' AS load, event_id, event_type, ts FROM e WHERE user_id IS NULL
+UNION ALL
+SELECT 'apply', event_id, event_type, ts FROM e
+WHERE user_id IS NULL AND ts >= TIMESTAMP '{SPLIT_AT}'
+""")
+def q_scd2_rejects(spark, sf):
+    ev = events_with_null_keys(spark, sf)
+    built = D.scd2_build(ev, KEYS, ATTRS, EFF, TIE)
+    applied = D.scd2_apply(built.dim, ev.filter(F.col(EFF) >= _ts(SPLIT_AT)), KEYS, ATTRS, EFF, TIE)
+    cols = ["event_id", "event_type", "ts"]
+    return built.rejects.select(F.lit("build").alias("load"), *cols).unionByName(
+        applied.rejects.select(F.lit("apply").alias("load"), *cols))
 
 
 @recipe("scd2_late_rows", f"""
@@ -69,8 +112,7 @@ def q_scd2_late_rows(spark, sf):
     ev = table(spark, sf, "events")
     dim = stored_dimension(spark, ev)
     batch = ev.filter((F.col(EFF) >= _ts(LATE_DAY[0])) & (F.col(EFF) < _ts(LATE_DAY[1])))
-    _image, late = D.scd2_apply(dim, batch, KEYS, ATTRS, EFF, TIE)
-    return late
+    return D.scd2_apply(dim, batch, KEYS, ATTRS, EFF, TIE).late
 
 
 @recipe("scd2_as_of", f"""

@@ -1,14 +1,17 @@
 """Table sinks: publish (swap), append with retry, partition overwrite, DDL.
 
-``publish`` writes the new image to ``<table>__new`` and then swaps names:
-the old table is dropped only after the new image is fully written, so the
-image may be computed *from* the table it replaces.  The swap is two catalog
-operations and therefore not atomic; a reader between them sees no table.
+``publish`` writes the new image to a staging table of its own name and then
+swaps names: the old table is renamed to a backup, the new one takes its name,
+and only then is the backup dropped.  The image may be computed *from* the
+table it replaces, writers do not share a staging table, and a swap that fails
+puts the old table back.  The swap is two catalog operations and not atomic: a
+reader between them sees no table.
 """
 
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +20,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from loadworks.operators.shaping import qcol
 
+WRITE_SALT = 8  # tasks that may share a large partition of a partitioned write
+
 
 def _spark(df: DataFrame) -> SparkSession:
     return df.sparkSession
@@ -26,20 +31,45 @@ def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
+def _partitioned_writer(df: DataFrame, partition_by: list[str] | None):
+    """Rows of a partition go to few tasks: by the partition columns and a salt that
+    spreads a large partition, instead of a file a task and partition."""
+    if not partition_by:
+        return df.write.format("parquet")
+    salt = F.pmod(F.xxhash64(*[qcol(c) for c in df.columns if c not in partition_by]), F.lit(WRITE_SALT))
+    return df.repartition(*[qcol(c) for c in partition_by], salt).write.format("parquet")
+
+
 def publish(df: DataFrame, table: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Replace ``table`` with the image ``df`` (write new, drop old, rename)."""
+    """Replace ``table`` with the image ``df`` (write new, set old aside, rename, drop old)."""
     spark = _spark(df)
-    staging = f"{table}__new"
-    spark.sql(f"DROP TABLE IF EXISTS {staging}")
-    writer = df.write.mode("overwrite").format("parquet")
+    tag = uuid.uuid4().hex[:8]
+    staging, backup = f"{table}__new_{tag}", f"{table}__old_{tag}"
+    writer = _partitioned_writer(df, partition_by).mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(staging)
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
+    had = table_exists(spark, table)
+    if had:
+        _rename(spark, table, backup)
+    try:
+        _rename(spark, staging, table)
+    except Exception:
+        if had:
+            _rename(spark, backup, table)
+        raise
+    if had:
+        spark.sql(f"DROP TABLE {backup}")
     return spark.table(table)
 
 
+def _rename(spark: SparkSession, old: str, new: str) -> None:
+    """Rename a table; the catalog keeps partition locations, so they are found again."""
+    spark.sql(f"ALTER TABLE {old} RENAME TO {new}")
+    if any(c.isPartition for c in spark.catalog.listColumns(new)):
+        spark.sql(f"MSCK REPAIR TABLE {new} SYNC PARTITIONS")
+
+
 def append_with_retry(df: DataFrame, table: str,
                       is_conflict: Callable[[Exception], bool] = lambda e: False,
                       attempts: int = 5, sleep: Callable[[float], None] = time.sleep) -> int:
@@ -59,17 +89,29 @@ def append_with_retry(df: DataFrame, table: str,
     raise RuntimeError("unreachable")
 
 
+def _location(spark: SparkSession, table: str) -> str:
+    info = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'")
+    return info.first()["data_type"]
+
+
 def insert_partitions(df: DataFrame, table: str) -> None:
     """``INSERT OVERWRITE table PARTITION (...) SELECT ...`` in dynamic mode:
-    only partitions present in ``df`` are replaced."""
+    only partitions present in ``df`` are replaced.
+
+    The mode is an option of this write (``insertInto`` would take it from the
+    session's configuration, which other loads share), so the files are written
+    to the table's folder and new partitions are then added to the catalog.
+    """
     spark = _spark(df)
-    previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        cols = spark.table(table).columns
-        df.select(*[qcol(c) for c in cols]).write.insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
+    parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    rows = df.select(*[qcol(c) for c in spark.table(table).columns])
+    if not parts:
+        rows.write.insertInto(table, overwrite=True)
+        return
+    _partitioned_writer(rows, parts).option("partitionOverwriteMode", "dynamic") \
+        .mode("overwrite").partitionBy(*parts).save(_location(spark, table))
+    spark.sql(f"MSCK REPAIR TABLE {table} ADD PARTITIONS")
+    spark.catalog.refreshTable(table)
 
 
 def clone_empty(df: DataFrame, extra_cols: dict[str, str] | None = None) -> DataFrame:

@@ -74,19 +74,19 @@ def test_upsert_latest_and_null_keys(spark):
     t = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     b = spark.createDataFrame([(2, "x", 1), (2, "y", 2), (3, "z", 1), (None, "n", 1)],
                               "k int, v string, seq int")
-    img = A.upsert(t, b, ["k"], order_by=["seq"])
+    img, rejects = A.upsert(t, b, ["k"], order_by=["seq"])
     assert rows(img) == [(1, "a"), (2, "y"), (3, "z")]
     # upsert twice = once
-    again = A.upsert(img, b, ["k"], order_by=["seq"])
+    again = A.upsert(img, b, ["k"], order_by=["seq"]).image
     assert rows(again) == rows(img)
-    assert A.null_key_rows(b, ["k"]).count() == 1
+    assert rows(rejects) == [(None, "n", 1)]
 
 
 def test_upsert_duplicate_without_order_fails(spark):
     t = spark.createDataFrame([(1, "a")], "k int, v string")
     b = spark.createDataFrame([(1, "x"), (1, "y")], "k int, v string")
     with pytest.raises(Exception):
-        A.upsert(t, b, ["k"]).collect()
+        A.upsert(t, b, ["k"]).image.collect()
 
 
 def test_update_from_matched_null_wins(spark):
@@ -119,7 +119,7 @@ def _hist(spark):
 
 
 def test_scd2_build_rules(spark):
-    dim = D.scd2_build(_hist(spark), ["k"], ["attr"], "eff")
+    dim = D.scd2_build(_hist(spark), ["k"], ["attr"], "eff").dim
     got = rows(dim, "k", "attr", "valid_from", "is_current")
     want = [(1, "a", dt.datetime(2024, 1, 1), False), (1, "b", dt.datetime(2024, 1, 3), False),
             (1, None, dt.datetime(2024, 1, 4), True), (2, "x", dt.datetime(2024, 1, 1), False),
@@ -133,21 +133,21 @@ def test_scd2_build_rules(spark):
 
 def test_scd2_apply_equals_full_build_and_is_idempotent(spark):
     h = _hist(spark).filter(F.col("k").isNotNull())
-    full = D.scd2_build(h, ["k"], ["attr"], "eff")
-    first = D.scd2_build(h.filter(F.col("eff") < dt.datetime(2024, 1, 3)), ["k"], ["attr"], "eff")
+    full = D.scd2_build(h, ["k"], ["attr"], "eff").dim
+    first = D.scd2_build(h.filter(F.col("eff") < dt.datetime(2024, 1, 3)), ["k"], ["attr"], "eff").dim
     rest = h.filter(F.col("eff") >= dt.datetime(2024, 1, 3))
-    img, late = D.scd2_apply(first, rest, ["k"], ["attr"], "eff")
+    img, late, _ = D.scd2_apply(first, rest, ["k"], ["attr"], "eff")
     assert rows(img) == rows(full) and late.count() == 0
     # a load stores the image before the next batch; checkpoint() cuts the lineage
     img = img.checkpoint()
-    img2, late2 = D.scd2_apply(img, rest, ["k"], ["attr"], "eff")
+    img2, late2, _ = D.scd2_apply(img, rest, ["k"], ["attr"], "eff")
     assert rows(img2) == rows(img)          # same batch twice: nothing changes
     # rows at or before the current version's start come back as late rows
     assert late2.count() == 2
 
 
 def test_scd2_check_negative_control(spark):
-    dim = D.scd2_build(_hist(spark), ["k"], ["attr"], "eff")
+    dim = D.scd2_build(_hist(spark), ["k"], ["attr"], "eff").dim
     broken = dim.withColumn("is_current", F.lit(True))
     res = {r["check_name"]: r["status"] for r in C.check_scd2(broken, ["k"]).collect()}
     assert res["Unique current record per BK"] == "FAIL"
@@ -158,7 +158,65 @@ def test_scd2_same_instant_without_tie_fails(spark):
     h = spark.createDataFrame([(1, "a", dt.datetime(2024, 1, 1)), (1, "b", dt.datetime(2024, 1, 1))],
                               "k int, attr string, eff timestamp_ntz")
     with pytest.raises(Exception):
-        D.scd2_build(h, ["k"], ["attr"], "eff").collect()
+        D.scd2_build(h, ["k"], ["attr"], "eff").dim.collect()
+
+
+@pytest.mark.parametrize("order", [(0, 1, 2), (0, 2, 1), (2, 1, 0)])
+def test_scd2_same_instant_fails_in_every_row_order(spark, order):
+    data = [(1, "a", dt.datetime(2024, 1, 1)), (1, "a", dt.datetime(2024, 1, 2)), (1, "b", dt.datetime(2024, 1, 2))]
+    h = spark.createDataFrame([data[i] for i in order], "k int, attr string, eff timestamp_ntz").coalesce(1)
+    for bucket in ("day", None):
+        with pytest.raises(Exception, match="share key and instant"):
+            D.scd2_build(h, ["k"], ["attr"], "eff", bucket=bucket).dim.collect()
+
+
+def test_scd2_apply_keeps_null_flags_and_returns_rejects(spark):
+    ts = dt.datetime
+    end = ts(9999, 12, 31)
+    dim = spark.createDataFrame(
+        [(1, "a", ts(2024, 1, 1), end, True), (2, "b", ts(2024, 1, 1), end, None),
+         (None, "c", ts(2024, 1, 1), end, True), (3, "d", ts(2024, 1, 1), ts(2024, 1, 5), False)],
+        "k int, attr string, valid_from timestamp_ntz, valid_to timestamp_ntz, is_current boolean")
+    batch = spark.createDataFrame([(1, "x", ts(2024, 2, 1)), (None, "y", ts(2024, 2, 1))],
+                                  "k int, attr string, eff timestamp_ntz")
+    img, late, rejects = D.scd2_apply(dim, batch, ["k"], ["attr"], "eff")
+    assert rows(img, "k", "attr", "is_current") == sorted(
+        [(1, "a", False), (1, "x", True), (2, "b", None), (None, "c", True), (3, "d", False)], key=repr)
+    assert late.count() == 0 and rows(rejects, "attr") == [("y",)]
+    built = D.scd2_build(batch, ["k"], ["attr"], "eff")
+    assert built.dim.count() == 1 and rows(built.rejects, "attr") == [("y",)]
+
+
+def test_gaps_of_null_keys_do_not_depend_on_the_bucket(spark):
+    ts = dt.datetime
+    dim = spark.createDataFrame(
+        [(None, ts(2024, 1, 1), ts(2024, 1, 5), False), (None, ts(2024, 1, 9), ts(9999, 12, 31), True),
+         (1, ts(2024, 1, 1), ts(2024, 1, 5), False), (1, ts(2024, 1, 5), ts(9999, 12, 31), True),
+         (2, None, ts(2024, 1, 5), False), (2, ts(2024, 1, 6), ts(9999, 12, 31), True)],
+        "k int, valid_from timestamp_ntz, valid_to timestamp_ntz, is_current boolean")
+    plain = rows(D.version_gaps(dim, ["k"], bucket=None))
+    assert len(plain) == 2
+    for bucket in ("day", "month", "hour"):
+        assert rows(D.version_gaps(dim, ["k"], bucket=bucket)) == plain
+    for bucket in ("day", None):
+        got = {r["check_name"]: r["status"] for r in C.check_scd2(dim, ["k"], bucket=bucket).collect()}
+        assert got["No date gaps"] == "FAIL"
+
+
+def test_load_batch_leaves_closed_files_alone(spark):
+    from loadworks.session import scratch_database, scratch_scope
+    from loadworks.sources.sinks import publish
+    h = _hist(spark).filter(F.col("k").isNotNull())
+    full = D.scd2_build(h, ["k"], ["attr"], "eff").dim
+    with scratch_scope(spark):
+        name = f"{scratch_database(spark)}.dim"
+        publish(D.scd2_build(h.filter("eff < timestamp'2024-01-04'"), ["k"], ["attr"], "eff").dim, name, ["is_current"])
+        files = lambda: {r[0] for r in spark.table(name).filter("not is_current")
+                         .select("_metadata.file_path").distinct().collect()}
+        before = files()
+        D.load_batch(name, h.filter("eff >= timestamp'2024-01-04'"), ["k"], ["attr"], "eff")
+        assert before and before <= files()
+        assert rows(spark.table(name).select(*full.columns)) == rows(full)
 
 
 def test_hot_key_buckets_match_plain_window(spark):
@@ -167,8 +225,8 @@ def test_hot_key_buckets_match_plain_window(spark):
                               (F.col("id") % 3).cast("string").alias("attr"),
                               (F.lit(dt.datetime(2024, 1, 1)) + F.make_interval(
                                   mins=F.col("id").cast("int"))).cast("timestamp_ntz").alias("eff"))
-    a = D.scd2_build(h, ["k"], ["attr"], "eff", bucket="day")
-    b = D.scd2_build(h, ["k"], ["attr"], "eff", bucket=None)
+    a = D.scd2_build(h, ["k"], ["attr"], "eff", bucket="day").dim
+    b = D.scd2_build(h, ["k"], ["attr"], "eff", bucket=None).dim
     assert rows(a) == rows(b) and a.count() == n
 
 
@@ -294,3 +352,63 @@ def test_best_match_exact_against_brute_force(spark):
             assert lid not in got
         else:
             assert got[lid][0] == best[1]
+
+
+# ------------------------------------------------------------------ sinks
+
+def test_partition_insert_does_not_depend_on_the_session(spark):
+    from loadworks.session import scratch_database, scratch_scope
+    from loadworks.sources import sinks as K
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    with scratch_scope(spark):
+        name = f"{scratch_database(spark)}.t"
+        K.publish(spark.createDataFrame([(1, "a"), (2, "b")], "k int, m string"), name, ["m"])
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+        try:
+            K.insert_partitions(spark.createDataFrame([(3, "b")], "k int, m string"), name)
+            assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == "static"
+        finally:
+            spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+        assert rows(spark.table(name)) == [(1, "a"), (3, "b")]
+        # the image may be computed from the table it replaces; no staging or backup stays
+        K.publish(spark.table(name).withColumn("k", F.col("k") + 1), name, ["m"])
+        assert rows(spark.table(name)) == [(2, "a"), (4, "b")]
+        assert [t.name for t in spark.catalog.listTables(name.split(".")[0])] == ["t"]
+
+
+def test_append_retries_conflicts_only(spark, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    from loadworks.session import scratch_database, scratch_scope
+    from loadworks.sources import sinks as K
+    real, calls, waits = DataFrameWriter.saveAsTable, [], []
+
+    def flaky(self, name, **kw):
+        calls.append(name)
+        if len(calls) <= 2:
+            raise RuntimeError("ConcurrentAppend")
+        return real(self, name, **kw)
+
+    monkeypatch.setattr(DataFrameWriter, "saveAsTable", flaky)
+    conflict = lambda e: "ConcurrentAppend" in str(e)
+    df = spark.createDataFrame([(1,)], "k int")
+    with scratch_scope(spark):
+        name = f"{scratch_database(spark)}.t"
+        assert K.append_with_retry(df, name, conflict, sleep=waits.append) == 3
+        assert waits == [2, 4] and spark.table(name).count() == 1
+        calls.clear()
+        with pytest.raises(RuntimeError):
+            K.append_with_retry(df, name, lambda e: False, sleep=waits.append)
+        assert len(calls) == 1
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark):
+    from loadworks import session as SS
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        SS.local_scratch("spark://host:7077")
+    with SS.scratch_scope(spark):
+        path = SS.scratch_path(spark, "x")
+        spark.range(3).write.parquet(path)
+        assert spark.read.parquet(path).count() == 3
+    with pytest.raises(Exception):
+        spark.read.parquet(path).count()
