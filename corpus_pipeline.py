@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadworks.llm import decontaminate, lang_id, near_dup, packing, word_dedup
+from loadworks.llm.columns import ready
 from loadworks.llm.components import small, stored
 from loadworks.session import scratch_path
 
@@ -37,6 +38,7 @@ def _changed(docs: DataFrame, names: dict[str, str], text: Column, changed: Colu
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a letter and those whose language explains too few of their n-grams."""
+    ready(spark)
     flat, names = _flat(docs)
     model = lang_id.fit(flat, names["doc_id"], names["text"], names["lang"])
     known = lang_id.predict(flat, model, names["text"])

@@ -13,9 +13,11 @@ never which repeats are found.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 
-from loadworks.llm.columns import mix, powers, range_hash
+from loadworks.llm.columns import mix, powers
 
 PIECE = 1 << 20      # windows ranked at a time
 _POSITION = np.uint64(24)
@@ -34,29 +36,54 @@ class Frequent:
         return self.table[(grams >> np.uint64(64 - _HOT_BITS)).astype(np.int64)]
 
 
-def gram_hashes(values: np.ndarray, k: int) -> np.ndarray:
-    """Hash of the k elements from each position on."""
-    n = len(values) - k + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
-    weights = powers(k)
-    h = np.zeros(n, np.uint64)
-    for i in range(k):
-        h += (values[i:i + n].astype(np.uint64) + np.uint64(1)) * weights[k - 1 - i]
-    return mix(h)
+class Ranges:
+    """Hashes of ranges of a run of elements, all from one running sum."""
+
+    def __init__(self, values: np.ndarray):
+        n = len(values)
+        self.sum = np.zeros(n + 1, np.uint64)
+        np.cumsum((values.astype(np.uint64) + np.uint64(1)) * powers(n), out=self.sum[1:])
+        self.back = powers(n + 1, True)
+
+    def grams(self, k: int) -> np.ndarray:
+        """Hash of the k elements from each position on."""
+        n = len(self.sum) - k
+        return mix((self.sum[k:] - self.sum[:n]) * self.back[:n]) if n > 0 else np.zeros(0, np.uint64)
 
+    def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        size = (end - start).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return mix(((self.sum[end] - self.sum[start]) * self.back[start]) ^ size)
 
-def anchors(values: np.ndarray, offsets: np.ndarray, window: int, k: int, frequent: Frequent):
-    """(text, position of the gram, gram hash, stretch start, stretch end) of every anchor.
 
-    Positions count in ``values``; stretches lie inside their text.
+class Anchors(NamedTuple):
+    """Columns of the anchors of some texts.
+
+    ``side`` hashes tell whether two anchors of equal grams can share a window:
+    a window reaches half of its other elements to the gram's left or right, so
+    the gram with that many elements on one side must be equal as well (0: the
+    text ends before).
     """
-    out = [[], [], [], [], []]
-    w = window - k + 1
+
+    text: np.ndarray      # index of the text
+    gram: np.ndarray      # hash of the gram
+    stretch: np.ndarray   # hash of the stretch and of the gram's place in it
+    left: np.ndarray
+    right: np.ndarray
+    start: np.ndarray     # of the stretch, in ``values``
+    end: np.ndarray
+
+
+_KINDS = Anchors(np.int64, np.uint64, np.uint64, np.uint64, np.uint64, np.int64, np.int64)
+
+
+def anchors(values: np.ndarray, offsets: np.ndarray, window: int, k: int, frequent: Frequent) -> Anchors:
+    """The anchors of texts; stretches lie inside their text."""
+    out = [[] for _ in Anchors._fields]
+    w, reach = window - k + 1, (window - k + 1) // 2
     lengths = np.diff(offsets)
     for text, start, end in _pieces(offsets, lengths, window):
-        part = values[start:end]
-        grams = gram_hashes(part, k)
+        ranges = Ranges(values[start:end])
+        grams = ranges.grams(k)
         if len(grams) < w:
             continue
         key = grams >> np.uint64(1)
@@ -70,22 +97,27 @@ def anchors(values: np.ndarray, offsets: np.ndarray, window: int, k: int, freque
             span += step
         at = (key & np.uint64((1 << 24) - 1)).astype(np.int64)
         # windows that lie in one text
-        first = np.arange(len(at))
-        bounds = offsets[text[0]:text[1] + 1] - start
-        of = np.searchsorted(bounds, first, side="right") - 1
-        inside = first + window <= bounds[np.minimum(of + 1, len(bounds) - 1)]
-        first, at, of = first[inside], at[inside], of[inside]
+        bounds = np.clip(offsets[text[0]:text[1] + 1] - start, 0, end - start)
+        size = np.diff(bounds)
+        of = np.repeat(np.arange(len(size)), size)[:len(at)]
+        inside = np.arange(len(at)) + window <= np.repeat(bounds[1:], size)[:len(at)]
+        first = np.flatnonzero(inside)
         if not len(first):
             continue
+        at, of = at[first], of[first]
         new = np.ones(len(first), bool)
         new[1:] = (at[1:] != at[:-1]) | (of[1:] != of[:-1])
         heads = np.flatnonzero(new)
         tails = np.append(heads[1:], len(first)) - 1
-        for col, x in zip(out, (of[heads] + text[0], at[heads] + start, grams[at[heads]],
-                                first[heads] + start, first[tails] + window + start)):
+        at, of, begin, stop = at[heads], of[heads], first[heads], first[tails] + window
+        stretch = mix(ranges(begin, stop) ^ ((at - begin).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+        low, high = at - reach, at + k + reach
+        left = np.where(low >= bounds[of], ranges(np.maximum(low, 0), at + k) | np.uint64(1 << 63), np.uint64(0))
+        right = np.where(high <= bounds[of + 1], ranges(at, np.minimum(high, end - start)) | np.uint64(1 << 63),
+                         np.uint64(0))
+        for col, x in zip(out, (of + text[0], grams[at], stretch, left, right, begin + start, stop + start)):
             col.append(x)
-    return [np.concatenate(c) if c else np.zeros(0, np.uint64 if i == 2 else np.int64)
-            for i, c in enumerate(out)]
+    return Anchors(*[np.concatenate(c) if c else np.zeros(0, kind) for c, kind in zip(out, _KINDS)])
 
 
 def _pieces(offsets, lengths, window):
@@ -101,8 +133,3 @@ def _pieces(offsets, lengths, window):
         j = min(n, max(j, i + 1))
         yield (i, j), int(offsets[i]), int(offsets[j])
         i = j
-
-
-def stretch_hashes(values: np.ndarray, at, start, end) -> np.ndarray:
-    """Hash of each stretch and of the place of its gram in it."""
-    return mix(range_hash(values, start, end) ^ ((at - start).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))

@@ -146,7 +146,7 @@ def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     text = f"c{docs.columns.index(text_col)}"
     fields = "n_bytes long, spans array<struct<start: long, end: long>>, kept binary"
-    made = with_columns(marked, [text, "ranges"], fields, make)
+    made = with_columns(marked, [text, "ranges"], fields, make, drop=(text, "ranges"))
     new = ["n_bytes", "spans", "kept"]
     return made.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)
                          if c != text_col and c not in new], *new)

@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 SLICE_BYTES = 1 << 21
@@ -33,6 +33,13 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
 
 
+def ready(spark: SparkSession) -> None:
+    """Session settings that the operators expect: texts reach a task in batches of a few
+    megabytes, so that its memory does not grow with the length of texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of an Arrow string/binary array; a null is an empty text."""
     if len(column) == 0:
@@ -116,26 +123,29 @@ def sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.diff(total[bounds])
 
 
-def with_columns(docs: DataFrame, inputs: list[str], fields: str, make: Callable) -> DataFrame:
-    """``docs`` with new columns, computed in place from Arrow arrays of the ``inputs``.
+def with_columns(docs: DataFrame, inputs: list[str], fields: str, make: Callable,
+                 drop: tuple[str, ...] = ()) -> DataFrame:
+    """``docs`` with new columns, computed in place from Arrow arrays of the ``inputs``, and
+    without the columns of ``drop``.
 
     ``make(*arrays)`` returns the arrays of ``fields``.  As with ``withColumn``, a
     new column takes the place of an input column of the same name.
     """
     names = docs.columns
+    passed = [i for i, c in enumerate(names) if c not in drop]
     new = StructType.fromDDL(fields)
     flat = docs.toDF(*[f"c{i}" for i in range(len(names))])
     at = [names.index(c) for c in inputs]
     out = [f"n{i}" for i in range(len(new))]
-    schema = StructType(list(flat.schema))
+    schema = StructType([flat.schema[i] for i in passed])
     for name, field in zip(out, new):
         schema = schema.add(name, field.dataType)
 
     def task(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns, *make(*[batch.column(i) for i in at])],
-                                             names=schema.names)
+            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in passed],
+                                              *make(*[batch.column(i) for i in at])], names=schema.names)
 
     made = flat.mapInArrow(task, schema)
-    kept = [made[f"c{i}"].alias(c) for i, c in enumerate(names) if c not in new.names]
+    kept = [made[f"c{i}"].alias(names[i]) for i in passed if names[i] not in new.names]
     return made.select(*kept, *[made[n].alias(f.name) for n, f in zip(out, new)])

@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 
 from loadworks.llm import (ann, byte_dedup, decontaminate, lang_id, license_scan, near_dup,
                            packing, token_count, warc, word_dedup)
+from loadworks.llm.columns import ready
 from loadworks.session import scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the tables; the session gets Arrow batches of bounded size."""
+    ready(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -79,7 +82,7 @@ def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_word_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that repeat an earlier window."""
-    found = word_dedup.dedup_words(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = word_dedup.dedup_words(_table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
     return found.select("doc_id", "n_words", "n_removed",
                         F.sha2("kept", 256).alias("kept_sha256"))
 

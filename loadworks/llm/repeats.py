@@ -4,8 +4,9 @@
    smallest document; what it keeps goes to buckets by gram hash.
 2. A bucket sees all stretches of a gram.  An equal stretch in a smaller
    document settles an occurrence: ``whole``, every window of it is a repeat.
-   Where a gram has several different stretches, the smallest document of each
-   is ``open``: its windows may or may not occur in the others.
+   Where a gram has several different stretches that agree on one side of the
+   gram, the smallest document of each is ``open``: its windows may or may not
+   occur in the others.
 3. The marks go back to their documents by id, and the open stretches, with
    their elements, go to shards by gram.  An index of the caller's choice finds
    the repeats inside a shard.
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadworks.llm.anchors import Frequent, anchors, gram_hashes, stretch_hashes
+from loadworks.llm.anchors import Anchors, Frequent, Ranges, anchors
 from loadworks.llm.columns import slices, utf8
 from loadworks.llm.components import stored
 
@@ -32,8 +33,9 @@ SAMPLE_DOCS = 2000         # documents of the frequent k-gram estimate, about
 FREQUENT_SHARE = 0.0025    # share of those documents that makes a k-gram frequent
 FREQUENT_MOST = 100_000    # k-grams treated as frequent, at most (the most frequent)
 BUCKET_BYTES = 32 << 20    # text of a bucket of anchors
-SHARD_BYTES = 16 << 20     # text of a shard of open stretches
-_MARK = np.dtype([("gram", "<u8"), ("stretch", "<u4")])  # gram: 48 bits, then the open bit
+SHARD_BYTES = 8 << 20      # text of a shard of open stretches
+FLUSH = 1_500_000          # anchors that a task holds before it sends them
+_MARK = np.dtype([("gram", "<u8"), ("stretch", "<u4")])  # gram: 40 bits, then the open bit
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -54,7 +56,7 @@ def frequent_grams(rows: DataFrame, n_rows: int, elements: Callable, k: int) ->
             found = []
             for i, j in slices(offsets):
                 values, bounds = elements(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
-                found += [np.unique(gram_hashes(values[a:b], k)) for a, b in zip(bounds[:-1], bounds[1:])]
+                found += [np.unique(Ranges(values[a:b]).grams(k)) for a, b in zip(bounds[:-1], bounds[1:])]
             grams, counts = np.unique(np.concatenate(found) if found else np.zeros(0, np.uint64),
                                       return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(counts.astype(np.int64))],
@@ -66,13 +68,12 @@ def frequent_grams(rows: DataFrame, n_rows: int, elements: Callable, k: int) ->
     return Frequent(counted.toArrow()["gram"].to_numpy().astype(np.int64).view(np.uint64))
 
 
-def _found(batch_rows, elements, window, k, frequent):
-    """Anchors of a run of texts: (row, gram hash, stretch hash, start, end) and the elements."""
-    data, offsets, i, j = batch_rows
+def _found(data, offsets, i, j, elements, window, k, frequent) -> tuple[np.ndarray, np.ndarray, Anchors]:
+    """Elements, bounds and anchors of rows i to j, with grams cut to 40 bits and stretches to 32."""
     values, bounds = elements(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
-    text, at, gram, start, end = anchors(values, bounds, window, k, frequent)
-    stretch = (stretch_hashes(values, at, start, end) >> np.uint64(32)).astype(np.uint32)
-    return values, bounds, text, gram >> np.uint64(16), stretch, start, end
+    found = anchors(values, bounds, window, k, frequent)
+    return values, bounds, found._replace(gram=found.gram >> np.uint64(24),
+                                          stretch=(found.stretch >> np.uint64(32)).astype(np.uint32))
 
 
 def _groups(*keys) -> np.ndarray:
@@ -84,23 +85,25 @@ def _groups(*keys) -> np.ndarray:
     return new
 
 
-def _pack(gram, stretch, ids) -> bytes:
+def _pack(gram, stretch, left, right, ids) -> bytes:
     base = int(ids.min())
     wide = int(ids.max()) - base >= 1 << 32
     head = np.array([base, wide, len(ids)], np.int64).tobytes()
     return (head + (gram & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes()
-            + (gram >> np.uint64(32)).astype("<u2").tobytes() + stretch.astype("<u4").tobytes()
-            + (ids if wide else (ids - base).astype("<u4")).tobytes())
+            + (gram >> np.uint64(32)).astype(np.uint8).tobytes() + stretch.astype("<u4").tobytes()
+            + left.tobytes() + right.tobytes() + (ids if wide else (ids - base).astype("<u4")).tobytes())
 
 
 def _unpack(blob: bytes):
     base, wide, n = np.frombuffer(blob, np.int64, 3)
     n, at = int(n), 24
     gram = np.frombuffer(blob, "<u4", n, at).astype(np.uint64)
-    gram |= np.frombuffer(blob, "<u2", n, at + 4 * n).astype(np.uint64) << np.uint64(32)
-    stretch = np.frombuffer(blob, "<u4", n, at + 6 * n)
-    ids = np.frombuffer(blob, np.int64 if wide else np.uint32, n, at + 10 * n).astype(np.int64)
-    return gram, stretch, ids if wide else ids + base
+    gram |= np.frombuffer(blob, np.uint8, n, at + 4 * n).astype(np.uint64) << np.uint64(32)
+    stretch = np.frombuffer(blob, "<u4", n, at + 5 * n)
+    left = np.frombuffer(blob, "<u2", n, at + 9 * n)
+    right = np.frombuffer(blob, "<u2", n, at + 11 * n)
+    ids = np.frombuffer(blob, np.int64 if wide else np.uint32, n, at + 13 * n).astype(np.int64)
+    return gram, stretch, left, right, ids if wide else ids + base
 
 
 def _marks(ids, gram, stretch, is_open):
@@ -116,36 +119,44 @@ def _marks(ids, gram, stretch, is_open):
                                                       pa.binary())
 
 
+def _side(hashes: np.ndarray) -> np.ndarray:
+    """16 bits of a side hash; 0 stays for the end of a text alone."""
+    return np.where(hashes == 0, 0, (hashes >> np.uint64(40)) | np.uint64(1)).astype("<u2")
+
+
 def _sketch_task(elements, window, k, frequent, buckets):
-    """Of equal stretches in a batch the smallest document goes to a bucket; the others are settled."""
+    """Of equal stretches that a task holds the smallest document goes to a bucket; the others are settled."""
+    def send(parts):
+        gram, stretch, left, right, doc = map(np.concatenate, parts)
+        order = np.lexsort((doc, stretch, gram))
+        gram, stretch, doc = gram[order], stretch[order], doc[order]
+        first = _groups(gram, stretch)
+        settled = (doc > doc[first][np.cumsum(first) - 1]) & _groups(gram, stretch, doc)
+        names, marks = _marks(doc[settled], gram[settled], stretch[settled], np.zeros(settled.sum(), bool))
+        yield _sketch_batch(np.ones(len(names), bool), names, marks)
+        pick = order[first]
+        gram, stretch, doc, left, right = gram[first], stretch[first], doc[first], left[pick], right[pick]
+        bucket = (gram % np.uint64(buckets)).astype(np.int64)
+        order = np.lexsort((doc, bucket))
+        columns = [c[order] for c in (gram, stretch, left, right, doc)]
+        heads = np.flatnonzero(_groups(bucket[order]))
+        blobs = [_pack(*[c[a:b] for c in columns]) for a, b in zip(heads, np.append(heads[1:], len(bucket)))]
+        yield _sketch_batch(np.zeros(len(blobs), bool), pa.array(bucket[order][heads]), pa.array(blobs, pa.binary()))
+
     def task(batches):
+        parts, held = [[], [], [], [], []], 0
         for batch in batches:
             ids, (data, offsets) = batch.column(0).to_numpy(), utf8(batch.column(1))
-            parts = [[], [], []]
             for i, j in slices(offsets):
-                _, _, text, gram, stretch, _, _ = _found((data, offsets, i, j), elements, window, k, frequent)
-                for col, x in zip(parts, (gram, stretch, ids[i + text])):
+                _, _, f = _found(data, offsets, i, j, elements, window, k, frequent)
+                for col, x in zip(parts, (f.gram, f.stretch, _side(f.left), _side(f.right), ids[i + f.text])):
                     col.append(x)
-            if not parts[0]:
-                continue
-            gram, stretch, doc = map(np.concatenate, parts)
-            order = np.lexsort((doc, stretch, gram))
-            gram, stretch, doc = gram[order], stretch[order], doc[order]
-            first = _groups(gram, stretch)
-            least = doc[first][np.cumsum(first) - 1]
-            settled = (doc > least) & _groups(gram, stretch, doc)
-            names, marks = _marks(doc[settled], gram[settled], stretch[settled], np.zeros(settled.sum(), bool))
-            n = len(names)
-            yield _sketch_batch(np.ones(n, bool), names, marks)
-            gram, stretch, doc = gram[first], stretch[first], doc[first]
-            bucket = (gram % np.uint64(buckets)).astype(np.int64)
-            order = np.lexsort((doc, bucket))
-            gram, stretch, doc, bucket = gram[order], stretch[order], doc[order], bucket[order]
-            heads = np.flatnonzero(_groups(bucket)) if len(bucket) else []
-            blobs = [_pack(gram[a:b], stretch[a:b], doc[a:b])
-                     for a, b in zip(heads, np.append(heads[1:], len(bucket)))] if len(bucket) else []
-            yield _sketch_batch(np.zeros(len(blobs), bool), pa.array(bucket[heads] if len(bucket) else [], pa.int64()),
-                                pa.array(blobs, pa.binary()))
+                held += len(f.text)
+                if held >= FLUSH:
+                    yield from send(parts)
+                    parts, held = [[], [], [], [], []], 0
+        if held:
+            yield from send(parts)
 
     return task
 
@@ -154,19 +165,30 @@ def _sketch_batch(settled, key, blob):
     return pa.RecordBatch.from_arrays([pa.array(settled), key, blob], names=["settled", "key", "blob"])
 
 
+def _agreeing(gram, side, stretch) -> np.ndarray:
+    """Flags stretches of which a different one has the same gram and side."""
+    order = np.lexsort((stretch, side, gram))
+    group = _groups(gram[order], side[order])
+    different = np.add.reduceat(_groups(gram[order], side[order], stretch[order]).astype(np.int64),
+                                np.flatnonzero(group))
+    out = np.zeros(len(gram), bool)
+    out[order] = (different[np.cumsum(group) - 1] > 1) & (side[order] > 0)
+    return out
+
+
 def _bucket_task(group: pa.Table) -> pa.Table:
     """Marks of the documents of a bucket; marks that are settled already pass through."""
     if group["settled"][0].as_py():
         return pa.table({"id": group["key"], "marks": group["blob"]})
-    gram, stretch, doc = map(np.concatenate, zip(*[_unpack(b.as_py()) for b in group["blob"]]))
+    gram, stretch, left, right, doc = map(np.concatenate, zip(*[_unpack(b.as_py()) for b in group["blob"]]))
     order = np.lexsort((doc, stretch, gram))
     gram, stretch, doc = gram[order], stretch[order], doc[order]
     first = _groups(gram, stretch)
-    least = doc[first][np.cumsum(first) - 1]
-    new_gram = _groups(gram)
-    different = np.add.reduceat(first.astype(np.int64), np.flatnonzero(new_gram))[np.cumsum(new_gram) - 1]
-    whole = (doc > least) & _groups(gram, stretch, doc)
-    is_open = first & (different > 1)
+    whole = (doc > doc[first][np.cumsum(first) - 1]) & _groups(gram, stretch, doc)
+    pick = order[first]
+    is_open = np.zeros(len(gram), bool)
+    is_open[first] = (_agreeing(gram[first], left[pick], stretch[first])
+                      | _agreeing(gram[first], right[pick], stretch[first]))
     pick = whole | is_open
     ids, marks = _marks(doc[pick], gram[pick], stretch[pick], is_open[pick])
     return pa.table({"id": ids, "marks": marks})
@@ -195,9 +217,9 @@ def _spread_task(elements, window, k, frequent, shards, in_text):
             data, offsets = utf8(batch.column(2))
             out = [[], [], [], [], []]
             for i, j in slices(offsets):
-                values, bounds, text, gram, stretch, start, end = _found(
-                    (data, offsets, i, j), elements, window, k, frequent)
-                anchor_bounds = np.searchsorted(text, np.arange(j - i + 1))
+                values, bounds, found = _found(data, offsets, i, j, elements, window, k, frequent)
+                gram, stretch, start, end = found.gram, found.stretch, found.start, found.end
+                anchor_bounds = np.searchsorted(found.text, np.arange(j - i + 1))
                 for r in range(j - i):
                     a, b = anchor_bounds[r], anchor_bounds[r + 1]
                     if a == b:
@@ -207,8 +229,9 @@ def _spread_task(elements, window, k, frequent, shards, in_text):
                     if in_text:  # an equal stretch earlier in the same text settles one too
                         order = np.lexsort((start[a:b], s, g))
                         seen[order] = ~_groups(g[order], s[order])
-                    blob = b"".join(m for m in (batch.column(3)[i + r].as_py() or []))
-                    marks = np.frombuffer(blob, _MARK)
+                    marks = np.frombuffer(b"".join(batch.column(3)[i + r].as_py() or []), _MARK)
+                    if not len(marks) and not in_text:
+                        continue
                     code = (g << np.uint64(16)) ^ s.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
                     want = ((marks["gram"] >> np.uint64(1)) << np.uint64(16)) \
                         ^ marks["stretch"].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)

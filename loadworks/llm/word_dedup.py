@@ -144,8 +144,11 @@ def _shard(window: int):
 
 
 def dedup_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                window: int = WINDOW) -> DataFrame:
-    """``docs`` with n_words, n_removed and kept: the words that stay, joined by blanks."""
+                window: int = WINDOW, keep_text: bool = True) -> DataFrame:
+    """``docs`` with n_words, n_removed and kept: the words that stay, joined by blanks.
+
+    Without ``keep_text`` the text column is left out.
+    """
     ranges = covered(docs, id_col, text_col, word_elements, window, min(GRAM, window), _shard(window),
                      True, "word-dedup")
     marked = with_ranges(docs, ranges, id_col, text_col)
@@ -170,6 +173,8 @@ def dedup_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 pa.array(kept, pa.binary()).cast(pa.string()))
 
     text = f"c{docs.columns.index(text_col)}"
-    made = with_columns(marked, [text, "ranges"], "n_words long, n_removed long, kept string", make)
+    made = with_columns(marked, [text, "ranges"], "n_words long, n_removed long, kept string", make,
+                        drop=("ranges",) if keep_text else ("ranges", text))
     new = ["n_words", "n_removed", "kept"]
-    return made.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns) if c not in new], *new)
+    return made.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)
+                         if c not in new and f"c{i}" in made.columns], *new)
