@@ -17,11 +17,22 @@ from loadworks.session import scratch_path
 from loadworks.sources import files as FS
 
 
-def land_lines(lines: DataFrame, path: str, part_col: str) -> str:
-    """Write ``(part_col, ord, value)`` rows as one text file per partition
-    value, lines in ``ord`` order."""
-    lines.repartition(part_col).sortWithinPartitions(part_col, "ord") \
-        .select(part_col, "value").write.partitionBy(part_col).text(path)
+LAND_ROWS = 10_000  # lines of a landed file, about: the number of files grows with the data
+# Database prefixes stripped from landed file names.
+PREFIXES = ["datalake.", "datatank.", "common_layer.", "datatank_view."]
+
+
+def numbered_files(body: DataFrame, group: str, key: str) -> DataFrame:
+    """Deals the rows of each group to files of about LAND_ROWS rows: adds ``file_no``."""
+    files = body.groupBy(group).agg(F.ceil(F.count("*") / LAND_ROWS).alias("files"))
+    return body.join(files, group).withColumn("file_no", F.pmod(F.col(key), F.col("files"))).drop("files")
+
+
+def land_lines(lines: DataFrame, path: str, *part_cols: str) -> str:
+    """Write ``(part_cols, ord, value)`` rows as one text file per combination of the
+    partition values, lines in ``ord`` order."""
+    lines.repartition(*part_cols).sortWithinPartitions(*part_cols, "ord") \
+        .select(*part_cols, "value").write.partitionBy(*part_cols).text(path)
     return path
 
 
@@ -48,11 +59,12 @@ def _land_separator_files(spark, sf) -> str:
     sep = F.when(F.col("region") == 0, "\x01").when(F.col("region") == 1, "|") \
         .when(F.col("region") == 2, "\t").otherwise(",")
     joined = F.regexp_replace(F.concat_ws("\x02", "f1", "f2", "f3", "f4", "f5"), "\x02", sep)
-    mixed = F.concat_ws("", "f1", F.lit("|"), "f2", F.lit(","), "f3", F.lit("|"), "f4",
-                        F.lit(","), "f5")
+    # comma first: wherever the prefix ends, it has as many commas as pipes or one more
+    mixed = F.concat_ws("", "f1", F.lit(","), "f2", F.lit("|"), "f3", F.lit(","), "f4",
+                        F.lit("|"), "f5")
     lines = rows.select("region", F.col("c_custkey").alias("ord"),
                         F.when(F.col("region") == 4, mixed).otherwise(joined).alias("value"))
-    return land_lines(lines, scratch_path(spark, "sep"), "region")
+    return land_lines(numbered_files(lines, "region", "ord"), scratch_path(spark, "sep"), "region", "file_no")
 
 
 REGION_SQL = "SELECT DISTINCT n_regionkey AS region FROM customer JOIN nation ON c_nationkey = n_nationkey"
@@ -76,7 +88,7 @@ FROM ({REGION_SQL}) r
 """)
 def q_src_sniff_width(spark, sf):
     path = _land_separator_files(spark, sf)
-    found = FS.sniff_delimiter_by_width(FS.number_lines(spark, path))
+    found = FS.sniff_delimiter_by_width(FS.head_lines(spark, path, FS.WIDTH_LINES[1]))
     return found.select(_part_value(F.col("file"), "region").cast("int").alias("region"),
                         "delimiter").distinct()
 
@@ -86,11 +98,12 @@ def q_src_header_flag(spark, sf):
     rows = _customer_fields(spark, sf)
     data = rows.select("region", (F.col("c_custkey") + 1).alias("ord"),
                        F.concat_ws("|", "f1", "f2", "f3", "f4", "f5").alias("value"))
-    header = rows.filter(F.col("region") % 2 == 0).select("region").distinct().select(
+    data = numbered_files(data, "region", "ord")
+    header = data.filter(F.col("region") % 2 == 0).select("region", "file_no").distinct().select(
         "region", F.lit(0).cast("long").alias("ord"),
-        F.lit("c_custkey|c_name|c_nationkey|c_acctbal|c_mktsegment").alias("value"))
-    path = land_lines(header.unionByName(data), scratch_path(spark, "hdr"), "region")
-    flags = FS.header_flags(FS.number_lines(spark, path), "|")
+        F.lit("c_custkey|c_name|c_nationkey|c_acctbal|c_mktsegment").alias("value"), "file_no")
+    path = land_lines(header.unionByName(data), scratch_path(spark, "hdr"), "region", "file_no")
+    flags = FS.header_flags(FS.head_lines(spark, path, 1), "|")
     return flags.select(_part_value(F.col("file"), "region").cast("int").alias("region"),
                         "has_header").distinct()
 
@@ -126,7 +139,7 @@ def q_src_table_name(spark, sf):
         .when(F.col("p_partkey") % 4 == 2, "Common_Layer.").otherwise("")
     path = F.concat(F.lit("/landing/"), prefix, F.replace("p_name", F.lit(" "), F.lit("-")),
                     F.lit(".csv"))
-    return p.select("p_partkey", FS.table_name_from_path(path).alias("table_name"))
+    return p.select("p_partkey", FS.table_name_from_path(path, PREFIXES).alias("table_name"))
 
 
 @recipe("src_business_date", """
@@ -148,7 +161,7 @@ FLAT_COLS = ["org", "order_key", "pos_date", "amount"]
 
 
 def _land_flat_files(spark, sf, corrupt: bool = False) -> str:
-    """One file per order priority: header, detail records, trailer count."""
+    """Files per order priority: header, detail records, trailer count."""
     o = table(spark, sf, "orders").select(
         F.col("o_orderpriority").alias("prio"), "o_orderkey", "o_totalprice",
         F.concat_ws("|", F.lit("001"), F.col("o_orderkey").cast("string"),
@@ -157,16 +170,22 @@ def _land_flat_files(spark, sf, corrupt: bool = False) -> str:
     if corrupt:
         o = o.withColumn("rec", F.when((F.col("prio") == "3-MEDIUM") & (F.col("o_totalprice") > 499000),
                                        F.concat("rec", F.lit("|extra"))).otherwise(F.col("rec")))
-    details = o.select("prio", (F.col("o_orderkey") + 1).alias("ord"), F.col("rec").alias("value"))
-    counts = o.groupBy("prio").agg(F.count(F.lit(1)).alias("n"))
+    o = numbered_files(o, "prio", "o_orderkey")
+    files = ["prio", "file_no"]
+    details = o.select(*files, (F.col("o_orderkey") + 1).alias("ord"), F.col("rec").alias("value"))
+    counts = o.groupBy(*files).agg(F.count(F.lit(1)).alias("n"))
     bump = F.when(F.lit(corrupt) & (F.col("prio") == "2-HIGH"), 1).otherwise(0)
-    header = counts.select("prio", F.lit(0).cast("long").alias("ord"), F.lit("000|HDR").alias("value"))
-    trailer = counts.select("prio", F.lit(1 << 62).cast("long").alias("ord"),
+    header = counts.select(*files, F.lit(0).cast("long").alias("ord"), F.lit("000|HDR").alias("value"))
+    trailer = counts.select(*files, F.lit(1 << 62).cast("long").alias("ord"),
                             F.concat(F.lit("000|"), (F.col("n") + bump).cast("string")).alias("value"))
     lines = header.unionByName(details).unionByName(trailer)
-    return land_lines(lines, scratch_path(spark, "flat"), "prio")
+    return land_lines(lines, scratch_path(spark, "flat"), *files)
 
 
+FILES_SQL = f"""
+SELECT o.*, o_orderkey % CAST(ceil(n / {LAND_ROWS}.0) AS BIGINT) AS file_no
+FROM orders o JOIN (SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY 1) c USING (o_orderpriority)
+"""
 FLAT_SQL = """
 SELECT '001' AS org, CAST(o_orderkey AS VARCHAR) AS order_key,
        strftime(o_orderdate, '%Y-%m-%d') AS pos_date,
@@ -174,9 +193,10 @@ SELECT '001' AS org, CAST(o_orderkey AS VARCHAR) AS order_key,
 """
 
 
-@recipe("src_flat_schema", FLAT_SQL + """
-UNION ALL SELECT '000', 'HDR', NULL, NULL FROM (SELECT DISTINCT o_orderpriority FROM orders)
-UNION ALL SELECT '000', CAST(count(*) AS VARCHAR), NULL, NULL FROM orders GROUP BY o_orderpriority
+@recipe("src_flat_schema", FLAT_SQL + f"""
+UNION ALL SELECT '000', 'HDR', NULL, NULL FROM (SELECT DISTINCT o_orderpriority, file_no FROM ({FILES_SQL}) f)
+UNION ALL SELECT '000', CAST(count(*) AS VARCHAR), NULL, NULL FROM ({FILES_SQL}) f
+          GROUP BY o_orderpriority, file_no
 """)
 def q_src_flat_schema(spark, sf):
     return FS.read_flat(spark, _land_flat_files(spark, sf), FLAT_COLS, "|").select(*FLAT_COLS)
@@ -188,27 +208,30 @@ def q_src_drop_control(spark, sf):
     return FS.drop_control_records(raw, "org")
 
 
-@recipe("src_record_count",
-        "SELECT o_orderpriority AS priority, count(*) AS records FROM orders GROUP BY 1")
+@recipe("src_record_count", f"""
+SELECT o_orderpriority AS priority, file_no, count(*) AS records FROM ({FILES_SQL}) f GROUP BY 1, 2
+""")
 def q_src_record_count(spark, sf):
     lines = FS.number_lines(spark, _land_flat_files(spark, sf))
     counts = FS.count_file_records(lines)
-    return counts.select(_part_value(F.col("file"), "prio").alias("priority"), "records")
+    return counts.select(_part_value(F.col("file"), "prio").alias("priority"),
+                         _part_value(F.col("file"), "file_no").cast("long").alias("file_no"), "records")
 
 
-@recipe("check_control_file", """
-SELECT o_orderpriority AS priority, true AS has_control_records, count(*) AS detail_lines,
+@recipe("check_control_file", f"""
+SELECT o_orderpriority AS priority, file_no, true AS has_control_records, count(*) AS detail_lines,
        count(*) FILTER (WHERE o_orderpriority = '3-MEDIUM' AND o_totalprice > 499000) AS bad_width_lines,
        count(*) + CASE WHEN o_orderpriority = '2-HIGH' THEN 1 ELSE 0 END AS trailer_count,
        CASE WHEN count(*) FILTER (WHERE o_orderpriority = '3-MEDIUM' AND o_totalprice > 499000) = 0
              AND o_orderpriority <> '2-HIGH' THEN 'PASS' ELSE 'FAIL' END AS status
-FROM orders GROUP BY o_orderpriority
+FROM ({FILES_SQL}) f GROUP BY o_orderpriority, file_no
 """)
 def q_check_control_file(spark, sf):
     lines = FS.number_lines(spark, _land_flat_files(spark, sf, corrupt=True))
-    nonblank = lines.filter(F.trim("line") != "")
+    nonblank = lines.filter(F.col("line").rlike(r"\S"))
     res = C.check_control_file(nonblank, "|", len(FLAT_COLS))
     return res.select(_part_value(F.col("file"), "prio").alias("priority"),
+                      _part_value(F.col("file"), "file_no").cast("long").alias("file_no"),
                       *[c for c in res.columns if c != "file"])
 
 
@@ -218,12 +241,12 @@ WITH r AS (SELECT '001' AS org, '4' || lpad(CAST(c_custkey AS VARCHAR), 15, '0')
                        THEN '2024-01-' || lpad(CAST(c_custkey % 28 + 1 AS VARCHAR), 2, '0')
                        WHEN c_custkey % 10 = 5 THEN '2024-13-01' ELSE '' END AS posting,
                   CAST(c_nationkey AS VARCHAR) AS seq, c_name FROM customer)
-SELECT org AS ORG_CD, substring(acct, 1, 6) || '******' || substring(acct, 13, 4) AS CARD_NO_MASK,
-       sha256(acct) AS CARD_NO_ENCPT,
+SELECT org AS ORG_CD, substring(acct, 1, 6) || '******' || substring(acct, 13, 4) AS ACCOUNT_MASK,
+       sha256(acct) AS ACCOUNT_HASH,
        CASE WHEN posting = '' THEN NULL
             ELSE try_strptime(posting || ' 00:00:00', '%Y-%m-%d %H:%M:%S') END AS POSTING_TS,
-       TRY_CAST(seq AS INTEGER) AS SEQ, c_name AS CUST_NM, 'SYS01' AS SRC_STM_ID,
-       TIMESTAMP '2024-01-15 06:00:00' AS PPN_TMS
+       TRY_CAST(seq AS INTEGER) AS SEQ, c_name AS CUST_NM, 'SYS01' AS SOURCE_ID,
+       TIMESTAMP '2024-01-15 06:00:00' AS LOAD_TS
 FROM r
 """)
 def q_flat_file_record_map(spark, sf):
@@ -235,19 +258,20 @@ def q_flat_file_record_map(spark, sf):
         .when(F.col("c_custkey") % 10 == 5, F.lit("2024-13-01")).otherwise(F.lit(""))
     rec = F.concat_ws("|", F.lit("001"), account, posting, F.col("c_nationkey").cast("string"),
                       F.col("c_name"))
-    body = c.select(F.lit("all").alias("f"), (F.col("c_custkey") + 1).alias("ord"), rec.alias("value"))
-    ctl = c.select(F.lit("all").alias("f")).distinct()
-    lines = ctl.select("f", F.lit(0).cast("long").alias("ord"), F.lit("000|HDR").alias("value")) \
-        .unionByName(body)
-    path = land_lines(lines, scratch_path(spark, "mf"), "f")
+    body = numbered_files(c.select(F.lit("all").alias("f"), (F.col("c_custkey") + 1).alias("ord"),
+                                   rec.alias("value")), "f", "ord").drop("f")
+    ctl = body.select("file_no").distinct()
+    lines = ctl.select("file_no", F.lit(0).cast("long").alias("ord"), F.lit("000|HDR").alias("value")) \
+        .unionByName(body.select("file_no", "ord", "value"))
+    path = land_lines(lines, scratch_path(spark, "mf"), "file_no")
     raw = FS.read_flat(spark, path, ["ORG", "ACCT_NO", "POSTING_DTE", "SEQ_NO", "CUST_NM"], "|") \
         .select("ORG", "ACCT_NO", "POSTING_DTE", "SEQ_NO", "CUST_NM")
     spec = [P.FieldRule("ORG_CD", "copy", "ORG"),
-            P.FieldRule("CARD_NO_MASK", "mask", "ACCT_NO"),
-            P.FieldRule("CARD_NO_ENCPT", "hash", "ACCT_NO"),
+            P.FieldRule("ACCOUNT_MASK", "mask", "ACCT_NO"),
+            P.FieldRule("ACCOUNT_HASH", "hash", "ACCT_NO"),
             P.FieldRule("POSTING_TS", "timestamp", "POSTING_DTE"),
             P.FieldRule("SEQ", "int", "SEQ_NO"),
             P.FieldRule("CUST_NM", "copy", "CUST_NM"),
-            P.FieldRule("SRC_STM_ID", "const", value="SYS01"),
-            P.FieldRule("PPN_TMS", "run_ts")]
+            P.FieldRule("SOURCE_ID", "const", value="SYS01"),
+            P.FieldRule("LOAD_TS", "run_ts")]
     return P.map_record(FS.drop_control_records(raw, "ORG"), spec, run_ts="2024-01-15 06:00:00")

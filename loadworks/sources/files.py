@@ -18,9 +18,8 @@ from loadworks.operators.shaping import qcol
 # Separator names and the by-width candidate order.
 SEPARATOR_NAMES = {"\x01": "soh", "|": "pipe", "\t": "tab", ",": "comma", ";": "semicolon"}
 WIDTH_CANDIDATES = ["|", "\t", ",", ";"]
-# Database prefixes stripped from landed file names.
-KNOWN_PREFIXES = ["datalake.", "datatank.", "common_layer.", "datatank_view."]
-SNIFF_BYTES = 4096
+SNIFF_BYTES = 4096        # prefix of a file that decides its separator
+WIDTH_LINES = (2, 5)      # lines of a file that decide it by width
 
 
 # ------------------------------------------------------------------ readers
@@ -49,10 +48,10 @@ def read_flat(spark: SparkSession, path: str, columns: list[str], sep: str = "|"
     """Headerless flat file read with a fixed all-STRING schema.
 
     Short control records keep the column count: missing trailing fields are
-    NULL.
+    NULL.  Such files have no quoting: a field may begin with a quote.
     """
     return spark.read.schema(string_schema(columns)).option("sep", sep) \
-        .option("header", "false").option("mode", "PERMISSIVE").csv(path)
+        .option("quote", "").option("header", "false").option("mode", "PERMISSIVE").csv(path)
 
 
 def drop_control_records(df: DataFrame, key: str, sentinel: str = "000") -> DataFrame:
@@ -69,6 +68,10 @@ def number_lines(spark: SparkSession, path: str) -> DataFrame:
     increasing id orders them inside the block; block offsets come from a
     running count over the (few) blocks of each file.  No window over the
     lines themselves, so a huge file is never sorted in one task.
+
+    The text is scanned twice, and both scans must pack the file's blocks into
+    tasks alike, which Spark does for equal files and settings: do not change
+    ``spark.sql.files.*`` between building and running the frame.
     """
     raw = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"),
@@ -86,46 +89,63 @@ def number_lines(spark: SparkSession, path: str) -> DataFrame:
         "line")
 
 
+def head_lines(spark: SparkSession, path: str, n: int) -> DataFrame:
+    """The first ``n`` lines of each file: ``(file, line_no, line)``.
+
+    They are in the file's first block, whose lines one task reads in order, so
+    nothing else is numbered or moved.  ``n`` lines must fit into a block; a
+    line that is longer than a block belongs to the block it starts in.
+    """
+    raw = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("__block"),
+        F.monotonically_increasing_id().alias("__id"), F.col("value").alias("line"))
+    w = Window.partitionBy("file").orderBy("__id")
+    return raw.filter(F.col("__block") == 0).withColumn("line_no", F.row_number().over(w)) \
+        .filter(F.col("line_no") <= n).select("file", "line_no", F.rtrim("line", F.lit("\r")).alias("line"))
+
+
 def _count(text: Column, ch: str) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(ch), F.lit("")))
 
 
-def sniff_delimiter(spark: SparkSession, path: str) -> DataFrame:
-    """Separator of each file from its first 4096 bytes: ``(file, delimiter)``.
+def sniff_delimiter(spark: SparkSession, path: str, sniff_bytes: int = SNIFF_BYTES) -> DataFrame:
+    """Separator of each file from its first bytes: ``(file, delimiter)``.
 
     SOH present -> soh; else pipe if more pipes than commas; else tab if more
-    tabs than commas; else comma (ties give comma).  The byte prefix is cut
-    before decoding, as the rule is defined on bytes.
+    tabs than commas; else comma (ties give comma; so does an empty file).
+    Only lines that begin within the prefix are kept, each cut to its length;
+    the prefix is cut at bytes, before decoding.
     """
-    files = spark.read.format("binaryFile").load(path)
-    sample = F.decode(F.substring(F.col("content"), 1, SNIFF_BYTES), "UTF-8")
-    s = files.select(F.col("path").alias("file"), sample.alias("s"))
-    comma = _count(F.col("s"), ",")
-    name = F.when(F.col("s").contains("\x01"), "soh") \
-        .when(_count(F.col("s"), "|") > comma, "pipe") \
-        .when(_count(F.col("s"), "\t") > comma, "tab") \
-        .otherwise("comma")
+    w = Window.partitionBy("file").orderBy("line_no")
+    # every line has a byte at least, its end: no more lines than bytes can matter
+    heads = head_lines(spark, path, sniff_bytes).select(
+        "file", "line_no", F.col("line").cast("binary").alias("b"))
+    heads = heads.withColumn("end", F.sum(F.octet_length("b") + 1).over(w)) \
+        .withColumn("at", F.col("end") - F.octet_length("b") - 1).filter(F.col("at") < sniff_bytes) \
+        .withColumn("s", F.decode(F.substring(F.col("b"), F.lit(1), (F.lit(sniff_bytes) - F.col("at")).cast("int")),
+                                  "UTF-8"))
+    s = heads.groupBy("file").agg(*[F.sum(_count(F.col("s"), c)).alias(n) for c, n in SEPARATOR_NAMES.items()])
+    name = F.when(F.col("soh") > 0, "soh").when(F.col("pipe") > F.col("comma"), "pipe") \
+        .when(F.col("tab") > F.col("comma"), "tab").otherwise("comma")
     return s.select("file", name.alias("delimiter"))
 
 
-def sniff_delimiter_by_width(lines: DataFrame) -> DataFrame:
-    """Separator by widest row over lines 2-5 of each file.
+def sniff_delimiter_by_width(lines: DataFrame, window: tuple[int, int] = WIDTH_LINES) -> DataFrame:
+    """Separator by widest row over some first lines of each file (see ``head_lines``).
 
     For each line and candidate (pipe, tab, comma, semicolon) the field count
     is taken; the strictly largest count wins, earlier lines and earlier
     candidates win ties; pipe when a file has no such lines.
     """
     cands = F.array(*[F.lit(c) for c in WIDTH_CANDIDATES])
-    window = lines.filter(F.col("line_no").between(2, 5))
-    pairs = window.select("file", "line_no", "line", F.posexplode(cands).alias("pos", "sep"))
-    nf = F.size(F.split(F.col("line"), F.concat(F.lit("\\Q"), F.col("sep"), F.lit("\\E")), -1))
-    scored = pairs.select("file", "sep", F.struct(nf.alias("nf"), (-F.col("line_no")).alias("l"),
-                                                  (-F.col("pos")).alias("p")).alias("rank"))
-    best = scored.groupBy("file").agg(F.max_by("sep", "rank").alias("sep"))
-    all_files = lines.select("file").distinct()
+    pairs = lines.select("file", "line_no", "line", F.posexplode(cands).alias("pos", "sep"))
+    nf = F.when(F.col("line_no").between(*window),
+                F.size(F.split(F.col("line"), F.concat(F.lit("\\Q"), F.col("sep"), F.lit("\\E")), -1)))
+    best = pairs.groupBy("file").agg(F.max(F.when(nf.isNotNull(), F.struct(
+        nf.alias("nf"), (-F.col("line_no")).alias("l"), (-F.col("pos")).alias("p"), "sep"))).alias("best"))
     names = F.create_map(*[x for k, v in SEPARATOR_NAMES.items() for x in (F.lit(k), F.lit(v))])
-    return all_files.join(best, "file", "left").select(
-        "file", F.coalesce(names[F.col("sep")], F.lit("pipe")).alias("delimiter"))
+    return best.select("file", F.coalesce(names[F.col("best.sep")], F.lit("pipe")).alias("delimiter"))
 
 
 def has_header(first_line: Column, sep: str) -> Column:
@@ -136,45 +156,35 @@ def has_header(first_line: Column, sep: str) -> Column:
 
 
 def header_flags(lines: DataFrame, sep: str) -> DataFrame:
-    """``(file, has_header)`` from line 1 of each file."""
-    first = lines.filter(F.col("line_no") == 1)
-    files = lines.select("file").distinct()
-    return files.join(first.select("file", "line"), "file", "left") \
-        .select("file", has_header(F.col("line"), sep).alias("has_header"))
+    """``(file, has_header)`` from line 1 of each file (see ``head_lines``)."""
+    return lines.filter(F.col("line_no") == 1).select("file", has_header(F.col("line"), sep).alias("has_header"))
 
 
 def count_file_records(lines: DataFrame, control_lines: int = 2) -> DataFrame:
     """Data records per file: lines between the first and last non-blank line,
     minus the control (header + trailer) lines.  Counts the whole file."""
-    nonblank = lines.filter(F.trim(F.col("line")) != "")
-    spans = nonblank.groupBy("file").agg(F.min("line_no").alias("a"), F.max("line_no").alias("b"))
-    files = lines.select("file").distinct()
-    return files.join(spans, "file", "left").select(
+    at = F.when(F.col("line").rlike(r"\S"), F.col("line_no"))
+    spans = lines.groupBy("file").agg(F.min(at).alias("a"), F.max(at).alias("b"))
+    return spans.select(
         "file", F.greatest(F.coalesce(F.col("b") - F.col("a") + 1, F.lit(0)) - control_lines,
                            F.lit(0)).cast("long").alias("records"))
 
 
-def count_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Plain line count per file, ``(file, lines)``: no ordering needed."""
-    return spark.read.text(path).groupBy(F.col("_metadata.file_path").alias("file")) \
-        .agg(F.count(F.lit(1)).alias("lines"))
-
-
 # ------------------------------------------------------------------ names
 
 def file_name(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
 
 
-def table_name_from_path(path: Column, prefixes: list[str] | None = None) -> Column:
+def table_name_from_path(path: Column, prefixes: list[str]) -> Column:
     """Table name of a landed file: drop the last extension, lower-case,
-    strip the first matching known prefix, map ``-``, space and ``.`` to ``_``."""
+    strip the first matching database prefix, map ``-``, space and ``.`` to ``_``."""
     name = file_name(path)
     stem = F.when(name.rlike(r"^.+\.[^.]*$"), F.regexp_extract(name, r"^(.+)\.[^.]*$", 1)) \
         .otherwise(name)
     low = F.lower(stem)
     stripped = low
-    for p in reversed(prefixes if prefixes is not None else KNOWN_PREFIXES):
+    for p in reversed(prefixes):
         stripped = F.when(low.startswith(p), F.substring(low, len(p) + 1, 1 << 30)) \
             .otherwise(stripped)
     return F.translate(stripped, "- .", "___")

@@ -412,3 +412,37 @@ def test_scratch_needs_a_shared_folder_on_a_cluster(spark):
         assert spark.read.parquet(path).count() == 3
     with pytest.raises(Exception):
         spark.read.parquet(path).count()
+
+
+# ------------------------------------------------------------------ files
+
+def test_head_lines_and_sniffing_of_split_files(spark, tmp_path):
+    from loadworks.sources import files as FS
+    wide = "a|b|c\n" + "x" * 5000 + "|,,,,,,,,\n"           # the commas lie behind the prefix
+    texts = {"soh": "a\x01b|c\n", "pipe": wide, "tab": "a\tb\r\nc\td\r\n", "comma": "a|b,c\n",
+             "long": "a,b\n" + "1,2\n" * 3000}
+    for name, text in texts.items():
+        (tmp_path / name).write_bytes(text.encode())
+    (tmp_path / "none").write_bytes(b"")
+    conf = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "6000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        base = lambda c: F.element_at(F.split(c, "/"), -1)
+        got = dict(rows(FS.sniff_delimiter(spark, str(tmp_path)).select(base("file").alias("f"), "delimiter")))
+        assert got == {"soh": "soh", "pipe": "pipe", "tab": "tab", "comma": "comma", "long": "comma"}
+        heads = FS.head_lines(spark, str(tmp_path), 2).select(base("file").alias("f"), "line_no", "line")
+        assert ("tab", 2, "c\td") in rows(heads) and heads.filter("f = 'long'").count() == 2
+        numbered = FS.number_lines(spark, str(tmp_path)).filter(base("file") == "long")
+        assert [r["line_no"] for r in numbered.orderBy("line_no").collect()] == list(range(1, 3002))
+    finally:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+
+
+def test_flat_files_have_no_quoting_and_blank_lines_no_records(spark, tmp_path):
+    from loadworks.sources import files as FS
+    (tmp_path / "f").write_text('000|H\n001|1|"ABC|9\n\t \n001|2|x"y"|8\n000|2\n\t\n')
+    flat = FS.read_flat(spark, str(tmp_path), ["o", "k", "n", "v"])
+    assert ("001", "1", '"ABC', "9") in rows(flat)
+    assert [r["records"] for r in FS.count_file_records(FS.number_lines(spark, str(tmp_path))).collect()] == [3]
