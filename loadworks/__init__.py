@@ -12,7 +12,6 @@ sources     file readers, sniffing, catalog scans, table sinks
 operators   shaping, joins, apply (upsert & co.), SCD2, checks, audit,
             reconciliation, schema matching, corpus scans
 plans       end-to-end load flows and the query recipes used by the tests
-streaming   micro-batch driver for the apply operators
 """
 
 __version__ = "0.1.0"

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loadworks.operators.checks import table_counts
 from loadworks.operators.shaping import qcol
 
 # The audit table layout, in this order, all STRING.
@@ -90,20 +91,17 @@ def reconcile_report(audit: DataFrame) -> DataFrame:
 
 def count_tables(tables: dict[str, DataFrame]) -> DataFrame:
     """``(table_name, rows)`` for many tables in one job."""
-    parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("table_name"), "rows")
-             for n, df in tables.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return table_counts(tables).withColumnRenamed("row_count", "rows")
 
 
 def table_counts_in(spark: SparkSession, namespace: str,
                     exclude: tuple[str, ...] = ("job_rcncl",)) -> DataFrame:
     """Row count of every table of a namespace (names listed on the driver,
-    all counts computed in one job)."""
+    all counts computed in one job); no rows for a namespace without tables."""
     names = [t.name for t in spark.catalog.listTables(namespace)
              if t.name.lower() not in exclude and not t.isTemporary]
+    if not names:
+        return spark.createDataFrame([], "table_name string, rows long")
     return count_tables({n: spark.table(f"{namespace}.{n}") for n in names})
 
 

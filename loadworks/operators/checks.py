@@ -182,7 +182,9 @@ def check_file_ingestion(staging: DataFrame, target: DataFrame, expected: int |
     text_col = first_string_column(target)
     s = staging.agg(F.count(F.lit(1)).alias("staging_rows"))
     t_aggs = [F.count(F.lit(1)).alias("target_rows")]
-    t_aggs += [F.count_distinct(qcol(c)).alias(f"pv_{i}") for i, c in enumerate(partition_cols)]
+    # a partition column has few values: they are listed
+    t_aggs += [F.array_sort(F.collect_set(qcol(c).cast("string"))).alias(f"pv_{i}")
+               for i, c in enumerate(partition_cols)]
     if text_col is not None:
         t_aggs.append(F.count_if(F.coalesce(
             F.lower(qcol(text_col)).rlike(HEADER_PATTERN), F.lit(False))).alias("leaks"))
@@ -200,9 +202,10 @@ def check_file_ingestion(staging: DataFrame, target: DataFrame, expected: int |
                              sr.cast("string")), tr - exp)]
     if partition_cols:
         for i, c in enumerate(partition_cols):
+            found = F.size(f"pv_{i}")
             checks.append(check(f"Partitions present {c}", F.lit("PASS"),
-                                F.concat(F.col(f"pv_{i}").cast("string"), F.lit(" distinct values")),
-                                F.col(f"pv_{i}")))
+                                F.concat(found.cast("string"), F.lit(" distinct values: "),
+                                         F.array_join(f"pv_{i}", ", ")), found))
     else:
         checks.append(check("Partitions present", F.lit("SKIP"), F.lit("no partition cols defined")))
     if text_col is not None:
@@ -231,6 +234,16 @@ def check_generic(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def generic_samples(tables: dict[str, DataFrame], n: int = 5) -> DataFrame:
+    """``(table_name, sample)``: the first rows of each table as JSON text, by that text."""
+    out = None
+    for name, df in tables.items():
+        part = sample_rows(df.select(F.to_json(F.struct(*[qcol(c) for c in df.columns])).alias("sample")),
+                           n, ["sample"]).select(F.lit(name).alias("table_name"), "sample")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def check_control_file(lines: DataFrame, sep: str, width: int, file_col: str = "file",
                        line_no_col: str = "line_no", text_col: str = "line") -> DataFrame:
     """Control-record check of landed files, one row per file.

@@ -14,7 +14,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadworks.operators.shaping import qcol
@@ -64,28 +64,45 @@ def _newlines(c: Column) -> Column:
     return F.length(c) - F.length(F.replace(c, F.lit("\n"), F.lit("")))
 
 
-def _multiline_hits(corpus: DataFrame, id_cols: list[str], content: str, rule: Rule) -> DataFrame:
-    """One issue per match of a whole-text rule; line = newlines before it + 1.
+def _issue(rule: Rule, at: Column, before: Column, own: Column) -> Column:
+    return F.struct(F.lit(rule.name).alias("rule"), F.lit(rule.severity).alias("severity"),
+                    F.lit(rule.multiline).alias("whole"), at.cast("long").alias("at"),
+                    before.cast("long").alias("before"), own.cast("long").alias("own"))
 
-    With parts = split(text, p) and matches = regexp_extract_all(text, p), the
-    text before match i is parts[0..i] interleaved with matches[0..i-1].
+
+_ISSUES = ("array<struct<rule:string,severity:string,whole:boolean,at:bigint,before:bigint,"
+           "own:bigint>>")
+
+
+def _line_issues(content: Column, rules: list[Rule]) -> Column:
+    """An issue per rule and matching line; ``at`` is the line number."""
+    none = F.lit(0)
+    found = F.transform(F.split(content, LINE_BREAK, -1), lambda line, i: F.filter(F.array(*[
+        F.when(_matches(line, r), _issue(r, i + 1, none, none)) for r in rules]),
+        lambda x: x.isNotNull()))
+    return F.flatten(found)
+
+
+def _text_issues(content: Column, rule: Rule) -> Column:
+    """An issue per match of a whole-text rule, with the line breaks since the match before
+    (``before``) and in the match itself (``own``).
+
+    With parts = split(text, p) and matches = regexp_extract_all(text, p), part i
+    is the text between match i - 1 and match i.
     """
     pat = "(?ms)" + rule.pattern
-    parts = F.split(qcol(content), pat, -1)
-    matches = F.regexp_extract_all(qcol(content), F.lit(pat), 0)
-    base = corpus.select(*[qcol(c) for c in id_cols], parts.alias("parts"), matches.alias("ms")) \
-        .filter(F.size("ms") > 0)
-    # running newline count before each match, in one pass over the matches
-    steps = F.zip_with(F.slice("parts", 1, F.size("ms")), F.col("ms"),
-                       lambda p, m: F.struct(_newlines(p).alias("p"), _newlines(m).alias("m")))
-    init = F.struct(F.lit(0).cast("long").alias("run"),
-                    F.array().cast("array<long>").alias("out"))
-    acc = F.aggregate(steps, init, lambda a, x: F.struct(
-        (a["run"] + x["p"] + x["m"]).alias("run"),
-        F.concat(a["out"], F.array(a["run"] + x["p"])).alias("out")))
-    return base.select(*[qcol(c) for c in id_cols], F.explode(acc["out"]).alias("nl")) \
-        .select(*[qcol(c) for c in id_cols], F.lit(rule.name).alias("rule"),
-                F.lit(rule.severity).alias("severity"), (F.col("nl") + 1).alias("line_no"))
+    steps = F.zip_with(F.split(content, pat, -1), F.regexp_extract_all(content, F.lit(pat), 0),
+                       lambda part, match: F.struct(part.alias("p"), match.alias("m")))
+    steps = F.filter(steps, lambda x: x["m"].isNotNull())
+    return F.transform(steps, lambda x, i: _issue(rule, i, _newlines(x["p"]), _newlines(x["m"])))
+
+
+def _issues(content: Column, rules: list[Rule]) -> Column:
+    """All issues of a text, in one expression: the corpus is read once for any number of rules."""
+    line_rules = [r for r in rules if not r.multiline]
+    parts = [_line_issues(content, line_rules)] if line_rules else []
+    parts += [_text_issues(content, r) for r in rules if r.multiline]
+    return F.concat(*[F.coalesce(p, F.array().cast(_ISSUES)) for p in parts])
 
 
 def scan_rules(corpus: DataFrame, rules: list[Rule], id_cols: list[str] | None = None,
@@ -93,48 +110,48 @@ def scan_rules(corpus: DataFrame, rules: list[Rule], id_cols: list[str] | None =
     """Issues ``(ids..., rule, severity, line_no)``.
 
     Line rules give at most one issue per rule per line; multiline rules
-    search the whole text and give one issue per match.
+    search the whole text and give one issue per match, on the line it begins.
+    One scan of the texts; the line of a whole-text match is a running sum over
+    the document's matches, linear in their number.  Only issues are shuffled.
     """
-    ids = id_cols or ["doc_id"]
-    line_rules = [r for r in rules if not r.multiline]
-    out = None
-    if line_rules:
-        lines = to_lines(corpus, ids, content)
-        hits = F.filter(F.array(*[
-            F.when(_matches(F.col("line"), r),
-                   F.struct(F.lit(r.name).alias("rule"), F.lit(r.severity).alias("severity")))
-            for r in line_rules]), lambda x: x.isNotNull())
-        out = lines.select(*[qcol(c) for c in ids], "line_no", F.explode(hits).alias("h")) \
-            .select(*[qcol(c) for c in ids], F.col("h.rule").alias("rule"),
-                    F.col("h.severity").alias("severity"), "line_no")
-    for r in rules:
-        if r.multiline:
-            part = _multiline_hits(corpus, ids, content, r)
-            out = part if out is None else out.unionByName(part)
-    return out
-
-
-def classify_documents(corpus: DataFrame, issues: DataFrame,
-                       id_cols: list[str] | None = None) -> DataFrame:
-    """``broken`` when a document has any issue, else ``clean``."""
-    ids = id_cols or ["doc_id"]
-    per_doc = issues.groupBy(*[qcol(c) for c in ids]).agg(F.count(F.lit(1)).alias("issues"))
-    return corpus.select(*[qcol(c) for c in ids]).join(per_doc, ids, "left").select(
-        *[qcol(c) for c in ids], F.coalesce("issues", F.lit(0)).alias("issues"),
-        F.when(F.col("issues") > 0, "broken").otherwise("clean").alias("classification"))
-
-
-def summarise_scan(classified: DataFrame, issues: DataFrame) -> DataFrame:
-    """Files, clean, broken, issues, critical and high issue counts."""
-    a = classified.agg(F.count(F.lit(1)).alias("files"),
-                       F.count_if(F.col("classification") == "clean").alias("clean_files"),
-                       F.count_if(F.col("classification") == "broken").alias("broken_files"))
-    b = issues.agg(F.count(F.lit(1)).alias("total_issues"),
-                   F.count_if(F.col("severity") == "critical").alias("critical_issues"),
-                   F.count_if(F.col("severity") == "high").alias("high_issues"))
-    stacked = a.unionByName(b, allowMissingColumns=True)
-    cols = a.columns + b.columns
-    return stacked.agg(*[F.max(c).alias(c) for c in cols])
+    ids = [qcol(c) for c in (id_cols or ["doc_id"])]
+    # the row's number first: behind the explode every issue would get one of its own
+    rows = corpus.select(*ids, F.monotonically_increasing_id().alias("__row"),
+                         _issues(qcol(content), rules).alias("__all")) \
+        .select(*ids, "__row", F.explode("__all").alias("__i"))
+    w = Window.partitionBy("__row", "__i.rule").orderBy("__i.at")
+    line = F.when(F.col("__i.whole"),
+                  F.sum(F.col("__i.before") + F.col("__i.own")).over(w) - F.col("__i.own") + 1) \
+        .otherwise(F.col("__i.at"))
+    return rows.select(*ids, F.col("__i.rule").alias("rule"), F.col("__i.severity").alias("severity"),
+                       line.alias("line_no"))
+
+
+def classify_documents(corpus: DataFrame, rules: list[Rule], id_cols: list[str] | None = None,
+                       content: str = "content") -> DataFrame:
+    """``broken`` when a document has any issue, else ``clean``; with its counts of issues,
+    critical and high ones.  No shuffle: the counts are taken where the text is read."""
+    ids = [qcol(c) for c in (id_cols or ["doc_id"])]
+    found = corpus.select(*ids, F.transform(_issues(qcol(content), rules),
+                                            lambda i: i["severity"]).alias("__s"))
+
+    def count(severity: str) -> Column:
+        return F.size(F.filter("__s", lambda s: s == severity)).cast("long")
+    return found.select(*ids, F.size("__s").cast("long").alias("issues"),
+                        count("critical").alias("critical_issues"), count("high").alias("high_issues"),
+                        F.when(F.size("__s") > 0, "broken").otherwise("clean").alias("classification"))
+
+
+def summarise_scan(classified: DataFrame) -> DataFrame:
+    """Files, clean, broken, issues, critical and high issue counts of ``classify_documents``."""
+    def total(c: str) -> Column:
+        return F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    return classified.agg(F.count(F.lit(1)).alias("files"),
+                          F.count_if(F.col("classification") == "clean").alias("clean_files"),
+                          F.count_if(F.col("classification") == "broken").alias("broken_files"),
+                          total("issues").alias("total_issues"),
+                          total("critical_issues").alias("critical_issues"),
+                          total("high_issues").alias("high_issues"))
 
 
 # ------------------------------------------------------------------ groups
@@ -191,8 +208,8 @@ def flag_short_wrappers(corpus: DataFrame, name_col: str, needle: str, max_lines
     lines and containing ``needle``."""
     ids = id_cols or ["doc_id"]
     n = line_count(qcol(content))
-    by_name = qcol(name_col).isin(*skip) if skip else F.lit(False)
-    short = (n < max_lines) & qcol(content).contains(needle)
+    by_name = F.coalesce(qcol(name_col).isin(*skip), F.lit(False)) if skip else F.lit(False)
+    short = F.coalesce((n < max_lines) & qcol(content).contains(needle), F.lit(False))
     return corpus.select(*[qcol(c) for c in ids], n.alias("lines"),
                          (by_name | short).alias("flagged"),
                          F.when(by_name, "skip_list").when(short, "short_wrapper").alias("reason"))
@@ -237,6 +254,46 @@ LEFTOVER_WORDS = {
 }
 
 
+# Where scripts hold their statements: -q arguments and spark.sql calls.
+EMBEDDED = [
+    r'-q\s+"([^"]+)"',
+    r"-q\s+'([^']+)'",
+    r'spark\.sql\(\s*f?"{3}([\s\S]+?)"{3}',
+    r"spark\.sql\(\s*f?'{3}([\s\S]+?)'{3}",
+    r'spark\.sql\(\s*f?"([^"\n]+)"\s*\)',
+]
+
+
+def extract_statements(scripts: DataFrame, id_cols: list[str], content: str = "content") -> DataFrame:
+    """``(ids..., stmt_no, sql)``: the statements that whole scripts hold, in ``-q`` arguments
+    and in single- or triple-quoted ``spark.sql`` calls.
+
+    Numbered by kind of quoting, then by place; blank statements are left out.
+    One pass over the texts, nothing is shuffled.
+    """
+    found = F.concat(*[F.regexp_extract_all(qcol(content), F.lit(p), 1) for p in EMBEDDED])
+    ids = [qcol(c) for c in id_cols]
+    return scripts.select(*ids, F.posexplode(found).alias("pos", "sql")) \
+        .select(*ids, (F.col("pos") + 1).alias("stmt_no"),
+                F.regexp_replace("sql", r"^\s+|\s+$", "").alias("sql")) \
+        .filter(F.col("sql") != "")
+
+
+def removable_left(stmts: DataFrame, id_cols: list[str], sql_col: str = "sql") -> DataFrame:
+    """Statements that a conversion should have removed: ``(ids..., kind)``, once per kind."""
+    hits = F.filter(F.array(*[F.when(qcol(sql_col).rlike(p), F.lit(k)) for k, p in REMOVABLE.items()]),
+                    lambda x: x.isNotNull())
+    return stmts.select(*[qcol(c) for c in id_cols], F.explode(hits).alias("kind")).distinct()
+
+
+def positional_parameters(scripts: DataFrame, id_cols: list[str], content: str = "content") -> DataFrame:
+    """Scripts that use positional parameters ($1, ${1}) but declare no widgets: ``(ids..., parameters)``."""
+    used = F.array_distinct(F.regexp_extract_all(qcol(content), F.lit(r"\$\{?([1-9])\}?"), 1))
+    return scripts.filter(~F.coalesce(qcol(content).contains("dbutils.widgets"), F.lit(False))) \
+        .select(*[qcol(c) for c in id_cols], F.array_join(F.array_sort(used), ",").alias("parameters")) \
+        .filter(F.col("parameters") != "")
+
+
 def statement_class(sql: Column) -> Column:
     """Class of one statement; NULL for statements removed by conversion."""
     removable = F.lit(False)
@@ -296,15 +353,9 @@ def scan_leftovers(lines: DataFrame, id_cols: list[str], words: dict[str, str] |
                    line_col: str = "line") -> DataFrame:
     """Forbidden words on non-comment lines, once per word per document."""
     words = words or LEFTOVER_WORDS
-    stripped = F.ltrim(qcol(line_col))
-    comment = F.lit(False)
-    for p in comment_prefixes:
-        comment = comment | stripped.startswith(p)
+    marks = "|".join(re.escape(p) for p in comment_prefixes)
+    comment = qcol(line_col).rlike(rf"^\s*({marks})") if comment_prefixes else F.lit(False)
     hits = F.filter(F.array(*[F.when(qcol(line_col).rlike(p), F.lit(w)) for w, p in words.items()]),
                     lambda x: x.isNotNull())
     return lines.filter(~comment).select(*[qcol(c) for c in id_cols], F.explode(hits).alias("word")) \
         .distinct().withColumn("severity", F.lit("error"))
-
-
-def regex_literal(text: str) -> str:
-    return re.escape(text)

@@ -10,8 +10,8 @@ Plan shape
 * No broadcast hint by default: the planner broadcasts a side only when its
   estimated size is below ``spark.sql.autoBroadcastJoinThreshold`` and AQE
   re-checks the real size after the lookup stage ran.  Bigger lookups stay a
-  shuffle join, and AQE splits skewed main-table keys.  ``broadcast=True``
-  is for lookups whose size is bounded by their domain (nations, codes).
+  shuffle join, and AQE splits skewed main-table keys.
+* A lookup that is known to be unique by key (``unique=True``) is not reduced.
 """
 
 from __future__ import annotations
@@ -32,15 +32,14 @@ class Lookup:
           for differently named keys.
     cols: lookup columns to bring (default: every non-key column).
     how:  ``left`` (row count of main preserved) or ``inner``.
-    broadcast: ``True`` forces a broadcast for a lookup of bounded size;
-          ``None`` lets the size-checked planner and AQE decide.
+    unique: the caller states that keys are unique; the reduction is skipped.
     """
 
     df: DataFrame
     on: list[str] | dict[str, str]
     cols: list[str] | None = None
     how: str = "left"
-    broadcast: bool | None = None
+    unique: bool = False
 
 
 def dedupe_on(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
@@ -78,12 +77,10 @@ def enrich(main: DataFrame, lookups: list[Lookup], dedupe: bool = True) -> DataF
         lkp_keys = [b for _, b in pairs]
         cols = lk.cols if lk.cols is not None else \
             [c for c in lk.df.columns if c not in lkp_keys]
-        side = dedupe_on(lk.df, lkp_keys, cols) if dedupe else \
+        side = dedupe_on(lk.df, lkp_keys, cols) if dedupe and not lk.unique else \
             lk.df.select(*[qcol(c) for c in lkp_keys + cols])
         tmp = {b: f"__k{i}_{j}" for j, b in enumerate(lkp_keys)}
         side = side.select(*[qcol(b).alias(tmp[b]) for b in lkp_keys], *[qcol(c) for c in cols])
-        if lk.broadcast:
-            side = F.broadcast(side)
         cond: Column | None = None
         for a, b in pairs:
             term = qcol(a) == F.col(tmp[b])

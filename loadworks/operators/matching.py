@@ -43,6 +43,23 @@ def _overlaps(cands: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
         .groupBy("lid", "rid").agg(F.count(F.lit(1)).alias("o"))
 
 
+def _collapsed(tokens: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """One set of each group of equal sets, and ``(lid, name)`` from it to all their names.
+
+    Equal sets have equal size and equal sums of two 64-bit token hashes; the
+    set kept is the one of the smallest name.
+    """
+    tokens = tokens.select("id", "token").distinct()
+    wide = "decimal(38,0)"
+    face = tokens.groupBy("id").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("token").cast(wide)).alias("a"),
+        F.sum(F.xxhash64(F.lit("second"), "token").cast(wide)).alias("b"))
+    first = face.groupBy("n", "a", "b").agg(F.min("id").alias("lid"))
+    names = face.join(first, ["n", "a", "b"]).select("lid", F.col("id").alias("name"))
+    kept = tokens.join(first.select(F.col("lid").alias("id")), "id", "left_semi")
+    return kept, names
+
+
 def best_match(left: DataFrame, right: DataFrame, measure: str = "containment") -> DataFrame:
     """Best right set for each left set: ``(lid, rid, overlap, score)``.
 
@@ -50,8 +67,8 @@ def best_match(left: DataFrame, right: DataFrame, measure: str = "containment")
     table), ``jaccard`` = overlap / |left ∪ right| (name similarity).  Score is
     in percent.  Left sets without any overlapping right set are absent.
     """
-    left = left.select("id", "token").distinct()
-    right = right.select("id", "token").distinct()
+    left, left_names = _collapsed(left)
+    right, _ = _collapsed(right)  # of equal sets the first name would win anyway
     n_left = _sizes(left, "nl").withColumnRenamed("id", "lid")
     n_right = _sizes(right, "nr").withColumnRenamed("id", "rid")
     df = right.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
@@ -69,8 +86,10 @@ def best_match(left: DataFrame, right: DataFrame, measure: str = "containment")
             val = F.col("o") / F.greatest(F.col("nl"), F.lit(1))
         return scored.withColumn("s", val)
 
-    # phase 1: rarest present token of each left set
-    c1 = ranked.filter(F.col("rank") == 1).join(postings, "token").select("lid", "rid").distinct()
+    # phase 1: rarest present token of each left set (a minimum, combined map-side)
+    rarest = left.join(df, "token").groupBy(F.col("id").alias("lid")).agg(
+        F.min(F.struct("df", "token")).getField("token").alias("token"))
+    c1 = rarest.join(postings, "token").select("lid", "rid")
     b1 = score(c1).groupBy("lid").agg(F.max("s").alias("b1"))
     # phase 2: prefix that must hold a token of any set scoring >= b1
     need = b1.join(n_left, "lid").join(present, "lid")
@@ -81,24 +100,34 @@ def best_match(left: DataFrame, right: DataFrame, measure: str = "containment")
     prefix = need.select("lid", (F.col("m") - F.greatest(min_o, F.lit(1)) + 1).alias("p"))
     c2 = ranked.join(prefix, "lid").filter(F.col("rank") <= F.col("p")) \
         .join(postings, "token").select("lid", "rid").distinct()
+    if measure == "jaccard":  # a set far smaller or larger cannot reach the best score
+        bound = need.select("lid", (F.col("b1") * F.col("nl") - 1e-9).alias("least"),
+                            (F.col("nl") / F.col("b1") + 1e-9).alias("most"))
+        c2 = c2.join(bound, "lid").join(n_right, "rid") \
+            .filter(F.col("nr").between(F.col("least"), F.col("most"))).select("lid", "rid")
     final = score(c2)
     best = final.groupBy("lid").agg(
         F.min(F.struct((-F.col("s")).alias("ns"), F.col("rid").alias("rid"),
                        F.col("o").alias("o"), F.col("s").alias("s"))).alias("b"))
-    return best.select("lid", F.col("b.rid").alias("rid"), F.col("b.o").alias("overlap"),
+    best = best.select("lid", F.col("b.rid").alias("rid"), F.col("b.o").alias("overlap"),
                        (F.col("b.s") * 100).alias("score"))
+    return best.join(left_names, "lid").select(F.col("name").alias("lid"), "rid", "overlap", "score")
 
 
 def _score_out(c: Column) -> Column:
     return F.round(c, 2).cast("decimal(7,2)")
 
 
+def _tables_by_columns(wanted: DataFrame, have: DataFrame) -> DataFrame:
+    w = wanted.select(F.col("table_name").alias("id"), F.lower("column_name").alias("token"))
+    h = have.select(F.col("table_name").alias("id"), F.lower("column_name").alias("token"))
+    return best_match(w, h, "containment")
+
+
 def match_tables(wanted: DataFrame, have: DataFrame) -> DataFrame:
     """Best table of ``have(table_name, column_name)`` for each wanted table
     by column overlap ``|W ∩ H| / |W| * 100``; names are case-insensitive."""
-    w = wanted.select(F.col("table_name").alias("id"), F.lower("column_name").alias("token"))
-    h = have.select(F.col("table_name").alias("id"), F.lower("column_name").alias("token"))
-    b = best_match(w, h, "containment")
+    b = _tables_by_columns(wanted, have)
     names = wanted.select(F.col("table_name").alias("lid")).distinct()
     return names.join(b, "lid", "left").select(
         F.col("lid").alias("wanted"), F.col("rid").alias("best_match"),
@@ -117,40 +146,43 @@ def match_names(wanted: DataFrame, have: DataFrame, name_col: str = "name") -> D
         _score_out(F.coalesce("score", F.lit(0.0))).alias("score"))
 
 
-def resolve_tables(wanted: DataFrame, have_tables: DataFrame, have_cols: DataFrame) -> DataFrame:
+def resolve_tables(wanted: DataFrame, have_tables: DataFrame, have_cols: DataFrame,
+                   aliases: DataFrame | None = None) -> DataFrame:
     """Fallback chain per wanted table.
 
-    Candidates with columns score by column overlap, candidates without
-    columns by name similarity; the best positive score wins (ties by name).
-    With no positive score, the widest candidate table is used.
+    An alias whose target table exists comes first (score 100; of several the
+    first name).  Then candidates with columns score by column overlap,
+    candidates without columns by name similarity; the best positive score
+    wins, compared unrounded (ties by name).  With no positive score, the
+    widest candidate table is used.
 
     wanted: ``(table_name, column_name)``; have_tables: ``(table_name)``;
-    have_cols: ``(table_name, column_name)``.
+    have_cols: ``(table_name, column_name)``; aliases: ``(table_name, target)``.
     """
-    by_cols = match_tables(wanted, have_cols) \
-        .select("wanted", "best_match", F.col("score").alias("s"), F.lit("columns").alias("how"))
+    pool = _tables_by_columns(wanted, have_cols).select(
+        F.col("lid").alias("wanted"), F.col("rid").alias("best_match"), F.col("score").alias("s"),
+        F.lit("columns").alias("how"))
     colless = have_tables.join(have_cols.select("table_name").distinct(), "table_name", "left_anti")
     wnames = wanted.select(F.col("table_name").alias("name")).distinct()
-    b = best_match(tokens_of_names(wnames, "name"),
-                   tokens_of_names(colless.select(F.col("table_name").alias("name")), "name"),
-                   "jaccard")
-    by_name = b.select(F.col("lid").alias("wanted"), F.col("rid").alias("best_match"),
-                       _score_out(F.col("score")).alias("s"), F.lit("name").alias("how"))
-    pool = by_cols.filter(F.col("best_match").isNotNull()).unionByName(by_name)
+    by_name = best_match(tokens_of_names(wnames, "name"),
+                         tokens_of_names(colless.select(F.col("table_name").alias("name")), "name"), "jaccard")
+    pool = pool.unionByName(by_name.select(F.col("lid").alias("wanted"), F.col("rid").alias("best_match"),
+                                           F.col("score").alias("s"), F.lit("name").alias("how")))
+    if aliases is not None:
+        targets = aliases.join(have_tables.select(F.col("table_name").alias("target")), "target", "left_semi")
+        pool = pool.unionByName(targets.select(
+            F.col("table_name").alias("wanted"), F.col("target").alias("best_match"),
+            F.lit(100.0).alias("s"), F.lit("alias").alias("how")))
     best = pool.groupBy("wanted").agg(
-        F.min(F.struct((-F.col("s")).alias("ns"), "best_match", "s", "how")).alias("b"))
+        F.min(F.struct((F.col("how") != "alias").alias("later"), (-F.col("s")).alias("ns"), "best_match", "s",
+                       "how")).alias("b"))
     widths = have_tables.join(have_cols.groupBy("table_name").agg(F.count(F.lit(1)).alias("w")),
                               "table_name", "left")
     widest = widths.agg(F.min(F.struct((-F.coalesce("w", F.lit(0))).alias("nw"),
-                                       F.col("table_name").alias("t"))).alias("x")) \
-        .select(F.col("x.t").alias("widest"))
+                                       F.col("table_name").alias("t"))).alias("x")).select("x.t")
     names = wanted.select(F.col("table_name").alias("wanted")).distinct()
-    # ``widest`` is a single row (a global aggregate): an equi-join on a
-    # constant key attaches it with a broadcast hash join.
-    out = names.join(best, "wanted", "left").withColumn("__one", F.lit(1)) \
-        .join(widest.withColumn("__one", F.lit(1)), "__one", "left")
-    return out.select(
+    return names.join(best, "wanted", "left").select(
         "wanted",
-        F.coalesce(F.col("b.best_match"), F.col("widest")).alias("resolved"),
-        F.coalesce(F.col("b.s"), F.lit(0).cast("decimal(7,2)")).alias("score"),
+        F.coalesce(F.col("b.best_match"), widest.scalar()).alias("resolved"),
+        _score_out(F.coalesce(F.col("b.s"), F.lit(0.0))).alias("score"),
         F.when(F.col("b.how").isNotNull(), F.col("b.how")).otherwise(F.lit("widest")).alias("how"))

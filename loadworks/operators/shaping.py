@@ -76,11 +76,6 @@ def project_common(df: DataFrame, target_cols: list[str]) -> DataFrame:
     return df.select(*[qcol(lookup[t.lower()]).alias(t) for t in keep])
 
 
-def align_to(df: DataFrame, target_cols: list[str], dtype: str = "string") -> DataFrame:
-    """Target schema wins: pad missing columns, drop extras, target order."""
-    return project_common(pad_columns(df, target_cols, dtype), target_cols)
-
-
 def with_partition_columns(df: DataFrame, date_col: str, year_col: str = "ptn_yyyy",
                            month_col: str = "ptn_mm") -> DataFrame:
     """Partition columns from a ``yyyy-MM-dd`` position date (text or date)."""
@@ -141,8 +136,3 @@ def map_record(df: DataFrame, spec: RecordSpec | list[FieldRule],
     """Apply a whole flat-file record mapping as one projection."""
     rules = spec.rules if isinstance(spec, RecordSpec) else spec
     return df.select(*[_rule_column(r, run_ts).alias(r.target) for r in rules])
-
-
-def split_by(df: DataFrame, predicate: Column) -> tuple[DataFrame, DataFrame]:
-    """Rows where the predicate holds, and the rest (NULL counts as not held)."""
-    return df.filter(predicate), df.filter(~F.coalesce(predicate, F.lit(False)))

@@ -11,6 +11,7 @@ from loadworks.plans import scd_queries as SQ
 from loadworks.plans import shaping_queries as SH
 from loadworks.plans.registry import ALL_TABLES, recipe, table
 from loadworks.session import scratch_database
+from loadworks.sources.namespaces import Namespaces
 from loadworks.sources import sinks as K
 
 IDS = dict(job="LOAD_ORDERS", project="SALES", schema="tgt", table="orders",
@@ -83,13 +84,15 @@ WITH st AS (SELECT p_partkey, CASE WHEN p_size <= 2 THEN 'Trailer ' || p_name EL
 tg AS (SELECT * FROM st WHERE p_size <= 45),
 a AS (SELECT (SELECT count(*) FROM st) AS sr, (SELECT count(*) FROM tg) AS tr,
              (SELECT count(DISTINCT p_brand) FROM tg) AS pv,
-             (SELECT count(*) FROM tg WHERE regexp_matches(lower(p_name), '{C.HEADER_PATTERN}')) AS leaks)
+             (SELECT string_agg(p_brand, ', ' ORDER BY p_brand) FROM (SELECT DISTINCT p_brand FROM tg) d) AS pl,
+             (SELECT count(*) FROM tg WHERE regexp_matches(lower(p_name),
+                '^(header|trailer|hdr|trl|record_count|total|footer|h\\|)')) AS leaks)
 SELECT 'Target count matches expected' AS check_name,
        CASE WHEN tr = sr THEN 'PASS' ELSE 'WARN' END AS status,
        'target=' || CAST(tr AS VARCHAR) || ' staging=' || CAST(sr AS VARCHAR) AS detail,
        CAST(tr - sr AS DECIMAL(20,2)) AS measure FROM a
 UNION ALL
-SELECT 'Partitions present p_brand', 'PASS', CAST(pv AS VARCHAR) || ' distinct values',
+SELECT 'Partitions present p_brand', 'PASS', CAST(pv AS VARCHAR) || ' distinct values: ' || pl,
        CAST(pv AS DECIMAL(20,2)) FROM a
 UNION ALL
 SELECT 'No header/footer leakage', CASE WHEN leaks = 0 THEN 'PASS' ELSE 'WARN' END,
@@ -293,6 +296,36 @@ def q_reconcile_summary(spark, sf):
     return AU.reconcile_summary(_counts(spark, sf))
 
 
+@recipe("reconcile_namespaces", f"""
+SELECT * FROM ({COUNTS_SQL}) c WHERE table_name IN ('region', 'nation', 'customer', 'supplier', 'orders', 'lineitem')
+""")
+def q_reconcile_namespaces(spark, sf):
+    """Both sides stored in namespaces of their own, listed and counted there."""
+    ns = Namespaces(spark, scratch_database(spark), scratch_database(spark))
+    for n in ("region", "nation", "customer", "supplier", "orders", "lineitem"):
+        table(spark, sf, n).write.format("parquet").saveAsTable(f"{ns.source}.{n}")
+    for n, df in _target_tables(spark, sf).items():
+        if n != "events":
+            df.write.format("parquet").saveAsTable(f"{ns.target}.{n}")
+    return AU.reconcile_counts(AU.table_counts_in(spark, ns.source), AU.table_counts_in(spark, ns.target))
+
+
+@recipe("audit_append", f"""
+SELECT {_lit_ids()}, '' AS AMT_COL_SRC, '0' AS TTL_AMT_SRC, '0' AS TTL_REC_SRC, '' AS AMT_COL_TGT,
+       '0' AS TTL_AMT_TGT, '0' AS TTL_REC_TGT, pos_dt AS POS_DT, '{IDS['started']}' AS STRT_TMS,
+       '9999-12-31 23:59:59' AS END_TMS
+FROM (SELECT DISTINCT strftime(o_orderdate, '%Y-%m-%d') AS pos_dt FROM orders)
+UNION ALL {MEASURE_SQL}
+""")
+def q_audit_append(spark, sf):
+    """Open and measured records appended to the shared audit table, and read back."""
+    name = f"{scratch_database(spark)}.job_rcncl"
+    K.empty_table(spark, AU.AUDIT_COLUMNS).write.format("parquet").saveAsTable(name)
+    K.append_with_retry(AU.audit_open(_positions(spark, sf), **IDS), name)
+    K.append_with_retry(_measure(spark, sf), name)
+    return spark.table(name)
+
+
 @recipe("snk_empty_table", "\nUNION ALL\n".join(
     f"SELECT {i + 1} AS ordinal, '{c}' AS column_name, 'string' AS data_type, "
     f"(SELECT count(DISTINCT strftime(o_orderdate, '%Y')) FROM orders) AS non_nulls"
@@ -308,12 +341,14 @@ def q_snk_empty_table(spark, sf):
 # ------------------------------------------------------------ inventories
 
 def part_inventories(spark, sf):
-    """Two column inventories derived from ``part`` that exercise every rule:
+    """Two column inventories derived from ``part`` that exercise every rule (a table per
+    brand and thousand of parts, so their number grows with the data):
     brand 1 is missing from the output, sizes 2-4 lose their column, sizes 5-7
     change type, brand 2 loses its partitioning, size 50 adds a column, and
     brand 25 is a view (column rules skipped)."""
     p = table(spark, sf, "part")
-    tname = F.concat(F.lit("brand_"), F.regexp_extract("p_brand", "([0-9]+)$", 1))
+    tname = F.concat(F.lit("brand_"), F.regexp_extract("p_brand", "([0-9]+)$", 1), F.lit("_"),
+                     F.floor(F.col("p_partkey") / 1000).cast("string"))
     col = F.concat(F.lit("c"), F.col("p_partkey").cast("string"))
     obj = F.when(F.col("p_brand") == "Brand#25", "view").otherwise("table")
     src = p.select(tname.alias("table_name"), col.alias("column_name"),
@@ -333,8 +368,8 @@ def part_inventories(spark, sf):
 
 
 @recipe("inventory_diff", """
-WITH p AS (SELECT *, 'brand_' || regexp_extract(p_brand, '([0-9]+)$', 1) AS t,
-                  'c' || CAST(p_partkey AS VARCHAR) AS c,
+WITH p AS (SELECT *, 'brand_' || regexp_extract(p_brand, '([0-9]+)$', 1) || '_'
+                     || CAST(p_partkey // 1000 AS VARCHAR) AS t, 'c' || CAST(p_partkey AS VARCHAR) AS c,
                   CASE WHEN p_brand = 'Brand#25' THEN 'view' ELSE 'table' END AS o FROM part),
 s AS (SELECT t, c, lower(p_type) AS ty, p_size = 1 AS isp, o FROM p),
 ot AS (SELECT t, c, CASE WHEN p_size BETWEEN 5 AND 7 THEN lower(p_type) || '_v2' ELSE lower(p_type) END AS ty,

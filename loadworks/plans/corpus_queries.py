@@ -36,31 +36,31 @@ def _issues(spark, sf):
     return CO.scan_rules(_docs(spark, sf), DOC_RULES)
 
 
-def _scan_sql() -> str:
-    line_parts = [
-        f"SELECT doc_id, '{r.name}' AS rule, '{r.severity}' AS severity, line_no FROM l "
-        f"WHERE regexp_matches(line, '{r.pattern}')" for r in DOC_RULES if not r.multiline]
-    ml = [r for r in DOC_RULES if r.multiline][0]
-    pat = "(?ms)" + ml.pattern
-    nl = "length({x}) - length(replace({x}, chr(10), ''))"
-    return f"""
-WITH l AS (SELECT doc_id, unnest(string_split_regex(text, '\\r?\\n')) AS line,
-                  generate_subscripts(string_split_regex(text, '\\r?\\n'), 1) AS line_no
+# Written out on its own, not built from DOC_RULES: a wrong rule must show.
+SCAN_SQL = r"""
+WITH l AS (SELECT doc_id, unnest(string_split_regex(text, '\r?\n')) AS line,
+                  generate_subscripts(string_split_regex(text, '\r?\n'), 1) AS line_no
            FROM documents),
-m AS (SELECT doc_id, string_split_regex(text, '{pat}') AS parts,
-             regexp_extract_all(text, '{pat}') AS ms FROM documents),
+m AS (SELECT doc_id, string_split_regex(text, '(?ms)\.\n[A-Z]') AS parts,
+             regexp_extract_all(text, '(?ms)\.\n[A-Z]') AS ms FROM documents),
 mi AS (SELECT doc_id, parts, ms, unnest(range(1, len(ms) + 1)) AS i FROM m WHERE len(ms) > 0)
-{" UNION ALL ".join(line_parts)}
+SELECT doc_id, 'mail_address' AS rule, 'high' AS severity, line_no FROM l
+WHERE regexp_matches(line, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}')
+UNION ALL
+SELECT doc_id, 'licence_line', 'high', line_no FROM l WHERE regexp_matches(line, '(?i)licen[cs]e')
+UNION ALL
+SELECT doc_id, 'secret_word', 'critical', line_no FROM l
+WHERE regexp_matches(line, '(?i)(password|secret|api[_-]?key|token)')
 UNION ALL
-SELECT doc_id, '{ml.name}', '{ml.severity}',
-       1 + list_sum(list_transform(list_slice(parts, 1, i), lambda p: {nl.format(x='p')}))
-         + coalesce(list_sum(list_transform(list_slice(ms, 1, i - 1), lambda x: {nl.format(x='x')})), 0)
+SELECT doc_id, 'repeated_marks', 'high', line_no FROM l WHERE regexp_matches(line, '[!?.]{3,}')
+UNION ALL
+SELECT doc_id, 'sentence_break', 'critical',
+       1 + list_sum(list_transform(list_slice(parts, 1, i), lambda p: length(p) - length(replace(p, chr(10), ''))))
+         + i - 1
 FROM mi
 """
 
 
-SCAN_SQL = _scan_sql()
-
 
 @recipe("corpus_rule_scan", SCAN_SQL)
 def q_corpus_rule_scan(spark, sf):
@@ -68,16 +68,19 @@ def q_corpus_rule_scan(spark, sf):
 
 
 CLASSIFY_SQL = f"""
-SELECT d.doc_id, coalesce(i.n, 0) AS issues,
+SELECT d.doc_id, coalesce(i.n, 0) AS issues, coalesce(i.c, 0) AS critical_issues,
+       coalesce(i.h, 0) AS high_issues,
        CASE WHEN coalesce(i.n, 0) > 0 THEN 'broken' ELSE 'clean' END AS classification
-FROM documents d LEFT JOIN (SELECT doc_id, count(*) AS n FROM ({SCAN_SQL}) s GROUP BY doc_id) i
+FROM documents d LEFT JOIN (SELECT doc_id, count(*) AS n, count(*) FILTER (WHERE severity = 'critical') AS c,
+                                   count(*) FILTER (WHERE severity = 'high') AS h
+                            FROM ({SCAN_SQL}) s GROUP BY doc_id) i
   ON d.doc_id = i.doc_id
 """
 
 
 @recipe("corpus_classify", CLASSIFY_SQL)
 def q_corpus_classify(spark, sf):
-    return CO.classify_documents(_docs(spark, sf), _issues(spark, sf))
+    return CO.classify_documents(_docs(spark, sf), DOC_RULES)
 
 
 @recipe("corpus_rule_summary", f"""
@@ -89,8 +92,7 @@ SELECT (SELECT count(*) FROM ({CLASSIFY_SQL}) c) AS files,
 FROM ({SCAN_SQL}) s
 """)
 def q_corpus_rule_summary(spark, sf):
-    issues = _issues(spark, sf)
-    return CO.summarise_scan(CO.classify_documents(_docs(spark, sf), issues), issues)
+    return CO.summarise_scan(CO.classify_documents(_docs(spark, sf), DOC_RULES))
 
 
 MARKERS = [CO.MarkerRule("english", "all", ("the", "and")),
@@ -169,7 +171,7 @@ def _statements(spark, sf):
                                         F.lit(" o JOIN main.ref.calendar c ON o.o_orderdate = c.d")))
     extra = F.when((prio == "4-NOT SPECIFIED") & (st == "o"), F.lit("kinit -kt svc.keytab svc")) \
         .when((prio == "4-NOT SPECIFIED") & (st == "f"), F.lit("# kinit -kt svc.keytab svc")) \
-        .when((prio == "4-NOT SPECIFIED") & (st == "p"), F.lit("   // hdfs dfs -ls /landing")) \
+        .when((prio == "4-NOT SPECIFIED") & (st == "p"), F.lit("\t// hdfs dfs -ls /landing")) \
         .when((prio == "5-LOW") & (st == "p"), F.lit("beeline -u jdbc:hive2://h -e 'select 1'"))
     return o.select("script_id", "stmt_no", src.alias("sql"), out.alias("out_sql"),
                     extra.alias("extra_line"))
@@ -193,16 +195,24 @@ SELECT script_id, stmt_no,
        WHEN prio = '5-LOW' THEN 'SELECT count(*) FROM main.stage.orders_' || st || ' o JOIN main.ref.calendar c ON o.o_orderdate = c.d' END AS out_sql,
   CASE WHEN prio = '4-NOT SPECIFIED' AND st = 'o' THEN 'kinit -kt svc.keytab svc'
        WHEN prio = '4-NOT SPECIFIED' AND st = 'f' THEN '# kinit -kt svc.keytab svc'
-       WHEN prio = '4-NOT SPECIFIED' AND st = 'p' THEN '   // hdfs dfs -ls /landing'
+       WHEN prio = '4-NOT SPECIFIED' AND st = 'p' THEN chr(9) || '// hdfs dfs -ls /landing'
        WHEN prio = '5-LOW' AND st = 'p' THEN 'beeline -u jdbc:hive2://h -e ''select 1''' END AS extra_line
 FROM o
 """
 
 
 def _class_sql(col: str) -> str:
-    rem = " OR ".join(f"regexp_matches({col}, '{p}')" for p in CO.REMOVABLE.values())
-    cases = " ".join(f"WHEN regexp_matches({col}, '{p}') THEN '{n}'" for n, p in CO.STATEMENT_CLASSES)
-    return f"CASE WHEN {rem} THEN NULL ELSE CASE {cases} ELSE 'OTHER' END END"
+    # Written out on its own, not built from the operator's constants.
+    return rf"""
+CASE WHEN regexp_matches({col}, '(?i)\bINVALIDATE\s+METADATA\b') OR regexp_matches({col}, '(?i)\bREFRESH\s+\w+')
+       OR regexp_matches({col}, '(?i)\bCOMPUTE\s+(INCREMENTAL\s+)?STATS\b')
+       OR regexp_matches({col}, '(?i)\bSET\s+SYNC_DDL\b') THEN NULL
+     WHEN regexp_matches({col}, '(?i)\bINSERT\s+(INTO|OVERWRITE)\b') THEN 'INSERT'
+     WHEN regexp_matches({col}, '(?i)\bDELETE\s+FROM\b') THEN 'DELETE'
+     WHEN regexp_matches({col}, '(?i)\bUPDATE\s+\w+') THEN 'UPDATE'
+     WHEN regexp_matches({col}, '(?i)\bSELECT\b') THEN 'SELECT'
+     WHEN regexp_matches({col}, '(?i)\bMERGE\s+INTO\b') THEN 'MERGE'
+     WHEN regexp_matches({col}, '(?i)\bCREATE\s+') THEN 'CREATE' ELSE 'OTHER' END"""
 
 
 @recipe("corpus_statement_class", f"""
@@ -239,9 +249,9 @@ def _refs_sql(col: str, cls_filter: bool = True) -> str:
     return f"""
 SELECT DISTINCT script_id, parts[len(parts)] AS table_name FROM (
   SELECT script_id, string_split(lower(r), '.') AS parts FROM (
-    SELECT script_id, unnest(regexp_extract_all({col}, '{CO.REF_PATTERN}')) AS r
+    SELECT script_id, unnest(regexp_extract_all({col}, '\\b\\w+(?:\\.\\w+)+\\b')) AS r
     FROM ({STMT_SQL}) x WHERE {col} IS NOT NULL AND {_class_sql(col)} IS NOT NULL) y) z
-WHERE NOT list_has_any(parts, {CO.REF_SKIP!r})
+WHERE NOT list_has_any(parts, ['row_number', 'date_trunc', 'current_timestamp', 'current_date'])
 """
 
 
@@ -263,10 +273,13 @@ def q_corpus_missing_refs(spark, sf):
 WITH l AS (SELECT script_id, out_sql AS line FROM ({STMT_SQL}) x WHERE out_sql IS NOT NULL
            UNION ALL
            SELECT script_id, extra_line FROM ({STMT_SQL}) x WHERE extra_line IS NOT NULL),
-c AS (SELECT * FROM l WHERE NOT (starts_with(ltrim(line), '#') OR starts_with(ltrim(line), '//')))
+c AS (SELECT * FROM l WHERE NOT regexp_matches(line, '^[ \\t]*(#|//)'))
 SELECT DISTINCT script_id, w AS word, 'error' AS severity FROM (
-  {" UNION ALL ".join(f"SELECT script_id, '{w}' AS w FROM c WHERE regexp_matches(line, '{p}')"
-                      for w, p in CO.LEFTOVER_WORDS.items())}) h
+  SELECT script_id, 'impala-shell' AS w FROM c WHERE regexp_matches(line, '(?i)\\bimpala-shell\\b')
+  UNION ALL SELECT script_id, 'kinit' FROM c WHERE regexp_matches(line, '(?i)\\bkinit\\b')
+  UNION ALL SELECT script_id, 'beeline' FROM c WHERE regexp_matches(line, '(?i)\\bbeeline\\b')
+  UNION ALL SELECT script_id, 'hdfs dfs' FROM c WHERE regexp_matches(line, '(?i)\\bhdfs\\s+dfs\\b')
+  UNION ALL SELECT script_id, 'ssh' FROM c WHERE regexp_matches(line, '(?i)\\bssh\\s+')) h
 """)
 def q_corpus_leftovers(spark, sf):
     st = _statements(spark, sf)
@@ -274,3 +287,64 @@ def q_corpus_leftovers(spark, sf):
         .unionByName(st.select("script_id", F.col("extra_line").alias("line"))
                      .filter(F.col("line").isNotNull()))
     return CO.scan_leftovers(lines, ["script_id"])
+
+
+# ------------------------------------------------------------ whole scripts
+
+def _scripts(spark, sf):
+    """A whole script per order: a shell source, and a notebook cell of its conversion.
+
+    The quoting of the statement follows the order's priority; statements that a
+    conversion removes stay in some outputs, and some use positional parameters.
+    """
+    prio = F.col("prio")
+    o = _statements(spark, sf).join(
+        table(spark, sf, "orders").select(F.col("o_orderkey").alias("stmt_no"),
+                                          F.col("o_orderpriority").alias("prio")), "stmt_no")
+    shell = F.concat(F.lit('#!/bin/bash\nkinit -kt svc\nimpala-shell -i $1 -q "'), F.col("sql"),
+                     F.lit("\" -o log\nimpala-shell -q 'REFRESH sales.orders'\n"))
+
+    def call(quote: str, sql, prefix: str = ""):
+        return F.concat(F.lit(f"spark.sql({prefix}{quote}"), sql, F.lit(f"{quote})"))
+
+    sql = F.col("out_sql")
+    quoted = F.when(prio == "1-URGENT", call('"' * 3, F.concat(F.lit("\n"), sql, F.lit("\n")), "f")) \
+        .when(prio == "2-HIGH", call("'" * 3, F.concat(sql, F.lit("\n")))) \
+        .when(sql.isNull(), call('"', F.lit("INVALIDATE METADATA sales.orders"))) \
+        .otherwise(call('"', sql))
+    head = F.when(prio == "5-LOW", F.lit('d = dbutils.widgets.get("d")\nrun("$1")\n')) \
+        .when(prio == "3-MEDIUM", F.lit("run(${2}, $1)\n")).otherwise(F.lit(""))
+    return o.select(F.col("stmt_no").alias("script_id"), shell.alias("source"),
+                    F.concat(head, quoted, F.lit("\n")).alias("output"))
+
+
+SCRIPT_SQL = f"""
+SELECT s.*, o.o_orderpriority AS prio FROM ({STMT_SQL}) s JOIN orders o ON s.stmt_no = o.o_orderkey
+"""
+
+
+@recipe("corpus_extract_statements", f"""
+WITH s AS ({SCRIPT_SQL})
+SELECT 'source' AS side, stmt_no AS script_id, 1 AS stmt_no, sql FROM s
+UNION ALL SELECT 'source', stmt_no, 2, 'REFRESH sales.orders' FROM s
+UNION ALL SELECT 'output', stmt_no, 1, coalesce(out_sql, 'INVALIDATE METADATA sales.orders') FROM s
+""")
+def q_corpus_extract_statements(spark, sf):
+    both = _scripts(spark, sf).select("script_id", F.explode(F.create_map(
+        F.lit("source"), F.col("source"), F.lit("output"), F.col("output"))).alias("side", "content"))
+    return CO.extract_statements(both, ["side", "script_id"])
+
+
+@recipe("corpus_converted_scripts", f"""
+WITH s AS ({SCRIPT_SQL})
+SELECT stmt_no AS script_id, 'removable' AS finding, 'INVALIDATE METADATA' AS detail FROM s WHERE out_sql IS NULL
+UNION ALL SELECT stmt_no, 'parameters', '1,2' FROM s WHERE prio = '3-MEDIUM'
+""")
+def q_corpus_converted_scripts(spark, sf):
+    """Findings in converted scripts: statements that had to go, parameters without widgets."""
+    out = _scripts(spark, sf).select("script_id", F.col("output").alias("content"))
+    kinds = CO.removable_left(CO.extract_statements(out, ["script_id"]), ["script_id"])
+    params = CO.positional_parameters(out, ["script_id"])
+    return kinds.select("script_id", F.lit("removable").alias("finding"), F.col("kind").alias("detail")) \
+        .unionByName(params.select("script_id", F.lit("parameters").alias("finding"),
+                                   F.col("parameters").alias("detail")))

@@ -19,7 +19,8 @@ def _have_wanted(spark, sf):
 
 
 _INV_SQL = """
-p AS (SELECT *, 'brand_' || regexp_extract(p_brand, '([0-9]+)$', 1) AS t,
+p AS (SELECT *, 'brand_' || regexp_extract(p_brand, '([0-9]+)$', 1) || '_'
+                || CAST(p_partkey // 1000 AS VARCHAR) AS t,
              'c' || CAST(p_partkey AS VARCHAR) AS c FROM part),
 h AS (SELECT t, c FROM p),
 w AS (SELECT 'w_' || t AS t, c FROM p WHERE p_brand <> 'Brand#1' AND NOT (p_size BETWEEN 2 AND 4)
@@ -48,9 +49,8 @@ def q_match_tables(spark, sf):
 def _part_names(spark, sf):
     p = table(spark, sf, "part")
     brand = F.lower(F.replace("p_brand", F.lit("#"), F.lit("")))
-    key = F.concat(F.lit("p"), F.col("p_partkey").cast("string"))
-    have = p.select(F.concat_ws(" ", "p_name", F.lower("p_type"), brand, key).alias("name")).distinct()
-    wanted = p.select(F.concat_ws(" ", "p_name", brand, key).alias("name")).distinct()
+    have = p.select(F.concat_ws(" ", "p_name", F.lower("p_type"), brand).alias("name")).distinct()
+    wanted = p.select(F.concat_ws(" ", "p_name", brand).alias("name")).distinct()
     return have, wanted
 
 
@@ -60,10 +60,8 @@ def _tok_sql(rel: str) -> str:
 
 
 @recipe("match_names", f"""
-WITH h AS (SELECT DISTINCT p_name || ' ' || lower(p_type) || ' ' || lower(replace(p_brand, '#', ''))
-                  || ' p' || CAST(p_partkey AS VARCHAR) AS name FROM part),
-w AS (SELECT DISTINCT p_name || ' ' || lower(replace(p_brand, '#', '')) || ' p'
-             || CAST(p_partkey AS VARCHAR) AS name FROM part),
+WITH h AS (SELECT DISTINCT p_name || ' ' || lower(p_type) || ' ' || lower(replace(p_brand, '#', '')) AS name FROM part),
+w AS (SELECT DISTINCT p_name || ' ' || lower(replace(p_brand, '#', '')) AS name FROM part),
 ht AS ({_tok_sql('h')}), wt AS ({_tok_sql('w')}),
 hn AS (SELECT name, count(*) AS n FROM ht GROUP BY name),
 wn AS (SELECT name, count(*) AS n FROM wt GROUP BY name),
@@ -84,8 +82,8 @@ def q_match_names(spark, sf):
 def _resolve_inputs(spark, sf):
     have_cols, wanted = _have_wanted(spark, sf)
     s = table(spark, sf, "supplier")
-    by_name = s.select(F.concat(F.lit("w_legacy_"), (F.col("s_nationkey") % 5).cast("string"))
-                       .alias("table_name"),
+    by_name = s.select(F.concat(F.lit("w_legacy_"), (F.col("s_nationkey") % 5).cast("string"), F.lit("_"),
+                                F.floor(F.col("s_suppkey") / 100).cast("string")).alias("table_name"),
                        F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("column_name"))
     orphan = table(spark, sf, "region").select(
         F.concat(F.lit("orphan_"), F.lower("r_name")).alias("table_name"),
@@ -93,12 +91,16 @@ def _resolve_inputs(spark, sf):
     legacy = table(spark, sf, "nation").select(
         F.concat(F.lit("legacy_"), F.col("n_regionkey").cast("string")).alias("table_name")).distinct()
     have_tables = have_cols.select("table_name").distinct().unionByName(legacy)
-    return wanted.unionByName(by_name).unionByName(orphan), have_tables, have_cols
+    # brand 3 tables have aliases: to a legacy table that exists, and to one that does not
+    alias = table(spark, sf, "part").filter(F.col("p_brand") == "Brand#3").select(
+        F.concat(F.lit("w_brand_3_"), F.floor(F.col("p_partkey") / 1000).cast("string")).alias("table_name")) \
+        .distinct().select("table_name", F.explode(F.array(F.lit("legacy_4"), F.lit("gone"))).alias("target"))
+    return wanted.unionByName(by_name).unionByName(orphan), have_tables, have_cols, alias
 
 
 @recipe("match_resolve", f"""
 WITH {_INV_SQL},
-ws AS (SELECT 'w_legacy_' || CAST(s_nationkey % 5 AS VARCHAR) AS t, 's' || CAST(s_suppkey AS VARCHAR) AS c
+ws AS (SELECT 'w_legacy_' || CAST(s_nationkey % 5 AS VARCHAR) || '_' || CAST(s_suppkey // 100 AS VARCHAR) AS t, 's' || CAST(s_suppkey AS VARCHAR) AS c
        FROM supplier
        UNION ALL SELECT 'orphan_' || lower(r_name), 'nothing' FROM region),
 wall AS (SELECT * FROM w UNION ALL SELECT * FROM ws),
@@ -107,7 +109,9 @@ wn AS (SELECT t, count(*) AS n FROM wall GROUP BY t),
 ov AS (SELECT wall.t AS wanted, h.t AS hname, count(*) AS o FROM wall JOIN h ON wall.c = h.c GROUP BY 1, 2),
 sc AS (SELECT wanted, hname, CAST(round(o * 100.0 / greatest(wn.n, 1), 2) AS DECIMAL(7,2)) AS s,
               o * 1.0 / greatest(wn.n, 1) AS raw FROM ov JOIN wn ON ov.wanted = wn.t),
-bc AS (SELECT wanted, hname, s, 'columns' AS how FROM sc
+al AS (SELECT DISTINCT 'w_brand_3_' || CAST(p_partkey // 1000 AS VARCHAR) AS wanted, 'legacy_4' AS hname
+       FROM part WHERE p_brand = 'Brand#3'),
+bc AS (SELECT wanted, hname, raw, s, 'columns' AS how FROM sc
        QUALIFY row_number() OVER (PARTITION BY wanted ORDER BY raw DESC, hname) = 1),
 wtk AS ({_tok_sql('(SELECT DISTINCT t AS name FROM wall)')}),
 ltk AS ({_tok_sql('lg')}),
@@ -117,15 +121,17 @@ nov AS (SELECT wtk.name AS wanted, ltk.name AS hname, count(*) AS o FROM wtk JOI
         GROUP BY 1, 2),
 nsc AS (SELECT wanted, hname, o * 1.0 / (wtn.n + ltn.n - o) AS raw FROM nov
         JOIN wtn ON nov.wanted = wtn.name JOIN ltn ON nov.hname = ltn.name),
-bn AS (SELECT wanted, hname, CAST(round(raw * 100, 2) AS DECIMAL(7,2)) AS s, 'name' AS how FROM nsc
+bn AS (SELECT wanted, hname, raw, CAST(round(raw * 100, 2) AS DECIMAL(7,2)) AS s, 'name' AS how FROM nsc
        QUALIFY row_number() OVER (PARTITION BY wanted ORDER BY raw DESC, hname) = 1),
-pool AS (SELECT * FROM bc UNION ALL SELECT * FROM bn),
-best AS (SELECT * FROM pool QUALIFY row_number() OVER (PARTITION BY wanted ORDER BY s DESC, hname) = 1),
+pool AS (SELECT * FROM bc UNION ALL SELECT * FROM bn
+         UNION ALL SELECT wanted, hname, 1.0, CAST(100 AS DECIMAL(7,2)), 'alias' FROM al),
+best AS (SELECT * FROM pool
+         QUALIFY row_number() OVER (PARTITION BY wanted ORDER BY how <> 'alias', raw DESC, hname) = 1),
 widest AS (SELECT t FROM (SELECT t, count(*) AS n FROM h GROUP BY t) x ORDER BY n DESC, t LIMIT 1)
 SELECT wn.t AS wanted, coalesce(best.hname, (SELECT t FROM widest)) AS resolved,
        coalesce(best.s, CAST(0 AS DECIMAL(7,2))) AS score, coalesce(best.how, 'widest') AS how
 FROM wn LEFT JOIN best ON wn.t = best.wanted
 """)
 def q_match_resolve(spark, sf):
-    wanted, have_tables, have_cols = _resolve_inputs(spark, sf)
-    return M.resolve_tables(wanted, have_tables, have_cols)
+    wanted, have_tables, have_cols, aliases = _resolve_inputs(spark, sf)
+    return M.resolve_tables(wanted, have_tables, have_cols, aliases)

@@ -327,7 +327,7 @@ def test_statement_class_order(spark):
 
 
 def test_leftovers_skip_comments(spark):
-    lines = spark.createDataFrame([(1, "kinit -kt k"), (1, "  # ssh host"), (2, "// beeline"),
+    lines = spark.createDataFrame([(1, "kinit -kt k"), (1, "  # ssh host"), (3, "\t# kinit"), (3, "\t // ssh h"), (2, "// beeline"),
                                    (2, "hdfs  dfs -ls")], "d int, line string")
     got = rows(CO.scan_leftovers(lines, ["d"]), "d", "word")
     assert got == [(1, "kinit"), (2, "hdfs dfs")]
@@ -446,3 +446,73 @@ def test_flat_files_have_no_quoting_and_blank_lines_no_records(spark, tmp_path):
     flat = FS.read_flat(spark, str(tmp_path), ["o", "k", "n", "v"])
     assert ("001", "1", '"ABC', "9") in rows(flat)
     assert [r["records"] for r in FS.count_file_records(FS.number_lines(spark, str(tmp_path))).collect()] == [3]
+
+
+# ------------------------------------------------------------------ round two additions
+
+def test_many_matches_in_one_document_stay_linear(spark):
+    n = 100_000
+    corpus = spark.createDataFrame([(1, "A.\n" * n + "A"), (2, None)], "doc_id int, content string")
+    got = CO.scan_rules(corpus, [CO.Rule("brk", r"\.\n[A-Z]", "critical", multiline=True)])
+    r = got.agg(F.count("*"), F.min("line_no"), F.max("line_no"), F.countDistinct("line_no")).first()
+    assert tuple(r) == (n, 1, n, n)
+    cls = CO.classify_documents(corpus, [CO.Rule("a", "A")])
+    assert rows(cls, "doc_id", "issues", "classification") == [(1, n + 1, "broken"), (2, 0, "clean")]
+    assert CO.flag_short_wrappers(corpus, "doc_id", "A", skip=("9",)).filter("flagged is null").count() == 0
+
+
+def test_statements_of_scripts(spark):
+    text = ('impala-shell -q "select 1" -q \'refresh t\'\nspark.sql(f"""\n merge into x \n""")\n'
+            'spark.sql("a b") ; spark.sql("  ")\nrun $2 ${1}')
+    df = spark.createDataFrame([(1, text), (2, None), (3, "dbutils.widgets.get('a') $1")], "s int, content string")
+    got = CO.extract_statements(df, ["s"])
+    assert [r[1] for r in rows(got, "stmt_no", "sql")] == ["select 1", "refresh t", "merge into x", "a b"]
+    assert rows(CO.removable_left(got, ["s"])) == [(1, "REFRESH")]
+    assert rows(CO.positional_parameters(df, ["s"])) == [(1, "1,2")]
+
+
+def test_resolve_prefers_aliases_and_compares_raw_scores(spark):
+    wanted = spark.createDataFrame([("w", f"c{i}") for i in range(3001)] + [("x", "q"), ("a", "c1")],
+                                   "table_name string, column_name string")
+    # 2,000 and 2,001 of 3,001 columns: the same score at two places only if far enough rounded
+    cols = spark.createDataFrame([("a_less", f"c{i}") for i in range(3000)]
+                                 + [("b_more", f"c{i}") for i in range(3001)], "table_name string, column_name string")
+    tables = cols.select("table_name").distinct().unionByName(spark.createDataFrame([("plain",)], "table_name string"))
+    alias = spark.createDataFrame([("a", "plain"), ("a", "gone"), ("x", "gone")], "table_name string, target string")
+    got = {r["wanted"]: (r["resolved"], r["how"]) for r in M.resolve_tables(wanted, tables, cols, alias).collect()}
+    assert got == {"w": ("b_more", "columns"), "x": ("b_more", "widest"), "a": ("plain", "alias")}
+
+
+def test_namespaces_and_samples(spark):
+    from loadworks.session import scratch_database, scratch_scope
+    from loadworks.sources.namespaces import Namespaces
+    with scratch_scope(spark):
+        ns = Namespaces(spark, scratch_database(spark), scratch_database(spark))
+        assert AU.table_counts_in(spark, ns.source).count() == 0
+        spark.range(3).write.saveAsTable(f"{ns.source}.t")
+        spark.range(2).write.saveAsTable(f"{ns.target}.job_rcncl")
+        assert ns.read_source("t").count() == 3
+        assert rows(AU.table_counts_in(spark, ns.source)) == [("t", 3)]
+        assert AU.table_counts_in(spark, ns.target).count() == 0
+        assert ns.first_readable(f"{ns.target}.t", f"{ns.source}.t").count() == 3
+        with pytest.raises(LookupError):
+            ns.first_readable(f"{ns.target}.t")
+    samples = C.generic_samples({"r": spark.range(9), "e": spark.range(0)}, 2)
+    assert rows(samples) == [("r", '{"id":0}'), ("r", '{"id":1}')]
+
+
+def test_dates_and_rejects(spark):
+    df = spark.createDataFrame([("2024-01-31",), ("2024-13-01",), (" ",), (None,)], "d string")
+    bad = df.agg(S.reject_count("d", S.date_text_to_timestamp("d"))).first()[0]
+    assert bad == 1
+    r = spark.range(1).select(S.current_dt("2024-02-03"), F.date_trunc("month", S.current_dt("2024-02-03")),
+                              S.current_dt() == F.current_date()).first()
+    assert r[0] == dt.date(2024, 2, 3) and r[1].date() == dt.date(2024, 2, 1) and r[2]
+
+
+def test_unique_lookup_is_not_reduced(spark):
+    main = spark.createDataFrame([(1, 10)], "id int, k int")
+    lk = spark.createDataFrame([(10, "a")], "key int, v string")
+    out = enrich(main, [Lookup(lk, {"k": "key"}, ["v"], unique=True)])
+    assert rows(out, "id", "v") == [(1, "a")]
+    assert "Aggregate" not in out._jdf.queryExecution().optimizedPlan().toString()
