@@ -23,6 +23,7 @@ SHINGLE, SHARE = 5, (80, 100)
 
 def _flat(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     """docs with columns c0, c1, ... so that no operator's column clashes; name to new name."""
+    ready(docs.sparkSession)
     names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
     return docs.toDF(*names.values()), names
 
@@ -38,7 +39,6 @@ def _changed(docs: DataFrame, names: dict[str, str], text: Column, changed: Colu
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a letter and those whose language explains too few of their n-grams."""
-    ready(spark)
     flat, names = _flat(docs)
     model = lang_id.fit(flat, names["doc_id"], names["text"], names["lang"])
     known = lang_id.predict(flat, model, names["text"])
@@ -48,10 +48,10 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps, of each group of near copies, the document with the smallest id."""
+    flat, names = _flat(docs)
     found = stored(near_dup.near_duplicates(docs, shingle=SHINGLE, share=SHARE), "near")
     gone = found.where("id <> component_id").select("id").distinct()
     repeated = found.groupBy("id").count().where("id is not null and count > 1").select("id")
-    flat, names = _flat(docs)
     own = F.col(names["doc_id"]) == F.col("id")
     left = flat.join(small(gone), own, "left_anti")
     if repeated.limit(1).count():  # rows of one id with the same text are copies as well
@@ -82,6 +82,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the packed sequences."""
+    ready(spark)
     return (packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
             .withColumnRenamed("id", "doc_id"))
 

@@ -7,7 +7,9 @@ small whatever the size of an Arrow batch.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +36,16 @@ LOWER[0x41:0x5B] += 0x20
 
 
 def ready(spark: SparkSession) -> None:
-    """Session settings that the operators expect: texts reach a task in batches of a few
-    megabytes, so that its memory does not grow with the length of texts."""
+    """Session settings that the operators expect.
+
+    Texts reach a task in batches of a few megabytes, so that its memory does not
+    grow with their length; Python workers find this package where the driver
+    does, also if it is not installed.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in paths.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [paths, root]))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
 

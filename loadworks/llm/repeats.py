@@ -32,7 +32,7 @@ from loadworks.llm.components import stored
 SAMPLE_DOCS = 2000         # documents of the frequent k-gram estimate, about
 FREQUENT_SHARE = 0.0025    # share of those documents that makes a k-gram frequent
 FREQUENT_MOST = 100_000    # k-grams treated as frequent, at most (the most frequent)
-BUCKET_BYTES = 32 << 20    # text of a bucket of anchors
+BUCKET_BYTES = 8 << 20     # text of a bucket of anchors
 SHARD_BYTES = 8 << 20      # text of a shard of open stretches
 FLUSH = 1_500_000          # anchors that a task holds before it sends them
 _MARK = np.dtype([("gram", "<u8"), ("stretch", "<u4")])  # gram: 40 bits, then the open bit
