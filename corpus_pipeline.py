@@ -17,7 +17,8 @@ from loadworks.llm.columns import ready
 from loadworks.llm.components import small, stored
 from loadworks.session import scratch_path
 
-MIN_LANGUAGE_SCORE = 0.3  # share of a text's n-grams that its language explains, at least
+MIN_LANGUAGE_SCORE = 0.3  # share of a text's n-grams that its language explains, at least ...
+JUDGED_GRAMS = 40         # ... of texts with so many n-grams; shorter ones are not judged by it
 SHINGLE, SHARE = 5, (80, 100)
 
 
@@ -38,11 +39,13 @@ def _changed(docs: DataFrame, names: dict[str, str], text: Column, changed: Colu
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a letter and those whose language explains too few of their n-grams."""
+    """Drops documents without a letter and those whose language explains too few of their n-grams
+    (if they are long enough to tell)."""
     flat, names = _flat(docs)
     model = lang_id.fit(flat, names["doc_id"], names["text"], names["lang"])
     known = lang_id.predict(flat, model, names["text"])
-    kept = known.where((F.col("lang_pred") != lang_id.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE))
+    kept = known.where((F.col("lang_pred") != lang_id.UNKNOWN) & ((F.col("score") >= MIN_LANGUAGE_SCORE)
+                                                                 | (F.col("n_grams") < JUDGED_GRAMS)))
     return kept.select(*[F.col(n).alias(c) for c, n in names.items()])
 
 

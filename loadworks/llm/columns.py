@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.uint64(0xD1342543DE82EF95)
@@ -40,12 +40,17 @@ def ready(spark: SparkSession) -> None:
 
     Texts reach a task in batches of a few megabytes, so that its memory does not
     grow with their length; Python workers find this package where the driver
-    does, also if it is not installed.
+    does, also if it is not installed, and give the memory of large arrays back
+    when they free it, so that idle workers do not hold what a task once needed.
     """
+    environment = spark.sparkContext.environment
     root = str(Path(__file__).resolve().parents[2])
-    paths = spark.sparkContext.environment.get("PYTHONPATH", "")
+    paths = environment.get("PYTHONPATH", "")
     if root not in paths.split(os.pathsep):
-        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [paths, root]))
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [paths, root]))
+    for name, value in (("MALLOC_MMAP_THRESHOLD_", "524288"), ("MALLOC_TRIM_THRESHOLD_", "524288"),
+                        ("MALLOC_ARENA_MAX", "2"), ("ARROW_DEFAULT_MEMORY_POOL", "system")):
+        environment.setdefault(name, value)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
 

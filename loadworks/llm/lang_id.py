@@ -35,6 +35,7 @@ UNKNOWN = "und"
 _FOLD = np.full(256, 0x20, np.uint8)
 _FOLD[0x41:0x5B] = _FOLD[0x61:0x7B] = np.arange(0x61, 0x7B)
 _FOLD[0x80:] = np.arange(0x80, 0x100)
+_MARK = 0x02
 _ASCII_LETTER = np.zeros(256, bool)
 _ASCII_LETTER[0x41:0x5B] = _ASCII_LETTER[0x61:0x7B] = True
 
@@ -52,14 +53,15 @@ def _grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     """4-grams of a run of texts and the first gram of each; no gram crosses two texts."""
     n = len(offsets) - 1
     grams = np.zeros(0, np.uint32)
-    folded = np.full(len(data) + 2 * n, 0x20, np.uint8)  # a blank before and after each text
-    where = np.arange(len(data)) + np.repeat(2 * np.arange(n) + 1, np.diff(offsets))
+    # a mark and a blank before each text, a blank and a mark behind it: one letter has two grams
+    folded = np.full(len(data) + 4 * n, 0x20, np.uint8)
+    where = np.arange(len(data)) + np.repeat(4 * np.arange(n) + 2, np.diff(offsets))
     folded[where] = _FOLD[data]
-    bounds = offsets + 2 * np.arange(n + 1)
+    bounds = offsets + 4 * np.arange(n + 1)
+    folded[bounds[:-1]] = folded[bounds[1:] - 1] = _MARK
     blank = folded == 0x20
     keep = np.ones(len(folded), bool)
     keep[1:] = ~(blank[1:] & blank[:-1])
-    keep[bounds[:-1]] = True
     folded = folded[keep]
     kept = np.concatenate([[0], np.cumsum(keep)])
     bounds = kept[bounds]
@@ -134,15 +136,15 @@ def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_c
     return Filters(languages, masks, fill ** HASHES)
 
 
-def score_batch(texts: pa.Array, model: Filters) -> tuple[list[str], np.ndarray]:
-    """Language and score (corrected share of the winner's n-grams) of each text."""
+def score_batch(texts: pa.Array, model: Filters) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Language, score (corrected share of the winner's n-grams) and n-grams of each text."""
     data, offsets = utf8(texts)
-    names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
+    names, scores, sizes = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), np.int64)
     size, fp = len(model.masks), model.false_positive
     for i, j in slices(offsets):
         part = data[offsets[i]:offsets[j]]
         grams, first = _grams(part, offsets[i:j + 1] - offsets[i])
-        total = np.diff(first)
+        total = sizes[i:j] = np.diff(first)
         hit = None
         for slot in _slots(grams, size):
             hit = model.masks[slot] if hit is None else hit & model.masks[slot]
@@ -158,11 +160,11 @@ def score_batch(texts: pa.Array, model: Filters) -> tuple[list[str], np.ndarray]
             if ascii_letters[k] or any(map(str.isalpha, texts[i + k].as_py() or "")):
                 names[i + k] = model.languages[winner[k]]
                 scores[i + k] = min(1.0, share[k])
-    return names, scores
+    return names, scores, sizes
 
 
 def predict(docs: DataFrame, model: Filters, text_col: str = "text") -> DataFrame:
-    """``docs`` with lang_pred and score, in place: no shuffle.
+    """``docs`` with lang_pred, score and n_grams, in place: no shuffle.
 
     The model is a few megabytes whatever the size of the corpus (see ``fit``)
     and reaches the executors as a broadcast variable.
@@ -170,7 +172,7 @@ def predict(docs: DataFrame, model: Filters, text_col: str = "text") -> DataFram
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make(texts: pa.Array):
-        names, scores = score_batch(texts, shared.value)
-        return pa.array(names, pa.string()), pa.array(scores)
+        names, scores, sizes = score_batch(texts, shared.value)
+        return pa.array(names, pa.string()), pa.array(scores), pa.array(sizes)
 
-    return with_columns(docs, [text_col], "lang_pred string, score double", make)
+    return with_columns(docs, [text_col], "lang_pred string, score double, n_grams long", make)

@@ -40,7 +40,7 @@ NEIGHBOURS = 6
 HUBS = 4
 LEVELS = (4, 6, 8)    # depths at which a region gets hubs
 GROUP = 256           # documents compared with one other in a group
-SLICE = 1 << 20
+SLICE = 1 << 19
 
 _SEEDS = mix(np.arange(1, VALUES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
