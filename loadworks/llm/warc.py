@@ -26,26 +26,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from loadworks.session import scratch_path
-
+from loadworks.llm.components import small, stored
 MIN_REVISIT = 1000
-BROADCAST_ROWS = 50_000   # rows of a few short columns that may be broadcast
 MAGIC = b"\nWARC/"
 END = "\r\n\r\n"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 
 
-def small(side: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The stored side, marked for broadcast if it is small."""
-    return F.broadcast(side) if side.limit(rows + 1).count() <= rows else side
-
-
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url",
           payload_col: str = "html", min_revisit: int = MIN_REVISIT,
           date: str = "2024-01-01T00:00:00Z") -> None:
@@ -54,7 +41,7 @@ def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "
                         F.coalesce(F.col(payload_col), F.lit("")).alias("payload"))
     rows = rows.withColumn("bytes", F.octet_length("payload").cast("long")).withColumn(
         "digest", F.sha1(F.col("payload").cast("binary")))
-    repeated = _stored(rows.where(F.col("bytes") >= min_revisit).groupBy("digest")
+    repeated = stored(rows.where(F.col("bytes") >= min_revisit).groupBy("digest")
                        .agg(F.max("page").alias("original"), F.count("*").alias("n"))
                        .where("n > 1").select("digest", "original"), "warc-repeated")
     typed = rows.join(small(repeated), "digest", "left")
@@ -207,7 +194,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     are moved only where one spans several pieces.
     """
     pieces = _pieces(spark, path)
-    found = _stored(pieces.mapInArrow(_candidate_task, _CANDIDATES), "warc-candidates")
+    found = stored(pieces.mapInArrow(_candidate_task, _CANDIDATES), "warc-candidates")
     # a block's first piece starts where the pieces of the blocks before it end
     blocks = found.groupBy("file", "block").agg(
         F.max(F.col("at") + F.col("size") + 1).alias("bytes"))
@@ -215,14 +202,13 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     base = blocks.select("file", "block", F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("base"))
     placed = found.join(base, ["file", "block"]).select(
         "*", (F.col("base") + F.col("at")).alias("start"), (F.col("base") + F.col("exit")).alias("to"))
-    jump = _stored(placed.where("to is not null").select("file", "start", "to"), "warc-jump")
-    reach = jump.where("start = 0").select("file", "start")
-    reach = _stored(reach, "warc-reach")
+    jump = stored(placed.where("to is not null").select("file", "start", "to"), "warc-jump")
+    reach = stored(placed.where("start = 0").select("file", "start"), "warc-reach")
     while True:  # 2**k steps of the chain in round k
         step = jump.join(reach, ["file", "start"]).select("file", F.col("to").alias("start"))
-        wider = _stored(reach.unionByName(step).distinct(), "warc-reach")
+        wider = stored(reach.unionByName(step).distinct(), "warc-reach")
         after = jump.select("file", F.col("start").alias("to"), F.col("to").alias("beyond"))
-        jump = _stored(jump.join(after, ["file", "to"]).select("file", "start", F.col("beyond").alias("to")),
+        jump = stored(jump.join(after, ["file", "to"]).select("file", "start", F.col("beyond").alias("to")),
                        "warc-jump")
         reach = wider
         if not jump.limit(1).count():
@@ -232,7 +218,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     schema = found.schema.simpleString()[len("struct<"):-1].replace(":", " ").replace(",", ", ")
     chained = (found.where("succ is not null").join(entry, ["file", "block"])
                .groupBy("file", "block").applyInArrow(_walk, schema))
-    chained = _stored(chained.join(base, ["file", "block"])
+    chained = stored(chained.join(base, ["file", "block"])
                       .withColumn("start", F.col("base") + F.col("at"))
                       .withColumn("end", F.col("base") + F.col("succ")), "warc-chain")
     facts = ["file", F.col("start").alias("at"), "page", "type", "digest", "payload_bytes", "refers"]
@@ -246,7 +232,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     owned = (placed.select("file", "block", "idx", "start").join(
         owners, ["file", "start"], "left")
         .withColumn("owner", F.last(F.when(F.col("real"), F.col("start")), True).over(line)))
-    wanted = _stored(owned.join(spanning.select("file", F.col("start").alias("owner")), ["file", "owner"])
+    wanted = stored(owned.join(spanning.select("file", F.col("start").alias("owner")), ["file", "owner"])
                      .select("file", "block", "idx", "owner", F.col("start").alias("piece_start")), "warc-wanted")
 
     def fetch(batches):
