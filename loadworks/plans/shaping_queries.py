@@ -340,6 +340,18 @@ def _generic_schema_sql():
 GENERIC_SQL = "\nUNION ALL\n".join(_generic_sql() + _generic_schema_sql())
 
 
+SAMPLED = {"region": ["r_regionkey", "r_name"], "nation": ["n_nationkey", "n_name", "n_regionkey"],
+           "labels": ["doc_id", "quality", "toxic"], "benchmark": ["item_id", "text"]}
+
+
+@recipe("check_generic_samples", "\nUNION ALL\n".join(
+    "SELECT * FROM (SELECT '" + t + "' AS table_name, CAST(to_json({"
+    + ", ".join(f"'{c}': {c}" for c in cols) + f"}}) AS VARCHAR) AS sample FROM {t} ORDER BY sample LIMIT 5) x"
+    for t, cols in SAMPLED.items()))
+def q_check_generic_samples(spark, sf):
+    return C.generic_samples({t: table(spark, sf, t) for t in SAMPLED})
+
+
 @recipe("check_generic", GENERIC_SQL)
 def q_check_generic(spark, sf):
     return C.check_generic(_generic_tables(spark, sf))
