@@ -117,7 +117,7 @@ def check_scd2(dim: DataFrame, keys: list[str], flag: str = "is_current",
        before a next version counts as a gap).
     """
     vt = _date(qcol(valid_to))
-    staged, bcol = add_bucket(dim, time_bucket(valid_from, bucket) if bucket else None)
+    staged, bcol = add_bucket(dim, keys, time_bucket(valid_from, bucket) if bucket else None)
     with_next = with_neighbour(staged, keys, [valid_from], qcol(valid_from), "__next", "next",
                                bcol)
     nxt_v = F.col("__next").getField("v")

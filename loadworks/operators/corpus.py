@@ -115,10 +115,19 @@ def scan_rules(corpus: DataFrame, rules: list[Rule], id_cols: list[str] | None =
     the document's matches, linear in their number.  Only issues are shuffled.
     """
     ids = [qcol(c) for c in (id_cols or ["doc_id"])]
-    # the row's number first: behind the explode every issue would get one of its own
-    rows = corpus.select(*ids, F.monotonically_increasing_id().alias("__row"),
-                         _issues(qcol(content), rules).alias("__all")) \
-        .select(*ids, "__row", F.explode("__all").alias("__i"))
+    # the row's number first: behind the explode every line would get one of its own;
+    # line 0 stands for the whole text
+    lines = corpus.select(*ids, F.monotonically_increasing_id().alias("__row"), qcol(content).alias("__text")) \
+        .select(*ids, "__row", F.posexplode(F.concat(F.array("__text"), F.split("__text", LINE_BREAK, -1)))
+                .alias("__pos", "__line"))
+    none = F.lit(0)
+    on_lines = [F.when((F.col("__pos") > 0) & _matches(F.col("__line"), r), _issue(r, F.col("__pos"), none, none))
+                for r in rules if not r.multiline]
+    found = F.filter(F.array(*on_lines), lambda x: x.isNotNull()) if on_lines else F.array().cast(_ISSUES)
+    for r in rules:
+        if r.multiline:
+            found = F.when(F.col("__pos") == 0, F.concat(found, _text_issues(F.col("__line"), r))).otherwise(found)
+    rows = lines.select(*ids, "__row", F.explode(found).alias("__i"))
     w = Window.partitionBy("__row", "__i.rule").orderBy("__i.at")
     line = F.when(F.col("__i.whole"),
                   F.sum(F.col("__i.before") + F.col("__i.own")).over(w) - F.col("__i.own") + 1) \

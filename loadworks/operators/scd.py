@@ -98,7 +98,7 @@ def _versions(history: DataFrame, keys: list[str], attrs: list[str], effective:
     rows = history.select(*[qcol(c) for c in dict.fromkeys(keys + attrs + order)])
     attr_struct = F.struct(*[qcol(a) for a in attrs])
     # One bucket column for both passes: the data is shuffled once.
-    rows, bcol = add_bucket(rows, time_bucket(effective, bucket) if bucket else None)
+    rows, bcol = add_bucket(rows, keys, time_bucket(effective, bucket) if bucket else None)
 
     # 1. previous row of the key (to detect changes)
     seen = F.struct(attr_struct.alias("a"), qcol(effective).alias("e"))
@@ -214,7 +214,7 @@ def current(dim: DataFrame, target_cols: list[str] | None = None) -> DataFrame:
 
 def version_gaps(dim: DataFrame, keys: list[str], bucket: str | None = "day") -> DataFrame:
     """Versions whose end date differs from the next version's start date (NULL keys included)."""
-    staged, bcol = add_bucket(dim, time_bucket(VALID_FROM, bucket) if bucket else None)
+    staged, bcol = add_bucket(dim, keys, time_bucket(VALID_FROM, bucket) if bucket else None)
     nxt = with_neighbour(staged, keys, [VALID_FROM], F.col(VALID_FROM), "__next", "next", bcol)
     nv = F.col("__next").getField("v")
     return nxt.filter(nv.isNotNull() & (F.col(VALID_TO).cast("date") != nv.cast("date"))) \

@@ -7,13 +7,13 @@ bucket is a coarse slice of the ordering column (a day, a month, ...), so a
 hot key is spread over many tasks.
 
 The neighbour of the first (or last) row of a bucket lies in an earlier (or
-later) bucket of the same key.  Each bucket's edge value is an aggregate
-(combined map-side); the edges -- one row per ``(key, bucket)``, tiny next to
-the data -- are ordered by bucket within the key, and the neighbouring
-bucket's edge joins the bucket's own rows as one more row of the same window.
-The data is never joined, so NULL keys and NULL order values, which group but
-do not join, keep their neighbours; callers that add the bucket column once
-and chain several passes shuffle the data a single time.
+later) bucket of the same key.  The window marks each bucket's last (or first)
+row; those edge rows -- one per bucket, tiny next to the data -- are ordered by
+bucket within the key to find the neighbouring bucket's edge value, which is
+joined back.  Windows and join use one column, a struct of the key columns and
+the slice: a struct is never NULL itself, so NULL keys and NULL order values
+keep their neighbours, and the big side keeps its partitioning: callers that
+add the column once and chain several passes shuffle the data a single time.
 
 With ``bucket_col=None`` the plain per-key window is used.
 """
@@ -33,11 +33,12 @@ def time_bucket(col: str, unit: str = "day") -> Column:
     return F.date_trunc(unit, qcol(col))
 
 
-def add_bucket(df: DataFrame, bucket: Column | None) -> tuple[DataFrame, str | None]:
-    """Add the bucket column once; pass its name to ``with_neighbour``."""
+def add_bucket(df: DataFrame, keys: list[str], bucket: Column | None) -> tuple[DataFrame, str | None]:
+    """Add the bucket column (keys and slice) once; pass its name to ``with_neighbour``."""
     if bucket is None:
         return df, None
-    return df.withColumn(BUCKET, bucket), BUCKET
+    return df.withColumn(BUCKET, F.struct(F.struct(*[qcol(k) for k in keys]).alias("key"),
+                                          bucket.alias("slice"))), BUCKET
 
 
 def with_neighbour(df: DataFrame, keys: list[str], order: list[str], value: Column,
@@ -57,15 +58,14 @@ def with_neighbour(df: DataFrame, keys: list[str], order: list[str], value: Colu
         w = Window.partitionBy(*key_cols).orderBy(*order_cols)
         return df.withColumn(name, step(v).over(w))
 
-    back = direction == "prev"
-    edge = F.max_by if back else F.min_by
-    edges = df.groupBy(*key_cols, F.col(bucket_col)).agg(
-        edge(v, F.struct(*order_cols)).alias("__v"))
-    w_k = Window.partitionBy(*key_cols).orderBy(F.col(bucket_col))
-    carry = edges.select(*key_cols, F.col(bucket_col), step("__v").over(w_k).alias("__carry")) \
-        .filter(F.col("__carry").isNotNull()).withColumn("__pos", F.lit(0 if back else 2))
-    rows = df.withColumn("__pos", F.lit(1)).unionByName(carry, allowMissingColumns=True)
-    w_b = Window.partitionBy(*key_cols, F.col(bucket_col)).orderBy(F.col("__pos"), *order_cols)
-    found = step(F.when(F.col("__pos") == 1, v).otherwise(F.col("__carry"))).over(w_b)
-    return rows.select("*", found.alias(name)).filter(F.col("__pos") == 1) \
-        .select(*[qcol(c) for c in df.columns], name)
+    w_b = Window.partitionBy(bucket_col).orderBy(*order_cols)
+    inner = df.select("*", step(v).over(w_b).alias("__in"),
+                      # the edge row whose value the neighbouring bucket needs
+                      (F.lead if direction == "prev" else F.lag)(F.lit(1)).over(w_b)
+                      .isNull().alias("__edge"),
+                      v.alias("__v"))
+    w_k = Window.partitionBy(F.col(bucket_col).getField("key")).orderBy(F.col(bucket_col).getField("slice"))
+    carry = inner.filter(F.col("__edge")).select(bucket_col, step("__v").over(w_k).alias("__carry"))
+    joined = inner.join(carry, bucket_col, "left")
+    return joined.select(*[qcol(c) for c in df.columns],
+                         F.coalesce(F.col("__in"), F.col("__carry")).alias(name))
