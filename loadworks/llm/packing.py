@@ -4,7 +4,7 @@ The documents of a task form one stream of tokens, in their order.  Cuts of
 the stream into sequences of at most ``length`` tokens are chosen so that the
 padding plus the penalties for cutting inside documents is least:
 
-    cost(j) = penalty(j) + min over i of cost(i) + padding(j - i)
+    cost(j) = penalty(j) + SEQUENCE_COST + min over i of cost(i) + padding(j - i)
 
 where i and j are possible cuts: ends of documents (no penalty), ends of
 sentences, and a coarse grid inside documents that keeps every stretch
@@ -37,6 +37,7 @@ END_ID = 1
 GRID = 128            # tokens between possible cuts inside a sentence
 SENTENCE_COST = 4     # penalty of a cut at the end of a sentence, in tokens of padding
 INSIDE_COST = 24      # penalty of a cut anywhere else inside a document
+SEQUENCE_COST = 128   # of a sequence: windows are filled rather than cut into short powers of two
 BLOCK = 1 << 18       # tokens planned at a time; the last sequence is carried over
 
 SCHEMA = ("start long, length long, ids_crc32 long, doc_tokens long, "
@@ -123,12 +124,11 @@ def choose_cuts(at: np.ndarray, penalty: np.ndarray, length: int = LENGTH) -> li
             queue.popleft()
         value, i = queue[0]
         least = value + length - p
-        if least:  # not a full sequence: one whose length is a power of two has no padding
-            for s in small:
-                k = where.get(p - s)
-                if k is not None and cost[k] < least:
-                    least, i = cost[k], k
-        cost[j], best[j] = least + penalty[j], i
+        for s in small:  # a sequence whose length is a power of two has no padding
+            k = where.get(p - s)
+            if k is not None and cost[k] < least:
+                least, i = cost[k], k
+        cost[j], best[j] = least + penalty[j] + SEQUENCE_COST, i
         value = cost[j] + p
         while queue and queue[-1][0] >= value:
             queue.pop()
@@ -145,7 +145,7 @@ def _tail(first: int, last: int, length: int) -> list[int]:
     n, parts = last - first, []
     if n == 0 or n & (n - 1) == 0:
         return [last] if n else []
-    if length - n <= INSIDE_COST * (bin(n).count("1") - 1):
+    if length - n <= (INSIDE_COST + SEQUENCE_COST) * (bin(n).count("1") - 1):
         return [last]
     while n:
         parts.append(1 << (n.bit_length() - 1))
