@@ -26,11 +26,11 @@ def build_events(events):
 
 
 def stored_dimension(spark, events, name="events_dim"):
-    """Build the dimension and store it partitioned by ``is_current``, as a load would
-    before applying batches; the written table also cuts the lineage of later steps."""
+    """Build the dimension and store it, as a load would before applying batches; the
+    written table also cuts the lineage of later steps.  (``scd2_load`` stores it
+    partitioned by ``is_current``.)"""
     db = scratch_database(spark)
-    dim = build_events(events)
-    return publish(dim, f"{db}.{name}", ["is_current"]).select(*dim.columns)
+    return publish(build_events(events), f"{db}.{name}")
 
 
 BUILD_SQL = """
