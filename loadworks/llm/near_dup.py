@@ -7,13 +7,16 @@ are the next ``NEIGHBOURS`` in an order whose common prefix is at least
 ``LEAST_DEPTH`` values long.  Where more documents than that share a prefix,
 the region is looked at on deeper levels too, and on each level everyone is
 also a candidate with the ``HUBS`` documents closest to the region's most
-common values: copies of one text meet their original however many they are.
+common values of those rows of the region that the task holds at a time.
 
 Candidates whose signatures differ too much (by four standard deviations) are
 left out; the others are confirmed on the full sets.  Documents with equal
 sets are one class from the start.  Confirming goes in two rounds: each
 document's likeliest partner first, then the pairs that still join different
 components, so a large group of copies costs about one comparison a document.
+A region that then still holds several components is looked at as a whole, over
+all batches and tasks: its members meet its centre, the member with the most
+confirmed links, so copies of one text meet their original however many they are.
 
 Defined results: a document without words (or text, or id) is linked with
 nothing; fewer words than a shingle make one shingle of all; rows with equal
@@ -222,6 +225,45 @@ def candidates(sets: DataFrame, share: tuple[int, int]) -> DataFrame:
             .groupBy("a", "b").agg(F.max("n").alias("equal")))
 
 
+def _prefixes(batches):
+    """(region, id): the prefixes of LEAST_DEPTH values of a document's signature, a row a tree."""
+    for batch in batches:
+        n = len(batch)
+        data, _ = utf8(batch.column(1))
+        sig = data.view(np.uint32).reshape(n, TREES, LEAST_DEPTH)
+        at = LEAST_DEPTH * np.arange(n)
+        for t in range(TREES):
+            region = range_hash(sig[:, t].ravel(), at, at + LEAST_DEPTH)
+            yield pa.RecordBatch.from_arrays([_signed(mix(region + np.uint64(t))), batch.column(0)],
+                                             names=["region", "id"])
+
+
+def regions(sets: DataFrame) -> DataFrame:
+    """(region, id) of the members of regions too large for everybody to be a neighbour of everybody."""
+    rows = sets.select("id", "sig").mapInArrow(_prefixes, "region long, id long")
+    dense = stored(rows.groupBy("region").count().where(F.col("count") > NEIGHBOURS + 1).select("region"), "dense")
+    return stored(rows.join(small(dense), "region", "left_semi"), "regions")
+
+
+def open_members(members: DataFrame, label: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(region, id, label) of the members of regions with several components, and those regions."""
+    named = members.join(label.withColumnRenamed("v", "id"), "id", "left").select(
+        "region", "id", F.coalesce("label", "id").alias("label"))
+    several = stored(named.groupBy("region").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+                     .where("low < high").select("region"), "open-regions")
+    return stored(named.join(small(several), "region", "left_semi"), "open-members"), several
+
+
+def to_centres(members: DataFrame, links: DataFrame) -> DataFrame:
+    """(a, b): the members of open regions, each with its region's centre b of another component."""
+    ends = links.select(F.col("a").alias("id")).unionAll(links.select(F.col("b").alias("id")))
+    degree = ends.groupBy("id").agg(F.count("*").alias("n"))
+    centre = stored(members.join(degree, "id").groupBy("region")
+                    .agg(F.max(F.struct("n", "id", "label")).alias("c"))
+                    .select("region", F.col("c.id").alias("b"), F.col("c.label").alias("other")), "centres")
+    return members.join(small(centre), "region").where("label <> other").select(F.col("id").alias("a"), "b").distinct()
+
+
 def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
     """(id, set) of the wanted documents: sorted shingle hashes as bytes."""
     def task(batches):
@@ -302,8 +344,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     open_pairs = stored(
         pairs.join(best, ["a", "b"], "left_anti").join(side("a"), "a", "left").join(side("b"), "b", "left")
         .where(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b"), "open")
-    links = links.unionByName(confirm(open_pairs, sets, share))
+    links = stored(links.unionByName(confirm(open_pairs, sets, share)), "links-of-pairs")
     label = components(links)
+    # members of a dense region that the task's hubs and neighbours left apart
+    dense = regions(classes)
+    members, several = open_members(dense, label)
+    if several.limit(1).count():
+        sets = stored(_sets(docs, stored(members.select("id").distinct(), "members"), id_col, text_col, shingle)
+                      .dropDuplicates(["id", "set"]), "open-sets")
+        links = stored(links.unionByName(confirm(stored(to_centres(members, links), "to-centres"), sets, share)),
+                       "links-of-centres")
+        label = components(links)
     named = classes.select(*face, F.col("id").alias("v")).join(label, "v", "left").select(
         *face, F.coalesce("label", "v").alias("component_id"))
     known = rows.select("id", *face).join(named, face, "left")

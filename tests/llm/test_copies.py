@@ -5,6 +5,7 @@ import random
 import pytest
 
 from loadworks.llm import byte_dedup, near_dup, word_dedup
+from loadworks.llm.columns import ready
 from loadworks.llm.components import components
 from tests.llm import brute
 
@@ -125,3 +126,24 @@ def test_every_copy_meets_its_original_in_a_large_group(spark):
     got = near_dup.near_duplicates(frame(spark, rows)).collect()
     assert {r["id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
     assert len({c for _, c in want.values()}) == 1
+
+
+def copies(n, changes, seed=4, n_words=150, step=5):
+    """An original and n copies with changes of three shingles each."""
+    rng = random.Random(seed)
+    base = [f"w{i}" for i in range(n_words)]
+    rows = [(10 ** 6, " ".join(base))]
+    for d in range(n):
+        copy = list(base)
+        for at in rng.sample(range(5, n_words - 5, step), changes):
+            copy[at] = f"new{d}-{at}"
+        rows.append((d, " ".join(copy)))
+    return rows
+
+
+def test_copies_meet_their_original_over_batches_and_tasks(spark):
+    """20,000 copies at exactly 0.85 to the original: several tasks, of several Arrow batches each."""
+    ready(spark)
+    rows = copies(20_000, 4)
+    got = near_dup.near_duplicates(frame(spark, rows)).collect()
+    assert {r["component_id"] for r in got} == {0}
