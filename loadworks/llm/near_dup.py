@@ -17,6 +17,9 @@ components, so a large group of copies costs about one comparison a document.
 A region that then still holds several components is looked at as a whole, over
 all batches and tasks: its members meet its centre, the member with the most
 confirmed links, so copies of one text meet their original however many they are.
+Regions that are open even then (templates) are finished exactly: a prefix- and
+size-filtered join over the rarest shingles of their members finds every pair of
+two components that is similar enough.
 
 Defined results: a document without words (or text, or id) is linked with
 nothing; fewer words than a shingle make one shingle of all; rows with equal
@@ -44,6 +47,8 @@ HUBS = 4
 LEVELS = (4, 6, 8)    # depths at which a region gets hubs
 GROUP = 256           # documents compared with one other in a group
 SLICE = 1 << 19
+RARITY = 1 << 20      # counters of the shingles of open regions, by hash
+SALT = 4096           # rows of one shingle dealt to a part of the join
 
 _SEEDS = mix(np.arange(1, VALUES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
@@ -264,6 +269,73 @@ def to_centres(members: DataFrame, links: DataFrame) -> DataFrame:
     return members.join(small(centre), "region").where("label <> other").select(F.col("id").alias("a"), "b").distinct()
 
 
+def _rarity(sets: DataFrame) -> np.ndarray:
+    """How many sets hold a shingle, at most: counted by the shingles' hashes modulo RARITY."""
+    def task(batches):
+        total = np.zeros(RARITY, np.int64)
+        for batch in batches:
+            data, _ = utf8(batch.column(0))
+            total += np.bincount((data.view(np.uint64) % np.uint64(RARITY)).astype(np.int64), minlength=RARITY)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["slot", "n"])
+
+    found = (sets.select("set").mapInArrow(task, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+             .toArrow())  # RARITY numbers at most
+    out = np.zeros(RARITY, np.int64)
+    out[found["slot"].to_numpy()] = found["n"].to_numpy()
+    return out
+
+
+def _rarest(rarity, share: tuple[int, int]):
+    """(shingle, parts, id, label, size, at, indexed) of each set's rarest shingles.
+
+    Sets a and b (size of a at least that of b) that are similar enough share
+    one of the first ``size - least + 1`` shingles of a and of b in any common
+    order, where least is the smallest overlap that can suffice: for a the share
+    of its size, for b (``indexed``) the share of sets of equal sizes.
+    """
+    def task(batches):
+        counts = rarity.value
+        for batch in batches:
+            out = [[] for _ in range(7)]
+            for i, label, s in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                own = np.frombuffer(s.as_buffer(), np.uint64)
+                n = len(own)
+                held = counts[(own % np.uint64(RARITY)).astype(np.int64)]
+                first = np.lexsort((own, held))[:n - -(-share[0] * n // share[1]) + 1]
+                indexed = n - -(-2 * share[0] * n // sum(share)) + 1
+                size = len(first)
+                for col, value in zip(out, (own[first].view(np.int64), held[first] // SALT + 1, np.full(size, i),
+                                            np.full(size, label), np.full(size, n), np.arange(size),
+                                            np.arange(size) < indexed)):
+                    col.append(value)
+            flat = [np.concatenate(c) if c else np.zeros(0, np.int64) for c in out]
+            yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in flat[:6]],
+                                              pa.array(flat[6].astype(bool))],
+                                             names=["shingle", "parts", "id", "label", "size", "at", "indexed"])
+
+    return task
+
+
+def across(sets: DataFrame, labels: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """(a, b) with b < a: all pairs of sets of different labels that may be similar enough (a set join)."""
+    rarity = sets.sparkSession.sparkContext.broadcast(_rarity(sets))
+    rows = stored(sets.join(labels, "id").select("id", "label", "set").mapInArrow(
+        _rarest(rarity, share), "shingle long, parts long, id long, label long, size long, at long, indexed boolean"),
+        "rarest")
+    probe = rows.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
+    index = (rows.where("indexed").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+             .select("shingle", "part", *[F.col(c).alias(f"{c}2") for c in ("id", "label", "size", "at")]))
+    num, den = share
+    overlap = F.least(F.col("size") - F.col("at"), F.col("size2") - F.col("at2"))  # at most, from here on
+    met = probe.join(index, ["shingle", "part"]).where(
+        (F.col("label") != F.col("label2"))
+        & ((F.col("size") > F.col("size2")) | ((F.col("size") == F.col("size2")) & (F.col("id") > F.col("id2"))))
+        & (num * F.col("size") <= den * F.col("size2"))
+        & (overlap * (num + den) >= num * (F.col("size") + F.col("size2"))))
+    return met.select(F.greatest("id", "id2").alias("a"), F.least("id", "id2").alias("b")).distinct()
+
+
 def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
     """(id, set) of the wanted documents: sorted shingle hashes as bytes."""
     def task(batches):
@@ -355,6 +427,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         links = stored(links.unionByName(confirm(stored(to_centres(members, links), "to-centres"), sets, share)),
                        "links-of-centres")
         label = components(links)
+        members, several = open_members(dense, label)
+        if several.limit(1).count():
+            pairs = stored(across(sets, members.select("id", "label").distinct(), share), "across")
+            label = components(links.unionByName(confirm(pairs, sets, share)))
     named = classes.select(*face, F.col("id").alias("v")).join(label, "v", "left").select(
         *face, F.coalesce("label", "v").alias("component_id"))
     known = rows.select("id", *face).join(named, face, "left")
