@@ -48,8 +48,8 @@ class Encoder:
     """Token ids of a byte-level vocabulary file, and which ids end a sentence.
 
     Where the file's merges are in the order of its ids (checked), the faster
-    rank-based encoder gives the same ids; otherwise the file's own library is
-    used.
+    rank-based encoder gives the same ids; otherwise, and for texts that it
+    cannot split (very long runs of blanks), the file's own library is used.
     """
 
     def __init__(self, path: str):
@@ -76,11 +76,22 @@ class Encoder:
                        r"""|\s+(?!\S)|\s+""")
             own = tiktoken.Encoding("own", pat_str=pattern, special_tokens=added,
                                     mergeable_ranks={b: i for i, b in raw.items()})
-            self.encode = lambda text: own.encode_to_numpy(text, allowed_special="all")
+            self.fast = lambda text: own.encode_to_numpy(text, allowed_special="all")
         else:
+            self.fast = None
+        self.path, self.own = path, None
+
+    def encode(self, text: str) -> np.ndarray:
+        if self.fast is not None:
+            try:
+                return self.fast(text)
+            except ValueError as error:  # its pattern backtracks over a run of blanks
+                if "backtracking" not in str(error):
+                    raise
+        if self.own is None:
             from tokenizers import Tokenizer
-            own = Tokenizer.from_file(path)
-            self.encode = lambda text: np.array(own.encode(text, add_special_tokens=False).ids, np.uint32)
+            self.own = Tokenizer.from_file(self.path)
+        return np.array(self.own.encode(text, add_special_tokens=False).ids, np.uint32)
 
 
 _ENCODERS: dict[str, Encoder] = {}

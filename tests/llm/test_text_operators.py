@@ -175,6 +175,13 @@ def test_packing_places_every_id_once(spark, sf):
     assert packing.pack(empty(docs), path).count() == 0
 
 
+def test_packing_encodes_very_long_runs_of_blanks():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    own, library = packing.Encoder(path), Tokenizer.from_file(path)
+    for text in ("a" + " " * 1_200_000 + "b", "\n" * 1_200_000):
+        assert own.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def test_cuts_are_the_cheapest():
     rng = np.random.default_rng(3)
     for _ in range(30):
