@@ -140,6 +140,20 @@ def test_licences_are_found_and_nothing_else(spark, sf):
 
 # --- packing
 
+def test_headers_without_the_word_licence_are_not_ordinary(spark, sf):
+    """MIT, BSD and CC0 headers in the sampled documents neither train unknown nor lift thresholds."""
+    headers = [(f, t) for f, t in license_scan.NOTICES
+               if not any(w in t.lower() for w in ("licen", "copyright", "copyleft"))]
+    assert {f for f, _ in headers} == {"MIT", "BSD", "CC0-1.0"}
+    plain = [r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").select("text").collect() if r["text"]]
+    rows = [(i, headers[i % len(headers)][1] + "\n" + plain[i % len(plain)]) for i in range(300)]
+    rows += [(1000 + k, t) for k, (_, t) in enumerate(license_scan.NOTICES)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r["id"], r["family"]) for r in license_scan.scan(docs, license_scan.fit(docs)).collect()}
+    assert {(i, headers[i % len(headers)][0]) for i in range(300)} <= got
+    assert {(1000 + k, f) for k, (f, _) in enumerate(license_scan.NOTICES)} <= got
+
+
 def check_packing(rows, texts, path, length=packing.LENGTH):
     """Every id in exactly one piece, sequences gapless and at most ``length``; returns the padding share."""
     library = Tokenizer.from_file(path)
