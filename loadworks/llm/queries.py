@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadworks.llm import (ann, byte_dedup, decontaminate, lang_id, license_scan, near_dup,
-                           packing, token_count, warc, word_dedup)
+from loadworks.llm import (align, ann, byte_dedup, decontaminate, lang_id, license_scan, merkle, mixing,
+                           near_dup, packing, token_count, warc, word_dedup)
 from loadworks.llm.columns import ready
 from loadworks.session import scratch_path
 
@@ -102,7 +102,35 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumnRenamed("id", "doc_id"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest of the documents by source, and the proofs checked against tampered texts."""
+    docs = _table(spark, sf_dir, "documents")
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    found = merkle.leaf(*fields, F.replace("text", F.lit("\n"), F.lit("")))
+    rows = docs.select("doc_id", "source", merkle.leaf(*fields, F.col("text")).alias("leaf"),
+                       F.when(tampered, found).alias("found"))
+    made = merkle.manifest(rows, "source", "doc_id")
+    folded = merkle.fold(F.coalesce("found", "leaf"), F.col("proof"))
+    return made.select("doc_id", "leaf", "subroot", "root",
+                       merkle.digest(merkle.siblings(F.col("proof"))).alias("proof_sha256"),
+                       folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two tokenizers over every document."""
+    found = align.links(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                        public_tokenizers.path("piece_bpe_32k.model"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    return mixing.mix(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_decontaminate, op3_near_duplicates, op4_token_count, op5_byte_dedup,
-    op6_license_scan, op7_nearest, op8_word_dedup, op9_warc, op10_pack)}
+    op6_license_scan, op7_nearest, op8_word_dedup, op9_warc, op10_pack, op11_merkle_manifest,
+    op12_token_alignment, op13_mixing)}
 ORACLE: dict[str, str] = {}
