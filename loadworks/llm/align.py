@@ -25,6 +25,8 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -32,10 +34,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loadworks.llm.columns import mix, range_hash, slices, utf8
 from loadworks.llm.components import stored
 from loadworks.llm.token_count import byte_letters
 
-REMEMBERED = 300_000  # windows whose alignment a worker keeps
+REMEMBERED = 200_000  # windows whose alignment a worker keeps
+SLICE = 1 << 21       # bytes of text that are aligned together (a longer text alone)
+
+BLANKS = 100_000      # a run of so many blanks is too much for the rank-based encoder's pattern
 
 # Fixed value: how the byte-level vocabulary splits a text before its merges.
 PATTERN = (r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+"""
@@ -43,17 +49,54 @@ PATTERN = (r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+"""
 
 
 class Window(NamedTuple):
-    """Alignment of a window: its groups as text, and its linked pairs as codes."""
+    """Alignment of a window: its groups as text, and its linked pairs as packed 64-bit codes."""
 
     groups: str
-    codes: list[int]
+    codes: bytes
+
+
+class Aligned(NamedTuple):
+    """Alignment of some texts: by text its numbers of tokens and its groups, and all links by text."""
+
+    n_a: np.ndarray
+    n_b: np.ndarray
+    groups: list[str]
+    link_text: np.ndarray
+    codes: np.ndarray
+
+
+def gathered(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The places of all ranges starts[i]:ends[i], one after the other."""
+    size = ends - starts
+    return np.repeat(starts - (np.cumsum(size) - size), size) + np.arange(size.sum())
+
+
+def same_windows(a: np.ndarray, b: np.ndarray, at_a: np.ndarray, at_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first window of each id tuple pair, number of each window's pair) of windows at_a[i]:at_a[i + 1], at_b alike.
+
+    Found by hash and compared id by id; a window that only shares its hash stands alone.
+    """
+    hashed = mix(range_hash(a, at_a[:-1], at_a[1:]) * np.uint64(0x9E3779B97F4A7C15) ^ range_hash(b, at_b[:-1], at_b[1:]))
+    _, first, pair = np.unique(hashed, return_index=True, return_inverse=True)
+    other = np.zeros(len(pair), bool)
+    for ids, at in ((a, at_a), (b, at_b)):
+        size = np.diff(at)
+        like = first[pair]
+        other |= size != size[like]
+        place = gathered(at[like], at[like] + size)
+        differs = ids[np.minimum(place, len(ids) - 1)] != ids
+        other |= np.add.reduceat(differs, at[:-1]) > 0
+    alone = np.flatnonzero(other)
+    pair[alone] = len(first) + np.arange(len(alone))
+    return np.concatenate([first, alone]), pair
 
 
 class Vocabularies:
     """Both tokenizers, and the bytes of their tokens.
 
     The byte-level file is encoded by ranks where its merges are in the order of its ids (checked), and by
-    its own library otherwise and for texts that the rank-based encoder cannot split.
+    its own library otherwise and for texts with runs of blanks that the
+    rank-based encoder cannot split.
     """
 
     def __init__(self, a_path: str, b_path: str):
@@ -84,7 +127,9 @@ class Vocabularies:
                         for i, p in enumerate(self.pieces.id_to_piece(list(range(n))))]
         self.a_size, self.b_size = (np.array([len(x) for x in t]) for t in (self.a_bytes, self.b_bytes))
         self.a_space, self.b_space = (np.array([x[:1] == b" " for x in t]) for t in (self.a_bytes, self.b_bytes))
-        self.known: dict[tuple, Window] = {}
+        # an id as text with what may follow it: another of its group, the other side, a group, a window
+        self.written = [f"{i}{after}" for i in range(max(len(self.a_bytes), n)) for after in (",", "|", ";", "")]
+        self.known: dict[tuple[bytes, bytes], Window] = {}
 
     @property
     def bound(self) -> int:
@@ -92,61 +137,90 @@ class Vocabularies:
         return int(2 * self.a_size.sum() + self.b_size.sum())
 
     def encode_a(self, text: str) -> list[int]:
-        if self.ranked is not None:
-            try:
-                return self.ranked.encode_ordinary(text)
-            except ValueError as error:  # its pattern backtracks over a very long run of blanks
-                if "backtracking" not in str(error):
-                    raise
+        if self.ranked is not None and (len(text) < BLANKS or not re.search(rf"\s{{{BLANKS}}}", text)):
+            return self.ranked.encode_ordinary(text)
         if self.library is None:
             from tokenizers import Tokenizer
             self.library = Tokenizer.from_file(self.a_path)
             self.library.encode_special_tokens = True
         return self.library.encode(text, add_special_tokens=False).ids
 
-    def window(self, a: tuple[int, ...], b: tuple[int, ...]) -> Window:
-        """Groups and links of a window that both tokenizers begin and end together."""
-        groups, codes = [], []
-        i = j = first_a = first_b = 0
-        end_a, end_b, n = 0, 0, len(self.b_bytes)
-        while i < len(a):
-            if end_a <= end_b:
-                end_a += len(self.a_bytes[a[i]])
-                i += 1
-            while end_b < end_a:
-                end_b += len(self.b_bytes[b[j]])
-                j += 1
-            if end_a == end_b:
-                groups.append(f"{','.join(map(str, a[first_a:i]))}|{','.join(map(str, b[first_b:j]))}")
-                codes.append(a[i - 1] * n + b[j - 1])
-                first_a, first_b = i, j
-        return Window(";".join(groups), codes)
-
-    def align(self, text: str | None):
-        """(number of a tokens, of b tokens, groups, codes of all links) of a text; None without tokens."""
+    def encode(self, text: str | None) -> tuple[list[int], list[int]]:
+        """Ids of both tokenizers; none if one of them does not give the text back."""
         if not text:
-            return None
+            return [], []
         whole = " " + text
-        a, b = self.encode_a(whole), self.pieces.encode(text)
-        raw = whole.encode()
+        a, b, raw = self.encode_a(whole), self.pieces.encode(text), whole.encode()
         if b"".join(map(self.a_bytes.__getitem__, a)) != raw or b"".join(map(self.b_bytes.__getitem__, b)) != raw:
-            return None
-        a_ids, b_ids = np.array(a), np.array(b)
-        a_start, b_start = (np.cumsum(size) - size for size in (self.a_size[a_ids], self.b_size[b_ids]))
-        anchors = np.intersect1d(a_start[self.a_space[a_ids]], b_start[self.b_space[b_ids]], assume_unique=True)
-        at_a = np.searchsorted(a_start, anchors).tolist() + [len(a)]
-        at_b = np.searchsorted(b_start, anchors).tolist() + [len(b)]
-        known, groups, codes = self.known, [], []
-        for i, j, k, m in zip(at_a, at_a[1:], at_b, at_b[1:]):
-            key = (tuple(a[i:j]), tuple(b[k:m]))
-            found = known.get(key)
-            if found is None:
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                found = known[key] = self.window(*key)
-            groups.append(found.groups)
-            codes += found.codes
-        return len(a), len(b), ";".join(groups), codes
+            return [], []
+        return a, b
+
+    def windows(self, a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> list[Window]:
+        """Alignments of windows that both tokenizers begin and end together: their ids one after
+        the other, and how many there are of each."""
+        a_end, b_end = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
+        shared = np.zeros(int(a_end[-1]) + 1, np.int8)
+        shared[a_end] = 1
+        b_last = shared[b_end] == 1
+        shared[:] = 0
+        shared[b_end] = 1
+        a_last = shared[a_end] == 1
+        a_group, b_group = np.cumsum(a_last) - a_last, np.cumsum(b_last) - b_last
+        a_upto, b_upto = (np.append(0, np.flatnonzero(last) + 1) for last in (a_last, b_last))
+        # a group's tokens of a, then its tokens of b
+        a_place = np.arange(len(a)) + b_upto[a_group]
+        b_place = np.arange(len(b)) + a_upto[b_group + 1]
+        order = np.empty(len(a) + len(b), np.int64)
+        order[a_place] = a * 4 + a_last
+        order[b_place] = b * 4 + 2 * b_last
+        stop = np.cumsum(n_a) + np.cumsum(n_b)
+        order[stop - 1] += 1  # a window's last token is one of b: nothing follows
+        codes = (a[a_last].astype(np.int64) * len(self.b_bytes) + b[b_last]).tobytes()
+        upto = (a_group[np.cumsum(n_a) - 1] + 1) * 8
+        written, text = order.tolist(), self.written.__getitem__
+        return [Window("".join(map(text, written[i:j])), codes[k:m]) for i, j, k, m in zip(
+            [0, *stop.tolist()], stop.tolist(), [0, *upto.tolist()], upto.tolist())]
+
+    def remembered(self, a: np.ndarray, b: np.ndarray, at_a, end_a, at_b, end_b) -> list[Window]:
+        """The alignments of windows (pairs of id tuples), each worked out once."""
+        keys = [(a[i:j].tobytes(), b[k:m].tobytes()) for i, j, k, m in zip(
+            at_a.tolist(), end_a.tolist(), at_b.tolist(), end_b.tolist())]
+        new = [w for w, key in enumerate(keys) if key not in self.known]
+        if len(self.known) + len(new) > REMEMBERED:
+            self.known.clear()
+            new = range(len(keys))
+        if len(new):
+            w = np.array(new)
+            made = self.windows(a[gathered(at_a[w], end_a[w])], b[gathered(at_b[w], end_b[w])],
+                                (end_a - at_a)[w], (end_b - at_b)[w])
+            self.known.update(zip([keys[k] for k in new], made))
+        return [self.known[key] for key in keys]
+
+    def align(self, texts: list[str | None]) -> Aligned:
+        """Tokens, groups and links of texts."""
+        coded = [self.encode(t) for t in texts]
+        n_a, n_b = (np.array([len(c[k]) for c in coded], np.int64) for k in (0, 1))
+        a, b = (np.fromiter(chain.from_iterable(c[k] for c in coded), np.int32) for k in (0, 1))
+        if not len(a):
+            return Aligned(n_a, n_b, [""] * len(texts), np.zeros(0, np.int64), np.zeros(0, np.int64))
+        # Both sides of a text have the same bytes, so offsets over all texts agree.
+        a_start, b_start = (np.cumsum(size) - size for size in (self.a_size[a], self.b_size[b]))
+        spaced = np.zeros(int(a_start[-1]) + 1, bool)
+        spaced[a_start[self.a_space[a]]] = True
+        anchors = b_start[self.b_space[b]]
+        anchors = anchors[spaced[np.minimum(anchors, len(spaced) - 1)] & (anchors < len(spaced))]
+        at_a, at_b = (np.append(np.searchsorted(start, anchors), len(start)) for start in (a_start, b_start))
+        first, pair = same_windows(a, b, at_a, at_b)
+        found = self.remembered(a, b, at_a[first], at_a[first + 1], at_b[first], at_b[first + 1])
+        border = np.searchsorted(at_a[:-1], np.append(0, np.cumsum(n_a)))  # each text begins with an anchor
+        written, numbers = [w.groups for w in found], pair.tolist()
+        groups = [";".join(map(written.__getitem__, numbers[i:j])) for i, j in zip(border[:-1], border[1:])]
+        size = np.array([len(w.codes) // 8 for w in found])
+        every = np.frombuffer(b"".join(w.codes for w in found), np.int64)
+        upto = np.cumsum(size)[pair]
+        place = gathered(upto - size[pair], upto)
+        window_text = np.repeat(np.arange(len(texts)), np.diff(border))
+        return Aligned(n_a, n_b, groups, np.repeat(window_text, size[pair]), every[place])
 
 
 _LOADED: dict[tuple[str, str], Vocabularies] = {}
@@ -172,24 +246,23 @@ def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", tex
     """
     kind = docs.schema[id_col].dataType.simpleString()
     names = ["id", *(c.split()[0] for c in _COUNTS.split(", ")), "codes", "times", *["groups"] * keep_groups]
-    types = [None, *[pa.int64()] * 4, pa.string(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.string()]
 
     def task(batches):
         own = vocabularies(a_path, b_path)
+        pairs = len(own.a_bytes) * len(own.b_bytes)
         for batch in batches:
-            rows = []
-            for text in batch.column(1):
-                found = own.align(text.as_py())
-                if found is None:
-                    rows.append((0, 0, 0, 0, "", [], [], ""))
-                    continue
-                n_a, n_b, groups, codes = found
-                distinct, times = np.unique(np.array(codes, np.int64), return_counts=True)
-                rows.append((n_a, n_b, len(codes), len(codes), hashlib.sha256(groups.encode()).hexdigest(),
-                             distinct, times.astype(np.int32), groups if keep_groups else ""))
-            columns = list(zip(*rows)) or [()] * 8
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(c, t) for c, t in zip(columns[:len(names) - 1], types[1:]))], names=names)
+            texts = batch.column(1)
+            for i, j in slices(utf8(texts)[1], SLICE):
+                found = own.align(texts[i:j].to_pylist())
+                n_links = np.bincount(found.link_text, minlength=j - i)
+                distinct, times = np.unique(found.link_text * pairs + found.codes, return_counts=True)
+                offsets = pa.array(np.searchsorted(distinct, np.arange(j - i + 1) * pairs), pa.int32())
+                digests = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in found.groups]
+                columns = [batch.column(0)[i:j], *map(pa.array, (found.n_a, found.n_b, n_links, n_links, digests)),
+                           pa.ListArray.from_arrays(offsets, pa.array(distinct % pairs)),
+                           pa.ListArray.from_arrays(offsets, pa.array(times.astype(np.int32)))]
+                yield pa.RecordBatch.from_arrays(
+                    columns + [pa.array(found.groups, pa.string())] * keep_groups, names=names)
 
     schema = f"id {kind}, {_COUNTS}, codes array<long>, times array<int>" + ", groups string" * keep_groups
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(task, schema)
