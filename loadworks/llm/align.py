@@ -3,8 +3,9 @@
 Both tokenizers encode the whole text.  Where a token of each begins with a space
 at the same byte, both have ended a token just before: these anchors, checked on
 the tokens' byte lengths, split a document into windows, mostly a word each.  A
-window's alignment depends on its token ids alone, so it is worked out once for
-each pair of id tuples and remembered by the worker (a bounded table).
+window's alignment depends on its token ids alone: equal pairs of id tuples are
+aligned once in a slice of texts, and those that recur are remembered by the
+worker (a bounded table).
 
 Inside a window the offsets where tokens of both end together close a group and
 link the two tokens that end there.  One of two linked tokens is a suffix of the
@@ -145,15 +146,21 @@ class Vocabularies:
             self.library.encode_special_tokens = True
         return self.library.encode(text, add_special_tokens=False).ids
 
-    def encode(self, text: str | None) -> tuple[list[int], list[int]]:
-        """Ids of both tokenizers; none if one of them does not give the text back."""
-        if not text:
-            return [], []
-        whole = " " + text
-        a, b, raw = self.encode_a(whole), self.pieces.encode(text), whole.encode()
-        if b"".join(map(self.a_bytes.__getitem__, a)) != raw or b"".join(map(self.b_bytes.__getitem__, b)) != raw:
-            return [], []
-        return a, b
+    def encode(self, texts: list[str | None]) -> list[tuple[list[int], list[int]]]:
+        """Ids of both tokenizers by text; none where one of them does not give the text back.
+
+        The tokens of the rank-based encoder are cut out of the text, so only the others are compared.
+        """
+        coded = [([], [])] * len(texts)
+        some = [k for k, t in enumerate(texts) if t]
+        for k, b in zip(some, self.pieces.encode([texts[k] for k in some], num_threads=1) if some else ()):
+            whole = " " + texts[k]
+            if b"".join(map(self.b_bytes.__getitem__, b)) != whole.encode():
+                continue
+            a = self.encode_a(whole)
+            if self.ranked is not None or b"".join(map(self.a_bytes.__getitem__, a)) == whole.encode():
+                coded[k] = a, b
+        return coded
 
     def windows(self, a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> list[Window]:
         """Alignments of windows that both tokenizers begin and end together: their ids one after
@@ -182,7 +189,7 @@ class Vocabularies:
             [0, *stop.tolist()], stop.tolist(), [0, *upto.tolist()], upto.tolist())]
 
     def remembered(self, a: np.ndarray, b: np.ndarray, at_a, end_a, at_b, end_b) -> list[Window]:
-        """The alignments of windows (pairs of id tuples), each worked out once."""
+        """The alignments of windows (pairs of id tuples), those not yet known worked out together."""
         keys = [(a[i:j].tobytes(), b[k:m].tobytes()) for i, j, k, m in zip(
             at_a.tolist(), end_a.tolist(), at_b.tolist(), end_b.tolist())]
         new = [w for w, key in enumerate(keys) if key not in self.known]
@@ -198,7 +205,7 @@ class Vocabularies:
 
     def align(self, texts: list[str | None]) -> Aligned:
         """Tokens, groups and links of texts."""
-        coded = [self.encode(t) for t in texts]
+        coded = self.encode(texts)
         n_a, n_b = (np.array([len(c[k]) for c in coded], np.int64) for k in (0, 1))
         a, b = (np.fromiter(chain.from_iterable(c[k] for c in coded), np.int32) for k in (0, 1))
         if not len(a):
@@ -211,7 +218,14 @@ class Vocabularies:
         anchors = anchors[spaced[np.minimum(anchors, len(spaced) - 1)] & (anchors < len(spaced))]
         at_a, at_b = (np.append(np.searchsorted(start, anchors), len(start)) for start in (a_start, b_start))
         first, pair = same_windows(a, b, at_a, at_b)
+        # windows that occur once are rare: they are aligned, but not remembered
+        once = np.bincount(pair) == 1
+        number = np.where(once, (~once).sum() + np.cumsum(once), np.cumsum(~once)) - 1
+        pair, rare, first = number[pair], first[once], first[~once]
         found = self.remembered(a, b, at_a[first], at_a[first + 1], at_b[first], at_b[first + 1])
+        if len(rare):
+            n_rare = [at[rare + 1] - at[rare] for at in (at_a, at_b)]
+            found += self.windows(a[gathered(at_a[rare], at_a[rare + 1])], b[gathered(at_b[rare], at_b[rare + 1])], *n_rare)
         border = np.searchsorted(at_a[:-1], np.append(0, np.cumsum(n_a)))  # each text begins with an anchor
         written, numbers = [w.groups for w in found], pair.tolist()
         groups = [";".join(map(written.__getitem__, numbers[i:j])) for i, j in zip(border[:-1], border[1:])]
