@@ -24,6 +24,7 @@ several times over by its task, whatever its length.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import re
@@ -40,7 +41,7 @@ from loadworks.llm.components import stored
 from loadworks.llm.token_count import byte_letters
 
 REMEMBERED = 200_000  # windows whose alignment a worker keeps
-SLICE = 1 << 21       # bytes of text that are aligned together (a longer text alone)
+SLICE = 1 << 20       # bytes of text that are aligned together (a longer text alone)
 
 BLANKS = 100_000      # a run of so many blanks is too much for the rank-based encoder's pattern
 
@@ -262,6 +263,13 @@ def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", tex
     names = ["id", *(c.split()[0] for c in _COUNTS.split(", ")), "codes", "times", *["groups"] * keep_groups]
 
     def task(batches):
+        gc.disable()  # many small tuples, none of them in a cycle
+        try:
+            yield from aligned(batches)
+        finally:
+            gc.enable()
+
+    def aligned(batches):
         own = vocabularies(a_path, b_path)
         pairs = len(own.a_bytes) * len(own.b_bytes)
         for batch in batches:
