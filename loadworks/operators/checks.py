@@ -10,19 +10,19 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from loadworks.operators.sequence import add_bucket, time_bucket, with_neighbour
 from loadworks.operators.shaping import qcol
 from loadworks.operators.verdict import check, combine_metrics, percent, rows
+from loadworks.sources.files import block_summaries, fold_blocks
 
 OPEN_END = "9999-12-31"
 
 # Words that mark a header or trailer row leaking into data.
-HEADER_WORDS = ["header", "trailer", "hdr", "trl", "record_count", "total", "footer", r"h\|"]
-HEADER_PATTERN = "^(" + "|".join(HEADER_WORDS) + ")"
+HEADER_PATTERN = r"^(header|trailer|hdr|trl|record_count|total|footer|h\|)"
 
 
 def _status(cond_pass: Column, fail: str = "FAIL") -> Column:
@@ -257,27 +257,35 @@ def check_control_file(lines: DataFrame, sep: str, width: int, file_col: str = "
     w_lines = lines.select(
         qcol(file_col), qcol(line_no_col), qcol(text_col), nfields.alias("nf"))
     per_file = w_lines.groupBy(qcol(file_col)).agg(
-        F.count(F.lit(1)).alias("n_lines"),
-        F.min(qcol(line_no_col)).alias("first_no"),
-        F.max(qcol(line_no_col)).alias("last_no"),
-        F.max_by(qcol(text_col), qcol(line_no_col)).alias("trailer"),
-        F.sum(F.when(F.col("nf") != width, 1).otherwise(0)).alias("bad_all"),
-        F.max_by(F.col("nf"), qcol(line_no_col)).alias("nf_last"),
-        F.min_by(F.col("nf"), qcol(line_no_col)).alias("nf_first"),
+        F.count(F.lit(1)).alias("filled"),
+        F.element_at(F.split(F.max_by(qcol(text_col), qcol(line_no_col)), _regex_literal(sep), -1), -1)
+        .try_cast("long").alias("last_value"),
+        F.sum(F.when(F.col("nf") != width, 1).otherwise(0)).alias("bad"),
+        F.max_by(F.col("nf"), qcol(line_no_col)).alias("last_fields"),
+        F.min_by(F.col("nf"), qcol(line_no_col)).alias("first_fields"),
     )
-    details = F.col("n_lines") - 2
-    bad_width = F.col("bad_all") - F.when(F.col("nf_first") != width, 1).otherwise(0) \
-        - F.when(F.col("nf_last") != width, 1).otherwise(0)
-    trailer_count = F.element_at(F.split(F.col("trailer"), _regex_literal(sep), -1), -1) \
-        .try_cast("long")
-    has_ctl = F.col("n_lines") >= 2
+    return _control_verdict(per_file, file_col, width)
+
+
+def check_control_files(spark: SparkSession, path: str, sep: str, width: int) -> DataFrame:
+    """``check_control_file`` of all files below ``path``, from block summaries: one scan,
+    and no line is moved (see ``sources.files.block_summaries``)."""
+    return _control_verdict(fold_blocks(block_summaries(spark, path, sep, width)).filter("filled > 0"), "file", width)
+
+
+def _control_verdict(per_file: DataFrame, file_col: str, width: int) -> DataFrame:
+    """The check's row from a file's counts of non-blank lines."""
+    details = F.col("filled") - 2
+    bad_width = F.col("bad") - F.when(F.col("first_fields") != width, 1).otherwise(0) \
+        - F.when(F.col("last_fields") != width, 1).otherwise(0)
+    has_ctl = F.col("filled") >= 2
     return per_file.select(
         qcol(file_col),
         has_ctl.alias("has_control_records"),
         F.greatest(details, F.lit(0)).cast("long").alias("detail_lines"),
         F.when(has_ctl, bad_width).otherwise(F.lit(0)).cast("long").alias("bad_width_lines"),
-        trailer_count.alias("trailer_count"),
-        F.when(has_ctl & (bad_width == 0) & (trailer_count == details), "PASS")
+        F.col("last_value").alias("trailer_count"),
+        F.when(has_ctl & (bad_width == 0) & (F.col("last_value") == details), "PASS")
         .otherwise("FAIL").alias("status"),
     )
 

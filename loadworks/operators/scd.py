@@ -14,8 +14,9 @@ Dimension layout: business keys, attributes, ``valid_from``, ``valid_to``
   with the batch.  Batch rows not later than the key's current ``valid_from``
   are returned as *late* rows, rows with a NULL key as *rejects*.
 * ``load_batch`` does the same on a stored dimension partitioned by
-  ``is_current``: it appends the newly closed versions and replaces the
-  current partition; files of closed versions are never rewritten.
+  ``is_current``: it adds the newly closed versions and replaces the current
+  partition by one record of the load journal; files of closed versions are never
+  rewritten, and a load that died is completed or undone by running it again.
 
 Neighbour rows are found with ``sequence.with_neighbour`` on (key, day)
 buckets, so a key holding a large share of the history is spread over many
@@ -24,16 +25,19 @@ tasks.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadworks.operators.apply import any_null, null_key_rows
 from loadworks.operators.sequence import add_bucket, time_bucket, with_neighbour
 from loadworks.operators.shaping import project_common, qcol
-from loadworks.session import scratch
-from loadworks.sources.sinks import insert_partitions
+from loadworks.session import scratch_path
+from loadworks.sources.journal import Change, Journal
+from loadworks.sources.sinks import location
 
 OPEN_END = "9999-12-31 00:00:00"
 CURRENT = "is_current"
@@ -178,26 +182,51 @@ def scd2_apply(dim: DataFrame, batch: DataFrame, keys: list[str], attrs: list[st
     return Applied(c.passive.unionByName(c.current).unionByName(c.closed), c.late, c.rejects)
 
 
+class Loaded(NamedTuple):
+    """What a load did to a stored dimension, and the batch rows that were not applied."""
+
+    change: Change
+    late: DataFrame
+    rejects: DataFrame
+
+
 def load_batch(table: str, batch: DataFrame, keys: list[str], attrs: list[str], effective: str,
-               tie_break: list[str] | None = None, bucket: str | None = "day") -> Changes:
+               tie_break: list[str] | None = None, bucket: str | None = "day", load_id: str | None = None,
+               step: Callable[[str], None] = lambda name: None) -> Loaded:
     """Apply a batch to a stored dimension partitioned by ``is_current``.
 
-    Reads the current partition only.  The changes are stored first, then the
-    closed versions are appended and the current partition is replaced, so a
-    batch writes in proportion to the current versions, never to the history.
-    A run that dies between the two writes leaves the appended versions: remove
-    those that end after the last complete load before running it again.
+    Reads the current partition only.  Closed versions are added and the current
+    partition's files are replaced by one journal record (see ``sources.journal``), so
+    a batch writes in proportion to the current versions, never to the history, and
+    a run that dies is complete or undone when the load is run again (or
+    ``Journal.finish`` is called) under the same ``load_id``; an id that has been applied
+    changes nothing.  Without an id every call is a load of its own.
     """
     spark = batch.sparkSession
+    journal = Journal(spark, location(spark, table), step)
+    load_id = load_id or uuid.uuid4().hex
+    if journal.finish():
+        _refresh(spark, table)
+    change = journal.applied(load_id)
     dim = spark.table(table)
-    c = scd2_changes(dim.filter(F.col(CURRENT)), batch, keys, attrs, effective, tie_break, bucket)
-    with scratch(spark, "scd2-load") as path:
-        c.closed.write.parquet(f"{path}/closed")
-        c.current.unionByName(c.passive).write.parquet(f"{path}/current")
-        cols = [qcol(x) for x in dim.columns]
-        spark.read.parquet(f"{path}/closed").select(*cols).write.insertInto(table)
-        insert_partitions(spark.read.parquet(f"{path}/current").select(*cols), table)
-    return c
+    rest = scratch_path(spark, "scd2-rest")
+    late, rejects = batch.limit(0), batch.limit(0)
+    if change is None:
+        base = journal.version()
+        c = scd2_changes(dim.filter(F.col(CURRENT)), batch, keys, attrs, effective, tie_break, bucket)
+        # what is not applied depends on the files that the load replaces
+        c.late.write.parquet(f"{rest}/late")
+        c.rejects.write.parquet(f"{rest}/rejects")
+        late, rejects = (spark.read.schema(batch.schema).parquet(f"{rest}/{n}") for n in ("late", "rejects"))
+        image = c.closed.unionByName(c.current).unionByName(c.passive).select(*[qcol(x) for x in dim.columns])
+        change = journal.change(load_id, image, journal.folder.data_files(f"{CURRENT}=true"), [CURRENT], base)
+        _refresh(spark, table)
+    return Loaded(change, late, rejects)
+
+
+def _refresh(spark: SparkSession, table: str) -> None:
+    spark.sql(f"MSCK REPAIR TABLE {table} ADD PARTITIONS")
+    spark.catalog.refreshTable(table)
 
 
 def as_of(dim: DataFrame, instant) -> DataFrame:

@@ -7,10 +7,12 @@ from pyspark.sql.types import (DecimalType, LongType, StringType, StructField, S
                                TimestampType)
 
 from loadworks.operators import apply as A
+from loadworks.operators import touched as T
 from loadworks.operators.shaping import with_partition_columns
 from loadworks.plans.registry import recipe, table
-from loadworks.session import scratch_database
+from loadworks.session import scratch_database, scratch_path
 from loadworks.sources import sinks as K
+from loadworks.sources.journal import append_once
 
 RELOAD_DAY = "1997-06-15"
 
@@ -172,6 +174,107 @@ def q_snk_append(spark, sf):
     return spark.table(name)
 
 
+@recipe("snk_append_once", "SELECT * FROM orders UNION ALL SELECT * FROM orders")
+def q_snk_append_once(spark, sf):
+    """Two batches, each of them sent again as if its answer had been lost."""
+    o = table(spark, sf, "orders")
+    path = scratch_path(spark, "orders-once")
+    for load in ("monday", "monday", "tuesday", "monday", "tuesday"):
+        append_once(o, path, load)
+    return spark.read.parquet(path)
+
+
+@recipe("snk_publish_version", """
+SELECT 'second' AS version, o_orderkey, lower(o_orderstatus) AS o_orderstatus FROM orders
+UNION ALL SELECT 'first', o_orderkey, o_orderstatus FROM orders
+""")
+def q_snk_publish_version(spark, sf):
+    """The name shows the second image; a reader that had begun before still sees the first."""
+    name = f"{scratch_database(spark)}.orders_shown"
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    K.publish_version(o, name)
+    begun = K.pinned(spark, name)
+    now = K.publish_version(spark.table(name).withColumn("o_orderstatus", F.lower("o_orderstatus")), name)
+    return now.select(F.lit("second").alias("version"), "*").unionByName(begun.select(F.lit("first").alias("version"), "*"))
+
+
+def _stored_orders(spark, sf, *partition_by):
+    """Orders in files that are sorted by key (and by month, if partitioned by it)."""
+    path = scratch_path(spark, "orders-files")
+    o = table(spark, sf, "orders").withColumn("month", F.date_format("o_orderdate", "yyyy-MM"))
+    o.repartitionByRange("o_orderkey").sortWithinPartitions("o_orderkey").write.partitionBy(*partition_by).parquet(path)
+    return path
+
+
+RECENT_SQL = "o_orderkey * 5 > (SELECT max(o_orderkey) * 4 FROM orders)"
+_ORDERS_SQL = "SELECT *, strftime(o_orderdate, '%Y-%m') AS month FROM orders"
+
+
+def _recent(orders):
+    """The orders of the last fifth of the keys."""
+    last = orders.agg(F.max("o_orderkey").alias("last"))
+    return orders.join(F.broadcast(last), F.col("o_orderkey") * 5 > F.col("last") * 4).drop("last")
+
+
+@recipe("upsert_files", f"""
+WITH o AS ({_ORDERS_SQL}),
+b AS (SELECT o_orderkey, o_custkey, 'X' AS o_orderstatus, o_totalprice + 1 AS o_totalprice, o_orderdate, o_orderpriority, month
+      FROM o WHERE {RECENT_SQL} AND o_orderstatus = 'F'
+      UNION ALL
+      SELECT -o_orderkey, o_custkey, 'N', o_totalprice, o_orderdate, o_orderpriority, month
+      FROM o WHERE {RECENT_SQL} AND o_orderpriority = '1-URGENT')
+SELECT * FROM o WHERE o_orderkey NOT IN (SELECT o_orderkey FROM b) UNION ALL SELECT * FROM b
+""")
+def q_upsert_files(spark, sf):
+    path = _stored_orders(spark, sf)
+    recent = _recent(spark.read.parquet(path))
+    changed = recent.filter("o_orderstatus = 'F'").withColumn("o_orderstatus", F.lit("X")) \
+        .withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    new = recent.filter("o_orderpriority = '1-URGENT'").withColumn("o_orderkey", -F.col("o_orderkey")) \
+        .withColumn("o_orderstatus", F.lit("N"))
+    T.upsert_files(spark, path, changed.unionByName(new), ["o_orderkey"])
+    return spark.read.parquet(path)
+
+
+@recipe("update_files", f"""
+SELECT * EXCLUDE (c_mktsegment) REPLACE (
+  CASE WHEN {RECENT_SQL} THEN CASE WHEN o_totalprice < 100000 THEN NULL ELSE c_mktsegment END
+       ELSE o_orderpriority END AS o_orderpriority)
+FROM (SELECT o.*, c_mktsegment FROM ({_ORDERS_SQL}) o LEFT JOIN customer ON c_custkey = o_custkey)
+""")
+def q_update_files(spark, sf):
+    """Recent orders take the segment of their customer (NULL if they are small)."""
+    path = _stored_orders(spark, sf)
+    c = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
+    source = _recent(spark.read.parquet(path)).join(c, "o_custkey", "left").select(
+        "o_orderkey", F.when(F.col("o_totalprice") >= 100000, F.col("c_mktsegment")).alias("value"))
+    T.update_files(spark, path, source, ["o_orderkey"], {"o_orderpriority": "value"})
+    return spark.read.parquet(path)
+
+
+@recipe("delete_files", f"SELECT * FROM ({_ORDERS_SQL}) o WHERE NOT ({RECENT_SQL} AND o_orderstatus = 'O')")
+def q_delete_files(spark, sf):
+    path = _stored_orders(spark, sf)
+    gone = _recent(spark.read.parquet(path)).filter("o_orderstatus = 'O'")
+    T.delete_files(spark, path, gone, ["o_orderkey"])
+    return spark.read.parquet(path)
+
+
+@recipe("replace_files", f"""
+SELECT * FROM ({_ORDERS_SQL}) o WHERE month <> '1996-02'
+UNION ALL SELECT * REPLACE (o_totalprice + 1 AS o_totalprice) FROM ({_ORDERS_SQL}) o
+WHERE month = '1996-02' AND o_orderpriority <> '5-LOW'
+""")
+def q_replace_files(spark, sf):
+    """A month is loaded again; the files of other months stay."""
+    path = _stored_orders(spark, sf, "month")
+    stored = spark.read.parquet(path)
+    new = stored.filter("month = '1996-02' AND o_orderpriority <> '5-LOW'") \
+        .withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    T.replace_files(spark, path, new, F.col("month") == "1996-02", ["month"])
+    return spark.read.parquet(path).select(*stored.columns)
+
+
 _ORDER_COLS = [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"),
                ("o_totalprice", "double"), ("o_orderdate", "timestamp_ntz"),
                ("o_orderpriority", "string"), ("ptn_yyyy", "string"), ("ptn_mm", "string")]
@@ -191,6 +294,24 @@ def q_snk_clone_empty(spark, sf):
     return K.column_inventory(spark.table(name))
 
 
+@recipe("snk_clone_first", "\nUNION ALL\n".join(
+    f"SELECT '{want}' AS wanted, '{found}' AS cloned, count({column}) AS rows_in_clone FROM orders WHERE false"
+    for want, found, column in (("in_orders", "in_orders", "o_orderkey"), ("in_parts", "parts", "o_orderkey"))))
+def q_snk_clone_first(spark, sf):
+    """Empty partition tables from the first source that can be read: the landed table, else the base table."""
+    db = scratch_database(spark)
+    table(spark, sf, "orders").write.format("parquet").saveAsTable(f"{db}.in_orders")
+    table(spark, sf, "part").write.format("parquet").saveAsTable(f"{db}.parts")
+    out = None
+    for name in ("orders", "parts"):
+        found = K.create_clone_of_first(spark, [f"{db}.in_{name}", f"{db}.{name}"], f"{db}.p_{name}",
+                                        {"ptn_yyyy": "string"}, ["ptn_yyyy"])
+        made = spark.table(f"{db}.p_{name}").agg(F.count(F.lit(1)).alias("rows_in_clone")).select(
+            F.lit(f"in_{name}").alias("wanted"), F.lit(found.rpartition(".")[2]).alias("cloned"), "rows_in_clone")
+        out = made if out is None else out.unionByName(made)
+    return out
+
+
 TXN_DAILY = StructType([
     StructField("txn_id", LongType()), StructField("account_id", LongType()),
     StructField("amount", DecimalType(18, 2)), StructField("txn_date", StringType()),

@@ -212,8 +212,7 @@ def q_src_drop_control(spark, sf):
 SELECT o_orderpriority AS priority, file_no, count(*) AS records FROM ({FILES_SQL}) f GROUP BY 1, 2
 """)
 def q_src_record_count(spark, sf):
-    lines = FS.number_lines(spark, _land_flat_files(spark, sf))
-    counts = FS.count_file_records(lines)
+    counts = FS.count_records(spark, _land_flat_files(spark, sf))
     return counts.select(_part_value(F.col("file"), "prio").alias("priority"),
                          _part_value(F.col("file"), "file_no").cast("long").alias("file_no"), "records")
 
@@ -227,14 +226,35 @@ SELECT o_orderpriority AS priority, file_no, true AS has_control_records, count(
 FROM ({FILES_SQL}) f GROUP BY o_orderpriority, file_no
 """)
 def q_check_control_file(spark, sf):
-    lines = FS.number_lines(spark, _land_flat_files(spark, sf, corrupt=True))
-    nonblank = lines.filter(F.col("line").rlike(r"\S"))
-    res = C.check_control_file(nonblank, "|", len(FLAT_COLS))
+    res = C.check_control_files(spark, _land_flat_files(spark, sf, corrupt=True), "|", len(FLAT_COLS))
     return res.select(_part_value(F.col("file"), "prio").alias("priority"),
                       _part_value(F.col("file"), "file_no").cast("long").alias("file_no"),
                       *[c for c in res.columns if c != "file"])
 
 
+_WIDE = "o_orderpriority = '3-MEDIUM' AND o_totalprice > 499000"
+
+
+@recipe("src_flat_rejects", f"""
+SELECT 'rejected' AS outcome, o_orderpriority AS priority, file_no, 5 AS fields, 'too many fields' AS reason,
+       '001|' || o_orderkey || '|' || strftime(o_orderdate, '%Y-%m-%d') || '|' ||
+       CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) || '|extra' AS line
+FROM ({FILES_SQL}) f WHERE {_WIDE}
+UNION ALL
+SELECT 'read', o_orderpriority, file_no, NULL, NULL, CAST(o_orderkey AS VARCHAR) FROM ({FILES_SQL}) f
+WHERE NOT ({_WIDE})
+""")
+def q_src_flat_rejects(spark, sf):
+    """Detail rows that could be read, and the lines of another width that could not."""
+    rows, rejects = FS.read_flat_checked(spark, _land_flat_files(spark, sf, corrupt=True), FLAT_COLS, "|")
+    where = [_part_value(F.col("file"), "prio").alias("priority"),
+             _part_value(F.col("file"), "file_no").cast("long").alias("file_no")]
+    good = FS.drop_control_records(rows, "org").select(
+        F.lit("read").alias("outcome"), *where, F.lit(None).cast("int").alias("fields"),
+        F.lit(None).cast("string").alias("reason"), F.col("order_key").alias("line"))
+    return good.unionByName(rejects.select(F.lit("rejected").alias("outcome"), *where, "fields", "reason", "line"))
+
+
 @recipe("flat_file_record_map", """
 WITH r AS (SELECT '001' AS org, '4' || lpad(CAST(c_custkey AS VARCHAR), 15, '0') AS acct,
                   CASE WHEN c_custkey % 2 = 0

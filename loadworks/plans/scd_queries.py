@@ -69,6 +69,31 @@ def q_scd2_load(spark, sf):
     return spark.table(name).select(*dim.columns)
 
 
+def stops_at(name):
+    """A step hook that ends a load there, as a death of the driver would."""
+    def step(reached):
+        if reached == name:
+            raise InterruptedError(f"stopped after: {name}")
+    return step
+
+
+@recipe("scd2_load_recovered", BUILD_SQL)
+def q_scd2_load_recovered(spark, sf):
+    """Two batches; the load of each dies (before and after its record) and is run again."""
+    ev = table(spark, sf, "events")
+    name = f"{scratch_database(spark)}.events_dim"
+    dim = build_events(ev.filter(F.col(EFF) < _ts(SPLIT_AT)))
+    publish(dim, name, ["is_current"])
+    batches = {"first": (F.col(EFF) >= _ts(SPLIT_AT)) & (F.col(EFF) < _ts(AS_OF)), "second": F.col(EFF) >= _ts(AS_OF)}
+    for (load, rows), death in zip(batches.items(), ("staged", "moved")):
+        try:
+            D.load_batch(name, ev.filter(rows), KEYS, ATTRS, EFF, TIE, load_id=load, step=stops_at(death))
+        except InterruptedError:
+            D.load_batch(name, ev.filter(rows), KEYS, ATTRS, EFF, TIE, load_id=load)
+        D.load_batch(name, ev.filter(rows), KEYS, ATTRS, EFF, TIE, load_id=load)  # changes nothing
+    return spark.table(name).select(*dim.columns)
+
+
 NULL_KEY_SQL = """
 SELECT CASE WHEN u.c_custkey IS NULL THEN NULL ELSE e.user_id END AS user_id,
        e.event_type, e.ts, e.event_id

@@ -54,6 +54,26 @@ def read_flat(spark: SparkSession, path: str, columns: list[str], sep: str = "|"
         .option("quote", "").option("header", "false").option("mode", "PERMISSIVE").csv(path)
 
 
+def read_flat_checked(spark: SparkSession, path: str, columns: list[str], sep: str = "|",
+                      min_fields: int = 2) -> tuple[DataFrame, DataFrame]:
+    """A headerless flat file split by width: ``(rows, rejects)``, both with their file.
+
+    Rows have at most as many fields as columns (control records are short: missing
+    trailing fields are NULL) and at least ``min_fields``; lines of another width come
+    back whole as ``(file, line, fields, reason)``.  Nothing is dropped: every non-blank
+    line is in one of the two.  One pass over the text for each of the results that is
+    used; no shuffle.
+    """
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line")) \
+        .filter(F.col("line").rlike(r"\S"))
+    parts = F.split("line", re.escape(sep), -1)
+    n = F.size(parts)
+    reason = F.when(n > len(columns), "too many fields").when(n < min_fields, "too few fields")
+    cells = [F.when(F.get(parts, F.lit(i)) != "", F.get(parts, F.lit(i))).alias(c) for i, c in enumerate(columns)]
+    return (lines.filter(reason.isNull()).select("file", *cells),
+            lines.select("file", "line", n.alias("fields"), reason.alias("reason")).filter("reason IS NOT NULL"))
+
+
 def drop_control_records(df: DataFrame, key: str, sentinel: str = "000") -> DataFrame:
     """Keep rows whose first column is present and not the control sentinel."""
     return df.filter(qcol(key).isNotNull() & (qcol(key) != F.lit(sentinel)))
@@ -89,6 +109,59 @@ def number_lines(spark: SparkSession, path: str) -> DataFrame:
         "line")
 
 
+def block_summaries(spark: SparkSession, path: str, sep: str | None = None,
+                    width: int | None = None) -> DataFrame:
+    """What matters of each file block, one row a block, in one scan.
+
+    ``(file, block, lines, filled, first_at, last_at)``: lines, non-blank lines, and the
+    places (from 0) of the first and last non-blank one.  With ``sep`` and ``width`` also
+    ``bad`` (non-blank lines of another number of fields), ``first_fields`` and
+    ``last_fields`` (fields of the first and last non-blank line) and ``last_value`` (the
+    last one's last field as a number).  Lines of a block are read in order by one
+    task, so everything is a sum, minimum or maximum of numbers there, and only the
+    summaries are shuffled.
+    """
+    raw = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("id"), F.col("value").alias("line"))
+    at = F.when(F.col("line").rlike(r"\S"), F.col("id"))
+    rows = raw.select("file", "block", "id", at.alias("at"), "line")
+    found = [F.count(F.lit(1)).alias("lines"), F.count("at").alias("filled"),
+             (F.min("at") - F.min("id")).alias("first_at"), (F.max("at") - F.min("id")).alias("last_at")]
+    if sep is not None:
+        rows = rows.select("file", "block", "id", "at", (_count(F.col("line"), sep) / len(sep) + 1).cast("int").alias("fields"),
+                           F.substring_index("line", sep, -1).try_cast("long").alias("value"))
+        found += [F.count(F.when(F.col("at").isNotNull() & (F.col("fields") != width), 1)).alias("bad"),
+                  F.min_by("fields", "at").alias("first_fields"), F.max_by("fields", "at").alias("last_fields"),
+                  F.max_by("value", "at").alias("last_value")]
+    return rows.groupBy("file", "block").agg(*found)
+
+
+def fold_blocks(blocks: DataFrame) -> DataFrame:
+    """Summaries of whole files from those of their blocks: ``(file, lines, filled, first_no, last_no, ...)``.
+
+    ``first_no`` and ``last_no`` are the 1-based numbers of the first and last non-blank
+    line (NULL if there is none); the other columns as in ``block_summaries``.
+    """
+    w = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    placed = blocks.withColumn("before", F.coalesce(F.sum("lines").over(w), F.lit(0)))
+    place = F.when(F.col("filled") > 0, F.col("block"))
+    found = [F.sum("lines").alias("lines"), F.sum("filled").alias("filled"),
+             F.min(F.col("before") + F.col("first_at") + 1).alias("first_no"),
+             F.max(F.col("before") + F.col("last_at") + 1).alias("last_no")]
+    if "bad" in blocks.columns:
+        found += [F.sum("bad").alias("bad"), F.min_by("first_fields", place).alias("first_fields"),
+                  F.max_by("last_fields", place).alias("last_fields"), F.max_by("last_value", place).alias("last_value")]
+    return placed.groupBy("file").agg(*found)
+
+
+def count_records(spark: SparkSession, path: str, control_lines: int = 2) -> DataFrame:
+    """``(file, records)``: lines from the first to the last non-blank one, less the control
+    lines (header and trailer), of every file below ``path``; from block summaries."""
+    span = F.coalesce(F.col("last_no") - F.col("first_no") + 1, F.lit(0)) - control_lines
+    return fold_blocks(block_summaries(spark, path)).select("file", F.greatest(span, F.lit(0)).cast("long").alias("records"))
+
+
 def head_lines(spark: SparkSession, path: str, n: int) -> DataFrame:
     """The first ``n`` lines of each file: ``(file, line_no, line)``.
 

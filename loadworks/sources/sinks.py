@@ -6,6 +6,10 @@ and only then is the backup dropped.  The image may be computed *from* the
 table it replaces, writers do not share a staging table, and a swap that fails
 puts the old table back.  The swap is two catalog operations and not atomic: a
 reader between them sees no table.
+
+``publish_version`` has no such gap: every image is a folder of its own, and the
+name is a view that is pointed to the next folder by one catalog operation.
+Readers that have begun keep the folder they resolved.
 """
 
 from __future__ import annotations
@@ -19,8 +23,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from loadworks.operators.shaping import qcol
+from loadworks.sources.folders import Folder
+from loadworks.sources.journal import WRITE_SALT, Conflict
 
-WRITE_SALT = 8  # tasks that may share a large partition of a partitioned write
+# Fixed value: what a concurrent append is called in the error of a table format.
+CONCURRENT_APPEND = "ConcurrentAppend"
+KEPT_VERSIONS = 3  # published versions that stay for readers
 
 
 def _spark(df: DataFrame) -> SparkSession:
@@ -63,6 +71,57 @@ def publish(df: DataFrame, table: str, partition_by: list[str] | None = None) ->
     return spark.table(table)
 
 
+def _versions(spark: SparkSession, name: str) -> Folder:
+    """The folder of a name's versions, beside the tables of its database."""
+    database, _, view = name.rpartition(".")
+    info = spark.catalog.getDatabase(database or spark.catalog.currentDatabase())
+    return Folder(spark, f"{info.locationUri.rstrip('/')}/{view}__versions")
+
+
+def publish_version(df: DataFrame, name: str, partition_by: list[str] | None = None,
+                    keep: int = KEPT_VERSIONS) -> DataFrame:
+    """Replace what ``name`` shows with the image ``df``, without a moment in which it shows nothing.
+
+    The image is written to a folder of its own; then the view is pointed to it.  A
+    writer that dies before that leaves a folder that nobody reads, and the next
+    publication drops it.  The last ``keep`` versions stay, so a reader has the time of
+    so many publications to finish; publishers of one name take turns.
+    """
+    spark = _spark(df)
+    folder = _versions(spark, name)
+    shown = published_version(spark, name)
+    number = max([shown or 0, *(int(n[1:9]) for n in folder.names())]) + 1
+    path = folder.child(f"v{number:08d}-{uuid.uuid4().hex[:8]}")
+    writer = _partitioned_writer(df, partition_by)
+    (writer.partitionBy(*partition_by) if partition_by else writer).save(path)
+    select = f"SELECT * FROM parquet.`{path}`"
+    # ALTER VIEW changes the entry in one step; CREATE OR REPLACE would drop it first
+    spark.sql(f"ALTER VIEW {name} AS {select}" if shown is not None else f"CREATE VIEW {name} AS {select}")
+    done = [n for n in folder.names() if int(n[1:9]) <= number]
+    for old in done[:-keep]:
+        folder.delete(old)
+    return spark.table(name)
+
+
+def published_path(spark: SparkSession, name: str) -> str | None:
+    """The folder that a published name shows; None if nothing is published."""
+    if not table_exists(spark, name):
+        return None
+    info = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'View Text'")
+    return info.first()["data_type"].split("`")[1]
+
+
+def published_version(spark: SparkSession, name: str) -> int | None:
+    """The number of the version that a published name shows."""
+    path = published_path(spark, name)
+    return int(path.rpartition("/")[2][1:9]) if path else None
+
+
+def pinned(spark: SparkSession, name: str) -> DataFrame:
+    """The version that a published name shows now, whatever is published later."""
+    return spark.read.parquet(published_path(spark, name))
+
+
 def _rename(spark: SparkSession, old: str, new: str) -> None:
     """Rename a table; the catalog keeps partition locations, so they are found again."""
     spark.sql(f"ALTER TABLE {old} RENAME TO {new}")
@@ -70,13 +129,19 @@ def _rename(spark: SparkSession, old: str, new: str) -> None:
         spark.sql(f"MSCK REPAIR TABLE {new} SYNC PARTITIONS")
 
 
+def is_concurrent_append(error: Exception) -> bool:
+    """Did another writer's commit get in between?"""
+    return isinstance(error, Conflict) or CONCURRENT_APPEND in str(error)
+
+
 def append_with_retry(df: DataFrame, table: str,
-                      is_conflict: Callable[[Exception], bool] = lambda e: False,
+                      is_conflict: Callable[[Exception], bool] = is_concurrent_append,
                       attempts: int = 5, sleep: Callable[[float], None] = time.sleep) -> int:
     """Append to a shared table, retrying concurrent-append conflicts.
 
     Up to ``attempts`` tries with a back-off of 2, 4, 6, ... seconds; any other
-    error is raised at once.  Returns the number of the successful attempt.
+    error is raised at once.  Returns the number of the successful attempt.  An append
+    whose answer was lost must not be repeated this way: see ``journal.append_once``.
     """
     for n in range(attempts):
         try:
@@ -89,7 +154,7 @@ def append_with_retry(df: DataFrame, table: str,
     raise RuntimeError("unreachable")
 
 
-def _location(spark: SparkSession, table: str) -> str:
+def location(spark: SparkSession, table: str) -> str:
     info = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'")
     return info.first()["data_type"]
 
@@ -109,7 +174,7 @@ def insert_partitions(df: DataFrame, table: str) -> None:
         rows.write.insertInto(table, overwrite=True)
         return
     _partitioned_writer(rows, parts).option("partitionOverwriteMode", "dynamic") \
-        .mode("overwrite").partitionBy(*parts).save(_location(spark, table))
+        .mode("overwrite").partitionBy(*parts).save(location(spark, table))
     spark.sql(f"MSCK REPAIR TABLE {table} ADD PARTITIONS")
     spark.catalog.refreshTable(table)
 
@@ -120,6 +185,31 @@ def clone_empty(df: DataFrame, extra_cols: dict[str, str] | None = None) -> Data
     return df.limit(0).select("*", *[F.lit(None).cast(t).alias(n) for n, t in extra.items()])
 
 
+def first_readable(spark: SparkSession, candidates: list[str]) -> tuple[str, DataFrame]:
+    """The first of several tables that there is and that can be read, with its name.
+
+    Reading is tried on the schema and one row's worth of files; a table that is listed
+    but whose files are gone is passed over.
+    """
+    for name in candidates:
+        try:
+            df = spark.table(name)
+            df.limit(1).count()
+            return name, df
+        except Exception:  # noqa: BLE001 - the next candidate may do
+            continue
+    raise ValueError(f"none of {', '.join(candidates)} can be read")
+
+
+def create_clone_of_first(spark: SparkSession, candidates: list[str], table: str,
+                          extra_cols: dict[str, str] | None = None,
+                          partition_by: list[str] | None = None) -> str:
+    """``create_clone`` of the first readable candidate; returns its name."""
+    name, df = first_readable(spark, candidates)
+    create_clone(df, table, extra_cols, partition_by)
+    return name
+
+
 def create_clone(df: DataFrame, table: str, extra_cols: dict[str, str] | None = None,
                  partition_by: list[str] | None = None) -> None:
     """Create an empty table shaped like ``df`` (plus extras), partitioned."""
