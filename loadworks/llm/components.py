@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from loadworks.session import scratch_path
 
+HEAVY = 200               # links of a vertex whose rows are not sent to one task
 BROADCAST_ROWS = 300_000  # rows of two or three numbers that may be broadcast: at most about 10 MB
 
 
@@ -23,25 +24,41 @@ def small(side: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(side) if side.limit(rows + 1).count() <= rows else side
 
 
+def _with_least(links: DataFrame, seen: DataFrame | None = None) -> DataFrame:
+    """``links`` (a, b) with m: the least b that their a has (of ``seen``, or of themselves).
+
+    The least ones of vertices with many links are broadcast (checked: there are at
+    most links / ``HEAVY`` of them), so that only the links of light vertices are dealt
+    by vertex; beyond the bound they are joined by shuffle, which AQE splits.
+    """
+    least = stored((links if seen is None else seen).groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")),
+                   "least")
+    heavy = least.where(F.col("n") >= HEAVY).select("a", "m")
+    if heavy.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
+        return links.join(least.select("a", "m"), "a")
+    marked = links.join(F.broadcast(heavy), "a", "left")
+    light = marked.where("m is null").drop("m").join(least.where(F.col("n") < HEAVY).select("a", "m"), "a")
+    return marked.where("m is not null").unionByName(light)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(v, label) of every vertex of ``edges`` (a, b): label is the smallest vertex reachable.
 
     Alternating large-star and small-star steps: every vertex hands its
     neighbours on to its smallest neighbour, until only stars are left.  The
-    minimum of a vertex is pre-aggregated before the shuffle, and links are
-    only joined, never gathered, so a hub does not land in one task.
+    minimum of a vertex is pre-aggregated before the shuffle; links are only
+    joined, never gathered, and those of vertices with many links meet their
+    minimum where they are (``_with_least``), so a hub does not land in one task.
     """
     links = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                    .where("a <> b").distinct(), "links")
     while True:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = stored(both.where("b > a").join(least, "a")
-                       .select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "links")
-        least = large.groupBy("a").agg(F.min("b").alias("m"))  # here b < a always
-        tied = large.join(least, "a")
+        large = stored(_with_least(both.where("b > a"), both)
+                       .select(F.col("b").alias("a"), F.least("a", "m").alias("b")).distinct(), "links")
+        tied = _with_least(large)  # here b < a always
         small_star = stored(tied.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-                            .unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "links")
+                            .unionByName(tied.where("b = m").select("a", "b")).distinct(), "links")
         # done when every vertex has one link and no root is linked on
         moved = small_star.join(small_star.select(F.col("a").alias("b")).distinct(), "b", "left_semi")
         more = small_star.groupBy("a").count().where("count > 1")

@@ -3,13 +3,19 @@
 Words are runs of letters, digits and non-ASCII characters after A-Z has been
 lower-cased.  A test item contributes every window of ``n`` consecutive words
 (an item of fewer words is one window).  The windows' 64-bit hashes go to the
-executors; each task hashes the windows of its documents, and every hit is
-verified word by word before it counts.
+executors as one sorted array; each task hashes the windows of its documents, and
+every hit is verified word by word before it counts.
+
+What is broadcast is bounded: the items are cut into pieces of a few thousand words
+(that overlap by a window less a word), and at most about ``BLOCK_BYTES`` of them, some
+40 bytes a word with hashes and places, are with the executors at a time.  A larger
+benchmark is scanned block after block, each in a pass of its own whose hits are stored.
 
 Defined results: null and empty texts have no words and no hits; items without
-words are never found; repeated items are all reported; item identifiers are
-compared as text.  The hash set is broadcast only in blocks of at most
-``BLOCK_WORDS`` benchmark words; a larger benchmark is scanned in several blocks.
+words are never found; the windows of an item without identifier are hit like
+others, but it cannot be named: it is not among ``items``; repeated items are all
+reported; item identifiers are compared as text.  Columns of the documents that are
+called like one of the result give way to it.
 """
 
 from __future__ import annotations
@@ -21,9 +27,11 @@ from pyspark.sql import functions as F
 
 from loadworks.llm.columns import (ALNUM, LOWER, range_hash, slices, utf8, with_columns,
                                    word_ranges)
+from loadworks.llm.components import stored
 
 WINDOW = 10
-BLOCK_WORDS = 4_000_000
+PIECE_WORDS = 4_000        # words of an item's piece
+BLOCK_BYTES = 16 << 20     # benchmark text that is broadcast at a time
 
 
 def _words(data: np.ndarray, offsets: np.ndarray):
@@ -33,27 +41,23 @@ def _words(data: np.ndarray, offsets: np.ndarray):
 
 
 class WindowSet:
-    """Hashes of the items' windows, by window length, with the words to verify hits."""
+    """The windows of some items: by length, their sorted hashes and where they begin; and all words to verify hits."""
 
-    def __init__(self, items: list[tuple[str, str]], n: int):
-        self.n = n
-        self.words: list[list[bytes]] = []
-        found: dict[int, dict[int, list[tuple[int, int]]]] = {}
+    def __init__(self, items: list[tuple[str | None, str]], n: int):
         self.names = [name for name, _ in items]
-        for k, (_, text) in enumerate(items):
-            low, starts, ends, _ = _words(*utf8(pa.array([text], pa.string())))
-            raw = low.tobytes()
-            self.words.append([raw[a:b] for a, b in zip(starts, ends)])
-            m = len(starts)
-            if not m:
-                continue
-            size = min(n, m)
-            hashes = range_hash(range_hash(low, starts, ends), np.arange(m - size + 1),
-                                np.arange(m - size + 1) + size)
-            for i, h in enumerate(hashes.tolist()):
-                found.setdefault(size, {}).setdefault(h, []).append((k, i))
-        self.windows = {size: (np.sort(np.array(list(by), np.uint64)), by)
-                        for size, by in found.items()}
+        self.low, self.starts, self.ends, first = _words(*utf8(pa.array([t for _, t in items], pa.string())))
+        self.item = np.repeat(np.arange(len(items), dtype=np.int32), np.diff(first))
+        words = range_hash(self.low, self.starts, self.ends)
+        size = np.minimum(np.diff(first), n)
+        self.windows = {}
+        for k in np.unique(size[size > 0]).tolist():
+            at = np.concatenate([np.arange(a, b - k + 1) for a, b in zip(first[:-1][size == k], first[1:][size == k])])
+            hashes = range_hash(words, at, at + k)
+            order = np.argsort(hashes, kind="stable")
+            self.windows[k] = hashes[order], at[order].astype(np.int32)
+
+    def _text(self, i: int, k: int) -> bytes:
+        return b" ".join(self.low[a:b].tobytes() for a, b in zip(self.starts[i:i + k], self.ends[i:i + k]))
 
     def scan(self, low: np.ndarray, starts, ends, first):
         """Hit flag of each word, and the (text, item) pairs found."""
@@ -67,21 +71,41 @@ class WindowSet:
             if not len(at):
                 continue
             h = range_hash(word, at, at + size)
-            slot = np.minimum(np.searchsorted(known, h), len(known) - 1)
-            for i, value in zip(at[known[slot] == h].tolist(), h[known[slot] == h].tolist()):
-                own = [low[a:b].tobytes() for a, b in zip(starts[i:i + size], ends[i:i + size])]
-                for k, j in where[value]:
-                    if self.words[k][j:j + size] == own:
-                        hit[i] += 1
-                        hit[i + size] -= 1
-                        pairs.add((int(text_of[i]), k))
+            slot = np.searchsorted(known, h)
+            like = known[np.minimum(slot, len(known) - 1)] == h
+            upto = np.searchsorted(known, h[like], side="right")
+            for i, a, b in zip(at[like].tolist(), slot[like].tolist(), upto.tolist()):
+                own = b" ".join(low[x:y].tobytes() for x, y in zip(starts[i:i + size], ends[i:i + size]))
+                same = [j for j in where[a:b].tolist() if self._text(j, size) == own]
+                if same:
+                    hit[i] += 1
+                    hit[i + size] -= 1
+                    pairs.update((int(text_of[i]), int(self.item[j])) for j in same)
         return np.cumsum(hit[:-1]) > 0, pairs
 
 
 FIELDS = "n_words long, hits array<int>, items array<string>"
 
 
-def _scan_block(docs: DataFrame, text_col: str, items: list[tuple[str, str]], n: int) -> DataFrame:
+def _pieces(benchmark: DataFrame, n: int) -> DataFrame:
+    """(item, piece, text, bytes): the items' lower-cased words in pieces of bounded size."""
+    def task(batches):
+        for batch in batches:
+            rows = []
+            for item, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                low, starts, ends, _ = _words(*utf8(pa.array([text.as_py()], pa.string())))
+                for k, i in enumerate(range(0, max(1, len(starts) - n + 1), PIECE_WORDS)):
+                    own = [low[a:b].tobytes() for a, b in zip(starts[i:i + PIECE_WORDS + n - 1], ends[i:i + PIECE_WORDS + n - 1])]
+                    if own:
+                        rows.append((item, k, b" ".join(own).decode()))
+            items, numbers, texts = zip(*rows) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(items, pa.string()), pa.array(numbers, pa.int64()),
+                                              pa.array(texts, pa.string())], names=["item", "piece", "text"])
+
+    return benchmark.mapInArrow(task, "item string, piece long, text string").withColumn("bytes", F.octet_length("text"))
+
+
+def _scan_block(docs: DataFrame, text_col: str, items: list[tuple[str | None, str]], n: int) -> DataFrame:
     """``docs`` with n_words, hits (indexes of hit words) and items."""
     shared = docs.sparkSession.sparkContext.broadcast(WindowSet(items, n))
 
@@ -93,7 +117,8 @@ def _scan_block(docs: DataFrame, text_col: str, items: list[tuple[str, str]], n:
             flags, pairs = shared.value.scan(low, starts, ends, first)
             names: dict[int, set[str]] = {}
             for k, item in pairs:
-                names.setdefault(k, set()).add(shared.value.names[item])
+                if shared.value.names[item] is not None:
+                    names.setdefault(k, set()).add(shared.value.names[item])
             for k in range(j - i):
                 counts.append(int(first[k + 1] - first[k]))
                 hits.append(np.flatnonzero(flags[first[k]:first[k + 1]]).astype(np.int32))
@@ -105,32 +130,43 @@ def _scan_block(docs: DataFrame, text_col: str, items: list[tuple[str, str]], n:
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
-         item_text_col: str = "text", n: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
+         item_text_col: str = "text", n: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` with n_words, hits and items.
 
     ``hits`` are the indexes of the words inside an occurrence of a window,
-    ``items`` the distinct items found, sorted as strings.  No shuffle: a
-    benchmark of more than ``block_words`` words is scanned block after block,
-    in the same pass over the documents.
+    ``items`` the distinct items found, sorted as strings.  A benchmark of one block
+    needs no shuffle.  With more blocks the documents are stored once with a row number, each
+    block's pass stores the rows that it hits, and these (a row a block at most) are put together
+    and joined back by row number.
     """
-    tests = benchmark.select(F.col(item_col).cast("string").alias("item"),
-                             F.col(item_text_col).alias("text")).where("item is not null and text is not null")
-    size = tests.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = max(1, -(-int(size) // (2 * block_words)))
+    pieces = stored(_pieces(benchmark.select(F.col(item_col).cast("string").alias("item"),
+                                             F.col(item_text_col).alias("text")).where("text is not null"), n), "benchmark")
+    size = pieces.agg(F.sum("bytes")).first()[0] or 0
+    blocks = max(1, -(-int(size) // block_bytes))
+
+    def block(k: int) -> list[tuple[str | None, str]]:
+        part = pieces if blocks == 1 else pieces.where(F.pmod(F.xxhash64("item", "piece"), F.lit(blocks)) == k)
+        return [(r["item"], r["text"]) for r in part.select("item", "text").toLocalIterator()]
+
+    if blocks == 1:
+        return _scan_block(docs, text_col, block(0), n)
     old = [f"c{i}" for i in range(len(docs.columns))]
-    out, text = docs.toDF(*old), f"c{docs.columns.index(text_col)}"
+    rows = stored(docs.toDF(*old).withColumn("row", F.monotonically_increasing_id()), "documents")
+    text = old[docs.columns.index(text_col)]
+    found = None
     for k in range(blocks):
-        part = tests if blocks == 1 else tests.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == k)
-        one = _scan_block(out.select(*old, *([] if k == 0 else ["all_hits", "all_items"])), text,
-                          [(r["item"], r["text"]) for r in part.toLocalIterator()], n)
-        hits, items = F.col("hits"), F.col("items")
-        if k:
-            hits = F.array_sort(F.array_union("all_hits", "hits"))
-            items = F.array_sort(F.array_union("all_items", "items"))
-        out = one.select(*old, "n_words", hits.alias("all_hits"), items.alias("all_items"))
+        part = stored(_scan_block(rows.select("row", F.col(text).alias("text")), "text", block(k), n)
+                      .where("size(hits) > 0").select("row", "hits", "items"), "hits")
+        found = part if found is None else found.unionByName(part)
+    found = found.groupBy(F.col("row").alias("hit_row")).agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("hits")))).alias("hits"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    words = with_columns(rows, [text], "n_words long", lambda texts: [pa.array(np.diff(_words(*utf8(texts))[3]))])
+    out = words.join(found, F.col("row") == F.col("hit_row"), "left")
     new = ["n_words", "hits", "items"]
-    return out.select(*[F.col(o).alias(c) for o, c in zip(old, docs.columns) if c not in new],
-                      "n_words", F.col("all_hits").alias("hits"), F.col("all_items").alias("items"))
+    return out.select(*[F.col(o).alias(c) for o, c in zip(old, docs.columns) if c not in new], "n_words",
+                      F.coalesce("hits", F.array().cast("array<int>")).alias("hits"),
+                      F.coalesce("items", F.array().cast("array<string>")).alias("items"))
 
 
 def remove_spans(texts: pa.Array, hits: pa.Array) -> list[str | None]:

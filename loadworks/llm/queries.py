@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from loadworks.llm import (align, ann, byte_dedup, decontaminate, lang_id, license_scan, merkle, mixing,
                            near_dup, packing, token_count, warc, word_dedup)
 from loadworks.llm.columns import ready
+from loadworks.llm.oracles import ORACLE  # noqa: F401 - part of this module's interface
 from loadworks.session import scratch_path
 
 
@@ -91,9 +92,9 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records of the archives that hold the pages."""
     path = scratch_path(spark, "warc")
     warc.write(_table(spark, sf_dir, "pages"), path)
-    return warc.read(spark, path).where("checked").select(
+    return warc.read(spark, path).select(
         F.col("page").alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"),
-        F.col("type").alias("record_type"), F.col("refers").alias("refers_to"))
+        F.col("type").alias("record_type"), F.col("refers").alias("refers_to"), "checked")
 
 
 def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,4 +134,3 @@ QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_decontaminate, op3_near_duplicates, op4_token_count, op5_byte_dedup,
     op6_license_scan, op7_nearest, op8_word_dedup, op9_warc, op10_pack, op11_merkle_manifest,
     op12_token_alignment, op13_mixing)}
-ORACLE: dict[str, str] = {}

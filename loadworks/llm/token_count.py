@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import heapq
 import json
-import unicodedata
+import re
 
 import pyarrow as pa
 import regex
@@ -41,27 +41,69 @@ def byte_letters() -> list[str]:
     return out
 
 
+# The parts of a tokenizer file that the quick path stands for.
+QUICK_NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+QUICK_BEFORE = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+# Characters that the quick path may meet besides ASCII: Latin letters that combine with nothing, and common marks.
+QUICK_CHARACTERS = [chr(c) for c in [*range(0x00, 0x250), *range(0x2010, 0x2028), 0x20AC]]
+
+
 class Counter:
-    """Counts tokens as the byte-pair model of a tokenizer file with word ends does."""
+    """Counts tokens as the byte-pair model of a tokenizer file with word ends does.
+
+    Texts are normalised and cut into words by the file's own library.  Texts of
+    common characters take a quicker path, if the file's parts are the known ones: those
+    characters stand on their own, so lower-casing and the file's pattern are enough.  Each
+    of them is compared with the library when the file is loaded and left out if it differs.
+    """
 
     def __init__(self, path: str):
+        from tokenizers import Tokenizer
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
+        odd = [k for k in ("dropout", "unk_token", "continuing_subword_prefix", "fuse_unk", "byte_fallback", "ignore_merges")
+               if model.get(k)]
+        marked = [t["content"] for t in spec["added_tokens"]
+                  if t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"]]
+        if model["type"] != "BPE" or odd or marked:
+            raise ValueError(f"{path}: not a plain byte-pair model ({model['type']}, {odd}, {marked})")
+        library = Tokenizer.from_file(path)
+        self.normalizer, self.before = library.normalizer, library.pre_tokenizer
         self.suffix = model.get("end_of_word_suffix") or ""
         pairs = [tuple(p) if isinstance(p, list) else tuple(p.split(" ")) for p in model["merges"]]
         self.ranks = {pair: k for k, pair in enumerate(pairs)}
-        pieces = spec["pre_tokenizer"]["pretokenizers"]
-        self.find = regex.compile(pieces[0]["pattern"]["Regex"]).findall
         specials = [t["content"] for t in spec["added_tokens"]]
         self.special = regex.compile("|".join(map(regex.escape, sorted(specials, key=len, reverse=True)))) \
             if specials else None
         self.letters = byte_letters()
-        self.known: dict[str, int] = {}
+        self.known: dict[str | tuple[str], int] = {}  # words as they are, or as a tuple in the letters of bytes
+        self.find = self.other = None
+        parts = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
+        if (len(parts) == 2 and parts[0].get("behavior") == "Removed" and parts[0].get("invert")
+                and parts[1] == QUICK_BEFORE and (spec["normalizer"] or {}).get("normalizers") == QUICK_NORMALIZER):
+            self.find = regex.compile(parts[0]["pattern"]["Regex"]).findall
+            same = [c for c in QUICK_CHARACTERS if all(
+                self.quick(t) == self.words(t) for t in (c, f"a{c}b", f"1{c}2", f"{c}{c}", f"!{c}!", f" {c} "))]
+            self.other = re.compile("[^" + "".join(map(re.escape, same)) + "]").search
+
+    def words(self, text: str) -> list[str]:
+        """A text's words in the letters of bytes, by the file's library."""
+        if self.normalizer is not None:
+            text = self.normalizer.normalize_str(text)
+        return [w for w, _ in self.before.pre_tokenize_str(text)]
+
+    def quick(self, text: str) -> list[str]:
+        """The same for texts of common characters."""
+        return [self.spelled(w) for w in self.find(text.lower())]
+
+    def spelled(self, word: str) -> str:
+        """A word in the letters of its bytes."""
+        return "".join([self.letters[b] for b in word.encode()])
 
     def word(self, word: str) -> int:
-        """Symbols that are left of a word when no pair can be merged."""
-        symbols = [self.letters[b] for b in word.encode()]
+        """Symbols that are left of a word (in the letters of bytes) when no pair can be merged."""
+        symbols = list(word)
         symbols[-1] += self.suffix
         n = len(symbols)
         ranks = self.ranks
@@ -91,15 +133,14 @@ class Counter:
 
     def plain(self, text: str) -> int:
         """Tokens of a text without special strings."""
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+        quick = self.find is not None and self.other(text) is None
         known, total = self.known, 0
-        for word in self.find(text.lower()):
-            n = known.get(word)
+        for word in self.find(text.lower()) if quick else self.words(text):
+            n = known.get(word if quick else (word,))
             if n is None:
                 if len(known) >= REMEMBERED:
                     known.clear()
-                n = known[word] = self.word(word)
+                n = known[word if quick else (word,)] = self.word(self.spelled(word) if quick else word)
             total += n
         return total
 

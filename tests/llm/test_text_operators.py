@@ -1,10 +1,14 @@
 """Language id, decontamination, token counts, licences and packing."""
 
+import json
+import random
+import unicodedata
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -68,8 +72,8 @@ def test_decontamination_equals_brute_force(spark, sf):
     docs, items = docs_of(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet")
     want = brute.contamination([(r["doc_id"], r["text"]) for r in docs.collect()],
                                [(r["item_id"], r["text"]) for r in items.collect()], 10)
-    for words in (decontaminate.BLOCK_WORDS, 300):  # one block, several blocks
-        got = decontaminate.scan(docs, items, block_words=words).collect()
+    for size in (decontaminate.BLOCK_BYTES, 2000):  # one block, several blocks
+        got = decontaminate.scan(docs, items, block_bytes=size).collect()
         assert {r["doc_id"]: (r["n_words"], r["hits"], r["items"]) for r in got} == want
     assert any(hits for _, hits, _ in want.values())
 
@@ -77,21 +81,42 @@ def test_decontamination_equals_brute_force(spark, sf):
 def test_decontamination_of_odd_rows(spark):
     items = spark.createDataFrame(
         [(1, "Alpha beta"), (2, None), (3, "..."), (4, "one two three four five six seven eight nine ten"),
-         (4, "one two three four five six seven eight nine ten"), (None, "alpha")], "item_id long, text string")
+         (4, "one two three four five six seven eight nine ten"), (None, "alpha"), (None, "gamma delta")],
+        "item_id long, text string")
     docs = spark.createDataFrame(
         [(1, "see ALPHA-beta!", "x"), (2, None, "x"), (3, "", "x"), (4, "alphabeta", "x"), (4, "alphabeta", "x"),
-         (5, "one two three four five six seven eight nine ten", "x"),
+         (5, "one two three four five six seven eight nine ten", "x"), (6, "only gamma delta here", "x"),
          (None, "alpha beta", "x")], "doc_id long, text string, hits string")
-    got = decontaminate.scan(docs, items).select("doc_id", "n_words", "hits", "items").collect()
-    assert sorted(map(str, map(tuple, got))) == sorted(map(str, [
-        (1, 3, [1, 2], ["1"]), (2, 0, [], []), (3, 0, [], []), (4, 1, [], []), (4, 1, [], []),
-        (5, 10, list(range(10)), ["4"]), (None, 2, [0, 1], ["1"])]))
+    for size in (decontaminate.BLOCK_BYTES, 20):
+        got = decontaminate.scan(docs, items, block_bytes=size).select("doc_id", "n_words", "hits", "items").collect()
+        assert sorted(map(str, map(tuple, got))) == sorted(map(str, [
+            (1, 3, [1, 2], ["1"]), (2, 0, [], []), (3, 0, [], []), (4, 1, [], []), (4, 1, [], []),
+            (5, 10, list(range(10)), ["4"]), (6, 4, [1, 2], []), (None, 2, [0, 1], ["1"])]))
     cut = {r["doc_id"]: r["text"] for r in decontaminate.clean(docs, items).collect()}
     assert cut[1] == "see !" and cut[2] is None and cut[4] == "alphabeta" and cut[5] == ""
     assert decontaminate.scan(docs, empty(items)).where("size(hits) > 0").count() == 0
     assert decontaminate.scan(empty(docs), items).count() == 0
 
 
+def test_long_items_are_cut_into_overlapping_pieces(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "PIECE_WORDS", 7)
+    words = [f"w{i}" for i in range(60)]
+    items = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(words[:10])), (3, " ".join(words[50:59]))],
+                                  "item_id long, text string")
+    rows = [(i, "x " + " ".join(words[i:i + 10]) + " y") for i in range(55)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute.contamination(rows, [(r["item_id"], r["text"]) for r in items.collect()], 10)
+    got = {r["doc_id"]: (r["n_words"], r["hits"], r["items"]) for r in decontaminate.scan(docs, items, block_bytes=100).collect()}
+    assert got == want
+
+
+def test_windows_take_few_bytes_a_word():
+    words = " ".join(f"word{i % 9973}x{i}" for i in range(200_000))
+    own = decontaminate.WindowSet([("a", words)], 10)
+    held = sum(x.nbytes for x in (own.low, own.starts, own.ends, own.item, *own.windows[10]))
+    assert held < 50 * 200_000
+
+
 # --- token counts
 
 def test_token_counts_equal_the_library(spark, sf):
@@ -107,6 +132,31 @@ def test_token_counts_equal_the_library(spark, sf):
     assert token_count.count_tokens(empty(docs), path).count() == 0
 
 
+def test_token_counts_of_all_characters_equal_the_library():
+    """Every assigned code point in short texts, and random mixtures of letters, marks and blanks."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    own, library = token_count.Counter(path), Tokenizer.from_file(path)
+    texts = [f"a{chr(c)}b {chr(c)} {chr(c)}{chr(c)}1" for c in range(1, 0x32000)
+             if unicodedata.category(chr(c)) not in ("Cs", "Co", "Cn")]
+    rng = random.Random(1)
+    letters = [*map(chr, range(1, 0x3000)), *map(chr, range(0xA000, 0xB000)), "𲠆", "ꟋꟋ",
+               *(["a", "b", " ", "\n", "Σ", "é", "\u0301", "1", "'s", "<|endoftext|>"] * 200)]
+    texts += ["".join(rng.choice(letters) for _ in range(rng.randint(1, 30))) for _ in range(20_000)]
+    for i in range(0, len(texts), 20_000):
+        part = texts[i:i + 20_000]
+        for text, e in zip(part, library.encode_batch(part, add_special_tokens=False)):
+            assert own.count(text) == len(e.ids), text
+
+
+def test_unknown_tokenizer_files_are_refused(tmp_path):
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        spec = json.load(f)
+    spec["model"]["unk_token"] = "<|endoftext|>"
+    (tmp_path / "t.json").write_text(json.dumps(spec))
+    with pytest.raises(ValueError):
+        token_count.Counter(str(tmp_path / "t.json"))
+
+
 def test_heap_merge_skips_stale_pairs():
     own = token_count.Counter(public_tokenizers.path("word_bpe_49k.json"))
     library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
