@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loadworks.session import scratch_path
 
-HEAVY = 200               # links of a vertex whose rows are not sent to one task
+SALTS = 64                # tasks that may share the links of a vertex
 BROADCAST_ROWS = 300_000  # rows of two or three numbers that may be broadcast: at most about 10 MB
 
 
@@ -24,21 +24,17 @@ def small(side: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(side) if side.limit(rows + 1).count() <= rows else side
 
 
-def _with_least(links: DataFrame, seen: DataFrame | None = None) -> DataFrame:
-    """``links`` (a, b) with m: the least b that their a has (of ``seen``, or of themselves).
+def _with_least(links: DataFrame, seen: DataFrame) -> DataFrame:
+    """``links`` (a, b) with m: the least b that their a has among ``seen``.
 
-    The least ones of vertices with many links are broadcast (checked: there are at
-    most links / ``HEAVY`` of them), so that only the links of light vertices are dealt
-    by vertex; beyond the bound they are joined by shuffle, which AQE splits.
+    The links of a vertex are dealt by (vertex, salt); its least b is found in two steps,
+    by salt and then by vertex, and goes back to the salts that occur.  So no task gets
+    more than a ``SALTS``-th of a vertex's links, and nothing is made that is not a link.
     """
-    least = stored((links if seen is None else seen).groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")),
-                   "least")
-    heavy = least.where(F.col("n") >= HEAVY).select("a", "m")
-    if heavy.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
-        return links.join(least.select("a", "m"), "a")
-    marked = links.join(F.broadcast(heavy), "a", "left")
-    light = marked.where("m is null").drop("m").join(least.where(F.col("n") < HEAVY).select("a", "m"), "a")
-    return marked.where("m is not null").unionByName(light)
+    salt = F.pmod(F.xxhash64("b"), F.lit(SALTS)).alias("salt")
+    parts = stored(seen.select("a", "b", salt).groupBy("a", "salt").agg(F.min("b").alias("m")), "least")
+    spread = parts.select("a", "salt").join(parts.groupBy("a").agg(F.min("m").alias("m")), "a")
+    return links.select("a", "b", salt).join(spread, ["a", "salt"]).select("a", "b", "m")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -47,8 +43,8 @@ def components(edges: DataFrame) -> DataFrame:
     Alternating large-star and small-star steps: every vertex hands its
     neighbours on to its smallest neighbour, until only stars are left.  The
     minimum of a vertex is pre-aggregated before the shuffle; links are only
-    joined, never gathered, and those of vertices with many links meet their
-    minimum where they are (``_with_least``), so a hub does not land in one task.
+    joined, never gathered, and those of one vertex are dealt to many tasks
+    (``_with_least``), so a hub does not land in one task.
     """
     links = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                    .where("a <> b").distinct(), "links")
@@ -56,7 +52,7 @@ def components(edges: DataFrame) -> DataFrame:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         large = stored(_with_least(both.where("b > a"), both)
                        .select(F.col("b").alias("a"), F.least("a", "m").alias("b")).distinct(), "links")
-        tied = _with_least(large)  # here b < a always
+        tied = _with_least(large, large)  # here b < a always
         small_star = stored(tied.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
                             .unionByName(tied.where("b = m").select("a", "b")).distinct(), "links")
         # done when every vertex has one link and no root is linked on
