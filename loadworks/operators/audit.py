@@ -166,3 +166,77 @@ def diff_inventory(src: DataFrame, out: DataFrame) -> DataFrame:
         F.when(issue == "type_changed", F.concat("sty", F.lit(" -> "), "oty")).alias("detail")) \
         .filter(F.col("issue").isNotNull())
     return missing_tab.unionByName(part).unionByName(col_issues)
+
+
+# ------------------------------------------------------------------ drill-down
+
+TREE_BITS = (4, 8, 12)  # nodes of a level: 2 ** bits; the last level has the leaves
+
+
+def leaf_of(keys: list[str], bits: int = TREE_BITS[-1]) -> Column:
+    """The leaf of a row's key: the low bits of its hash."""
+    return F.xxhash64(*[qcol(k) for k in keys]).bitwiseAND((1 << bits) - 1).cast("int")
+
+
+def hash_tree(image: DataFrame, keys: list[str], bits: tuple[int, ...] = TREE_BITS) -> DataFrame:
+    """``(level, node, n, total, mixed)``: the digests of an image by ranges of hashed keys.
+
+    One pass over the image, combined before the shuffle: what is shuffled is a row a
+    leaf and task.  A digest is the number of rows, the sum of a 64-bit hash of each row
+    and the exclusive or of a second one, so swapped values show that leave counts
+    and sums as they are.  Nodes of upper levels are sums of leaves.  Trees can be
+    stored and compared without their images.
+    """
+    cols = [qcol(c) for c in sorted(image.columns)]
+    leaves = image.groupBy(leaf_of(keys, bits[-1]).alias("leaf")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*cols).cast("decimal(38,0)")).alias("total"),
+        F.bit_xor(F.xxhash64(F.lit("second"), *cols)).alias("mixed"))
+    levels = F.array(*[F.struct(F.lit(i).alias("level"), F.col("leaf").bitwiseAND((1 << b) - 1).alias("node"))
+                       for i, b in enumerate(bits)])
+    return leaves.select(F.inline(levels), "n", "total", "mixed").groupBy("level", "node").agg(
+        F.sum("n").alias("n"), F.sum("total").cast("decimal(38,0)").alias("total"), F.bit_xor("mixed").alias("mixed"))
+
+
+def differing_leaves(left: DataFrame, right: DataFrame, bits: tuple[int, ...] = TREE_BITS) -> DataFrame:
+    """``(leaf)`` of two stored trees that differ, found from the top: a level is looked at only below
+    nodes of the level above that differ."""
+    above = None
+    for i, b in enumerate(bits):
+        sides = [t.filter(F.col("level") == i).select("node", F.struct("n", "total", "mixed").alias(name))
+                 for t, name in ((left, "l"), (right, "r"))]
+        both = sides[0].join(sides[1], "node", "full_outer").filter(~F.col("l").eqNullSafe(F.col("r")))
+        if above is not None:
+            parent = F.col("node").bitwiseAND((1 << bits[i - 1]) - 1)
+            both = both.join(above, parent == F.col("parent"), "left_semi")
+        above = both.select(F.col("node").alias("parent"))
+    return above.select(F.col("parent").alias("leaf"))
+
+
+def diff_images(left: DataFrame, right: DataFrame, leaves: DataFrame, keys: list[str],
+                bits: tuple[int, ...] = TREE_BITS, leaf_col: str | None = None) -> DataFrame:
+    """``(keys..., status, columns)`` of the rows of some leaves that are not the same in both images.
+
+    ``status``: ``missing`` (only left), ``extra`` (only right) or ``changed``, with the names of the
+    columns that differ.  Only rows of the given leaves are joined; images stored by
+    ``leaf_col`` (partitioned by ``leaf_of``) are read in those partitions only.  Rows that are
+    the same in both are left out; keys must be unique in an image.
+    """
+    names = [c for c in left.columns if c not in keys and c != leaf_col]
+    wanted = leaves.select(F.col("leaf").alias("__leaf"))
+
+    def side(image: DataFrame, name: str) -> DataFrame:
+        own = qcol(leaf_col) if leaf_col else leaf_of(keys, bits[-1])
+        return image.join(wanted, own == F.col("__leaf"), "left_semi").select(
+            *[qcol(k).alias(f"__{name}{i}") for i, k in enumerate(keys)], F.struct(*[qcol(c) for c in names]).alias(name))
+
+    same = F.lit(True)
+    for i in range(len(keys)):
+        same = same & F.col(f"__l{i}").eqNullSafe(F.col(f"__r{i}"))
+    both = side(left, "l").join(side(right, "r"), same, "full_outer")
+    differ = F.filter(F.array(*[F.when(~F.col("l")[c].eqNullSafe(F.col("r")[c]), F.lit(c)) for c in names]),
+                      lambda c: c.isNotNull())
+    status = F.when(F.col("r").isNull(), "missing").when(F.col("l").isNull(), "extra") \
+        .when(F.size(differ) > 0, "changed")
+    return both.select(*[F.coalesce(f"__l{i}", f"__r{i}").alias(k) for i, k in enumerate(keys)], status.alias("status"),
+                       F.when(status == "changed", F.array_join(differ, ",")).alias("columns")) \
+        .filter(F.col("status").isNotNull())

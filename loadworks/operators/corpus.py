@@ -111,29 +111,69 @@ def scan_rules(corpus: DataFrame, rules: list[Rule], id_cols: list[str] | None =
 
     Line rules give at most one issue per rule per line; multiline rules
     search the whole text and give one issue per match, on the line it begins.
-    One scan of the texts; the line of a whole-text match is a running sum over
-    the document's matches, linear in their number.  Only issues are shuffled.
+    Issues of line rules come straight from the lines; only matches of whole-text
+    rules are shuffled, for a running sum over the document's matches (linear in
+    their number).  The texts are read once for each of the two kinds that occurs.
     """
     ids = [qcol(c) for c in (id_cols or ["doc_id"])]
-    # the row's number first: behind the explode every line would get one of its own;
-    # line 0 stands for the whole text
+    line_rules, text_rules = [r for r in rules if not r.multiline], [r for r in rules if r.multiline]
+    none, parts = F.lit(0), []
+    if line_rules:
+        lines = corpus.select(*ids, F.posexplode(F.split(qcol(content), LINE_BREAK, -1)).alias("__pos", "__line"))
+        on_line = F.array(*[F.when(_matches(F.col("__line"), r), _issue(r, F.col("__pos") + 1, none, none)) for r in line_rules])
+        found = lines.select(*ids, F.explode(F.filter(on_line, lambda x: x.isNotNull())).alias("__i"))
+        parts.append(found.select(*ids, F.col("__i.rule").alias("rule"), F.col("__i.severity").alias("severity"),
+                                  F.col("__i.at").alias("line_no")))
+    if text_rules:
+        # the row's number first: behind the explode every match would get one of its own
+        rows = corpus.select(*ids, F.monotonically_increasing_id().alias("__row"), qcol(content).alias("__text"))
+        found = F.concat(*[F.coalesce(_text_issues(F.col("__text"), r), F.array().cast(_ISSUES)) for r in text_rules])
+        rows = rows.select(*ids, "__row", F.explode(found).alias("__i"))
+        w = Window.partitionBy("__row", "__i.rule").orderBy("__i.at")
+        line = F.sum(F.col("__i.before") + F.col("__i.own")).over(w) - F.col("__i.own") + 1
+        parts.append(rows.select(*ids, F.col("__i.rule").alias("rule"), F.col("__i.severity").alias("severity"),
+                                 line.alias("line_no")))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+GRAM = 4  # letters of the pieces by which a rule table is indexed
+
+
+def scan_rule_table(corpus: DataFrame, rules: DataFrame, id_cols: list[str] | None = None,
+                    content: str = "content") -> DataFrame:
+    """Issues ``(ids..., rule, severity, line_no)`` of line rules that are rows of a table, however many.
+
+    ``rules``: ``(rule, severity, pattern, literal)``, where every match of ``pattern`` (a regular
+    expression; NULL: the literal itself) contains ``literal``.  An inverted index holds all
+    pieces of ``GRAM`` letters of the literals; a line is cut at every ``GRAM``-th letter only,
+    because a literal of ``2 * GRAM - 1`` letters holds one of these pieces wherever it
+    begins.  So a line costs its length over ``GRAM`` lookups, whatever the number of rules, and only
+    pairs that share a piece are compared.  Rules with shorter literals, whose pieces would
+    be missed, are compared with every line; a rule without literal is an error.  The planner
+    broadcasts the index while it is small; texts are only shuffled beyond that.
+    """
+    ids = [qcol(c) for c in (id_cols or ["doc_id"])]
+    checked = rules.select("rule", "severity", "pattern", F.when(
+        F.coalesce(F.length("literal"), F.lit(0)) == 0, F.raise_error(F.lit("a rule without literal")).cast("string"))
+        .otherwise(F.col("literal")).alias("literal"))
     lines = corpus.select(*ids, F.monotonically_increasing_id().alias("__row"), qcol(content).alias("__text")) \
-        .select(*ids, "__row", F.posexplode(F.concat(F.array("__text"), F.split("__text", LINE_BREAK, -1)))
-                .alias("__pos", "__line"))
-    none = F.lit(0)
-    on_lines = [F.when((F.col("__pos") > 0) & _matches(F.col("__line"), r), _issue(r, F.col("__pos"), none, none))
-                for r in rules if not r.multiline]
-    found = F.filter(F.array(*on_lines), lambda x: x.isNotNull()) if on_lines else F.array().cast(_ISSUES)
-    for r in rules:
-        if r.multiline:
-            found = F.when(F.col("__pos") == 0, F.concat(found, _text_issues(F.col("__line"), r))).otherwise(found)
-    rows = lines.select(*ids, "__row", F.explode(found).alias("__i"))
-    w = Window.partitionBy("__row", "__i.rule").orderBy("__i.at")
-    line = F.when(F.col("__i.whole"),
-                  F.sum(F.col("__i.before") + F.col("__i.own")).over(w) - F.col("__i.own") + 1) \
-        .otherwise(F.col("__i.at"))
-    return rows.select(*ids, F.col("__i.rule").alias("rule"), F.col("__i.severity").alias("severity"),
-                       line.alias("line_no"))
+        .select(*ids, "__row", F.posexplode(F.split("__text", LINE_BREAK, -1)).alias("__pos", "__line"))
+    long_enough = F.length("literal") >= 2 * GRAM - 1
+    places = F.sequence(F.lit(1), F.length("literal") - GRAM + 1)
+    index = checked.filter(long_enough).select("*", F.explode(F.array_distinct(
+        F.transform(places, lambda i: F.substring("literal", i, F.lit(GRAM))))).alias("__gram"))
+    cuts = F.sequence(F.lit(1), F.length("__line") - GRAM + 1, F.lit(GRAM))
+    pieces = lines.filter(F.length("__line") >= 2 * GRAM - 1).select("*", F.explode(F.array_distinct(
+        F.transform(cuts, lambda i: F.substring("__line", i, F.lit(GRAM))))).alias("__gram"))
+    hit = F.contains(F.col("__line"), F.col("literal")) & (F.col("pattern").isNull() | F.expr("__line RLIKE pattern"))
+    out = [*ids, "rule", "severity", (F.col("__pos") + 1).cast("long").alias("line_no")]
+    met = pieces.join(index, "__gram").filter(hit).select(*out, "__row").distinct()
+    # compared with every line: a condition that is no equality, as the short rules are few
+    rest = lines.join(checked.filter(~long_enough), hit).select(*out, "__row")
+    return met.unionByName(rest).drop("__row")
 
 
 def classify_documents(corpus: DataFrame, rules: list[Rule], id_cols: list[str] | None = None,

@@ -13,15 +13,22 @@ tokens.  Instead an exact two-phase prefix filter is used:
    from that prefix are scored exactly; the best of them is the best overall.
 
 Common tokens sit at the end of the ranking, so they are only used for sets
-without a good rare-token match.  Nothing is capped: the result is exact,
-ties are broken by name.  Zero overlap never wins.
+without a good rare-token match.  A candidate is dropped before it is scored
+if its size, or what follows the shared token in both sets, cannot give the
+overlap that the bound asks for (both sets are in the same order, so the row of
+their first shared token passes whenever the pair does).  Posting lists are dealt to
+salted parts of at most ``PART`` sets, so a common token is not one task.  Sets are kept
+as one array each and a pair is scored once, from both arrays.  Nothing is
+capped: the result is exact, ties are broken by name.  Zero overlap never wins.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+PART = 4096  # sets of a salted part of a posting list, about
+
 
 def tokens_of_names(names: DataFrame, id_col: str, name_col: str | None = None) -> DataFrame:
     """``(id, token)`` from names split on ``_`` and blanks, lower-cased."""
@@ -31,18 +38,6 @@ def tokens_of_names(names: DataFrame, id_col: str, name_col: str | None = None)
         .filter(F.col("token") != "").distinct()
 
 
-def _sizes(tokens: DataFrame, name: str) -> DataFrame:
-    return tokens.groupBy("id").agg(F.count(F.lit(1)).alias(name))
-
-
-def _overlaps(cands: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
-    """Exact overlap of candidate pairs ``(lid, rid)``."""
-    lt = left.select(F.col("id").alias("lid"), "token")
-    rt = right.select(F.col("id").alias("rid"), "token")
-    return cands.join(lt, "lid").join(rt, ["rid", "token"]) \
-        .groupBy("lid", "rid").agg(F.count(F.lit(1)).alias("o"))
-
-
 def _collapsed(tokens: DataFrame) -> tuple[DataFrame, DataFrame]:
     """One set of each group of equal sets, and ``(lid, name)`` from it to all their names.
 
@@ -60,6 +55,16 @@ def _collapsed(tokens: DataFrame) -> tuple[DataFrame, DataFrame]:
     return kept, names
 
 
+def _sets(tokens: DataFrame, df: DataFrame, name: str) -> DataFrame:
+    """``(name, toks, n)``: each set as one array, rarest token first; tokens that the right side
+    does not hold come last and count for the size only."""
+    ranked = tokens.join(df, "token", "left").select(
+        "id", F.struct(F.coalesce("df", F.lit(1 << 62)).alias("df"), "token").alias("x"))
+    return ranked.groupBy(F.col("id").alias(name)).agg(F.array_sort(F.collect_list("x")).alias("x")) \
+        .select(name, F.col("x.token").alias("toks"), F.size("x").alias("n"),
+                F.size(F.filter("x", lambda e: e["df"] < 1 << 62)).alias("m"))
+
+
 def best_match(left: DataFrame, right: DataFrame, measure: str = "containment") -> DataFrame:
     """Best right set for each left set: ``(lid, rid, overlap, score)``.
 
@@ -69,47 +74,51 @@ def best_match(left: DataFrame, right: DataFrame, measure: str = "containment")
     """
     left, left_names = _collapsed(left)
     right, _ = _collapsed(right)  # of equal sets the first name would win anyway
-    n_left = _sizes(left, "nl").withColumnRenamed("id", "lid")
-    n_right = _sizes(right, "nr").withColumnRenamed("id", "rid")
     df = right.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    ranked = left.join(df, "token").select(
-        F.col("id").alias("lid"), "token",
-        F.row_number().over(Window.partitionBy("id").orderBy("df", "token")).alias("rank"))
-    present = ranked.groupBy("lid").agg(F.count(F.lit(1)).alias("m"))
-    postings = right.select(F.col("id").alias("rid"), "token")
-
-    def score(pairs: DataFrame) -> DataFrame:
-        scored = _overlaps(pairs, left, right).join(n_left, "lid").join(n_right, "rid")
+    lsets, rsets = _sets(left, df, "lid"), _sets(right, df, "rid")
+    # posting lists, each dealt to salted parts of bounded length
+    postings = rsets.select("rid", F.col("n").alias("nr"), F.posexplode("toks").alias("rpos", "token")) \
+        .join(df.select("token", F.ceil(F.col("df") / PART).alias("parts")), "token") \
+        .withColumn("salt", F.pmod(F.xxhash64("rid"), F.col("parts")))
+    parts = df.select("token", F.ceil(F.col("df") / PART).alias("parts"))
+
+    def candidates(probes: DataFrame) -> DataFrame:
+        """Probes ``(lid, nl, need, lpos, token, ...)`` with the right sets that hold the token and can still
+        reach ``need``: by their sizes, and by what is left of both sets behind the token."""
+        dealt = probes.join(parts, "token").withColumn(
+            "salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).drop("parts")
+        met = dealt.join(postings.drop("parts"), ["token", "salt"])
+        reach = F.lit(1) + F.least(F.col("nl") - F.col("lpos") - 1, F.col("nr") - F.col("rpos") - 1)
+        return met.filter(reach >= _needed(F.col("need"), F.col("nr"))).select("lid", "rid").distinct()
+
+    def _needed(score: Column, nr: Column) -> Column:
+        """Overlap that a pair needs to score at least ``score``."""
         if measure == "jaccard":
-            val = F.col("o") / (F.col("nl") + F.col("nr") - F.col("o"))
-        else:
-            val = F.col("o") / F.greatest(F.col("nl"), F.lit(1))
-        return scored.withColumn("s", val)
-
-    # phase 1: rarest present token of each left set (a minimum, combined map-side)
-    rarest = left.join(df, "token").groupBy(F.col("id").alias("lid")).agg(
-        F.min(F.struct("df", "token")).getField("token").alias("token"))
-    c1 = rarest.join(postings, "token").select("lid", "rid")
-    b1 = score(c1).groupBy("lid").agg(F.max("s").alias("b1"))
-    # phase 2: prefix that must hold a token of any set scoring >= b1
-    need = b1.join(n_left, "lid").join(present, "lid")
-    if measure == "jaccard":
-        min_o = F.ceil(F.col("b1") * F.col("nl") - F.lit(1e-9))
-    else:
-        min_o = F.ceil(F.col("b1") * F.greatest(F.col("nl"), F.lit(1)) - F.lit(1e-9))
-    prefix = need.select("lid", (F.col("m") - F.greatest(min_o, F.lit(1)) + 1).alias("p"))
-    c2 = ranked.join(prefix, "lid").filter(F.col("rank") <= F.col("p")) \
-        .join(postings, "token").select("lid", "rid").distinct()
-    if measure == "jaccard":  # a set far smaller or larger cannot reach the best score
-        bound = need.select("lid", (F.col("b1") * F.col("nl") - 1e-9).alias("least"),
-                            (F.col("nl") / F.col("b1") + 1e-9).alias("most"))
-        c2 = c2.join(bound, "lid").join(n_right, "rid") \
-            .filter(F.col("nr").between(F.col("least"), F.col("most"))).select("lid", "rid")
-    final = score(c2)
-    best = final.groupBy("lid").agg(
+            return score / (1 + score) * (F.col("nl") + nr) - 1e-9
+        return score * F.greatest(F.col("nl"), F.lit(1)) - 1e-9
+
+    def scored(pairs: DataFrame) -> DataFrame:
+        o = F.size(F.array_intersect("toks", "rtoks"))
+        met = pairs.join(lsets.select("lid", "toks", F.col("n").alias("nl")), "lid") \
+            .join(rsets.select("rid", F.col("toks").alias("rtoks"), F.col("n").alias("nr")), "rid") \
+            .select("lid", "rid", "nl", "nr", o.alias("o"))
+        val = F.col("o") / (F.col("nl") + F.col("nr") - F.col("o")) if measure == "jaccard" \
+            else F.col("o") / F.greatest(F.col("nl"), F.lit(1))
+        return met.withColumn("s", val)
+
+    some = lsets.filter("m > 0").select("lid", F.col("n").alias("nl"), "m", "toks")
+    # phase 1: the rarest token of each left set gives a score that the best one reaches at least
+    first = some.select("lid", "nl", F.lit(0.0).alias("need"), F.lit(0).alias("lpos"), F.col("toks")[0].alias("token"))
+    b1 = scored(candidates(first)).groupBy("lid").agg(F.max("s").alias("need"))
+    # phase 2: a set that scores as much shares a token of the prefix
+    min_o = F.greatest(F.ceil(F.col("need") * F.greatest(F.col("nl"), F.lit(1)) - F.lit(1e-9)), F.lit(1))
+    probes = some.join(b1, "lid").select(
+        "lid", "nl", "need", F.posexplode(F.slice("toks", F.lit(1), F.greatest(F.col("m") - min_o + 1, F.lit(1)).cast("int")))
+        .alias("lpos", "token"))
+    best = scored(candidates(probes)).groupBy("lid").agg(
         F.min(F.struct((-F.col("s")).alias("ns"), F.col("rid").alias("rid"),
                        F.col("o").alias("o"), F.col("s").alias("s"))).alias("b"))
-    best = best.select("lid", F.col("b.rid").alias("rid"), F.col("b.o").alias("overlap"),
+    best = best.select("lid", F.col("b.rid").alias("rid"), F.col("b.o").cast("long").alias("overlap"),
                        (F.col("b.s") * 100).alias("score"))
     return best.join(left_names, "lid").select(F.col("name").alias("lid"), "rid", "overlap", "score")
 
@@ -135,6 +144,21 @@ def match_tables(wanted: DataFrame, have: DataFrame) -> DataFrame:
         _score_out(F.coalesce("score", F.lit(0.0))).alias("score"))
 
 
+def match_renamed(renames: DataFrame, have: DataFrame) -> DataFrame:
+    """Best table of ``have(table_name, column_name)`` for each wanted table by the names its columns are
+    given: ``|A ∩ T| / max(|A|, 1)`` with A the distinct targets of ``renames(table_name, column_name,
+    target)``, case-insensitive; columns without a target do not count.  Wanted tables without
+    targets, or without a match, are listed with score 0."""
+    given = renames.filter("target IS NOT NULL AND target <> ''").select("table_name", F.col("target").alias("column_name"))
+    b = _tables_by_columns(given, have)
+    sizes = given.groupBy("table_name").agg(F.countDistinct(F.lower("column_name")).alias("targets"))
+    names = renames.select("table_name").distinct().join(sizes, "table_name", "left")
+    return names.join(b.withColumnRenamed("lid", "table_name"), "table_name", "left").select(
+        F.col("table_name").alias("wanted"), F.col("rid").alias("best_match"),
+        F.coalesce("targets", F.lit(0)).cast("long").alias("targets"), F.coalesce("overlap", F.lit(0)).alias("overlap"),
+        _score_out(F.coalesce("score", F.lit(0.0))).alias("score"))
+
+
 def match_names(wanted: DataFrame, have: DataFrame, name_col: str = "name") -> DataFrame:
     """Most similar name (Jaccard of ``_``/blank tokens × 100) per wanted name."""
     w = tokens_of_names(wanted, name_col)

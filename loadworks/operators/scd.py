@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadworks.operators.apply import any_null, null_key_rows
-from loadworks.operators.sequence import add_bucket, time_bucket, with_neighbour
+from loadworks.operators.sequence import bucketed, with_last, with_neighbour
 from loadworks.operators.shaping import project_common, qcol
 from loadworks.session import scratch_path
 from loadworks.sources.journal import Change, Journal
@@ -86,8 +86,9 @@ def scd2_build(history: DataFrame, keys: list[str], attrs: list[str], effective:
 
     ``tie_break`` columns order rows that share an effective instant; without
     them two rows of one key and instant fail the job, whatever their
-    attributes.  ``bucket`` is the time slice used to split hot keys (``None``:
-    plain per-key window).  Rows with a NULL key come back as rejects.
+    attributes.  ``bucket`` is the time slice used to split hot keys (``range``: slices
+    taken from the data, for keys that are busy within any slice; ``None``: plain
+    per-key window).  Rows with a NULL key come back as rejects.
     """
     rejects = null_key_rows(history, keys)
     return Versions(_versions(history.filter(~any_null(keys)), keys, attrs, effective, tie_break,
@@ -102,7 +103,7 @@ def _versions(history: DataFrame, keys: list[str], attrs: list[str], effective:
     rows = history.select(*[qcol(c) for c in dict.fromkeys(keys + attrs + order)])
     attr_struct = F.struct(*[qcol(a) for a in attrs])
     # One bucket column for both passes: the data is shuffled once.
-    rows, bcol = add_bucket(rows, keys, time_bucket(effective, bucket) if bucket else None)
+    rows, bcol = bucketed(rows, keys, order, bucket)
 
     # 1. previous row of the key (to detect changes)
     seen = F.struct(attr_struct.alias("a"), qcol(effective).alias("e"))
@@ -235,6 +236,36 @@ def as_of(dim: DataFrame, instant) -> DataFrame:
     return dim.filter((F.col(VALID_FROM) <= t) & (t < F.col(VALID_TO)))
 
 
+def as_of_rows(facts: DataFrame, dim: DataFrame, keys: dict[str, str], at: str, cols: list[str],
+               bucket: str | None = "day") -> DataFrame:
+    """Each fact with the columns ``cols`` of the version valid at its own instant ``at``.
+
+    ``keys`` maps fact columns to key columns of the dimension.  Facts and versions are
+    put into one sequence by key and time; the version in force is the last one that
+    begins at or before the fact, if it has not ended.  So there is no join on a range: a
+    key's facts are not multiplied by its versions, and hot keys are split by ``bucket`` (see
+    ``sequence``).  Facts of an unknown or NULL key, of a NULL instant, or of one that no
+    version covers get NULLs; every fact comes back once, whatever its repetitions.
+    Versions of one key must not overlap.
+    """
+    names = [f"__k{i}" for i in range(len(keys))]
+    kind = dict(dim.dtypes)[VALID_FROM]
+    own = F.struct(*[qcol(c) for c in facts.columns])
+    version = F.struct(F.col(VALID_TO).alias("ends"), F.struct(*[qcol(c).alias(c) for c in cols]).alias("cols"))
+    fact_type = f"struct<{','.join(f'`{f.name}`:{f.dataType.simpleString()}' for f in facts.schema)}>"
+    begun = dim.filter(~any_null(list(keys.values()))).select(
+        *[qcol(k).alias(n) for n, k in zip(names, keys.values())], F.col(VALID_FROM).alias("__t"),
+        F.lit(0).alias("__kind"), version.alias("__version"), F.lit(None).cast(fact_type).alias("__fact"))
+    asked = facts.select(*[qcol(k).cast(dict(dim.dtypes)[d]).alias(n) for n, (k, d) in zip(names, keys.items())],
+                         qcol(at).cast(kind).alias("__t"), F.lit(1).alias("__kind"),
+                         F.lit(None).cast(begun.schema["__version"].dataType).alias("__version"), own.alias("__fact"))
+    line, bcol = bucketed(begun.unionByName(asked), names, ["__t", "__kind"], bucket)
+    found = with_last(line, names, ["__t", "__kind"], F.col("__version"), "__last", bcol).filter("__kind = 1")
+    held = F.col("__last.v")
+    valid = (F.col("__t") < held["ends"]) & F.col("__t").isNotNull() & ~any_null(names)
+    return found.select("__fact.*", *[F.when(valid, held["cols"][c]).alias(c) for c in cols])
+
+
 def current(dim: DataFrame, target_cols: list[str] | None = None) -> DataFrame:
     """The latest image (one row per key), optionally shaped to a target."""
     cur = dim.filter(F.col(CURRENT))
@@ -243,7 +274,7 @@ def current(dim: DataFrame, target_cols: list[str] | None = None) -> DataFrame:
 
 def version_gaps(dim: DataFrame, keys: list[str], bucket: str | None = "day") -> DataFrame:
     """Versions whose end date differs from the next version's start date (NULL keys included)."""
-    staged, bcol = add_bucket(dim, keys, time_bucket(VALID_FROM, bucket) if bucket else None)
+    staged, bcol = bucketed(dim, keys, [VALID_FROM], bucket)
     nxt = with_neighbour(staged, keys, [VALID_FROM], F.col(VALID_FROM), "__next", "next", bcol)
     nv = F.col("__next").getField("v")
     return nxt.filter(nv.isNotNull() & (F.col(VALID_TO).cast("date") != nv.cast("date"))) \

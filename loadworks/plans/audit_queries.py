@@ -10,7 +10,8 @@ from loadworks.operators import control as CT
 from loadworks.plans import scd_queries as SQ
 from loadworks.plans import shaping_queries as SH
 from loadworks.plans.registry import ALL_TABLES, recipe, table
-from loadworks.session import scratch_database
+from loadworks.session import scratch_database, scratch_path
+from loadworks.sources.journal import append_once
 from loadworks.sources.namespaces import Namespaces
 from loadworks.sources import sinks as K
 
@@ -397,3 +398,51 @@ FROM cols WHERE oty IS NULL OR sty IS NULL OR sty <> oty
 def q_inventory_diff(spark, sf):
     src, out = part_inventories(spark, sf)
     return AU.diff_inventory(src, out)
+
+
+# ------------------------------------------------------------ drill-down
+
+SWAPPED_SQL = """
+WITH o AS (SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders),
+q AS (SELECT a.o_orderkey, b.o_totalprice AS price FROM o a JOIN o b ON b.o_orderkey = xor(a.o_orderkey, 1)
+      WHERE a.o_orderkey // 2 % 50 = 0)
+"""
+
+
+@recipe("reconcile_rows", f"""
+{SWAPPED_SQL}
+SELECT o.o_orderkey, 'changed' AS status, 'o_totalprice' AS columns FROM o JOIN q USING (o_orderkey)
+WHERE price <> o_totalprice AND o.o_orderkey % 1000 <> 7
+UNION ALL SELECT o_orderkey, 'missing', NULL FROM o WHERE o_orderkey % 1000 = 7
+UNION ALL SELECT -o_orderkey, 'extra', NULL FROM o WHERE o_orderkey % 1000 = 7
+""")
+def q_reconcile_rows(spark, sf):
+    """Two images with equal counts: amounts of some orders swapped in pairs, some orders under another key."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+    swapped = o.filter("o_orderkey div 2 % 50 = 0").select(
+        F.col("o_orderkey").bitwiseXOR(1).alias("k"), F.col("o_totalprice").alias("price"))
+    image = o.join(swapped, F.col("o_orderkey") == F.col("k"), "left").select(
+        F.when(F.col("o_orderkey") % 1000 == 7, -F.col("o_orderkey")).otherwise(F.col("o_orderkey")).alias("o_orderkey"),
+        "o_custkey", F.coalesce("price", "o_totalprice").alias("o_totalprice"), "o_orderpriority")
+    base = scratch_path(spark, "images")
+    trees = []
+    for name, df in (("source", o), ("target", image)):
+        df.withColumn("leaf", AU.leaf_of(["o_orderkey"], 6)).repartition("leaf").write.partitionBy("leaf").parquet(f"{base}/{name}")
+        AU.hash_tree(df, ["o_orderkey"], (2, 4, 6)).write.parquet(f"{base}/{name}-tree")
+        trees.append(spark.read.parquet(f"{base}/{name}-tree"))
+    leaves = AU.differing_leaves(*trees, bits=(2, 4, 6))
+    source, target = (spark.read.parquet(f"{base}/{n}") for n in ("source", "target"))
+    return AU.diff_images(source, target, leaves, ["o_orderkey"], (2, 4, 6), "leaf")
+
+
+@recipe("audit_append_once", """
+SELECT 'first' AS load, count(*) AS records FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) FROM orders)
+UNION ALL SELECT 'second', count(*) FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) FROM orders)
+""")
+def q_audit_append_once(spark, sf):
+    """Audit records of two runs in the shared table; every append is sent again as if its answer had been lost."""
+    days = table(spark, sf, "orders").select(F.col("o_orderdate").cast("date").cast("string").alias("pos_dt")).distinct()
+    path = scratch_path(spark, "audit-once")
+    for run in ("first", "second", "first", "second"):
+        append_once(AU.audit_open(days, **(IDS | {"job": run})), path, f"{run} run")
+    return spark.read.parquet(path).groupBy(F.col("JOB_NM").alias("load")).agg(F.count(F.lit(1)).alias("records"))

@@ -67,6 +67,25 @@ def q_corpus_rule_scan(spark, sf):
     return _issues(spark, sf)
 
 
+@recipe("corpus_rule_table", """
+WITH b AS (SELECT item_id, substring(text, 1, CASE WHEN item_id % 10 = 0 THEN 5 ELSE 30 END) AS literal, item_id % 3 = 0 AS strict
+           FROM benchmark WHERE text IS NOT NULL AND position(chr(10) IN substring(text, 1, 30)) = 0),
+l AS (SELECT doc_id, unnest(string_split_regex(text, '\\r?\\n')) AS line,
+             generate_subscripts(string_split_regex(text, '\\r?\\n'), 1) AS line_no FROM documents)
+SELECT doc_id, 'item ' || item_id AS rule, CASE WHEN strict THEN 'critical' ELSE 'high' END AS severity, line_no
+FROM l JOIN b ON contains(line, literal) AND (NOT strict OR starts_with(line, literal))
+""")
+def q_corpus_rule_table(spark, sf):
+    """A rule a benchmark item: its beginning (of a few rules only the first letters) occurs in a line."""
+    b = table(spark, sf, "benchmark").filter(F.instr(F.substring("text", 1, 30), "\n") == 0)
+    strict = F.col("item_id") % 3 == 0
+    literal = F.when(F.col("item_id") % 10 == 0, F.substring("text", 1, 5)).otherwise(F.substring("text", 1, 30))
+    rules = b.select(F.concat(F.lit("item "), F.col("item_id").cast("string")).alias("rule"),
+                     F.when(strict, "critical").otherwise("high").alias("severity"),
+                     F.when(strict, F.concat(F.lit("^\\Q"), literal, F.lit("\\E"))).alias("pattern"), literal.alias("literal"))
+    return CO.scan_rule_table(_docs(spark, sf), rules, ["doc_id"])
+
+
 CLASSIFY_SQL = f"""
 SELECT d.doc_id, coalesce(i.n, 0) AS issues, coalesce(i.c, 0) AS critical_issues,
        coalesce(i.h, 0) AS high_issues,

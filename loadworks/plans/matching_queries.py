@@ -46,6 +46,25 @@ def q_match_tables(spark, sf):
     return M.match_tables(wanted, have)
 
 
+@recipe("match_renamed", f"""
+WITH {_INV_SQL},
+r AS (SELECT t, CASE WHEN c LIKE '%5' THEN NULL WHEN c LIKE '%7' THEN 'renamed_' || c ELSE upper(c) END AS target FROM w),
+a AS (SELECT DISTINCT t, lower(target) AS c FROM r WHERE target IS NOT NULL),
+an AS (SELECT t, count(*) AS n FROM a GROUP BY t),
+ov AS (SELECT a.t AS wanted, h.t AS hname, count(*) AS o FROM a JOIN h ON a.c = h.c GROUP BY 1, 2),
+b AS (SELECT * FROM ov QUALIFY row_number() OVER (PARTITION BY wanted ORDER BY o DESC, hname) = 1)
+SELECT wn.t AS wanted, b.hname AS best_match, coalesce(an.n, 0) AS targets, coalesce(b.o, 0) AS overlap,
+       CAST(round(coalesce(b.o, 0) * 100.0 / greatest(coalesce(an.n, 0), 1), 2) AS DECIMAL(7,2)) AS score
+FROM (SELECT DISTINCT t FROM w) wn LEFT JOIN an ON an.t = wn.t LEFT JOIN b ON b.wanted = wn.t
+""")
+def q_match_renamed(spark, sf):
+    """Tables whose columns go by other names: some without one, some by one that nobody has."""
+    have, wanted = _have_wanted(spark, sf)
+    c = F.col("column_name")
+    target = F.when(c.endswith("5"), F.lit(None)).when(c.endswith("7"), F.concat(F.lit("renamed_"), c)).otherwise(F.upper(c))
+    return M.match_renamed(wanted.withColumn("target", target), have)
+
+
 def _part_names(spark, sf):
     p = table(spark, sf, "part")
     brand = F.lower(F.replace("p_brand", F.lit("#"), F.lit("")))

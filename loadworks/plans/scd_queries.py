@@ -149,6 +149,35 @@ def q_scd2_as_of(spark, sf):
     return D.as_of(dim, AS_OF).select("user_id", "event_type", "valid_from")
 
 
+@recipe("scd2_as_of_rows", f"""
+WITH d AS ({BUILD_SQL}),
+f AS (SELECT o_orderkey, o_custkey, TIMESTAMP '2024-01-01' + INTERVAL (o_orderkey % 40) DAY AS at FROM orders)
+SELECT f.*, d.event_type, d.valid_from FROM f LEFT JOIN d
+  ON d.user_id = f.o_custkey AND d.valid_from <= f.at AND f.at < d.valid_to
+""")
+def q_scd2_as_of_rows(spark, sf):
+    """Each order with its customer's version at the order's own instant (of a made-up month)."""
+    day = (F.col("o_orderkey") % 40).cast("int")
+    facts = table(spark, sf, "orders").select("o_orderkey", "o_custkey", (
+        _ts("2024-01-01 00:00:00") + F.make_dt_interval(day)).alias("at"))
+    return D.as_of_rows(facts, build_events(table(spark, sf, "events")), {"o_custkey": "user_id"}, "at",
+                        ["event_type", "valid_from"])
+
+
+@recipe("scd2_hot_key", """
+WITH s AS (SELECT 'all' AS shop, event_type, ts, event_id, lag(event_type) OVER w AS prev, row_number() OVER w AS rn
+           FROM events WINDOW w AS (ORDER BY ts, event_id)),
+c AS (SELECT * FROM s WHERE rn = 1 OR prev IS DISTINCT FROM event_type)
+SELECT shop, event_type, ts AS valid_from, coalesce(lead(ts) OVER w2, TIMESTAMP '9999-12-31 00:00:00') AS valid_to,
+       lead(ts) OVER w2 IS NULL AS is_current, event_id
+FROM c WINDOW w2 AS (ORDER BY ts, event_id)
+""")
+def q_scd2_hot_key(spark, sf):
+    """All events are versions of one key; slices taken from the data split it."""
+    ev = table(spark, sf, "events").withColumn("shop", F.lit("all"))
+    return D.scd2_build(ev, ["shop"], ATTRS, EFF, TIE, bucket="range").dim
+
+
 @recipe("scd2_current", f"""
 SELECT user_id, event_type, valid_from FROM ({BUILD_SQL}) d WHERE is_current
 """)

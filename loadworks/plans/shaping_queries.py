@@ -159,6 +159,7 @@ SELECT c_custkey,
   right(c_name, 4) AS name_right4,
   substring(c_name, 1, 4) || substring(c_name, 10, 3) AS name_parts,
   TIMESTAMP '2024-01-15 00:00:00' AS run_ts,
+  DATE '2024-01-15' AS run_date,
   CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS VARCHAR) AS bal_text,
   TRY_CAST(CAST(c_nationkey AS VARCHAR) || '.5' AS DECIMAL(38,10)) AS nation_decimal,
   TRY_CAST(c_mktsegment AS DECIMAL(38,10)) AS segment_decimal,
@@ -205,6 +206,7 @@ def q_scalar_functions(spark, sf):
         S.str_right("c_name", 4).alias("name_right4"),
         F.concat(S.substrings("c_name", 1, 4), S.substrings("c_name", 10, 3)).alias("name_parts"),
         S.timestamp_from_date_param(BUSINESS_DAY).alias("run_ts"),
+        S.current_dt(BUSINESS_DAY).alias("run_date"),
         S.decimal_to_string(F.col("c_acctbal").cast("decimal(12,2)")).alias("bal_text"),
         S.string_to_decimal(F.concat(F.col("c_nationkey").cast("string"), F.lit(".5")))
         .alias("nation_decimal"),
