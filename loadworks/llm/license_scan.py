@@ -1,19 +1,24 @@
 """Licence scan: a trained paragraph classifier over word n-grams, confirmed by templates.
 
-A paragraph is a line of a text; its features are its distinct longer words and
-word pairs.  A multinomial logistic regression with sparse weights, trained here on
-the notices below and on a bounded sample of ordinary paragraphs, gives each
-paragraph a probability per licence family and for ``unknown``.  The least
-probability that counts is calibrated for each family on ordinary paragraphs left
-out of the training.  A prediction stands only if enough word triples of one of the
-family's notices occur in the paragraph.
-
-Everything is DataFrame work.  A paragraph that holds none of the features
-that speak for a family cannot be anything but unknown, so only the others are
-exploded and joined with the weights (bounded by the features of the notices).
+A paragraph is a run of consecutive non-blank lines.  It is judged by its lines and, as
+notices are often wrapped, by each run of neighbouring lines that hold words which speak
+for a family, joined.  Features are distinct longer words and word pairs.  A
+multinomial logistic regression with sparse weights, trained here on the notices
+below and on a bounded sample of ordinary lines, gives a probability per licence
+family and for ``unknown``.  The least probability that counts is calibrated for each
+family on ordinary lines left out of the training.  A prediction stands only if
+enough word triples of one of the family's notices occur, among them the notice's own
+mark: the triple that names the licence and its version.  So a notice that is like a
+known one but for the name or the version stays unknown.
+
+Everything is DataFrame work.  A line that holds none of the features that speak for
+a family cannot be anything but unknown, so only the others are exploded and joined
+with the weights (bounded by the features of the notices).
 
 Defined results: null and empty texts have no paragraphs and no licence;
-repeated ids count together; equal probabilities go to the smaller family name.
+repeated ids count together; equal probabilities go to the smaller family name; a
+paragraph may name several families, each counts once; lines of any length are one
+line; input columns that are not named are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -33,28 +38,40 @@ VOCABULARY = 1 << 12   # features that are weighed, at most: those of most examp
 LEAST = 0.5            # lowest probability that may count, before calibration
 WEIGHT = 40.0          # weight of a notice's example against an ordinary paragraph
 
-# Short notices by which works name their licence.
+# Notices by which works name their licence, each with its mark (see ``words``).
 NOTICES = [
-    ("MIT", "Released under the MIT License."),
-    ("MIT", "This project is licensed under the terms of the MIT license."),
-    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("Apache-2.0", "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
+    ("MIT", "Released under the MIT License.", "the mit license"),
+    ("MIT", "This project is licensed under the terms of the MIT license.", "the mit license"),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software",
+     "permission is hereby"),
+    ("MIT", "The above copyright notice and this permission notice shall be included in all copies or substantial "
+            "portions of the Software.", "this permission notice"),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0.", "license version 2.0"),
+    ("Apache-2.0", "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
+     "at http //www.apache.org/licenses/license-2.0"),
+    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3.", "license version 3"),
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the "
-                "GNU General Public License as published by the Free Software Foundation"),
-    ("LGPL", "This library is licensed under the GNU Lesser General Public License."),
-    ("AGPL-3.0", "Licensed under the GNU Affero General Public License, version 3."),
-    ("BSD", "Use of this source code is governed by a BSD-style license."),
-    ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted"),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
+                "GNU General Public License as published by the Free Software Foundation, either version 3 of the "
+                "License, or (at your option) any later version.", "version 3 of"),
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2.", "license version 2"),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the "
+                "GNU General Public License as published by the Free Software Foundation; either version 2 of the "
+                "License, or (at your option) any later version.", "version 2 of"),
+    ("LGPL", "This library is licensed under the GNU Lesser General Public License.", "gnu lesser general"),
+    ("AGPL-3.0", "Licensed under the GNU Affero General Public License, version 3.", "gnu affero general"),
+    ("BSD", "Use of this source code is governed by a BSD-style license.", "a bsd-style license"),
+    ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted",
+     "source and binary"),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+     "mozilla public license"),
+    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0.", "cc by-nc 4.0"),
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 "
-                     "International License."),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    ("CC0-1.0", "This work has been dedicated to the public domain under CC0 1.0 Universal."),
+                     "International License.", "commons attribution-noncommercial 4.0"),
+    ("CC-BY-4.0", "Licensed under CC BY 4.0.", "cc by 4.0"),
+    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+     "commons attribution 4.0"),
+    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0.", "cc by-sa 4.0"),
+    ("CC0-1.0", "This work has been dedicated to the public domain under CC0 1.0 Universal.", "under cc0 1.0"),
 ]
 # Ordinary sentences with words of licences.
 ORDINARY = [
@@ -91,15 +108,15 @@ def features(tokens: Column) -> Column:
     return F.array_distinct(F.concat(F.filter(tokens, lambda t: F.length(t) > 3), grams(tokens, 2)))
 
 
-def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, part, paragraph) of every line that holds an ASCII letter."""
-    return (docs.select(F.col(id_col).alias("id"), F.posexplode(F.split(F.col(text_col), "\n")).alias("part", "paragraph"))
+def lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: str) -> DataFrame:
+    """(id, more, part, paragraph) of every line that holds an ASCII letter; ``part`` is its number."""
+    return (docs.select(F.col(id_col).alias("id"), *more, F.posexplode(F.split(F.col(text_col), "\n")).alias("part", "paragraph"))
             .where(F.col("paragraph").rlike("[A-Za-z]")))
 
 
 def _notices(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(f, t, k) for k, (f, t) in enumerate(NOTICES)],
-                                 "family string, text string, notice int")
+    return spark.createDataFrame([(f, t, m, k) for k, (f, t, m) in enumerate(NOTICES)],
+                                 "family string, text string, mark string, notice int")
 
 
 class Model:
@@ -115,8 +132,8 @@ def _contained(rows: DataFrame, keys: list[str], triples: DataFrame) -> DataFram
     """(keys, family, contained): families of which rows with ``tokens`` hold enough of a notice."""
     return (rows.select(*keys, F.explode(F.array_distinct(grams(F.col("tokens"), 3))).alias("triple"))
             .join(F.broadcast(triples), "triple").groupBy(*keys, "family", "notice")
-            .agg((F.countDistinct("triple") / F.max("size")).alias("share"))
-            .groupBy(*keys, "family").agg(F.max("share").alias("contained"))
+            .agg((F.countDistinct("triple") / F.max("size")).alias("share"), F.max("is_mark").alias("marked"))
+            .where("marked").groupBy(*keys, "family").agg(F.max("share").alias("contained"))
             .where(F.col("contained") >= CONTAINED))
 
 
@@ -142,7 +159,8 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample:
     """
     spark = docs.sparkSession
     notices = _notices(spark).withColumn("tokens", words(F.col("text")))
-    triples = notices.select("family", "notice", F.explode(F.array_distinct(grams(F.col("tokens"), 3))).alias("triple"))
+    triples = notices.select("family", "notice", "mark", F.explode(F.array_distinct(grams(F.col("tokens"), 3))).alias("triple"))
+    triples = triples.withColumn("is_mark", F.col("triple") == F.col("mark"))
     triples = triples.withColumn("size", F.count("*").over(Window.partitionBy("notice")))
     # examples of a notice: the whole of it, and its parts of three quarters of its words
     size = F.size("tokens")
@@ -156,7 +174,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample:
     count = rows.count()
     share = min(1.0, sample / 4 / max(1, count))  # a few paragraphs a document: read few documents
     chosen = rows.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    plain = (paragraphs(chosen, "id", "text").where(~F.lower("paragraph").rlike(r"\b(licen|copyright|copyleft)"))
+    plain = (lines(chosen, "id", "text").where(~F.lower("paragraph").rlike(r"\b(licen|copyright|copyleft)"))
              .select(F.lit(UNKNOWN).alias("family"), F.xxhash64("id", "part").alias("key"),
                      words(F.col("paragraph")).alias("tokens")))
     plain = plain.join(_contained(plain, ["key"], triples), "key", "left_anti").orderBy("key").limit(sample).persist()
@@ -194,19 +212,36 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample:
 
 
 def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, part, family, probability, contained) of every paragraph that names a licence."""
-    keys = ["id", "part", "sum"]
+    """(id, part, family, probability, contained) of every paragraph that names a licence.
+
+    ``part`` is the first line that shows it (by itself, or as the first of joined ones).
+    """
     speaking = sorted({f.split(" ")[0] for f in model.speaking})
-    rows = (paragraphs(docs, id_col, text_col).withColumn("tokens", words(F.col("paragraph")))
+    rows = (lines(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("row")),
+                  "id", "text", "row").withColumn("tokens", words(F.col("paragraph")))
             .where(F.arrays_overlap("tokens", F.array(*map(F.lit, speaking))))
-            .withColumn("features", features(F.col("tokens")))
-            .where(F.arrays_overlap("features", F.array(*map(F.lit, model.speaking))))
-            .select(F.col("id"), "part", F.xxhash64("paragraph").alias("sum"), "tokens", "features"))
-    rows = stored(rows, "licence-paragraphs")  # few paragraphs pass: the texts are read once
+            .select("id", "row", "part", "tokens"))
+    rows = stored(rows, "licence-lines")  # few lines pass: the texts are read once
+    # neighbouring lines: their number less their rank in the document is the same
+    line = Window.partitionBy("row").orderBy("part")
+    runs = (rows.withColumn("run", F.col("part") - F.row_number().over(line)).groupBy("row", "run")
+            .agg(F.first("id").alias("id"), F.array_sort(F.collect_list(F.struct("part", "tokens"))).alias("x")))
+    runs = stored(runs.select("id", "row", F.col("x")[0]["part"].alias("first"), "x"), "licence-runs")
+    joined = runs.where("size(x) > 1").select("id", "row", "first", F.col("first").alias("part"), F.lit(True).alias("whole"),
+                                             F.flatten("x.tokens").alias("tokens"))
+    alone = runs.select("id", "row", "first", F.explode("x").alias("y")).select(
+        "id", "row", "first", "y.part", F.lit(False).alias("whole"), "y.tokens")
+    units = (alone.unionByName(joined).withColumn("features", features(F.col("tokens")))
+             .where(F.arrays_overlap("features", F.array(*map(F.lit, model.speaking)))))
+    units = stored(units, "licence-paragraphs")
+    keys = ["id", "row", "first", "part", "whole"]
     least = F.create_map(*[F.lit(x) for pair in sorted(model.thresholds.items()) for x in pair])
-    predicted = (_scored(rows, keys, model.weights, model.intercepts)
+    predicted = (_scored(units, keys, model.weights, model.intercepts)
                  .where((F.col("family") != UNKNOWN) & (F.col("probability") >= least[F.col("family")])))
-    shared = _contained(rows, keys, model.triples)
+    shared = _contained(units, keys, model.triples)
     same = [predicted[k].eqNullSafe(shared[k]) for k in keys] + [predicted["family"] == shared["family"]]
-    return predicted.join(shared, same).select(
-        predicted["id"], predicted["part"], predicted["family"], "probability", "contained")
+    found = predicted.join(shared, same).select(*[predicted[k] for k in keys], predicted["family"], "probability", "contained")
+    # a family that a line shows by itself is not reported again for the lines joined
+    own = Window.partitionBy("row", "first", "family")
+    found = found.withColumn("lone", F.min("whole").over(own)).where(~F.col("whole") | F.col("lone"))
+    return found.select("id", "part", "family", "probability", "contained")
