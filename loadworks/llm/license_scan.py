@@ -220,20 +220,21 @@ def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     rows = (lines(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("row")),
                   "id", "text", "row").withColumn("tokens", words(F.col("paragraph")))
             .where(F.arrays_overlap("tokens", F.array(*map(F.lit, speaking))))
+            .where(F.arrays_overlap(features(F.col("tokens")), F.array(*map(F.lit, model.speaking))))
             .select("id", "row", "part", "tokens"))
     rows = stored(rows, "licence-lines")  # few lines pass: the texts are read once
     # neighbouring lines: their number less their rank in the document is the same
     line = Window.partitionBy("row").orderBy("part")
     runs = (rows.withColumn("run", F.col("part") - F.row_number().over(line)).groupBy("row", "run")
             .agg(F.first("id").alias("id"), F.array_sort(F.collect_list(F.struct("part", "tokens"))).alias("x")))
-    runs = stored(runs.select("id", "row", F.col("x")[0]["part"].alias("first"), "x"), "licence-runs")
-    joined = runs.where("size(x) > 1").select("id", "row", "first", F.col("first").alias("part"), F.lit(True).alias("whole"),
-                                             F.flatten("x.tokens").alias("tokens"))
-    alone = runs.select("id", "row", "first", F.explode("x").alias("y")).select(
-        "id", "row", "first", "y.part", F.lit(False).alias("whole"), "y.tokens")
-    units = (alone.unionByName(joined).withColumn("features", features(F.col("tokens")))
-             .where(F.arrays_overlap("features", F.array(*map(F.lit, model.speaking)))))
-    units = stored(units, "licence-paragraphs")
+    runs = runs.select("id", "row", F.col("x")[0]["part"].alias("first"), "x")
+    alone = F.transform("x", lambda y: F.struct(y["part"].alias("part"), F.lit(False).alias("whole"), y["tokens"].alias("tokens")))
+    joined = F.struct(F.col("first").alias("part"), F.lit(True).alias("whole"), F.flatten("x.tokens").alias("tokens"))
+    units = runs.select("id", "row", "first", F.inline(F.concat(alone, F.when(F.size("x") > 1, F.array(joined))
+                                                               .otherwise(F.slice(F.array(joined), 1, 0)))))
+    marks = sorted({mark for _, _, mark in NOTICES})  # without one of them no prediction stands
+    units = stored(units.where(F.arrays_overlap(grams(F.col("tokens"), 3), F.array(*map(F.lit, marks))))
+                   .withColumn("features", features(F.col("tokens"))), "licence-paragraphs")
     keys = ["id", "row", "first", "part", "whole"]
     least = F.create_map(*[F.lit(x) for pair in sorted(model.thresholds.items()) for x in pair])
     predicted = (_scored(units, keys, model.weights, model.intercepts)
