@@ -216,11 +216,15 @@ def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     ``part`` is the first line that shows it (by itself, or as the first of joined ones).
     """
-    speaking = sorted({f.split(" ")[0] for f in model.speaking})
+    marks = sorted({mark for _, _, mark in NOTICES})  # without one of them no prediction stands
+    ends = sorted({m.split(" ")[-1] for m in marks})  # a line may begin with the end of a mark
+    spoken = sorted({*model.speaking, *(" ".join(m.split(" ")[i:i + 2]) for m in marks for i in (0, 1))})
+    speaking = sorted({*(f.split(" ")[0] for f in spoken), *ends})
     rows = (lines(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("row")),
                   "id", "text", "row").withColumn("tokens", words(F.col("paragraph")))
             .where(F.arrays_overlap("tokens", F.array(*map(F.lit, speaking))))
-            .where(F.arrays_overlap(features(F.col("tokens")), F.array(*map(F.lit, model.speaking))))
+            .where(F.arrays_overlap(features(F.col("tokens")), F.array(*map(F.lit, spoken)))
+                   | F.get("tokens", F.lit(0)).isin(ends))
             .select("id", "row", "part", "tokens"))
     rows = stored(rows, "licence-lines")  # few lines pass: the texts are read once
     # neighbouring lines: their number less their rank in the document is the same
@@ -232,7 +236,6 @@ def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     joined = F.struct(F.col("first").alias("part"), F.lit(True).alias("whole"), F.flatten("x.tokens").alias("tokens"))
     units = runs.select("id", "row", "first", F.inline(F.concat(alone, F.when(F.size("x") > 1, F.array(joined))
                                                                .otherwise(F.slice(F.array(joined), 1, 0)))))
-    marks = sorted({mark for _, _, mark in NOTICES})  # without one of them no prediction stands
     units = stored(units.where(F.arrays_overlap(grams(F.col("tokens"), 3), F.array(*map(F.lit, marks))))
                    .withColumn("features", features(F.col("tokens"))), "licence-paragraphs")
     keys = ["id", "row", "first", "part", "whole"]

@@ -216,6 +216,7 @@ WRAPPED = {
             "documentation files", {"MIT"}),
     "bsd": ("Redistribution and use in source and binary forms, with or\nwithout modification, are permitted provided that", {"BSD"}),
     "apache": ("Licensed under the Apache License,\nVersion 2.0.", {"Apache-2.0"}),
+    "apache, number wrapped": ("This file is licensed under the Apache License, Version\n2.0. Ask before", {"Apache-2.0"}),
     "two": ("Released under the MIT License.\nLicensed under the Apache License, Version 2.0.", {"MIT", "Apache-2.0"}),
     "split by a blank line": ("This program is free software: you can redistribute it and/or modify\n\nit under the terms of the\n\n"
                               "GNU General Public License as published by", set()),
