@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from loadworks.llm import byte_dedup, near_dup, word_dedup
@@ -48,6 +49,51 @@ def test_word_dedup_equals_brute_force(spark, sf, source):
         tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
     got = word_dedup.dedup_words(frame(spark, rows)).collect()
     assert {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept"]) for r in got} == brute.word_dedup(rows, 20)
+    assert all(sum(s["end"] - s["start"] for s in r["spans"]) == r["n_removed"] for r in got)
+
+
+def test_packed_bits_count_their_ones():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 63, 64, 65, 511, 512, 513, 5000):
+        bits = rng.integers(0, 2, n)
+        assert word_dedup.BitVector(bits).rank(np.arange(n + 1)).tolist() == [0, *np.cumsum(bits).tolist()]
+    long = word_dedup.BitVector(np.ones(1 << 16))
+    assert (long.words.nbytes + long.inside.nbytes + long.before.nbytes) * 8 < 1.5 * (1 << 16)
+
+
+@pytest.mark.parametrize("words", [1, 2, 30])
+def test_matching_statistics_equal_brute_force(words):
+    rng = np.random.default_rng(words)
+    pieces = [rng.integers(1, words + 1, rng.integers(0, 40)).tolist() + [0] for _ in range(12)]
+    pieces += [pieces[1], pieces[2][5:]]
+    symbols = np.array(sum(pieces, []))
+    ends, room = [], []
+    for at in range(1, len(symbols) + 1):
+        size = 0
+        while size < at and symbols[at - 1 - size] != 0:
+            size += 1
+        ends.append(at)
+        room.append(size)
+    index = word_dedup.FMIndex(symbols, words + 1, 2 * max(room) + 1)
+    length, low, high = index.matching_statistics(symbols, np.array(ends), np.array(room))
+    flat = "".join(chr(65 + x) for x in symbols)
+
+    def times(part):
+        return sum(flat.startswith(part, k) for k in range(len(flat)))
+
+    for end, most, got, a, b in zip(ends, room, length, low, high):
+        want = max(n for n in range(most + 1) if n == 0 or times(flat[end - n:end]) > 1)
+        assert got == want
+        assert b - a == (times(flat[end - want:end]) if want else len(flat))
+
+
+def test_shards_are_streamed_in_parts(spark, monkeypatch):
+    assert [p.tolist() for p in word_dedup.parts(np.array([3, 0, 4, 9, 1]), 5)] == [[0, 1], [2], [3, 4]]
+    assert [p.tolist() for p in word_dedup.parts(np.array([], int), 5)] == [[]]
+    monkeypatch.setattr(word_dedup, "STREAM", 7)
+    rows = synthetic(9)
+    got = word_dedup.dedup_words(frame(spark, rows)).collect()
+    assert {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept"]) for r in got} == brute.word_dedup(rows, 20)
 
 
 def test_dedup_of_repeated_rows_and_empty_tables(spark):
