@@ -7,7 +7,8 @@ enough vectors; those are ranked by exact Euclidean distance.
 
 Equal vectors are indexed once, with their smallest ids: a copy group of any
 size neither fills a cell nor a task.  Rows are dealt by first-half cluster,
-large clusters over several blocks.
+large clusters over several blocks, and a cluster's queries over parts, so a
+task holds at most about BLOCK vectors and ASKS queries.
 
 Defined results: vectors that are null, zero, hold null or non-finite
 components, or differ in length from the index take no part, as query or as
@@ -35,6 +36,7 @@ ROUNDS = 8           # of the centroid fit
 CANDIDATES = 0.5    # share of the vectors that a query ranks ...
 LEAST = 4000         # ... and their least number
 BLOCK = 4096         # vectors of a block
+ASKS = 8192          # queries that meet a block in one group
 
 
 def usable(vector: Column) -> Column:
@@ -138,14 +140,14 @@ def nearest(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector_
         sizes[r["i"], r["j"]] = r["count"]
     blocks = np.maximum(1, -(-sizes.sum(1) // BLOCK))
     enough = max(least, int(np.ceil(candidates * total)))
-    walked = spark.sparkContext.broadcast((sizes, blocks, enough))
+    walked = spark.sparkContext.broadcast((sizes, enough))
 
     def route(batches):
         one, two = shared.value
-        sizes, blocks, enough = walked.value
+        sizes, enough = walked.value
         for batch in batches:
             x = _matrix(batch.column(1))
-            out = [[], [], [], [], []]
+            out = [[], [], [], []]
             if len(x):
                 first, second = squared(x[:, :half], one), squared(x[:, half:], two)
             for q in range(len(x)):
@@ -153,18 +155,33 @@ def nearest(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector_
                 for i, j in walk(first[q], second[q], sizes, enough):
                     cells.setdefault(i, []).append(j)
                 for i, js in cells.items():
-                    for b in range(int(blocks[i])):
-                        for col, value in zip(out, (batch.column(0)[q].as_py(), x[q], i, b, js)):
-                            col.append(value)
-            kinds = [pa.int64(), pa.list_(pa.float64()), pa.int32(), pa.int32(), pa.list_(pa.int32())]
+                    for col, value in zip(out, (batch.column(0)[q].as_py(), x[q], i, js)):
+                        col.append(value)
+            kinds = [pa.int64(), pa.list_(pa.float64()), pa.int32(), pa.list_(pa.int32())]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)],
-                                             names=["key", "v", "i", "block", "js"])
+                                             names=["key", "v", "i", "js"])
 
     asked = rows.where("asks").select("key").distinct()
-    routed = (index.join(asked, "key", "left_semi").select("key", "v")
-              .mapInArrow(route, "key long, v array<double>, i int, block int, js array<int>"))
-    counts = F.array(*[F.lit(int(b)) for b in blocks])
-    held = index.withColumn("block", F.pmod(F.xxhash64("key"), F.element_at(counts, F.col("i") + 1)).cast("int"))
+    path = scratch_path(spark, "ann-routed")
+    (index.join(asked, "key", "left_semi").select("key", "v")
+     .mapInArrow(route, "key long, v array<double>, i int, js array<int>").write.parquet(path))
+    routed = spark.read.parquet(path)
+    # a group holds one of a cluster's blocks and one of the parts that its queries are dealt to
+    parts = np.ones(len(blocks), np.int64)
+    for r in routed.groupBy("i").count().collect():  # at most MAX_K rows
+        parts[r["i"]] = -(-r["count"] // ASKS)
+
+    def of(numbers: np.ndarray) -> Column:
+        return F.element_at(F.array(*[F.lit(int(n)) for n in numbers]), F.col("i") + 1)
+
+    def dealt(number: Column) -> Column:
+        return F.pmod(F.xxhash64("key"), number).cast("int")
+
+    def each(number: Column) -> Column:
+        return F.explode(F.sequence(F.lit(0), number.cast("int") - 1))
+
+    routed = routed.withColumn("part", dealt(of(parts))).withColumn("block", each(of(blocks)))
+    held = index.withColumn("block", dealt(of(blocks))).withColumn("part", each(of(parts)))
 
     def rank(asks: pa.Table, rows: pa.Table) -> pa.Table:
         keys, out = [], [[], []]
@@ -186,7 +203,8 @@ def nearest(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector_
         return pa.table({"asking": pa.array(keys, pa.int64()), "key": pa.array(flat[0].astype(np.int64)),
                          "score": pa.array(flat[1], pa.float64())})
 
-    ranked = (routed.groupBy("i", "block").cogroup(held.groupBy("i", "block"))
+    cell = ["i", "block", "part"]
+    ranked = (routed.groupBy(*cell).cogroup(held.groupBy(*cell))
               .applyInArrow(rank, "asking long, key long, score double"))
     # the best distinct vectors of a query, then their ids, then the best ids
     close = ranked.join(members.where("n = 1").select("key", F.col("vec_id").alias("low")), "key")

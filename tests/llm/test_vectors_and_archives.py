@@ -36,6 +36,17 @@ def test_recall_against_brute_force(spark):
     assert np.mean([len(set(dict(got[q])) & set(dict(want[q]))) / 10 for q in want]) >= 0.9
 
 
+def test_dealt_queries_find_the_same(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=6).tolist()) for i in range(400)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    monkeypatch.setattr(ann, "ASKS", 7)
+    monkeypatch.setattr(ann, "BLOCK", 20)
+    got = by_query(ann.nearest(df, F.col("vec_id") % 4 == 0, candidates=1.0).collect())
+    want = exact(rows, 4, 10)
+    assert {q: [i for i, _ in near] for q, near in got.items()} == {q: [i for i, _ in near] for q, near in want.items()}
+
+
 def test_whole_walk_is_exact_with_ties_and_copies(spark):
     rng = np.random.default_rng(1)
     rows = [(i, rng.integers(-2, 3, 5).astype(float).tolist()) for i in range(300)]
