@@ -27,7 +27,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from loadworks.llm.components import small, stored
+
 MIN_REVISIT = 1000
+OWNER_BYTES = 32 << 20  # bytes of a file whose pieces are given to their records in one task
 MAGIC = b"\nWARC/"
 END = "\r\n\r\n"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
@@ -227,12 +229,19 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     if not spanning.limit(1).count():
         return whole
     # records over several pieces: fetch those pieces, and no others
-    owners = chained.select("file", "start", F.lit(True).alias("real"), "end")
-    line = Window.partitionBy("file").orderBy("start")
-    owned = (placed.select("file", "block", "idx", "start").join(
-        owners, ["file", "start"], "left")
-        .withColumn("owner", F.last(F.when(F.col("real"), F.col("start")), True).over(line)))
-    wanted = stored(owned.join(spanning.select("file", F.col("start").alias("owner")), ["file", "owner"])
+    owners = chained.select("file", "start", F.lit(True).alias("real"))
+    part = F.floor(F.col("start") / OWNER_BYTES)
+    # the record that reaches into a part of a file from before it; records do not overlap: one a part at most
+    first, last = part + 1, F.floor((F.col("end") - 1) / OWNER_BYTES)
+    carried = (spanning.where(last >= first)
+               .select("file", F.col("start").alias("carry"), F.explode(F.sequence(first, last)).alias("part")))
+    line = Window.partitionBy("file", "part").orderBy("start")
+    owned = (placed.select("file", "block", "idx", "start", part.alias("part"))
+             .join(owners, ["file", "start"], "left").join(carried, ["file", "part"], "left")
+             .withColumn("owner", F.coalesce(F.last(F.when(F.col("real"), F.col("start")), True).over(line),
+                                             F.col("carry"))))
+    reaching = spanning.select("file", F.col("start").alias("owner"), "end")
+    wanted = stored(owned.join(reaching, ["file", "owner"]).where("start < end")
                      .select("file", "block", "idx", "owner", F.col("start").alias("piece_start")), "warc-wanted")
 
     def fetch(batches):

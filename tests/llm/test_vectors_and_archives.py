@@ -75,8 +75,10 @@ def pages(spark):
                                        "page_id long, url string, html string, digest string")
 
 
-@pytest.mark.parametrize("block", ["128m", "700"])
-def test_archives_round_trip_wherever_they_are_split(spark, block):
+@pytest.mark.parametrize("block, part", [("128m", None), ("700", None), ("128m", 300), ("700", 1000)])
+def test_archives_round_trip_wherever_they_are_split(spark, monkeypatch, block, part):
+    if part:
+        monkeypatch.setattr(warc, "OWNER_BYTES", part)
     rows, df = pages(spark)
     path = scratch_path(spark, "warc-test")
     warc.write(df.coalesce(2), path)
