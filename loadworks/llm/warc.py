@@ -204,7 +204,11 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     base = blocks.select("file", "block", F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("base"))
     placed = found.join(base, ["file", "block"]).select(
         "*", (F.col("base") + F.col("at")).alias("start"), (F.col("base") + F.col("exit")).alias("to"))
-    jump = stored(placed.where("to is not null").select("file", "start", "to"), "warc-jump")
+    # the chain enters blocks where some candidate leaves another: only these positions are jumped from
+    entered = placed.where("to is not null").select("file", F.col("to").alias("start")).distinct()
+    jump = stored(placed.where("to is not null").select("file", "start", "to").join(
+        entered.unionByName(placed.where("start = 0").select("file", "start")), ["file", "start"], "left_semi"),
+        "warc-jump")
     reach = stored(placed.where("start = 0").select("file", "start"), "warc-reach")
     while True:  # 2**k steps of the chain in round k
         step = jump.join(reach, ["file", "start"]).select("file", F.col("to").alias("start"))
