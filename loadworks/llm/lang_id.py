@@ -10,7 +10,8 @@ highest count decides.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0;
 equal counts go to the smaller language name; an empty training set leaves
-only ``und``; the training rows with null language or text are not used.
+only ``und``; the training rows with null language or text are not used, nor
+those of languages beyond the ``languages`` most frequent ones.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from pyspark.sql.window import Window
 from loadworks.llm.columns import mix, slices, sums, utf8, with_columns
 from loadworks.llm.components import stored
 
+LANGUAGES = 256           # languages learned, at most: those of most training texts
 SAMPLE_DOCS = 4000        # training texts of a language, about
 GRAMS = 20000             # n-grams of a language, at most
 RATIO = 0.25              # kept where its rate is this share of its highest rate, at least
@@ -101,18 +103,35 @@ def _slots(grams: np.ndarray, size: int) -> list[np.ndarray]:
     return [((h + np.uint64(k) * step) & np.uint64(size - 1)).astype(np.int64) for k in range(HASHES)]
 
 
+def _slot_task(languages: list[str], size: int):
+    """(bit, slot) of the n-grams of a task: bit is the language's place, slot one of the gram's."""
+    bits = {lang: bit for bit, lang in enumerate(languages)}
+
+    def task(batches):
+        for batch in batches:
+            bit = np.array([bits[lang] for lang in batch.column(0).to_pylist()], np.int64)
+            slots = np.concatenate(_slots(batch.column(1).to_numpy(), size))
+            yield pa.RecordBatch.from_arrays([pa.array(np.tile(bit, HASHES)), pa.array(slots)], names=["bit", "slot"])
+
+    return task
+
+
 def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-        sample_docs: int = SAMPLE_DOCS, grams: int = GRAMS, ratio: float = RATIO) -> Filters:
+        sample_docs: int = SAMPLE_DOCS, grams: int = GRAMS, ratio: float = RATIO,
+        languages: int = LANGUAGES) -> Filters:
     """Learn the filters from labelled texts.
 
-    About ``sample_docs`` texts of a language are used (whole, chosen by a hash
-    of their id) and at most ``grams`` n-grams of each language kept, so what
-    the driver receives is bounded by languages x grams.
+    The ``languages`` values of most labelled texts are learned (ties: the smaller
+    name), from about ``sample_docs`` texts of each (whole, chosen by a hash of
+    their id), with at most ``grams`` n-grams of each.  The masks are put
+    together by aggregation: the driver receives one number for a slot and 64
+    languages, at most some 25 MB, however many values the language column has.
     """
     rows = (train.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
             .select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.col(id_col).alias("id")))
-    cut = rows.groupBy("lang").agg((F.lit(float(sample_docs)) / F.count("*") * (1 << 30)).alias("cut"))
-    sample = (rows.join(F.broadcast(cut), "lang")  # a row a language
+    cut = (rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages)
+           .select("lang", (F.lit(float(sample_docs)) / F.col("n") * (1 << 30)).alias("cut")))
+    sample = (rows.join(F.broadcast(cut), "lang")  # a row a learned language
               .where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < F.col("cut")).select("lang", "text"))
     counted = (sample.mapInArrow(_count_task, "lang string, gram long, n long")
                .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
@@ -121,19 +140,20 @@ def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_c
     totals = counted.groupBy("lang").agg(F.sum("n").alias("total"))
     rated = counted.join(F.broadcast(totals), "lang").withColumn("rate", F.col("n") / F.col("total"))
     best = rated.withColumn("top", F.max("rate").over(Window.partitionBy("gram")))
-    kept = (best.where(F.col("rate") >= ratio * F.col("top"))
-            .withColumn("rank", F.row_number().over(by_lang.orderBy(F.desc("n"), "gram")))
-            .where(F.col("rank") <= grams).select("lang", "gram").collect())
-    languages = sorted({r["lang"] for r in kept})
+    kept = stored(best.where(F.col("rate") >= ratio * F.col("top"))
+                  .withColumn("rank", F.row_number().over(by_lang.orderBy(F.desc("n"), "gram")))
+                  .where(F.col("rank") <= grams).select("lang", "gram"), "typical-grams")
+    learned = sorted(r["lang"] for r in kept.select("lang").distinct().collect())
     size = 1 << int(np.ceil(np.log2(max(1024, 12 * grams))))
-    masks = np.zeros((size, max(1, -(-len(languages) // 64))), np.uint64)
-    fill = np.zeros(len(languages))
-    for bit, lang in enumerate(languages):
-        own = np.array([r["gram"] for r in kept if r["lang"] == lang], np.uint64)
-        taken = np.unique(np.concatenate(_slots(own, size)))
-        masks[taken, bit // 64] |= np.uint64(1 << (bit % 64))
-        fill[bit] = len(taken) / size
-    return Filters(languages, masks, fill ** HASHES)
+    slots = stored(kept.mapInArrow(_slot_task(learned, size), "bit long, slot long").distinct(), "slots")
+    fill = np.zeros(len(learned))
+    for r in slots.groupBy("bit").count().collect():  # a row a learned language
+        fill[r["bit"]] = r["count"] / size
+    made = (slots.groupBy("slot", F.expr("bit div 64").alias("word"))
+            .agg(F.bit_or(F.expr("shiftleft(1L, int(bit % 64))")).alias("mask")).toArrow())
+    masks = np.zeros((size, max(1, -(-len(learned) // 64))), np.uint64)
+    masks[made["slot"].to_numpy(), made["word"].to_numpy()] = made["mask"].to_numpy().view(np.uint64)
+    return Filters(learned, masks, fill ** HASHES)
 
 
 def score_batch(texts: pa.Array, model: Filters) -> tuple[list[str], np.ndarray, np.ndarray]:

@@ -55,6 +55,19 @@ def test_language_of_odd_texts(spark, sf):
     assert {r["lang_pred"] for r in lang_id.predict(odd_frame(spark), nothing).collect()} == {"und"}
 
 
+def test_only_the_most_frequent_languages_are_learned(spark):
+    """A dirty language column: masks of several words, a bound on what is learned, ties by name."""
+    rows = [(100 * k + n, f"{chr(0x4E00 + 7 * k) * 9} {chr(0x5E00 + 5 * k) * 8}", f"l{k:03}")
+            for k in range(150) for n in range(2 if k < 140 else 1)]
+    train = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = lang_id.fit(train, languages=140)
+    assert model.languages == [f"l{k:03}" for k in range(140)]
+    assert model.masks.shape[1] == 3
+    got = lang_id.predict(train.where("lang < 'l140'"), model).collect()
+    assert len(got) == 280 and all(r["lang_pred"] == r["lang"] for r in got)
+    assert lang_id.fit(train, languages=141).languages[-1] == "l140"
+
+
 def test_filters_hold_what_they_were_given():
     grams = np.arange(1, 3000, 7).astype(np.uint32)
     size = 1 << 14
