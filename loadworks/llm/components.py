@@ -28,8 +28,9 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternating large-star and small-star steps: every vertex hands its
     neighbours on to its smallest neighbour, until only stars are left.  The
-    minimum of a vertex is pre-aggregated before the shuffle, and links are
-    only joined, never gathered, so a hub does not land in one task.
+    minimum of a vertex is pre-aggregated before the shuffle; links are joined
+    with it by vertex and never gathered, but all links of a hub (two numbers
+    each) pass through the task of its id.
     """
     links = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                    .where("a <> b").distinct(), "links")
