@@ -125,7 +125,7 @@ def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 window: int = WINDOW) -> DataFrame:
     """``docs`` without its text, with n_bytes, spans (the removed ranges) and kept (the bytes left)."""
     ranges = covered(docs, id_col, text_col, byte_elements, window, min(GRAM, window), _shard(window),
-                     False, "byte-dedup")
+                     False)
     marked = with_ranges(docs, ranges, id_col, text_col)
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 

@@ -10,6 +10,10 @@
 3. The marks go back to their documents by id, and the open stretches, with
    their elements, go to shards by gram.  An index of the caller's choice finds
    the repeats inside a shard.
+4. All covered ranges go back to their documents by id.
+
+The documents meet the marks and the ranges in the same arrangement by id, in one
+plan: Spark shuffles the texts once and reads that exchange twice.
 
 Hot passages are pre-aggregated in step 1 (a task sends an equal stretch once)
 and frequent k-grams are ranked last when anchors are picked, so a passage in
@@ -22,12 +26,12 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadworks.llm.anchors import Anchors, Frequent, Ranges, anchors
-from loadworks.llm.columns import slices, utf8
-from loadworks.llm.components import stored
+from loadworks.llm.columns import mix, slices, utf8
 
 SAMPLE_DOCS = 2000         # documents of the frequent k-gram estimate, about
 FREQUENT_SHARE = 0.0025    # share of those documents that makes a k-gram frequent
@@ -45,6 +49,19 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        text.alias("text"))
 
 
+def placed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``docs``, its columns renamed c0, c1, ..., with id, key and ``at``: by this one value a row is
+    shuffled and joined (rows without an id are dealt out by their text).
+
+    Both joins with the documents take exactly these columns and rows, so that they share an
+    exchange; what a join does not want is left out behind it, inside the task.
+    """
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    own, text = names[docs.columns.index(id_col)], names[docs.columns.index(text_col)]
+    keyed = docs.toDF(*names).select(*names, F.col(own).cast("long").alias("id"), F.xxhash64(text).alias("key"))
+    return keyed.select(*names, "id", "key", F.coalesce("id", "key").alias("at"))
+
+
 def frequent_grams(rows: DataFrame, n_rows: int, elements: Callable, k: int) -> Frequent:
     """k-grams that are frequent in a sample of about SAMPLE_DOCS documents."""
     share = min(1.0, SAMPLE_DOCS / max(1, n_rows))
@@ -206,16 +223,21 @@ def runs(start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return np.stack([start[heads], end[np.append(heads[1:], len(start)) - 1]], axis=1)
 
 
-_SPREAD = "id long, key long, shard long, at long, body binary"
+_SPREAD = "settled boolean, shard long, id long, key long, at long, body binary"
 
 
-def _spread_task(elements, window, k, frequent, shards, in_text):
-    """Covered ranges (shard null) of the settled anchors, and the open stretches for the shards."""
+def _spread_task(elements, window, k, frequent, shards, in_text, text_name):
+    """Covered ranges of the settled anchors, and the open stretches for the shards."""
     def task(batches):
         for batch in batches:
+            wanted = pc.and_(pc.is_valid(batch["id"]), pc.is_valid(batch[text_name]))
+            if not in_text:
+                wanted = pc.and_(wanted, pc.is_valid(batch["marks"]))
+            batch = batch.select(["id", "key", text_name, "marks"]).filter(wanted)
             ids, keys = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             data, offsets = utf8(batch.column(2))
-            out = [[], [], [], [], []]
+            dealt = mix(ids.view(np.uint64)) % np.uint64(shards)
+            out = [[], [], [], [], [], []]
             for i, j in slices(offsets):
                 values, bounds, found = _found(data, offsets, i, j, elements, window, k, frequent)
                 gram, stretch, start, end = found.gram, found.stretch, found.start, found.end
@@ -240,24 +262,35 @@ def _spread_task(elements, window, k, frequent, shards, in_text):
                     left = np.isin(code, want[opened]) & ~whole
                     ranges = runs(start[a:b][whole] - bounds[r], end[a:b][whole] - bounds[r])
                     if len(ranges):
-                        for col, x in zip(out, (ids[i + r], keys[i + r], None, None, ranges.tobytes())):
+                        row = (True, int(dealt[i + r]), ids[i + r], keys[i + r], None, ranges.tobytes())
+                        for col, x in zip(out, row):
                             col.append(x)
                     for n in np.flatnonzero(left) + a:
-                        row = (ids[i + r], keys[i + r], int(gram[n] % np.uint64(shards)),
+                        row = (False, int(gram[n] % np.uint64(shards)), ids[i + r], keys[i + r],
                                int(start[n] - bounds[r]), values[start[n]:end[n]].tobytes())
                         for col, x in zip(out, row):
                             col.append(x)
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+            kinds = [pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)],
-                                             names=["id", "key", "shard", "at", "body"])
+                                             names=["settled", "shard", "id", "key", "at", "body"])
+
+    return task
+
+
+def _ranges_task(shard_task: Callable):
+    """Covered ranges of a shard; ranges that are settled already pass through."""
+    def task(group: pa.Table) -> pa.Table:
+        if group["settled"][0].as_py():
+            return group.select(["id", "key", "body"])
+        return shard_task(group.select(["id", "key", "at", "body"]))
 
     return task
 
 
 def covered(docs: DataFrame, id_col: str, text_col: str, elements: Callable, window: int, k: int,
-            shard_task: Callable, in_text: bool, name: str) -> DataFrame:
-    """(id, key, ranges) of the rows with repeats: ranges are binary blobs of (start, end) pairs
-    of elements that repeats cover.  Rows with a null id or text have none.
+            shard_task: Callable, in_text: bool) -> DataFrame:
+    """(id, ranges) of the ids with repeats: ranges are pairs of a row's key and a binary blob of
+    (start, end) pairs of its elements that repeats cover.  Rows with a null id or text have none.
 
     ``elements(data, offsets)`` turns texts into element arrays; ``shard_task``
     maps an Arrow table (id, key, at, body) of a shard to (id, key, body) with
@@ -275,20 +308,17 @@ def covered(docs: DataFrame, id_col: str, text_col: str, elements: Callable, win
     sketches = sketches.withColumn("bucket", F.when(F.col("settled"), F.pmod(F.xxhash64("key"), F.lit(buckets)))
                                    .otherwise(F.col("key")))
     marks = (sketches.groupBy("settled", "bucket").applyInArrow(_bucket_task, "id long, marks binary")
-             .groupBy("id").agg(F.collect_list("marks").alias("marks")))
-    spread = full.join(marks, "id", "left" if in_text else "inner").select("id", "key", "text", "marks")
-    spread = stored(spread.mapInArrow(_spread_task(elements, window, k, frequent, shards, in_text), _SPREAD),
-                    f"{name}-spread")
-    found = (spread.where("shard is not null").groupBy("shard")
-             .applyInArrow(shard_task, "id long, key long, body binary"))
-    return (found.unionByName(spread.where("shard is null").select("id", "key", "body"))
-            .groupBy("id", "key").agg(F.collect_list("body").alias("ranges")))
+             .groupBy(F.col("id").alias("of")).agg(F.collect_list("marks").alias("marks")))
+    # a left join: an inner one would filter the documents before their exchange, which is shared
+    spread = placed(docs, id_col, text_col).join(marks, F.col("at") == F.col("of"), "left").drop("of").mapInArrow(
+        _spread_task(elements, window, k, frequent, shards, in_text, f"c{docs.columns.index(text_col)}"), _SPREAD)
+    return (spread.groupBy("settled", "shard").applyInArrow(_ranges_task(shard_task), "id long, key long, body binary")
+            .groupBy(F.col("id").alias("of")).agg(F.collect_list(F.struct("key", "body")).alias("ranges")))
 
 
 def with_ranges(docs: DataFrame, ranges: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``docs``, its columns renamed c0, c1, ..., with each row's ranges (null: none)."""
-    old = [f"c{i}" for i in range(len(docs.columns))]
-    flat = docs.toDF(*old)
-    row = flat.withColumn("id", F.col(f"c{docs.columns.index(id_col)}").cast("long")).withColumn(
-        "key", F.xxhash64(f"c{docs.columns.index(text_col)}"))
-    return row.join(ranges, ["id", "key"], "left").select(*old, "ranges")
+    rows = placed(docs, id_col, text_col).join(ranges, F.col("at") == F.col("of"), "left")
+    own = F.transform(F.filter("ranges", lambda x: x["key"] == F.col("key")), lambda x: x["body"])
+    return rows.select(*[f"c{i}" for i in range(len(docs.columns))],
+                       F.when(F.col("id").isNotNull(), own).alias("ranges"))

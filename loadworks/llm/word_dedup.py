@@ -186,7 +186,7 @@ def dedup_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Without ``keep_text`` the text column is left out.
     """
     ranges = covered(docs, id_col, text_col, word_elements, window, min(GRAM, window), _shard(window),
-                     True, "word-dedup")
+                     True)
     marked = with_ranges(docs, ranges, id_col, text_col)
 
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))

@@ -1,9 +1,13 @@
 """Near-duplicates, byte and word dedup against brute force."""
 
+import contextlib
+import io
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from loadworks.llm import byte_dedup, near_dup, word_dedup
 from loadworks.llm.columns import ready
@@ -216,3 +220,43 @@ def test_pairs_inside_a_template_meet(spark):
     got = {r["id"]: r["component_id"] for r in near_dup.near_duplicates(frame(spark, template_pairs(500))).collect()}
     assert [d for d in range(500) if got[2 * d] != got[2 * d + 1]] == []
     assert len(set(got.values())) > 200  # a few pairs are alike by chance; the template does not join all
+
+
+def planned(df):
+    """The plan as explain() shows it."""
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain()
+    return out.getvalue()
+
+
+@pytest.mark.parametrize("dedup", [byte_dedup.dedup_bytes, word_dedup.dedup_words])
+def test_texts_are_shuffled_once(spark, sf, dedup):
+    """Both joins with the documents, with the marks and with the ranges, read one exchange."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        assert planned(dedup(docs)).count("ReusedExchange") == 1
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def test_ranges_go_to_their_own_row(spark):
+    """Rows of one id with different texts, and a row without an id that is dealt out like a row with one."""
+    passage = "a passage that comes back in several of the documents, with more than fifty bytes"
+    lost = f"no id {passage}"
+    like = spark.createDataFrame([(lost,)], "text string").select(F.xxhash64("text")).first()[0]
+    rows = [(-(1 << 62) * 2, passage), (like, f"{passage} first"), (like, f"and second: {passage}"), (like, "few"),
+            (like, None), (None, lost), (None, None), (None, passage)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = Counter((r.doc_id, r.n_bytes, bytes(r.kept)) for r in byte_dedup.dedup_bytes(docs).collect())
+    want = Counter()
+    for at, text in rows:
+        data = (text or "").encode()
+        kept = data.replace(passage.encode(), b"") if at == like else data
+        want[at, len(data), kept] += 1
+    assert got == want
