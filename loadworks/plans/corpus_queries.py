@@ -162,9 +162,14 @@ def q_token_estimate(spark, sf):
 
 def _statements(spark, sf):
     """Source and converted statements, one per order, scripts per customer."""
-    o = table(spark, sf, "orders").select(
+    return _written(table(spark, sf, "orders"))
+
+
+def _written(orders, *also):
+    """The statements of each row of ``orders``, beside its columns ``also``."""
+    o = orders.select(
         F.col("o_custkey").alias("script_id"), F.col("o_orderkey").alias("stmt_no"),
-        "o_orderpriority", F.lower("o_orderstatus").alias("st"), "o_orderkey", "o_custkey")
+        "o_orderpriority", F.lower("o_orderstatus").alias("st"), "o_orderkey", "o_custkey", *also)
     key, cust, st, prio = (F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"),
                            F.col("st"), F.col("o_orderpriority"))
     src = F.when(prio == "1-URGENT", F.concat(F.lit("INSERT INTO sales.orders_"), st,
@@ -193,7 +198,7 @@ def _statements(spark, sf):
         .when((prio == "4-NOT SPECIFIED") & (st == "p"), F.lit("\t// hdfs dfs -ls /landing")) \
         .when((prio == "5-LOW") & (st == "p"), F.lit("beeline -u jdbc:hive2://h -e 'select 1'"))
     return o.select("script_id", "stmt_no", src.alias("sql"), out.alias("out_sql"),
-                    extra.alias("extra_line"))
+                    extra.alias("extra_line"), *also)
 
 
 STMT_SQL = """
@@ -310,16 +315,24 @@ def q_corpus_leftovers(spark, sf):
 
 # ------------------------------------------------------------ whole scripts
 
+SCRIPT_ROWS = 100_000  # orders that a task of the join of whole scripts gets, about
+
+
 def _scripts(spark, sf):
     """A whole script per order: a shell source, and a notebook cell of its conversion.
 
     The quoting of the statement follows the order's priority; statements that a
     conversion removes stay in some outputs, and some use positional parameters.
+    The texts are written behind the join, and the number of its tasks follows the
+    number of orders: by compressed bytes, which repeated texts and
+    ascending keys make few, a task would get millions of them.
     """
     prio = F.col("prio")
-    o = _statements(spark, sf).join(
-        table(spark, sf, "orders").select(F.col("o_orderkey").alias("stmt_no"),
-                                          F.col("o_orderpriority").alias("prio")), "stmt_no")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus")
+    tasks = max(spark.sparkContext.defaultParallelism, -(-orders.count() // SCRIPT_ROWS))
+    own = orders.select(F.col("o_orderkey").alias("__key"), F.col("o_orderpriority").alias("prio"))
+    o = _written(orders.repartition(tasks, "o_orderkey").join(
+        own.repartition(tasks, "__key"), F.col("o_orderkey") == F.col("__key")), "prio")
     shell = F.concat(F.lit('#!/bin/bash\nkinit -kt svc\nimpala-shell -i $1 -q "'), F.col("sql"),
                      F.lit("\" -o log\nimpala-shell -q 'REFRESH sales.orders'\n"))
 

@@ -3,6 +3,7 @@
 import datetime as dt
 import random
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from loadworks.operators import corpus as CO
 from loadworks.operators import matching as M
 from loadworks.operators import scd as D
 from loadworks.operators import sequence as S
+from loadworks.plans import corpus_queries
 from loadworks.session import scratch_path, scratch_scope
 
 
@@ -226,3 +228,23 @@ def test_renamed_columns_count_by_their_targets(spark):
     got = sorted(tuple(map(str, r)) for r in M.match_renamed(renames, have).collect())
     assert got == [("w1", "t1", "2", "2", "100.00"), ("w2", "None", "0", "0", "0.00"), ("w3", "None", "1", "0", "0.00"),
                    ("w4", "t0", "1", "1", "100.00")]
+
+
+def test_tasks_of_whole_scripts_follow_the_orders(spark, tmp_path, monkeypatch):
+    """A task of the join gets a bounded number of orders; repeated keys pair up, null keys have no script."""
+    kinds = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+    rows = [(k, k % 9, "FOP"[k % 3], kinds[k % 5]) for k in range(2000)]
+    rows += [(7, 1, "P", "5-LOW"), (7, 2, None, None), (None, 3, "F", "1-URGENT")]
+    spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string") \
+        .write.parquet(f"{tmp_path}/orders.parquet")
+    monkeypatch.setattr(corpus_queries, "SCRIPT_ROWS", 20, raising=False)
+    found = corpus_queries._scripts(spark, str(tmp_path))
+    counts = Counter(r.script_id for r in found.collect())
+    assert counts == {k: 9 if k == 7 else 1 for k in range(2000)}
+    tasks = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(tasks) > 50 and max(tasks) < 80
+    got = Counter(tuple(r) for r in corpus_queries.q_corpus_converted_scripts(spark, str(tmp_path)).collect())
+    want = Counter((k, "removable", "INVALIDATE METADATA") for k, _, st, prio in rows
+                   if k != 7 and k is not None and (prio == kinds[3] or (prio == kinds[2] and st == "P")))
+    want += Counter((k, "parameters", "1,2") for k, _, _, prio in rows if k is not None and k != 7 and prio == kinds[2])
+    assert {x: n for x, n in got.items() if x[0] != 7} == want
