@@ -139,7 +139,18 @@ def scan_rules(corpus: DataFrame, rules: list[Rule], id_cols: list[str] | None =
     return out
 
 
-GRAM = 4  # letters of the pieces by which a rule table is indexed
+GRAMS = (12, 4)  # letters of the pieces by which a rule table is indexed, the longest first
+
+
+def _met(lines: DataFrame, rules: DataFrame, gram: int) -> DataFrame:
+    """Pairs of a line and a rule whose literal shares a piece of ``gram`` letters with the line's cuts."""
+    places = F.sequence(F.lit(1), F.length("literal") - gram + 1)
+    index = rules.select("*", F.explode(F.array_distinct(
+        F.transform(places, lambda i: F.substring("literal", i, F.lit(gram))))).alias("__gram"))
+    # one pass over the line: a substring by position would count its letters from the start each time
+    cuts = F.regexp_extract_all("__line", F.lit(f"(?s).{{{gram}}}"), F.lit(0))
+    pieces = lines.filter(F.length("__line") >= 2 * gram - 1).select("*", F.explode(F.array_distinct(cuts)).alias("__gram"))
+    return pieces.join(index, "__gram")
 
 
 def scan_rule_table(corpus: DataFrame, rules: DataFrame, id_cols: list[str] | None = None,
@@ -148,10 +159,12 @@ def scan_rule_table(corpus: DataFrame, rules: DataFrame, id_cols: list[str] | No
 
     ``rules``: ``(rule, severity, pattern, literal)``, where every match of ``pattern`` (a regular
     expression; NULL: the literal itself) contains ``literal``.  An inverted index holds all
-    pieces of ``GRAM`` letters of the literals; a line is cut at every ``GRAM``-th letter only,
-    because a literal of ``2 * GRAM - 1`` letters holds one of these pieces wherever it
-    begins.  So a line costs its length over ``GRAM`` lookups, whatever the number of rules, and only
-    pairs that share a piece are compared.  Rules with shorter literals, whose pieces would
+    pieces of ``gram`` letters of the literals; a line is cut at every ``gram``-th letter only,
+    because a literal of ``2 * gram - 1`` letters holds one of these pieces wherever it
+    begins.  So a line costs its length over ``gram`` lookups, whatever the number of rules, and only
+    pairs that share a piece are compared.  Each rule is indexed by the longest pieces of ``GRAMS``
+    that its literal allows; where no rule needs a size, adaptive execution leaves out that pass over
+    the lines.  Rules with shorter literals, whose pieces would
     be missed, are compared with every line; a rule without literal is an error.  The planner
     broadcasts the index while it is small; texts are only shuffled beyond that.
     """
@@ -161,19 +174,17 @@ def scan_rule_table(corpus: DataFrame, rules: DataFrame, id_cols: list[str] | No
         .otherwise(F.col("literal")).alias("literal"))
     lines = corpus.select(*ids, F.monotonically_increasing_id().alias("__row"), qcol(content).alias("__text")) \
         .select(*ids, "__row", F.posexplode(F.split("__text", LINE_BREAK, -1)).alias("__pos", "__line"))
-    long_enough = F.length("literal") >= 2 * GRAM - 1
-    places = F.sequence(F.lit(1), F.length("literal") - GRAM + 1)
-    index = checked.filter(long_enough).select("*", F.explode(F.array_distinct(
-        F.transform(places, lambda i: F.substring("literal", i, F.lit(GRAM))))).alias("__gram"))
-    cuts = F.sequence(F.lit(1), F.length("__line") - GRAM + 1, F.lit(GRAM))
-    pieces = lines.filter(F.length("__line") >= 2 * GRAM - 1).select("*", F.explode(F.array_distinct(
-        F.transform(cuts, lambda i: F.substring("__line", i, F.lit(GRAM))))).alias("__gram"))
     hit = F.contains(F.col("__line"), F.col("literal")) & (F.col("pattern").isNull() | F.expr("__line RLIKE pattern"))
     out = [*ids, "rule", "severity", (F.col("__pos") + 1).cast("long").alias("line_no")]
-    met = pieces.join(index, "__gram").filter(hit).select(*out, "__row").distinct()
+    size = F.length("literal")
+    met, below = None, None
+    for gram in GRAMS:
+        fits = size >= 2 * gram - 1 if below is None else (size >= 2 * gram - 1) & (size < below)
+        part = _met(lines, checked.filter(fits), gram).filter(hit).select(*out, "__row")
+        met, below = part if met is None else met.unionByName(part), 2 * gram - 1
     # compared with every line: a condition that is no equality, as the short rules are few
-    rest = lines.join(checked.filter(~long_enough), hit).select(*out, "__row")
-    return met.unionByName(rest).drop("__row")
+    rest = lines.join(checked.filter(size < below), hit).select(*out, "__row")
+    return met.distinct().unionByName(rest).drop("__row")
 
 
 def classify_documents(corpus: DataFrame, rules: list[Rule], id_cols: list[str] | None = None,
